@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,8 +109,11 @@ class NGramBag:
     def fit_counts(self, df: DataFrame, tokens: Column) -> tuple[NGramBagModel, DataFrame]:
         """Fit and return the model plus the sparse (id, term, count) rows
         computed on the way, so fit + transform shuffle the corpus once."""
+        # fit (vocabulary) and transform (rows) both read the counts; they
+        # are deterministic, so a persisted copy is safe to recompute after
+        # an executor loss and saves tokenising the corpus twice
         counts = doc_term_counts(self._grams(df, tokens), self.id_col, "_fl_g") \
-            .withColumnRenamed("_fl_g", "term")
+            .withColumnRenamed("_fl_g", "term").persist(StorageLevel.MEMORY_AND_DISK)
         stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
         if self.fixed_vocab is not None:
             stats = stats.join(self.fixed_vocab.select("term"), "term")

@@ -9,7 +9,7 @@ from featlab.functions.arrays import explode_values, posexplode_values
 from featlab.functions.hashing import md5_mod
 from featlab.operators import text_features as TF
 from featlab.plans.registry import query
-from featlab.sources.tables import read_table
+from featlab.sources.tables import read_table, spread
 
 R = 6
 
@@ -26,7 +26,7 @@ _SQL_KW_TOK = f"list_filter({_SQL_TOK}, lambda x: length(x) > 1 AND NOT list_con
 
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return spread(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def keyword_tokens(text_col):

@@ -29,3 +29,14 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp views named like the tables, for ``spark.sql`` users."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row-local work (tokenising, n-grams, regex) enough
+    tasks. A big table already scans into many splits and is returned
+    as is; a scan with fewer partitions than the cluster's parallelism (one
+    small file, one row group) is round-robin repartitioned first."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
