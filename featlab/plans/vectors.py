@@ -1,3 +1,107 @@
-"""Registered queries."""
+"""Queries over ``embeddings`` (vectors, matrices, similarity)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from featlab.functions import arrays as A
+from featlab.operators import linalg as L
+from featlab.operators.vectors import fm_second_order, topk_similar
+from featlab.plans.registry import query
+from featlab.sources.tables import read_table
+
+R = 6
+
+
+def _emb(spark, sf_dir):
+    return read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+
+
+_SQL_VEC = "CAST(embedding AS DOUBLE[])"
+
+
+@query("j07_topk_similarity", f"""
+WITH n AS (SELECT vec_id, {_SQL_VEC} AS e, sqrt(list_sum(list_transform({_SQL_VEC}, lambda x: x * x))) AS nr FROM embeddings),
+p AS (SELECT a.vec_id AS query_id, b.vec_id AS other_id, list_dot_product(a.e, b.e) / (a.nr * b.nr) AS sim
+      FROM n a JOIN n b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, other_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, other_id, round(sim, 6) AS sim FROM r WHERE rank <= 8
+""")
+def j07_topk_similarity(spark, sf_dir):
+    t = topk_similar(_emb(spark, sf_dir), "vec_id", "embedding", k=8, block=256)
+    return t.select("query_id", "rank", "other_id", F.round("sim", R).alias("sim"))
+
+
+@query("c10_c11_norms_and_centroid_cosine", f"""
+WITH v AS (SELECT vec_id, label, {_SQL_VEC} AS e FROM embeddings),
+d AS (SELECT label, i, avg(e[i]) AS m FROM v, range(1, 65) r(i) GROUP BY label, i),
+c AS (SELECT label, list(m ORDER BY i) AS cen FROM d GROUP BY label),
+x AS (SELECT v.vec_id, v.e, c.cen, sqrt(list_sum(list_transform(v.e, lambda t: t * t))) AS ne,
+             sqrt(list_sum(list_transform(c.cen, lambda t: t * t))) AS nc FROM v JOIN c USING (label))
+SELECT vec_id, round(ne, 6) AS norm, round(e[1] / ne, 6) AS unit_first,
+       round(CASE WHEN ne * nc = 0 THEN 0 ELSE list_dot_product(e, cen) / (ne * nc) END, 6) AS cos_centroid
+FROM x
+""")
+def c10_c11_norms_and_centroid_cosine(spark, sf_dir):
+    e = _emb(spark, sf_dir).withColumn("e", A.to_double_array(F.col("embedding")))
+    # class centroids: a per-(label, dim) average, then re-assembled (64 values per label)
+    dims = (e.select("label", F.posexplode("e").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m")))
+    cen = dims.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("s")) \
+              .select("label", F.transform("s", lambda t: t["m"]).alias("cen"))
+    x = e.join(cen, "label")
+    return x.select("vec_id", F.round(A.l2_norm("e"), R).alias("norm"),
+                    F.round(F.element_at(A.l2_normalize("e"), 1), R).alias("unit_first"),
+                    F.round(A.cosine("e", "cen"), R).alias("cos_centroid"))
+
+
+@query("l01_l04_gram_matrix", f"""
+WITH c AS (SELECT vec_id AS i, j - 1 AS j, {_SQL_VEC}[j] AS v FROM embeddings, range(1, 65) r(j)),
+g AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS v FROM c a JOIN c b ON a.i = b.i GROUP BY 1, 2)
+SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(v, 6) AS v FROM g WHERE abs(i - j) <= 2
+""")
+def l01_l04_gram_matrix(spark, sf_dir):
+    m = L.from_arrays(_emb(spark, sf_dir), "vec_id", "embedding")
+    g = L.matmul(m, m, transpose_a=True)
+    return L.band_part(g, 2, 2).select(F.col("i").cast("bigint"), F.col("j").cast("bigint"), F.round("v", R).alias("v"))
+
+
+@query("l03_trace_norm_diag", f"""
+WITH c AS (SELECT vec_id AS i, j - 1 AS j, {_SQL_VEC}[j] AS v FROM embeddings, range(1, 65) r(j)),
+g AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS v FROM c a JOIN c b ON a.i = b.i GROUP BY 1, 2)
+SELECT round(sum(CASE WHEN i = j THEN v ELSE 0 END), 6) AS trace, round(sqrt(sum(v * v)), 6) AS norm,
+       round(max(CASE WHEN i = j THEN v END), 6) AS max_diag FROM g
+""")
+def l03_trace_norm_diag(spark, sf_dir):
+    m = L.from_arrays(_emb(spark, sf_dir), "vec_id", "embedding")
+    g = L.matmul(L.transpose(m), m)
+    t = L.trace_and_norm(g)
+    d = L.diag_part(g).agg(F.max("v").alias("max_diag"))
+    from featlab.operators.stats import attach_row
+    return attach_row(t, d).select(F.round("trace", R).alias("trace"), F.round("norm", R).alias("norm"),
+                                   F.round("max_diag", R).alias("max_diag"))
+
+
+@query("l09_j06_fm_second_order", f"""
+WITH n AS (SELECT count(DISTINCT o_orderstatus) AS ns FROM orders),
+s AS (SELECT o_orderstatus AS v, dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS r FROM (SELECT DISTINCT o_orderstatus FROM orders)),
+p AS (SELECT o_orderpriority AS v, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS r FROM (SELECT DISTINCT o_orderpriority FROM orders)),
+x AS (SELECT o.o_orderkey, f.idx, f.val FROM orders o, n JOIN s ON s.v = o.o_orderstatus JOIN p ON p.v = o.o_orderpriority,
+        LATERAL (SELECT CAST(s.r AS BIGINT) AS idx, 1.0::DOUBLE AS val UNION ALL SELECT n.ns, o.o_totalprice / 1000
+                 UNION ALL SELECT n.ns + 1 + p.r, 1.0::DOUBLE) f),
+w AS (SELECT vec_id AS idx, k - 1 AS k, CAST(embedding[k] AS DOUBLE) AS wv FROM embeddings, range(1, 9) r(k)),
+fk AS (SELECT o_orderkey, k, sum(wv * val) AS s, sum(wv * val * wv * val) AS s2 FROM x JOIN w USING (idx) GROUP BY 1, 2)
+SELECT o_orderkey, round(0.5 * sum(s * s - s2), 6) AS fm2 FROM fk GROUP BY o_orderkey
+""")
+def l09_j06_fm_second_order(spark, sf_dir):
+    from featlab.operators.encoders import fit_feature_dictionary
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    o = o.withColumn("o_totalprice", F.col("o_totalprice") / 1000)
+    d = fit_feature_dictionary(o.drop("o_orderkey"), numeric=["o_totalprice"])
+    parsed = d.parse(o, keep=["o_orderkey"])
+    long = parsed.select("o_orderkey", F.explode(F.arrays_zip("xi", "xv")).alias("z")) \
+                 .select("o_orderkey", F.col("z.xi").alias("idx"), F.col("z.xv").alias("value"))
+    # factor weights: the first 8 components of the embedding with the same id
+    w = _emb(spark, sf_dir).select(F.col("vec_id").alias("idx"),
+                                   F.slice(A.to_double_array(F.col("embedding")), 1, 8).alias("vec"))
+    f = fm_second_order(long, w, "o_orderkey", 8)
+    return f.select("o_orderkey", F.round("fm2", R).alias("fm2"))
