@@ -69,10 +69,12 @@ def sparse_segment(df: DataFrame, seg: str, col: str) -> DataFrame:
 
 # ---- A11 / A12: quantiles -------------------------------------------------------------
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], exact: bool = True) -> DataFrame:
-    """Linear-interpolated quantiles (``percentile``), or the
-    distributed sketch ``percentile_approx`` when ``exact`` is False."""
+    """Linear-interpolated quantiles (exact, rank based), or the
+    mergeable sketch ``percentile_approx`` when ``exact`` is False."""
+    if exact:
+        return exact_quantiles(df, col, probs)
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    q = F.percentile(F.col(col), probs_arr) if exact else F.percentile_approx(F.col(col), probs_arr, 10000)
+    q = F.percentile_approx(F.col(col), probs_arr, 10000)
     row = df.agg(q.alias("q"))
     return row.select(F.posexplode("q").alias("i", "value")).select(
         F.element_at(probs_arr, F.col("i") + 1).alias("prob"), "value")
@@ -83,11 +85,8 @@ def quantile_bins(df: DataFrame, col: str, q: int, out_col: str = "bin", exact:
     """Q equal-frequency bins, right-closed, lowest value included:
     bin = number of inner edges strictly below x. Edges are q-1 literals
     computed by one aggregation."""
-    probs = [i / q for i in range(1, q)]
-    expr = F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs])) if exact \
-        else F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), 10000)
-    mm = df.agg(expr.alias("e"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    edges = [mm["lo"], *mm["e"], mm["hi"]]
+    probs = [0.0, *[i / q for i in range(1, q)], 1.0]
+    edges = [r["value"] for r in quantiles(df, col, probs, exact).orderBy("prob").collect()]   # q + 1 numbers
     if len(set(edges)) < len(edges):
         if duplicates == "raise":
             raise ValueError(f"bin edges must be unique: {edges}")
@@ -143,3 +142,25 @@ def bin_counting(df: DataFrame, cat: str, click: str, log: bool = False) -> Data
     odds = (F.col("clicks") / (F.col("n") - F.col("clicks"))) / (rest_c / (rest_n - rest_c))
     per = per.withColumn("odds_ratio", F.log(odds) if log else odds)
     return per.drop("_tc", "_tn")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolated quantiles without buffering a column in one
+    aggregation state: rows are ranked per group by the distributed global
+    rank, the two order statistics around h = (n - 1) p + 1 are picked by a
+    join on (group, rank) and interpolated. Returns (by..., prob, value)."""
+    from featlab.operators.ordering import global_rank
+    x = df.select(*by, F.col(col).cast("double").alias("_fl_x")).filter(F.col("_fl_x").isNotNull())
+    ranked = global_rank(x, [F.col("_fl_x")], "_fl_r", partition_by=list(by), size_col="_fl_n")
+    sizes = ranked.select(*by, "_fl_n").distinct()
+    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+    tgt = sizes.select(*by, "_fl_n", pr).withColumn("_fl_h", (F.col("_fl_n") - 1) * F.col("prob") + 1)
+    tgt = tgt.withColumn("_fl_lo", F.floor("_fl_h")).withColumn("_fl_hi", F.least(F.col("_fl_lo") + 1, F.col("_fl_n")))
+    # targets: groups x probs x 2 rows, joined to the two ranks they need
+    need = tgt.select(*by, "prob", "_fl_h", "_fl_lo",
+                      F.explode(F.array(F.col("_fl_lo"), F.col("_fl_hi"))).alias("_fl_r")).distinct()
+    picked = ranked.select(*by, "_fl_r", "_fl_x").join(need, [*by, "_fl_r"])
+    out = picked.groupBy(*by, "prob").agg(
+        F.max_by("_fl_x", F.when(F.col("_fl_r") == F.col("_fl_lo"), 1).otherwise(0)).alias("_xl"),
+        F.max("_fl_x").alias("_xh"), F.first("_fl_h").alias("_h"), F.first("_fl_lo").alias("_lo"))
+    return out.select(*by, "prob", (F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl"))).alias("value"))

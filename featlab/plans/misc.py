@@ -1,3 +1,135 @@
-"""Registered queries."""
+"""Queries for plot summaries (G01-G10) and set operations."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from featlab.functions.hashing import md5_mod
+from featlab.operators import plotdata as G
+from featlab.plans.registry import query
+from featlab.sources.tables import read_table
+
+R = 6
+
+
+def _md5_mod_sql(expr: str, m: int) -> str:
+    acc = "0"
+    for i in range(4):
+        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
+    return acc
+
+
+@query("g01_histogram", """
+WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n FROM lineitem),
+b AS (SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin, lo, hi, n FROM lineitem, r)
+SELECT bin, round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / 10, 6) AS "left", count(*) AS count,
+       round(count(*) / (any_value(n) * (any_value(hi) - any_value(lo)) / 10), 9) AS density FROM b GROUP BY bin
+""")
+def g01_histogram(spark, sf_dir):
+    h = G.histogram(read_table(spark, sf_dir, "lineitem", "l_extendedprice"), "l_extendedprice", 10)
+    return h.select("bin", F.round("left", R).alias("left"), "count", F.round("density", 9).alias("density"))
+
+
+@query("g02_kernel_density", """
+WITH r AS (SELECT min(l_discount) AS lo, max(l_discount) AS hi, count(*) AS n, stddev_pop(l_discount) AS sd FROM lineitem),
+p AS (SELECT gi, lo + gi * (hi - lo) / 19 AS x, 1.06 * sd * pow(n, -0.2) AS h FROM r, range(0, 20) t(gi))
+SELECT CAST(gi AS INTEGER) AS gi, round(any_value(x), 6) AS x,
+       round(avg(exp(-pow(l_discount - x, 2) / (2 * h * h)) / (h * sqrt(2 * pi()))), 6) AS density
+FROM lineitem, p GROUP BY gi
+""")
+def g02_kernel_density(spark, sf_dir):
+    k = G.kde(read_table(spark, sf_dir, "lineitem", "l_discount"), "l_discount", 20)
+    return k.select(F.col("gi").cast("int"), F.round("x", R).alias("x"), F.round("density", R).alias("density"))
+
+
+@query("g03_box_summary", """
+WITH q AS (SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median,
+                  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders GROUP BY 1)
+SELECT o_orderpriority, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(min(o_totalprice) FILTER (WHERE o_totalprice >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_lo,
+       round(max(o_totalprice) FILTER (WHERE o_totalprice <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_hi,
+       count(*) FILTER (WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM orders JOIN q USING (o_orderpriority) GROUP BY o_orderpriority, q1, median, q3
+""")
+def g03_box_summary(spark, sf_dir):
+    b = G.box_summary(read_table(spark, sf_dir, "orders", "o_orderpriority", "o_totalprice"), "o_totalprice",
+                      ["o_orderpriority"])
+    return b.select("o_orderpriority", *[F.round(c, R).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
+                    "outliers")
+
+
+@query("g04_correlation_matrix", """
+SELECT a, b, round(r, 6) AS r FROM (
+  SELECT 'l_quantity' AS a, 'l_quantity' AS b, corr(l_quantity, l_quantity) AS r FROM lineitem UNION ALL
+  SELECT 'l_quantity', 'l_extendedprice', corr(l_quantity, l_extendedprice) FROM lineitem UNION ALL
+  SELECT 'l_quantity', 'l_discount', corr(l_quantity, l_discount) FROM lineitem UNION ALL
+  SELECT 'l_extendedprice', 'l_quantity', corr(l_extendedprice, l_quantity) FROM lineitem UNION ALL
+  SELECT 'l_extendedprice', 'l_extendedprice', corr(l_extendedprice, l_extendedprice) FROM lineitem UNION ALL
+  SELECT 'l_extendedprice', 'l_discount', corr(l_extendedprice, l_discount) FROM lineitem UNION ALL
+  SELECT 'l_discount', 'l_quantity', corr(l_discount, l_quantity) FROM lineitem UNION ALL
+  SELECT 'l_discount', 'l_extendedprice', corr(l_discount, l_extendedprice) FROM lineitem UNION ALL
+  SELECT 'l_discount', 'l_discount', corr(l_discount, l_discount) FROM lineitem)
+""")
+def g04_correlation_matrix(spark, sf_dir):
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    m = G.correlation_matrix(read_table(spark, sf_dir, "lineitem", *cols), cols)
+    return m.select("a", "b", F.round("r", R).alias("r"))
+
+
+@query("g05_pie_shares", """
+SELECT c_mktsegment, round(sum(c_acctbal), 6) AS total,
+       round(100 * sum(c_acctbal) / sum(sum(c_acctbal)) OVER (), 6) AS share_pct FROM customer GROUP BY 1
+""")
+def g05_pie_shares(spark, sf_dir):
+    p = G.pie_shares(read_table(spark, sf_dir, "customer", "c_mktsegment", "c_acctbal"), "c_mktsegment", "c_acctbal")
+    return p.select("c_mktsegment", F.round("total", R).alias("total"), F.round("share_pct", R).alias("share_pct"))
+
+
+@query("g06_stacked_bars", """
+SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 6) AS total,
+       round(sum(sum(l_quantity)) OVER (PARTITION BY l_returnflag ORDER BY l_linestatus ROWS UNBOUNDED PRECEDING), 6) AS stack_top
+FROM lineitem GROUP BY 1, 2
+""")
+def g06_stacked_bars(spark, sf_dir):
+    s = G.stacked_bars(read_table(spark, sf_dir, "lineitem", "l_returnflag", "l_linestatus", "l_quantity"),
+                       "l_returnflag", "l_linestatus", "l_quantity")
+    return s.select("l_returnflag", "l_linestatus", F.round("total", R).alias("total"),
+                    F.round("stack_top", R).alias("stack_top"))
+
+
+@query("g07_line_series", """
+SELECT CAST(date_trunc('day', ts) AS VARCHAR) AS bucket, event_type, round(avg(value), 6) AS mean, count(*) AS count
+FROM events GROUP BY 1, 2
+""")
+def g07_line_series(spark, sf_dir):
+    s = G.line_series(read_table(spark, sf_dir, "events", "ts", "event_type", "value"), "ts", "event_type", "value")
+    return s.select(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"), "event_type",
+                    F.round("mean", R).alias("mean"), "count")
+
+
+@query("g08_hash_sample", f"""
+SELECT vec_id, label FROM embeddings WHERE {_md5_mod_sql('CAST(vec_id AS VARCHAR)', 1000000)} < 200000
+""")
+def g08_hash_sample(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "label")
+    return G.sample_by(e, "vec_id", 0.2).select("vec_id", "label")
+
+
+@query("g09_joint_bins", """
+WITH r AS (SELECT min(l_quantity) AS lx, max(l_quantity) AS hx, min(l_discount) AS ly, max(l_discount) AS hy FROM lineitem)
+SELECT CAST(least(floor((l_quantity - lx) / ((hx - lx) / 5)), 4) AS INTEGER) AS bx,
+       CAST(least(floor((l_discount - ly) / ((hy - ly) / 5)), 4) AS INTEGER) AS "by", count(*) AS count
+FROM lineitem, r GROUP BY 1, 2
+""")
+def g09_joint_bins(spark, sf_dir):
+    return G.joint_bins(read_table(spark, sf_dir, "lineitem", "l_quantity", "l_discount"), "l_quantity", "l_discount", 5)
+
+
+@query("g10_fitted_lines", """
+SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, count(*) AS n FROM lineitem GROUP BY 1
+""")
+def g10_fitted_lines(spark, sf_dir):
+    f = G.fitted_lines(read_table(spark, sf_dir, "lineitem", "l_returnflag", "l_extendedprice", "l_quantity"),
+                       "l_extendedprice", "l_quantity", ["l_returnflag"])
+    return f.select("l_returnflag", F.round("slope", R).alias("slope"), F.round("intercept", R).alias("intercept"), "n")
