@@ -48,10 +48,17 @@ def hash_fold(id_col: str, k: int, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(k)).cast("int")
 
 
+def split_flag(id_col: str, test_fraction: float = 0.2, seed: int = 42, buckets: int = 1_000_000) -> Column:
+    """True for the validation share: md5 bucket of ``"<seed>-<id>"`` below
+    the fraction (portable, reproducible in any engine with md5)."""
+    from featlab.functions.hashing import md5_mod
+    key = F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string"))
+    return md5_mod(key, buckets) < int(test_fraction * buckets)
+
+
 def hash_split(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = 42):
     """Deterministic train/validation split on the id."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1_000_000)) / 1_000_000.0)
-    flagged = df.withColumn("_fl_u", u)
+    flagged = df.withColumn("_fl_u", F.when(split_flag(id_col, test_fraction, seed), 0.0).otherwise(1.0))
     return (flagged.filter(F.col("_fl_u") >= test_fraction).drop("_fl_u"),
             flagged.filter(F.col("_fl_u") < test_fraction).drop("_fl_u"))
 

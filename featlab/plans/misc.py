@@ -133,3 +133,160 @@ def g10_fitted_lines(spark, sf_dir):
     f = G.fitted_lines(read_table(spark, sf_dir, "lineitem", "l_returnflag", "l_extendedprice", "l_quantity"),
                        "l_extendedprice", "l_quantity", ["l_returnflag"])
     return f.select("l_returnflag", F.round("slope", R).alias("slope"), F.round("intercept", R).alias("intercept"), "n")
+
+
+# ---- set operations (U01, U03-U06) -------------------------------------------------------------
+from featlab.functions import text as T  # noqa: E402
+from featlab.functions.arrays import explode_values, posexplode_values  # noqa: E402
+from featlab.operators.folds import batches, split_flag  # noqa: E402
+from featlab.operators.text_features import term_counts, top_terms  # noqa: E402
+
+
+@query("u01_union_train_test", """
+SELECT doc_id, quality FROM labels
+UNION ALL SELECT doc_id, NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def u01_union_train_test(spark, sf_dir):
+    train = read_table(spark, sf_dir, "labels", "doc_id", "quality")
+    test = read_table(spark, sf_dir, "documents", "doc_id").join(train.select("doc_id"), "doc_id", "left_anti")
+    return train.unionByName(test, allowMissingColumns=True).select("doc_id", "quality")
+
+
+@query("u03_distinct_values", """
+SELECT DISTINCT * FROM (SELECT 'p_brand' AS feature, p_brand AS value FROM part UNION ALL
+  SELECT 'p_type', p_type FROM part UNION ALL SELECT 'p_size', CAST(p_size AS VARCHAR) FROM part)
+""")
+def u03_distinct_values(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", "p_brand", "p_type", "p_size")
+    st = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in ("p_brand", "p_type", "p_size")]
+    return p.select(F.explode(F.array(*st)).alias("s")).select("s.*").distinct()
+
+
+@query("u04_value_set_difference", """
+SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events WHERE event_type = 'click'
+EXCEPT SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) FROM events WHERE event_type = 'purchase'
+""")
+def u04_value_set_difference(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events", "user_id", "event_type", "ts") \
+        .withColumn("day", F.date_format(F.to_date("ts"), "yyyy-MM-dd"))
+    clicked = e.filter(F.col("event_type") == "click").select("user_id", "day").distinct()
+    bought = e.filter(F.col("event_type") == "purchase").select("user_id", "day")
+    return clicked.join(bought, ["user_id", "day"], "left_anti")
+
+
+@query("u05_dictionary_edits", f"""
+SELECT word FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{T.WORD_CLASS}')) AS word FROM benchmark
+                  UNION SELECT unnest(['featlab', 'spark']))
+WHERE length(word) > 1
+""")
+def u05_dictionary_edits(spark, sf_dir):
+    b = read_table(spark, sf_dir, "benchmark", "text")
+    words = b.select(explode_values(T.word_tokens("text")).alias("word")).filter(F.col("word").isNotNull()).distinct()
+    added = spark.createDataFrame([("featlab",), ("spark",)], "word string")      # add_word / load_userdict
+    deleted = words.unionByName(added).distinct().filter(F.length("word") <= 1)  # del_word list
+    return words.unionByName(added).distinct().join(deleted, "word", "left_anti")
+
+
+@query("u06_hash_split", f"""
+SELECT o_orderkey, {_md5_mod_sql("'42-' || CAST(o_orderkey AS VARCHAR)", 1000000)} < 200000 AS is_valid FROM orders
+""")
+def u06_hash_split(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders", "o_orderkey")
+    return o.select("o_orderkey", split_flag("o_orderkey", 0.2, 42).alias("is_valid"))
+
+
+# ---- sequence datasets (Q01-Q03, J02, J03, X18) ---------------------------------------------
+_SQL_CONV_TOK = f"regexp_extract_all(lower(text), '{T.WORD_CLASS}')"
+_SQL_VOCAB = f"""vocab AS (SELECT term, row_number() OVER (ORDER BY count DESC, term) AS id FROM (
+    SELECT term, count(*) AS count FROM (SELECT unnest({_SQL_CONV_TOK}) AS term FROM conversations) GROUP BY term)
+  ORDER BY count DESC, term LIMIT 500)"""
+
+
+def _conv_vocab(spark, sf_dir):
+    c = read_table(spark, sf_dir, "conversations", "text")
+    return top_terms(term_counts(c, T.word_tokens("text")), 500, reserve_zero=True).select("term", "id")
+
+
+def _conv_ids(spark, sf_dir, keep_unknown: bool):
+    """(conv_id, turn, ids array): tokens looked up in the vocabulary,
+    unknown -> 0 (J03) or dropped (J02); order kept by position."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    toks = (c.select("conv_id", "turn", posexplode_values(T.word_tokens("text")).alias("pos", "term"))
+            .filter(F.col("term").isNotNull()))
+    vocab = _conv_vocab(spark, sf_dir)   # 500 rows: bounded by the vocabulary size
+    j = toks.join(F.broadcast(vocab), "term", "left" if keep_unknown else "inner")
+    j = j.withColumn("id", F.coalesce(F.col("id"), F.lit(0)))
+    seqs = j.groupBy("conv_id", "turn").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "id", "term"))).alias("s"))
+    return c.select("conv_id", "turn", "role").join(seqs, ["conv_id", "turn"], "left")
+
+
+@query("q01_vocabulary_and_labels", f"""
+WITH {_SQL_VOCAB}
+SELECT 'term' AS kind, term AS key, CAST(id AS BIGINT) AS id FROM vocab
+UNION ALL SELECT 'label', role, dense_rank() OVER (ORDER BY role) - 1 FROM (SELECT DISTINCT role FROM conversations)
+""")
+def q01_vocabulary_and_labels(spark, sf_dir):
+    from featlab.operators.encoders import fit_label_encoder
+    vocab = _conv_vocab(spark, sf_dir).select(F.lit("term").alias("kind"), F.col("term").alias("key"), "id")
+    roles = fit_label_encoder(read_table(spark, sf_dir, "conversations", "role"), "role").classes
+    return vocab.unionByName(roles.select(F.lit("label").alias("kind"), F.col("value").alias("key"),
+                                          F.col("code").alias("id")))
+
+
+@query("q02_j03_id_sequences", f"""
+WITH {_SQL_VOCAB},
+t AS (SELECT conv_id, turn, role, tok, unnest(generate_series(1, len(tok))) AS pos
+      FROM (SELECT conv_id, turn, role, {_SQL_CONV_TOK} AS tok FROM conversations)),
+l AS (SELECT role, dense_rank() OVER (ORDER BY role) - 1 AS label FROM (SELECT DISTINCT role FROM conversations))
+SELECT c.conv_id, c.turn, CAST(l.label AS BIGINT) AS label,
+       coalesce(string_agg(CAST(coalesce(vocab.id, 0) AS VARCHAR), ' ' ORDER BY t.pos), '') AS ids
+FROM conversations c JOIN l USING (role)
+LEFT JOIN t ON t.conv_id = c.conv_id AND t.turn = c.turn
+LEFT JOIN vocab ON vocab.term = t.tok[t.pos]
+GROUP BY c.conv_id, c.turn, l.label
+""")
+def q02_j03_id_sequences(spark, sf_dir):
+    from featlab.operators.encoders import fit_label_encoder
+    s = _conv_ids(spark, sf_dir, keep_unknown=True)
+    roles = fit_label_encoder(read_table(spark, sf_dir, "conversations", "role"), "role")
+    s = roles.transform(s, "label")
+    ids = F.coalesce(F.array_join(F.transform("s", lambda x: x["id"].cast("string")), " "), F.lit(""))
+    return s.select("conv_id", "turn", F.col("label").cast("bigint"), ids.alias("ids"))
+
+
+@query("j02_x18_ids_to_text", f"""
+WITH {_SQL_VOCAB},
+t AS (SELECT conv_id, turn, tok, unnest(generate_series(1, len(tok))) AS pos
+      FROM (SELECT conv_id, turn, {_SQL_CONV_TOK} AS tok FROM conversations))
+SELECT conv_id, turn, string_agg(vocab.term, ' ' ORDER BY t.pos) AS text_from_ids, count(*) AS known
+FROM t JOIN vocab ON vocab.term = t.tok[t.pos] GROUP BY conv_id, turn
+""")
+def j02_x18_ids_to_text(spark, sf_dir):
+    s = _conv_ids(spark, sf_dir, keep_unknown=False).filter(F.col("s").isNotNull())
+    # ids -> tokens through the reverse lookup (X18), joined on id
+    ids = s.select("conv_id", "turn", F.posexplode(F.transform("s", lambda x: x["id"])).alias("p", "id"))
+    vocab = _conv_vocab(spark, sf_dir)
+    back = ids.join(F.broadcast(vocab), "id").groupBy("conv_id", "turn").agg(
+        F.array_sort(F.collect_list(F.struct("p", "term"))).alias("w"))
+    return back.select("conv_id", "turn", F.array_join(F.transform("w", lambda x: x["term"]), " ").alias("text_from_ids"),
+                       F.size("w").cast("bigint").alias("known"))
+
+
+@query("q03_padded_batches", f"""
+WITH s AS (SELECT conv_id, turn, len({_SQL_CONV_TOK}) AS n,
+                  (row_number() OVER (ORDER BY conv_id, turn) - 1) // 16 AS batch FROM conversations)
+SELECT conv_id, turn, CAST(batch AS BIGINT) AS batch, CAST(n AS INTEGER) AS length,
+       CAST(max(n) OVER (PARTITION BY batch) AS INTEGER) AS padded_length,
+       CAST(max(n) OVER (PARTITION BY batch) - n AS INTEGER) AS pad FROM s
+""")
+def q03_padded_batches(spark, sf_dir):
+    from pyspark.sql import Window
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text") \
+        .withColumn("tok", T.word_tokens("text"))
+    b = batches(c, ["conv_id", "turn"], 16)
+    w = Window.partitionBy("batch")            # at most 16 rows per batch
+    b = b.withColumn("padded_length", F.max(F.size("tok")).over(w))
+    out = b.withColumn("padded", F.concat("tok", F.array_repeat(F.lit("<PAD>"), F.col("padded_length") - F.size("tok"))))
+    return out.select("conv_id", "turn", "batch", F.size("tok").cast("int").alias("length"),
+                      F.col("padded_length").cast("int"), (F.size("padded") - F.size("tok")).cast("int").alias("pad"))
