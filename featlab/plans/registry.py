@@ -31,4 +31,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from featlab.plans import tabular, text, vectors, ordered, metrics_q, misc  # noqa: F401
+    from featlab.plans import tabular, text, vectors, ordered, metrics_q, misc, models_q  # noqa: F401
