@@ -105,3 +105,62 @@ def l09_j06_fm_second_order(spark, sf_dir):
                                    F.slice(A.to_double_array(F.col("embedding")), 1, 8).alias("vec"))
     f = fm_second_order(long, w, "o_orderkey", 8)
     return f.select("o_orderkey", F.round("fm2", R).alias("fm2"))
+
+
+@query("c01_c09_array_ops", f"""
+WITH v AS (SELECT vec_id, {_SQL_VEC} AS e FROM embeddings)
+SELECT vec_id,
+  CAST(list_position(e, list_max(e)) - 1 AS INTEGER) AS argmax,
+  CAST(list_position(e, list_min(e)) - 1 AS INTEGER) AS argmin,
+  round(e[3] + e[2] + e[1], 6) AS head3_sum,
+  round(list_reverse(e)[1], 6) AS last,
+  round(e[5] + e[10] + e[20], 6) AS gather_sum,
+  array_to_string(list_transform(list_grade_up(list_grade_up(e)), lambda x: x - 1)[1:5], ',') AS rank_head,
+  len(e) AS size
+FROM v
+""")
+def c01_c09_array_ops(spark, sf_dir):
+    e = _emb(spark, sf_dir).select("vec_id", A.to_double_array(F.col("embedding")).alias("e"))
+    # The rank of each element is the inverse of the sorting permutation
+    perm = F.transform(F.array_sort(F.transform("e", lambda x, i: F.struct(x.alias("v"), i.alias("i")))),
+                       lambda s: s["i"])
+    ranks = A.invert_permutation(perm)
+    return e.select(
+        "vec_id", A.argmax("e").alias("argmax"), A.argmin("e").alias("argmin"),
+        F.round(F.aggregate(A.slice0("e", 0, 3), F.lit(0.0), lambda s, x: s + x), R).alias("head3_sum"),
+        F.round(F.element_at(F.reverse("e"), 1), R).alias("last"),
+        F.round(F.aggregate(A.gather("e", F.array(F.lit(4), F.lit(9), F.lit(19))), F.lit(0.0), lambda s, x: s + x), R)
+        .alias("gather_sum"),
+        F.array_join(F.slice(ranks, 1, 5), ",").alias("rank_head"), F.size("e").cast("bigint").alias("size"))
+
+
+@query("c08_c09_edit_distance_padding", r"""
+WITH t AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tok FROM benchmark),
+m AS (SELECT max(len(tok)) AS ml FROM t)
+SELECT item_id, levenshtein(tok[1], tok[len(tok)]) AS edit,
+       round(levenshtein(tok[1], tok[len(tok)]) / length(tok[len(tok)]), 6) AS edit_norm,
+       len(list_concat(list_transform(range(0, ml - len(tok)), lambda x: ''), tok)) AS padded_len,
+       ml - len(tok) AS pad
+FROM t, m
+""")
+def c08_c09_edit_distance_padding(spark, sf_dir):
+    from featlab.functions import text as T
+    b = read_table(spark, sf_dir, "benchmark", "item_id", "text").select("item_id", T.word_tokens("text").alias("tok"))
+    ml = b.agg(F.max(F.size("tok"))).first()[0]      # pad to the longest text: nothing is cut
+    first, last = F.element_at("tok", 1), F.element_at("tok", -1)
+    padded = A.pad_sequence(F.col("tok"), ml, "", padding="pre")
+    return b.select("item_id", A.edit_distance(first, last).alias("edit"),
+                    F.round(A.edit_distance(first, last, normalize=True), R).alias("edit_norm"),
+                    F.size(padded).cast("bigint").alias("padded_len"), (F.lit(ml) - F.size("tok")).cast("bigint").alias("pad"))
+
+
+@query("l05_l08_e15_factorizations")
+def l05_l08_e15_factorizations(spark, sf_dir):
+    """Distributed SVD singular values (L05), the QR R diagonal (L06) and the
+    PCA explained variance (L08/E15) of the embedding matrix."""
+    e = _emb(spark, sf_dir).select(A.to_double_array(F.col("embedding")).alias("e"))
+    s = L.svd(e, "e", 5).s.toArray().tolist()
+    r = L.tall_skinny_qr(e, "e").toArray()
+    _, var = L.principal_components(e, "e", 5)
+    rows = [(i, float(s[i]), float(abs(r[i, i])), float(var.toArray()[i])) for i in range(5)]
+    return spark.createDataFrame(rows, "k int, singular double, r_diag double, explained double")

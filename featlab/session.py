@@ -45,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive executor loss
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         configured = tempfile.mkdtemp(prefix="featlab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

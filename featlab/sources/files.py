@@ -64,7 +64,7 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("line"), "value")
     parts = F.split(F.col("value"), "\t")
     return lines.select(F.trim(F.element_at(parts, 1)).alias("token"),
-                        F.coalesce(F.element_at(parts, 2).try_cast("bigint"), F.col("line")).alias("id"))
+                        F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("bigint"), F.col("line")).alias("id"))
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
