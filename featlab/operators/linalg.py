@@ -88,8 +88,9 @@ def tall_skinny_qr(df: DataFrame, vec_col: str):
 
 
 def principal_components(df: DataFrame, vec_col: str, k: int):
-    """L08 (re-aimed): eigenvectors of the covariance = principal components."""
-    return row_matrix(df, vec_col).computePrincipalComponentsAndExplainedVariance(k)
+    """L08 / E15 (re-aimed): top-k eigenvectors of the covariance matrix
+    (the principal components, d x k)."""
+    return row_matrix(df, vec_col).computePrincipalComponents(k)
 
 
 def least_squares(df: DataFrame, feature_cols, label_col: str):

@@ -113,12 +113,16 @@ class MeanEncoder:
         t_cols = {f"_fl_t{i}": expr for i, (_, expr) in enumerate(targets)}
         base = df.withColumns(t_cols)
 
-        # fold totals: k rows, the only explicit broadcast
-        fagg = []
+        # fold totals: k rows, the only explicit broadcast. They are summed
+        # from the first column's (category, fold) aggregate, NULL category
+        # included, so the rows are not scanned a third time.
+        sums = [F.count(F.lit(1)).alias("_fl_n")]
         for tc in t_cols:
-            fagg += [F.sum(tc).alias(f"{tc}_s"), F.count(tc).alias(f"{tc}_c")]
-        folds = base.groupBy(fold).agg(*fagg)
-        wall = Window.partitionBy()
+            sums += [F.sum(tc).alias(f"{tc}_s"), F.count(tc).alias(f"{tc}_c")]
+        cf_all = {cat: base.groupBy(cat, fold).agg(*sums) for cat in self.cats}
+        first = cf_all[self.cats[0]]
+        folds = first.groupBy(fold).agg(*[F.sum(f"{tc}_{x}").alias(f"{tc}_{x}") for tc in t_cols for x in ("s", "c")])
+        wall = Window.partitionBy()   # k rows
         for tc in t_cols:
             folds = folds.withColumn(
                 f"{tc}_prior",
@@ -128,11 +132,8 @@ class MeanEncoder:
 
         out = base
         for cat in self.cats:
-            agg = [F.count(F.lit(1)).alias("_fl_n")]
-            for tc in t_cols:
-                agg += [F.sum(tc).alias(f"{tc}_s"), F.count(tc).alias(f"{tc}_c")]
             # partial aggregation happens map-side; the table is per (cat, fold)
-            cf = base.filter(F.col(cat).isNotNull()).groupBy(cat, fold).agg(*agg)
+            cf = cf_all[cat].filter(F.col(cat).isNotNull())
             wc = Window.partitionBy(cat)   # at most k rows per category
             stats = cf.withColumn("_fl_nout", F.sum("_fl_n").over(wc) - F.col("_fl_n"))
             for tc in t_cols:
