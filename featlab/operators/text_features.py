@@ -196,7 +196,11 @@ def tfidf_keywords(df: DataFrame, id_col: str, tokens: Column | str, k: int = 10
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     docs = df.select(id_col, t.alias("_fl_t"))
     if idf is None:
-        idf, n_docs = keyword_idf(docs, "_fl_t")
+        # N as a lazy one-row statistic: the whole query stays one job
+        from featlab.operators.stats import attach_row
+        n = docs.agg(F.count(F.lit(1)).cast("double").alias("_fl_n"))
+        idf = attach_row(document_frequency(docs, "_fl_t"), n) \
+            .withColumn("idf", F.log(F.col("_fl_n") / (1.0 + F.col("df")))).drop("_fl_n")
     default_idf = F.log(F.lit(float(n_docs))) if n_docs else F.lit(None)
     counts = (docs.select(id_col, F.size("_fl_t").alias("_fl_len"), explode_values("_fl_t").alias("term"))
               .filter(F.col("term").isNotNull())
