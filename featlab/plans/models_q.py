@@ -187,3 +187,39 @@ def j08_dictionary_matches(spark, sf_dir):
     m = SG.dictionary_matches(c, "key", "lt", dic)
     return m.select(F.col("key.conv_id").alias("conv_id"), F.col("key.turn").alias("turn"),
                     F.col("start").cast("int").alias("start"), "word")
+
+
+@query("r05_seeded_shuffle")
+def r05_seeded_shuffle(spark, sf_dir):
+    """Seeded shuffle order of the conversations (rows stay aligned; the
+    order depends only on the seed and the ids, not on partitioning)."""
+    from featlab.operators.folds import shuffle_order
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role") \
+        .withColumn("key", F.col("conv_id") * 1000 + F.col("turn"))
+    return shuffle_order(c, "key", seed=42).select("conv_id", "turn", "role", "shuffle_rank")
+
+
+@query("p26_random_columns")
+def p26_random_columns(spark, sf_dir):
+    """Seeded normal / uniform columns and constant arrays next to lineitem
+    keys (reproducible for a fixed partitioning of the scan)."""
+    from featlab.functions import scalar as P
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    return li.select("l_orderkey", "l_linenumber", P.random_normal(7, 0.0, 1.0).alias("normal"),
+                     P.random_uniform(7, -1.0, 1.0).alias("uniform"),
+                     F.array_join(P.fill(3, 0.5), ",").alias("fill"), F.array_join(P.zeros(2), ",").alias("zeros"))
+
+
+@query("x15_english_preprocess")
+def x15_english_preprocess(spark, sf_dir):
+    """English preprocessing: whitespace tokens that pass the checks (no
+    digit, no leading symbol, not a stop word), then a lemma join against a
+    (form, lemma) table - here the Porter stems of the corpus vocabulary."""
+    from featlab.plans.text import STOP_WORDS
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang").filter(F.col("lang") == "en")
+    toks = (d.select("doc_id", posexplode_values(T.whitespace_tokens(F.lower("text"))).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
+    kept = toks.filter(T.keep_token("token") & ~F.col("token").isin(*STOP_WORDS))
+    forms = kept.select("token").distinct()
+    lemmas = SG.stems(forms, "token", "lemma").select(F.col("token").alias("form"), "lemma")
+    return SG.lemmatize(kept, "token", lemmas).select("doc_id", "pos", "token", "lemma")
