@@ -298,3 +298,27 @@ def lemmatize(tokens: DataFrame, token_col: str, lemmas: DataFrame, form_col: st
     t = lemmas.select(F.col(form_col).alias(token_col), F.col(lemma_col).alias("_fl_lemma"))
     return (tokens.join(t, token_col, "left")
             .withColumn("lemma", F.coalesce("_fl_lemma", F.col(token_col))).drop("_fl_lemma"))
+
+
+# ---- X09: full and char tokenizers ------------------------------------------------------------
+def full_tokenize(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, vocab_col: str = "token",
+                  id_vocab_col: str = "id", lower: bool = True) -> DataFrame:
+    """Basic tokens -> WordPiece pieces -> ids (inner lookup keeps the
+    pieces found in the vocabulary, order by (token position, piece)).
+    Returns (id, pos, sub, piece, piece_id)."""
+    from featlab.functions.arrays import posexplode_values
+    from featlab.functions.text import basic_tokens
+    toks = (df.select(id_col, posexplode_values(basic_tokens(text_col, lower=lower)).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
+    pieces = wordpiece_tokens(toks, "token", vocab, vocab_col)
+    flat = pieces.select(id_col, "pos", F.posexplode("pieces").alias("sub", "piece"))
+    ids = vocab.select(F.col(vocab_col).alias("piece"), F.col(id_vocab_col).alias("piece_id"))
+    return flat.join(ids, "piece")
+
+
+def char_tokenize(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, vocab_col: str = "token") -> DataFrame:
+    """X09 CharTokenizer: lower-case, split on single blanks, WordPiece."""
+    from featlab.functions.arrays import posexplode_values
+    toks = (df.select(id_col, posexplode_values(F.split(F.lower(text_col), " ")).alias("pos", "token"))
+            .filter(F.col("token").isNotNull() & (F.col("token") != "")))
+    return wordpiece_tokens(toks, "token", vocab, vocab_col)

@@ -210,3 +210,37 @@ def tfidf_keywords(df: DataFrame, id_col: str, tokens: Column | str, k: int = 10
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("term").desc())
     return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(id_col, "rank", "term", "score"))
+
+
+# ---- C04 / C05 in table form ----------------------------------------------------------------
+def setdiff_positions(values: DataFrame, remove: DataFrame, value_col: str, pos_col: str = "pos") -> DataFrame:
+    """Rows of ``values`` whose value is not in ``remove``, keeping
+    their positions (duplicates kept, unlike ``array_except``)."""
+    return values.join(remove.select(value_col).distinct(), value_col, "left_anti")
+
+
+def unique_with_index(df: DataFrame, group_cols: Sequence[str], pos_col: str, value_col: str,
+                      idx_col: str = "idx") -> DataFrame:
+    """Per group, distinct values in first-seen order (index 0, 1, ...)
+    and the index of every input row. The window runs over the group's
+    distinct values only (first positions), not over its rows."""
+    first = df.groupBy(*group_cols, value_col).agg(F.min(pos_col).alias("_fl_first"))
+    w = Window.partitionBy(*group_cols).orderBy("_fl_first")
+    ids = first.withColumn(idx_col, (F.row_number().over(w) - 1).cast("int"))
+    return df.join(ids.select(*group_cols, value_col, idx_col), [*group_cols, value_col])
+
+
+# ---- E07: hashed vectors ----------------------------------------------------------------------
+def hashed_vectors(df: DataFrame, id_col: str, tokens: Column | str, n_features: int = 1 << 20,
+                   signed: bool = True, l2: bool = True) -> DataFrame:
+    """Sparse long form (id, bucket, value) of signed feature hashing
+    (md5 buckets, sign from an independent hash), optionally L2-normalised
+    per row. MLlib ``HashingTF`` is the unsigned fast path."""
+    from featlab.functions.hashing import md5_mod
+    t = F.col(tokens) if isinstance(tokens, str) else tokens
+    rows = df.select(id_col, explode_values(t).alias("_fl_t")).filter(F.col("_fl_t").isNotNull())
+    sign = F.when(md5_mod(F.concat(F.lit("sign-"), F.col("_fl_t")), 2) == 0, -1.0).otherwise(1.0) if signed else F.lit(1.0)
+    v = rows.groupBy(id_col, md5_mod(F.col("_fl_t"), n_features).alias("bucket")).agg(F.sum(sign).alias("value"))
+    if l2:
+        v = v.withColumn("value", F.col("value") / F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy(id_col))))
+    return v

@@ -223,3 +223,45 @@ def e05_signed_hashed_counts(spark, sf_dir):
         .filter(F.col("t").isNotNull())
     sign = F.when(md5_mod(F.concat(F.lit("sign-"), F.col("t")), 2) == 0, -1).otherwise(1)
     return d.groupBy("doc_id", md5_mod(F.col("t"), 1024).alias("bucket")).agg(F.sum(sign).alias("value"))
+
+
+# ---- C04 / C05 / E07 ---------------------------------------------------------------------------
+def _bench_tokens(spark, sf_dir):
+    b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    return (b.select("item_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
+
+
+_SQL_BENCH_TOK = f"""SELECT item_id, CAST(pos - 1 AS INTEGER) AS pos, tok[pos] AS token
+  FROM (SELECT item_id, tok, unnest(generate_series(1, len(tok))) AS pos
+        FROM (SELECT item_id, {_SQL_TOK} AS tok FROM benchmark))"""
+
+
+@query("c04_setdiff_positions", f"""
+SELECT item_id, pos, token FROM ({_SQL_BENCH_TOK}) WHERE NOT list_contains({_SQL_STOP}, token)
+""")
+def c04_setdiff_positions(spark, sf_dir):
+    stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "token string")
+    return TF.setdiff_positions(_bench_tokens(spark, sf_dir), stop, "token").select("item_id", "pos", "token")
+
+
+@query("c05_unique_with_index", f"""
+WITH t AS ({_SQL_BENCH_TOK}),
+f AS (SELECT item_id, token, min(pos) AS fp FROM t GROUP BY 1, 2),
+i AS (SELECT item_id, token, CAST(row_number() OVER (PARTITION BY item_id ORDER BY fp) - 1 AS INTEGER) AS idx FROM f)
+SELECT t.item_id, t.pos, t.token, i.idx FROM t JOIN i USING (item_id, token)
+""")
+def c05_unique_with_index(spark, sf_dir):
+    return TF.unique_with_index(_bench_tokens(spark, sf_dir), ["item_id"], "pos", "token") \
+             .select("item_id", "pos", "token", "idx")
+
+
+@query("e07_signed_hashed_vectors", f"""
+WITH c AS (SELECT doc_id, CAST({_md5_sql('t', 4096)} AS BIGINT) AS bucket,
+                  sum(CASE WHEN {_md5_sql("'sign-' || t", 2)} = 0 THEN -1.0 ELSE 1.0 END) AS value
+           FROM (SELECT doc_id, unnest({_SQL_TOK}) AS t FROM documents) GROUP BY 1, 2)
+SELECT doc_id, bucket, round(value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)), 6) AS value FROM c
+""")
+def e07_signed_hashed_vectors(spark, sf_dir):
+    v = TF.hashed_vectors(_docs(spark, sf_dir), "doc_id", T.word_tokens("text"), 4096, signed=True, l2=True)
+    return v.select("doc_id", "bucket", F.round("value", R).alias("value"))

@@ -79,3 +79,22 @@ def test_cn_datetime(spark):
 def test_valid_time_word(spark):
     df = spark.createDataFrame([("12345",), ("5日3",), ("2024年",)], "s string")
     assert [r[0] for r in df.select(D.valid_time_word("s")).collect()] == [None, "5日", "2024年"]
+
+
+def test_full_and_char_tokenizers(spark):
+    vocab = spark.createDataFrame([("un", 1), ("##aff", 2), ("##able", 3), ("!", 4)], "token string, id long")
+    df = spark.createDataFrame([(1, "Unaffable!")], "id int, t string")
+    got = [(r.pos, r.sub, r.piece, r.piece_id) for r in
+           SG.full_tokenize(df, "id", "t", vocab).orderBy("pos", "sub").collect()]
+    assert got == [(0, 0, "un", 1), (0, 1, "##aff", 2), (0, 2, "##able", 3), (1, 0, "!", 4)]
+    c = SG.char_tokenize(spark.createDataFrame([(1, "UN xyz")], "id int, t string"), "id", "t", vocab)
+    assert {r.token: list(r.pieces) for r in c.collect()} == {"un": ["un"], "xyz": ["[UNK]"]}
+
+
+def test_unique_and_setdiff(spark):
+    from featlab.operators.text_features import setdiff_positions, unique_with_index
+    df = spark.createDataFrame([(0, 0, "b"), (0, 1, "a"), (0, 2, "b"), (0, 3, "c")], "g int, pos int, v string")
+    u = {r.pos: r.idx for r in unique_with_index(df, ["g"], "pos", "v").collect()}
+    assert u == {0: 0, 1: 1, 2: 0, 3: 2}
+    rm = spark.createDataFrame([("b",)], "v string")
+    assert sorted(r.pos for r in setdiff_positions(df, rm, "v").collect()) == [1, 3]
