@@ -98,7 +98,7 @@ def w04_ema(spark, sf_dir):
 @query("w05_context_window", f"""
 WITH t AS (SELECT item_id, tok, unnest(generate_series(1, len(tok))) AS pos
            FROM (SELECT item_id, regexp_extract_all(lower(text), '{T.WORD_CLASS}') AS tok FROM benchmark))
-SELECT item_id, CAST(pos AS BIGINT) AS pos, tok[pos] AS token,
+SELECT item_id, CAST(pos AS INTEGER) AS pos, tok[pos] AS token,
        CASE WHEN pos > 1 THEN tok[pos - 1] END AS ctx_m1, CASE WHEN pos > 2 THEN tok[pos - 2] END AS ctx_m2,
        CASE WHEN pos < len(tok) THEN tok[pos + 1] END AS ctx_p1,
        CASE WHEN pos < len(tok) - 1 THEN tok[pos + 2] END AS ctx_p2
@@ -116,7 +116,7 @@ def w05_context_window(spark, sf_dir):
 WITH t AS (SELECT item_id, tok, unnest(generate_series(1, len(tok))) AS pos
            FROM (SELECT item_id, regexp_extract_all(lower(text), '{T.WORD_CLASS}') AS tok FROM benchmark)),
 o AS (SELECT unnest([-2, -1, 1, 2]) AS d)
-SELECT item_id, CAST(pos AS BIGINT) AS c_pos, CAST(d AS INTEGER) AS "offset", tok[pos] AS centre, tok[pos + d] AS context
+SELECT item_id, CAST(pos AS INTEGER) AS c_pos, CAST(d AS INTEGER) AS "offset", tok[pos] AS centre, tok[pos + d] AS context
 FROM t, o WHERE pos + d BETWEEN 1 AND len(tok)
 """)
 def w06_skipgram_pairs(spark, sf_dir):

@@ -139,7 +139,7 @@ def p09_c03_one_hot(spark, sf_dir):
 @query("a01_a03_reductions", """
 SELECT l_returnflag, round(sum(l_quantity), 6) AS sum, round(avg(l_quantity), 6) AS mean, max(l_quantity) AS max,
        min(l_quantity) AS min, round(product(1 + l_tax / 100), 6) AS prod, bool_and(l_discount <> 0) AS "all",
-       bool_or(l_discount <> 0) AS "any", count_if(l_discount <> 0) AS count_nonzero
+       bool_or(l_discount <> 0) AS "any", CAST(count_if(l_discount <> 0) AS BIGINT) AS count_nonzero
 FROM lineitem GROUP BY l_returnflag
 """)
 def a01_a03_reductions(spark, sf_dir):
@@ -227,7 +227,7 @@ def a06_a09_scalers(spark, sf_dir):
 
 
 @query("a10_boxcox_llf_grid", """
-SELECT lam AS lmbda, round((lam - 1) * sum(ln(l_extendedprice)) - count(*) / 2.0 *
+SELECT CAST(lam AS DOUBLE) AS lmbda, round((lam - 1) * sum(ln(l_extendedprice)) - count(*) / 2.0 *
        ln(var_pop(CASE WHEN lam = 0 THEN ln(l_extendedprice) ELSE (pow(l_extendedprice, lam) - 1) / lam END)), 4) AS llf
 FROM lineitem, (VALUES (-1.0), (-0.5), (0.0), (0.5), (1.0), (1.5), (2.0)) v(lam) WHERE l_extendedprice > 0 GROUP BY lam
 """)
@@ -288,7 +288,7 @@ def a16_category_target_stats(spark, sf_dir):
 
 
 @query("a29_bin_counting", """
-WITH p AS (SELECT o_orderpriority, sum(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS clicks, count(*) AS n
+WITH p AS (SELECT o_orderpriority, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS clicks, count(*) AS n
            FROM orders GROUP BY 1),
 t AS (SELECT sum(clicks) AS tc, sum(n) AS tn FROM p)
 SELECT o_orderpriority, clicks, n, round(clicks / n, 6) AS ctr,

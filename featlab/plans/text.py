@@ -142,7 +142,7 @@ def x05_word_tokens(spark, sf_dir):
 
 
 @query("x06_whitespace_tokens", r"""
-SELECT page_id, count(*) AS n_tokens, sum(length(t)) AS n_chars
+SELECT page_id, count(*) AS n_tokens, CAST(sum(length(t)) AS BIGINT) AS n_chars
 FROM (SELECT page_id, unnest(regexp_split_to_array(trim(html), '[\s\p{Z}]+')) AS t FROM pages)
 WHERE t <> '' GROUP BY page_id
 """)
@@ -215,7 +215,7 @@ def e04_hashed_counts(spark, sf_dir):
 
 @query("e05_signed_hashed_counts", f"""
 SELECT doc_id, CAST({_md5_sql('t', 1024)} AS BIGINT) AS bucket,
-       sum(CASE WHEN {_md5_sql("'sign-' || t", 2)} = 0 THEN -1 ELSE 1 END) AS value
+       CAST(sum(CASE WHEN {_md5_sql("'sign-' || t", 2)} = 0 THEN -1 ELSE 1 END) AS BIGINT) AS value
 FROM (SELECT doc_id, unnest({_SQL_TOK}) AS t FROM documents) GROUP BY 1, 2
 """)
 def e05_signed_hashed_counts(spark, sf_dir):

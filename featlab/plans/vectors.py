@@ -142,7 +142,7 @@ def c08_edit_distance(spark, sf_dir):
     # (ASCII columns: DuckDB's levenshtein counts bytes, ours characters)
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
     lt = F.lower("p_type")
-    return p.select("p_partkey", A.edit_distance("p_name", lt).alias("edit"),
+    return p.select("p_partkey", A.edit_distance("p_name", lt).cast("bigint").alias("edit"),
                     F.round(A.edit_distance("p_name", lt, normalize=True), R).alias("edit_norm"))
 
 

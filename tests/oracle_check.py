@@ -36,6 +36,23 @@ def canon(rows, cols):
     return sorted(out, key=repr)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+          "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(sdf, rel):
+    """Columns whose Spark type and DuckDB type differ (by name)."""
+    st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for c, t in st.items():
+        want = _TYPES.get(t, t.upper())
+        if c in dt and dt[c] != want:
+            out.append(f"{c}: spark {t} / duck {dt[c]}")
+    return out
+
+
 def duck(sf_dir):
     from featlab.sources.tables import TABLES
     con = duckdb.connect()
@@ -79,7 +96,11 @@ def main(argv):
             bad += 1
             continue
         a, b = canon(srows, scols), canon(drows, dcols)
-        if a == b:
+        tm = type_mismatches(sdf, rel)
+        if a == b and tm:
+            print(f"TYPE {name}: values equal, types differ: {tm}")
+            bad += 1
+        elif a == b:
             print(f"OK   {name}: {len(a)} rows ({ts:.1f}s)")
         else:
             bad += 1
