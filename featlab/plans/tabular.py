@@ -81,7 +81,7 @@ SELECT l_orderkey, l_linenumber,
   CAST(floor((l_quantity - 25) / 7) AS BIGINT) AS floordiv,
   CAST(trunc((l_quantity - 25) / 7) AS BIGINT) AS truncdiv,
   round((l_quantity - 25) - 7 * floor((l_quantity - 25) / 7), 6) AS floormod,
-  round((l_quantity - 25) % 7, 6) AS truncmod,
+  round((l_quantity - 25) % 7, 6) + 0.0 AS truncmod,
   round(pow(l_discount, 3), 6) AS pow3, round(l_tax * l_tax, 6) AS square, round(sqrt(l_quantity), 6) AS sqrt,
   round(exp(l_discount), 6) AS exp, round(ln(l_quantity), 6) AS ln, -l_quantity AS negative,
   CAST(sign(l_quantity - 25) AS DOUBLE) AS sign, round(1.0 / l_quantity, 6) AS reciprocal,
