@@ -74,9 +74,16 @@ def batches(df: DataFrame, order_by: Sequence, batch_size: int, batch_col: str =
     return out.drop("_fl_rank", "_fl_n")
 
 
+def shuffle_key(id_col: str, seed: int = 42) -> Column:
+    """Seeded pseudo-random sort key: md5 of ``"<seed>-<id>"`` folded to 31
+    bits (portable: any engine with md5 reproduces the order)."""
+    from featlab.functions.hashing import md5_mod
+    return md5_mod(F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string")), 2147483647)
+
+
 def shuffle_order(df: DataFrame, id_col: str, seed: int = 42, order_col: str = "shuffle_rank",
                   num_partitions: int | None = None) -> DataFrame:
-    """Seeded shuffle (R05): rank by a hash of the id; aligned columns stay
-    aligned because they are one row."""
-    return global_rank(df, [F.xxhash64(F.lit(seed), F.col(id_col)), F.col(id_col)], order_col,
+    """Seeded shuffle (R05): rank by a hash of the id (ties by id); aligned
+    columns stay aligned because they are one row."""
+    return global_rank(df, [shuffle_key(id_col, seed), F.col(id_col)], order_col,
                        num_partitions=num_partitions)

@@ -189,7 +189,17 @@ def j08_dictionary_matches(spark, sf_dir):
                     F.col("start").cast("int").alias("start"), "word")
 
 
-@query("r05_seeded_shuffle")
+def _md5_mod_sql(expr: str, m: int) -> str:
+    acc = "0"
+    for i in range(4):
+        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
+    return acc
+
+
+@query("r05_seeded_shuffle", f"""
+SELECT conv_id, turn, role, row_number() OVER (ORDER BY {_md5_mod_sql("'42-' || CAST(conv_id * 1000 + turn AS VARCHAR)", 2147483647)},
+       conv_id * 1000 + turn) AS shuffle_rank FROM conversations
+""")
 def r05_seeded_shuffle(spark, sf_dir):
     """Seeded shuffle order of the conversations (rows stay aligned; the
     order depends only on the seed and the ids, not on partitioning)."""
