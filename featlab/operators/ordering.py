@@ -102,3 +102,53 @@ def partition_prefix_aggregate(df: DataFrame, order_by: Sequence, aggs: dict,
 
 
 LOCAL_POS_NAME = _LOC
+
+
+def dense_rank_ids(df: DataFrame, key: str, tie_break: Sequence[str], id_col: str = "dense_id",
+                   num_partitions: int | None = None) -> DataFrame:
+    """0-based dense rank of ``key`` (equal keys share an id, ids follow the
+    sort order of ``key``) attached to every row, in one range pass.
+
+    Rows are range partitioned on (key, tie_break) - so one hot key may span
+    several partitions - and sorted; a vectorised pass numbers the distinct
+    keys inside each partition in order. The numbered rows are checkpointed,
+    and a summary with one row per partition (distinct count, first and last
+    key) gives each partition its offset; a key continuing from the previous
+    partition keeps that partition's last id."""
+    from pyspark import TaskContext
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    n = _partitions(df, num_partitions)
+    ks = [F.col(key), *[F.col(c) for c in tie_break]]
+    ranged = df.repartitionByRange(n, *ks).sortWithinPartitions(*ks)
+    # a new StructType: ``.add`` would mutate the frame's cached schema
+    schema = StructType([*ranged.schema.fields, StructField(_PID, LongType()), StructField("_fl_local", LongType())])
+
+    def number(it):
+        pid = TaskContext.get().partitionId()
+        prev, base = None, -1
+        for pdf in it:
+            k = pdf[key]
+            if len(k) == 0:
+                continue
+            change = (k != k.shift(1)).astype("int64")
+            change.iloc[0] = 1 if prev is None or k.iloc[0] != prev else 0
+            local = base + change.cumsum()
+            base, prev = int(local.iloc[-1]), k.iloc[-1]
+            yield pdf.assign(_fl_pid=pid, _fl_local=local.astype("int64"))
+
+    numbered = reliable_checkpoint(ranged.mapInPandas(number, schema))
+    summ = (numbered.groupBy(_PID).agg((F.max("_fl_local") + 1).alias("n"),
+                                       F.min_by(key, "_fl_local").alias("first"),
+                                       F.max_by(key, "_fl_local").alias("last"))
+            .orderBy(_PID).collect())   # one row per non-empty partition
+    offsets, off, prev_n, prev_last = [], 0, 0, None
+    for i, r in enumerate(summ):
+        if i:
+            off += prev_n - (1 if r["first"] == prev_last else 0)
+        offsets.append((r[_PID], off))
+        prev_n, prev_last = r["n"], r["last"]
+    off_df = F.broadcast(df.sparkSession.createDataFrame(offsets, f"{_PID} long, _fl_off long"))
+    return (numbered.join(off_df, _PID)
+            .withColumn(id_col, F.col("_fl_off") + F.col("_fl_local"))
+            .drop(_PID, "_fl_local", "_fl_off"))

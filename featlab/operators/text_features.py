@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from featlab.functions.arrays import explode_values, posexplode_values
 from featlab.functions.text import drop_words
-from featlab.operators.ordering import global_rank
+from featlab.operators.ordering import dense_rank_ids, global_rank
 
 
 def token_table(df: DataFrame, id_col: str, tokens: Column | str, pos_col: str = "pos",
@@ -109,8 +109,9 @@ class NGramBag:
 
     def __init__(self, id_col: str, n_range=(1, 3), stop_words: Sequence[str] = (),
                  min_df=1, max_df=1.0, max_features: int | None = None,
-                 vocabulary: DataFrame | None = None):
+                 vocabulary: DataFrame | None = None, single_pass: bool = True):
         self.id_col = id_col
+        self.single_pass = single_pass
         self.n_range = tuple(n_range)
         self.stop_words = tuple(stop_words)
         self.min_df, self.max_df = min_df, max_df
@@ -125,11 +126,22 @@ class NGramBag:
     def fit_counts(self, df: DataFrame, tokens: Column) -> tuple[NGramBagModel, DataFrame]:
         """Fit and return the model plus the sparse (id, term, count) rows
         computed on the way, so fit + transform shuffle the corpus once."""
+        counts = doc_term_counts(self._grams(df, tokens), self.id_col, "_fl_g") \
+            .withColumnRenamed("_fl_g", "term")
+        unfiltered = (self.single_pass and self.fixed_vocab is None and self.max_features is None
+                      and self.min_df in (0, 0.0, 1) and self.max_df in (1.0,))
+        if unfiltered:
+            # every term is kept: alphabetical ids in one range pass over the
+            # (doc, term) rows, no separate vocabulary rank and join
+            rows = dense_rank_ids(counts, "term", [self.id_col], "term_id")
+            vocab = rows.groupBy("term_id", "term").agg(F.count(F.lit(1)).alias("df"))
+            model = NGramBagModel(vocab.select("term", "term_id", "df"), self.id_col, self.n_range,
+                                  self.stop_words)
+            return model, rows.select(self.id_col, "term_id", "term", "count")
         # fit (vocabulary) and transform (rows) both read the counts; they
         # are deterministic, so a persisted copy is safe to recompute after
         # an executor loss and saves tokenising the corpus twice
-        counts = doc_term_counts(self._grams(df, tokens), self.id_col, "_fl_g") \
-            .withColumnRenamed("_fl_g", "term").persist(StorageLevel.MEMORY_AND_DISK)
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
         stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
         if self.fixed_vocab is not None:
             stats = stats.join(self.fixed_vocab.select("term"), "term")

@@ -118,3 +118,14 @@ def test_early_stop(spark):
                                 "round int, loss double").withColumn("run", F.lit(1))
     r = S.early_stop(log, ["run"], "round", "loss", patience=4, min_rounds=5).first()
     assert r.best_round == 4 and r.stop_round == 8
+
+
+@pytest.mark.parametrize("parts", [1, 5, 17])
+def test_dense_rank_ids_hot_key_spans_partitions(spark, parts):
+    from featlab.operators.ordering import dense_rank_ids
+    rows = [("m", i) for i in range(300)] + [(f"k{i % 40:02d}", 1000 + i) for i in range(200)]
+    df = spark.createDataFrame(rows, "term string, doc long")
+    got = dense_rank_ids(df, "term", ["doc"], "tid", num_partitions=parts).toPandas()
+    exp = {t: i for i, t in enumerate(sorted({r[0] for r in rows}))}
+    assert len(got) == len(rows)
+    assert (got["tid"] == got["term"].map(exp)).all()
