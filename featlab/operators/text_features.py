@@ -207,16 +207,17 @@ def tfidf_keywords(df: DataFrame, id_col: str, tokens: Column | str, k: int = 10
     one trained on the same documents."""
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     docs = df.select(id_col, t.alias("_fl_t"))
-    if idf is None:
-        # N as a lazy one-row statistic: the whole query stays one job
-        from featlab.operators.stats import attach_row
-        n = docs.agg(F.count(F.lit(1)).cast("double").alias("_fl_n"))
-        idf = attach_row(document_frequency(docs, "_fl_t"), n) \
-            .withColumn("idf", F.log(F.col("_fl_n") / (1.0 + F.col("df")))).drop("_fl_n")
-    default_idf = F.log(F.lit(float(n_docs))) if n_docs else F.lit(None)
     counts = (docs.select(id_col, F.size("_fl_t").alias("_fl_len"), explode_values("_fl_t").alias("term"))
               .filter(F.col("term").isNotNull())
               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("count"), F.first("_fl_len").alias("_fl_len")))
+    if idf is None:
+        # df = number of (doc, term) rows per term: an aggregate of the counts
+        # (the corpus is tokenised once); N is a lazy one-row statistic
+        from featlab.operators.stats import attach_row
+        n = df.agg(F.count(F.lit(1)).cast("double").alias("_fl_n"))
+        dfreq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        idf = attach_row(dfreq, n).withColumn("idf", F.log(F.col("_fl_n") / (1.0 + F.col("df")))).drop("_fl_n")
+    default_idf = F.log(F.lit(float(n_docs))) if n_docs else F.lit(None)
     scored = (counts.join(idf.select("term", "idf"), "term", "left")
               .withColumn("score", (F.col("count") / F.col("_fl_len")) * F.coalesce(F.col("idf"), default_idf)))
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("term").desc())
