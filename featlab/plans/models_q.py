@@ -233,3 +233,59 @@ def x15_english_preprocess(spark, sf_dir):
     forms = kept.select("token").distinct()
     lemmas = SG.stems(forms, "token", "lemma").select(F.col("token").alias("form"), "lemma")
     return SG.lemmatize(kept, "token", lemmas).select("doc_id", "pos", "token", "lemma")
+
+
+@query("j09_tag_join", f"""
+WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_CLASS}')) AS word, lang FROM documents),
+c AS (SELECT word, lang, count(*) AS n FROM w GROUP BY 1, 2),
+tags AS (SELECT word, arg_min(lang, (-n, lang)) AS tag FROM c GROUP BY word),
+t AS (SELECT item_id, tok, unnest(generate_series(1, len(tok))) AS pos
+      FROM (SELECT item_id, regexp_extract_all(lower(text), '{T.WORD_CLASS}') AS tok FROM benchmark))
+SELECT item_id, CAST(pos - 1 AS INTEGER) AS pos, tok[pos] AS token, coalesce(tags.tag, 'x') AS tag
+FROM t LEFT JOIN tags ON tags.word = tok[pos]
+""")
+def j09_tag_join(spark, sf_dir):
+    """Tag each benchmark token from a (word, tag) table; the table here is
+    each corpus word's majority language (ties: smallest code); words
+    outside it get the default tag ``x``."""
+    d = read_table(spark, sf_dir, "documents", "text", "lang")
+    words = d.select(explode_values(T.word_tokens("text")).alias("word"), "lang").filter(F.col("word").isNotNull())
+    tags = (words.groupBy("word", "lang").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("word").agg(F.min_by("lang", F.struct(-F.col("n"), F.col("lang"))).alias("tag")))
+    b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    toks = (b.select("item_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
+    return SG.tag_tokens(toks, "token", tags).select("item_id", "pos", "token", "tag")
+
+
+@query("x11_x12_segment_urls")
+def x11_x12_segment_urls(spark, sf_dir):
+    """Dictionary segmentation (precise and search mode) of the letter runs
+    in page URLs, with (word, frequency) counted from the documents."""
+    d = read_table(spark, sf_dir, "documents", "text")
+    dic = (d.select(explode_values(T.word_tokens("text")).alias("word")).filter(F.col("word").isNotNull())
+           .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
+    p = read_table(spark, sf_dir, "pages", "page_id", "url")
+    runs = (p.select("page_id", explode_values(F.regexp_extract_all(F.lower("url"), F.lit("[a-z]{4,}"), 0)).alias("run"))
+            .filter(F.col("run").isNotNull()))
+    precise = SG.segment_text(runs, "run", dic)
+    search = SG.segment_text(runs.select("run").distinct(), "run", dic, search_mode=True) \
+        .select("run", F.col("words").alias("search_words"))
+    return (precise.join(search, "run", "left")
+            .select("page_id", "run", F.array_join("words", " ").alias("words"),
+                    F.array_join("search_words", " ").alias("search_words")))
+
+
+@query("m03_m10_greedy_tune_refit")
+def m03_m10_greedy_tune_refit(spark, sf_dir):
+    """Greedy coordinate tuning of boosted trees (depth, then step size),
+    every grid point scored by 3-fold held-out loss per round; the chosen
+    setting is refit on train + validation (U02) and scores the documents."""
+    df = kfold(_doc_features(spark, sf_dir), ["doc_id"], 3)
+    x = MD.assemble(df, ["log_chars", "word_rate", "toxic"]).withColumn("label", F.col("lines"))
+    best, log = MD.greedy_tune(x, "fold", [{"maxDepth": [2, 3]}, {"stepSize": [0.1, 0.3]}],
+                               "regression", base={"seed": 7}, max_iter=5)
+    train, valid = x.filter(F.col("fold") != 0), x.filter(F.col("fold") == 0)
+    model = MD.refit(train, valid, MD.gbt("regression", maxIter=5, **best))
+    return model.transform(x).select("doc_id", F.round("prediction", R).alias("prediction"),
+                                     F.lit(MD.json_params(best)).alias("params"))
