@@ -133,18 +133,21 @@ def ema(df: DataFrame, keys: Sequence[str], order_by: Sequence, value: str, beta
     # chunk summary: local value at the chunk end and the chunk length
     summ = r.groupBy(*keys, "_fl_chunk").agg(F.max_by("_fl_local", "_fl_rank").alias("_fl_end"),
                                                F.count(F.lit(1)).alias("_fl_len"))
-    # carry into chunk c = the EMA at the end of chunk c-1, a recurrence
-    # E_c = end_c + E_{c-1} * beta^len_c folded over the key's chunk list
-    # (rows / chunk_rows entries per key, so the list is small)
-    folded = summ.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_fl_chunk").alias("c"), F.col("_fl_end").alias("e"), F.col("_fl_len").alias("n")))).alias("_fl_cs"))
-    init = F.struct(F.lit(0.0).alias("E"),
-                    F.array().cast("array<struct<c:bigint,carry:double>>").alias("out"))
-    step = lambda acc, x: F.struct(
-        (x["e"] + acc["E"] * F.pow(F.lit(beta), x["n"].cast("double"))).alias("E"),
-        F.concat(acc["out"], F.array(F.struct(x["c"].cast("bigint").alias("c"), acc["E"].alias("carry")))).alias("out"))
-    summ = (folded.select(*keys, F.explode(F.aggregate("_fl_cs", init, step)["out"]).alias("_fl_x"))
-            .select(*keys, F.col("_fl_x.c").alias("_fl_chunk"), F.col("_fl_x.carry").alias("_fl_carry")))
+    # carry into chunk c = EMA at the end of chunk c-1
+    #   = sum_{j<c} end_j * beta^(before_c - endpos_j).
+    # Terms further back than 745 / |ln beta| rows underflow to exactly 0
+    # in double precision, so only the previous K chunks contribute: a
+    # bounded window frame over the per-chunk summary (linear in chunks).
+    lnb = -math.log(beta)
+    k_back = int(math.ceil(745.0 / (chunk_rows * lnb))) + 1
+    wk = Window.partitionBy(*keys).orderBy("_fl_chunk")
+    summ = (summ.withColumn("_fl_endpos", F.sum("_fl_len").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_fl_before", F.col("_fl_endpos") - F.col("_fl_len")))
+    prev = F.collect_list(F.struct(F.col("_fl_end").alias("e"), F.col("_fl_endpos").alias("p"))) \
+        .over(wk.rowsBetween(-k_back, -1))
+    summ = summ.withColumn("_fl_prev", prev).withColumn("_fl_carry", F.aggregate(
+        "_fl_prev", F.lit(0.0),
+        lambda acc, x: acc + x["e"] * F.pow(F.lit(beta), (F.col("_fl_before") - x["p"]).cast("double"))))
     j = r.join(summ.select(*keys, "_fl_chunk", "_fl_carry"), [*keys, "_fl_chunk"])
     e = F.col("_fl_local") + F.col("_fl_carry") * F.pow(F.lit(beta), F.col("_fl_p") + 1)
     if debias:

@@ -129,3 +129,16 @@ def test_dense_rank_ids_hot_key_spans_partitions(spark, parts):
     exp = {t: i for i, t in enumerate(sorted({r[0] for r in rows}))}
     assert len(got) == len(rows)
     assert (got["tid"] == got["term"].map(exp)).all()
+
+
+def test_ema_bounded_carry_window(spark):
+    # beta = 0.5 with 100-row chunks: only the last 12 chunks can contribute
+    rng = np.random.default_rng(4)
+    n = 5000
+    pdf = pd.DataFrame({"k": np.zeros(n, dtype=int), "t": np.arange(n), "v": rng.normal(size=n)})
+    out = S.ema(spark.createDataFrame(pdf), ["k"], ["t"], "v", beta=0.5, chunk_rows=100).toPandas()
+    m, exp = 0.0, []
+    for v in pdf.v:
+        m = 0.5 * m + 0.5 * v
+        exp.append(m)
+    np.testing.assert_allclose(out.sort_values("t")["ema"].to_numpy(), np.array(exp), rtol=1e-12, atol=1e-12)
