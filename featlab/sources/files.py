@@ -59,9 +59,12 @@ def read_word_list(spark: SparkSession, path: str, col: str = "word") -> DataFra
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``token[\\tindex]`` lines; the index defaults to the line
-    number (0-based). The file is read as one split to keep line order."""
-    lines = spark.read.option("wholetext", False).text(path).coalesce(1) \
-        .select(F.monotonically_increasing_id().alias("line"), "value")
+    number (0-based). Splits of a file come in file order and
+    ``monotonically_increasing_id`` keeps that order, so the distributed
+    global rank over it is the line number (no single-task read)."""
+    from featlab.operators.ordering import global_rank
+    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("_fl_mono"), "value")
+    lines = global_rank(raw, [F.col("_fl_mono")], "line").withColumn("line", F.col("line") - 1)
     parts = F.split(F.col("value"), "\t")
     return lines.select(F.trim(F.element_at(parts, 1)).alias("token"),
                         F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("bigint"), F.col("line")).alias("id"))
