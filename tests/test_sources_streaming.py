@@ -98,3 +98,42 @@ def test_least_squares_matches_numpy(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "c": X[:, 2], "y": y}))
     w = L.least_squares(df, ["a", "b", "c"], "y")
     np.testing.assert_allclose(w, np.linalg.lstsq(X, y, rcond=None)[0], atol=1e-9)
+
+
+def test_line_token_wordlist_listing_and_scores(spark):
+    d = _tmp()
+    with open(os.path.join(d, "corpus.txt"), "w") as f:
+        f.write("a b  c\n\nd e\n")
+    with open(os.path.join(d, "stop.txt"), "w") as f:
+        f.write("the\n a \nthe\n")
+    lines = S.read_lines(spark, os.path.join(d, "corpus.txt")).orderBy("doc_id").collect()
+    assert [r.text for r in lines] == ["a b  c", "", "d e"]
+    toks = S.read_token_stream(spark, os.path.join(d, "corpus.txt")).orderBy("line", "pos").collect()
+    assert [r.token for r in toks] == ["a", "b", "c", "d", "e"]
+    assert sorted(r.word for r in S.read_word_list(spark, os.path.join(d, "stop.txt")).collect()) == ["a", "the"]
+    assert S.list_files(spark, d, glob="*.txt").count() == 2
+    sc = spark.createDataFrame([(1, 0.5), (2, 0.25)], "id long, p double")
+    S.write_scores(sc, "id", "p", d + "/scores", "target")
+    back = spark.read.option("header", True).csv(d + "/scores").collect()
+    assert sorted((r.id, r.target) for r in back) == [("1", "0.5"), ("2", "0.25")]
+
+
+def test_to_unicode_and_date_mentions(spark):
+    from featlab.functions.dates import date_mentions
+    from featlab.functions.text import to_unicode
+    df = spark.createDataFrame([(bytearray(b"ok\xff\xfeyes"),)], "b binary")
+    assert df.select(to_unicode("b")).first()[0] == "okyes"
+    t = spark.createDataFrame([("会议在2024年5月6日下午3点开始",)], "t string")
+    assert t.select(date_mentions("t")).first()[0] == ["2024年5月6日下午3点"]
+
+
+def test_forest_rankings(spark):
+    from featlab.operators import models as MD
+    rng = np.random.default_rng(2)
+    X = rng.normal(size=(300, 2))
+    pdf = pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "y": 3 * X[:, 0] + 0.1 * rng.normal(size=300)})
+    df = spark.createDataFrame(pdf)
+    r = {x.feature: x.score for x in MD.single_feature_ranking(df, ["a", "b"], "y", splits=2).collect()}
+    assert r["a"] > 0.8 > r["b"]
+    imp = MD.impurity_importance(df, ["a", "b"], "y")
+    assert imp["a"] > imp["b"]
