@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featlab.functions.hashing import md5_mod
 from featlab.operators import plotdata as G
 from featlab.plans.registry import query
 from featlab.sources.tables import read_table
