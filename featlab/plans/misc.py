@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featlab.operators import plotdata as G
-from featlab.plans.registry import query
+from featlab.plans.registry import md5_mod_sql, query
 from featlab.sources.tables import read_table
 
 R = 6
 
 
-def _md5_mod_sql(expr: str, m: int) -> str:
-    acc = "0"
-    for i in range(4):
-        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
-    return acc
 
 
 @query("g01_histogram", """
@@ -107,7 +102,7 @@ def g07_line_series(spark, sf_dir):
 
 
 @query("g08_hash_sample", f"""
-SELECT vec_id, label FROM embeddings WHERE {_md5_mod_sql('CAST(vec_id AS VARCHAR)', 1000000)} < 200000
+SELECT vec_id, label FROM embeddings WHERE {md5_mod_sql('CAST(vec_id AS VARCHAR)', 1000000)} < 200000
 """)
 def g08_hash_sample(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "label")
@@ -187,7 +182,7 @@ def u05_dictionary_edits(spark, sf_dir):
 
 
 @query("u06_hash_split", f"""
-SELECT o_orderkey, {_md5_mod_sql("'42-' || CAST(o_orderkey AS VARCHAR)", 1000000)} < 200000 AS is_valid FROM orders
+SELECT o_orderkey, {md5_mod_sql("'42-' || CAST(o_orderkey AS VARCHAR)", 1000000)} < 200000 AS is_valid FROM orders
 """)
 def u06_hash_split(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders", "o_orderkey")

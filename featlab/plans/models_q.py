@@ -14,7 +14,7 @@ from featlab.functions.arrays import explode_values, posexplode_values
 from featlab.operators import models as MD
 from featlab.operators import segmentation as SG
 from featlab.operators.folds import kfold, stratified_kfold
-from featlab.plans.registry import query
+from featlab.plans.registry import md5_mod_sql, query
 from featlab.sources.tables import read_table, spread
 
 R = 6
@@ -189,15 +189,10 @@ def j08_dictionary_matches(spark, sf_dir):
                     F.col("start").cast("int").alias("start"), "word")
 
 
-def _md5_mod_sql(expr: str, m: int) -> str:
-    acc = "0"
-    for i in range(4):
-        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
-    return acc
 
 
 @query("r05_seeded_shuffle", f"""
-SELECT conv_id, turn, role, row_number() OVER (ORDER BY {_md5_mod_sql("'42-' || CAST(conv_id * 1000 + turn AS VARCHAR)", 2147483647)},
+SELECT conv_id, turn, role, row_number() OVER (ORDER BY {md5_mod_sql("'42-' || CAST(conv_id * 1000 + turn AS VARCHAR)", 2147483647)},
        conv_id * 1000 + turn) AS shuffle_rank FROM conversations
 """)
 def r05_seeded_shuffle(spark, sf_dir):

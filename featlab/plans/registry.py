@@ -29,6 +29,15 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def md5_mod_sql(expr: str, m: int) -> str:
+    """DuckDB SQL for ``featlab.functions.hashing.md5_mod``: the md5 digest
+    folded 32 bits at a time, ``acc = (acc * 2^32 + chunk) % m``."""
+    acc = "0"
+    for i in range(4):
+        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
+    return acc
+
+
 def load_all() -> None:
     # importing the modules fills the registry
     from featlab.plans import tabular, text, vectors, ordered, metrics_q, misc, models_q  # noqa: F401

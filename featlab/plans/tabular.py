@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featlab.operators.mean_encoding import MeanEncoder
-from featlab.plans.registry import query
+from featlab.plans.registry import md5_mod_sql, query
 from featlab.sources.tables import read_table
 
 R = 6  # rounding places shared with the oracle
@@ -333,15 +333,10 @@ def e02_e03_one_hot_dummy_effect(spark, sf_dir):
                         F.array_join(EN.one_hot_vector(code, m.size, effect=True), ",").alias("effect"))
 
 
-def _md5_mod_sql(expr: str, m: int) -> str:
-    acc = "0"
-    for i in range(4):
-        acc = f"(({acc}) * 4294967296 + ('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT) % {m}"
-    return acc
 
 
 @query("e06_md5_bin", f"""
-SELECT p_partkey, p_name, CAST({_md5_mod_sql('p_name', 999999)} + 1 AS BIGINT) AS bin FROM part
+SELECT p_partkey, p_name, CAST({md5_mod_sql('p_name', 999999)} + 1 AS BIGINT) AS bin FROM part
 """)
 def e06_md5_bin(spark, sf_dir):
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
@@ -350,10 +345,10 @@ def e06_md5_bin(spark, sf_dir):
 
 @query("e08_libffm_lines", f"""
 SELECT p_partkey, CAST(CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS VARCHAR) || ' ' ||
-  '0:' || CAST({_md5_mod_sql("'p_brand-' || p_brand", 999999)} + 1 AS VARCHAR) || ':1 ' ||
-  '1:' || CAST({_md5_mod_sql("'p_type-' || p_type", 999999)} + 1 AS VARCHAR) || ':1 ' ||
+  '0:' || CAST({md5_mod_sql("'p_brand-' || p_brand", 999999)} + 1 AS VARCHAR) || ':1 ' ||
+  '1:' || CAST({md5_mod_sql("'p_type-' || p_type", 999999)} + 1 AS VARCHAR) || ':1 ' ||
   array_to_string(list_transform(string_split(replace(p_name, ' ', '$'), '$'),
-     lambda it: '2:' || CAST({_md5_mod_sql("'p_name-' || it", 999999)} + 1 AS VARCHAR) || ':1'), ' ') || ' ' ||
+     lambda it: '2:' || CAST({md5_mod_sql("'p_name-' || it", 999999)} + 1 AS VARCHAR) || ':1'), ' ') || ' ' ||
   '3:1:' || CAST(p_retailprice AS VARCHAR) AS line
 FROM part
 """)

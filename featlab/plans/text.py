@@ -8,7 +8,7 @@ from featlab.functions import text as T
 from featlab.functions.arrays import explode_values, posexplode_values
 from featlab.functions.hashing import md5_mod
 from featlab.operators import text_features as TF
-from featlab.plans.registry import query
+from featlab.plans.registry import md5_mod_sql, query
 from featlab.sources.tables import read_table, spread
 
 R = 6
@@ -195,16 +195,10 @@ def j04_stopword_filter(spark, sf_dir):
 
 
 # ---- E04 / E05: feature hashing of word tokens (md5 buckets) --------------------------------
-def _md5_sql(expr: str, m: int) -> str:
-    acc = "0"
-    for i in range(4):
-        chunk = f"('0x' || substr(md5({expr}), {8 * i + 1}, 8))::BIGINT"
-        acc = f"(({acc}) * 4294967296 + {chunk}) % {m}"
-    return acc
 
 
 @query("e04_hashed_counts", f"""
-SELECT doc_id, CAST({_md5_sql('t', 1024)} AS BIGINT) AS bucket, count(*) AS count
+SELECT doc_id, CAST({md5_mod_sql('t', 1024)} AS BIGINT) AS bucket, count(*) AS count
 FROM (SELECT doc_id, unnest({_SQL_TOK}) AS t FROM documents) GROUP BY 1, 2
 """)
 def e04_hashed_counts(spark, sf_dir):
@@ -214,8 +208,8 @@ def e04_hashed_counts(spark, sf_dir):
 
 
 @query("e05_signed_hashed_counts", f"""
-SELECT doc_id, CAST({_md5_sql('t', 1024)} AS BIGINT) AS bucket,
-       CAST(sum(CASE WHEN {_md5_sql("'sign-' || t", 2)} = 0 THEN -1 ELSE 1 END) AS BIGINT) AS value
+SELECT doc_id, CAST({md5_mod_sql('t', 1024)} AS BIGINT) AS bucket,
+       CAST(sum(CASE WHEN {md5_mod_sql("'sign-' || t", 2)} = 0 THEN -1 ELSE 1 END) AS BIGINT) AS value
 FROM (SELECT doc_id, unnest({_SQL_TOK}) AS t FROM documents) GROUP BY 1, 2
 """)
 def e05_signed_hashed_counts(spark, sf_dir):
@@ -257,8 +251,8 @@ def c05_unique_with_index(spark, sf_dir):
 
 
 @query("e07_signed_hashed_vectors", f"""
-WITH c AS (SELECT doc_id, CAST({_md5_sql('t', 4096)} AS BIGINT) AS bucket,
-                  sum(CASE WHEN {_md5_sql("'sign-' || t", 2)} = 0 THEN -1.0 ELSE 1.0 END) AS value
+WITH c AS (SELECT doc_id, CAST({md5_mod_sql('t', 4096)} AS BIGINT) AS bucket,
+                  sum(CASE WHEN {md5_mod_sql("'sign-' || t", 2)} = 0 THEN -1.0 ELSE 1.0 END) AS value
            FROM (SELECT doc_id, unnest({_SQL_TOK}) AS t FROM documents) GROUP BY 1, 2)
 SELECT doc_id, bucket, round(value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)), 6) AS value FROM c
 """)
