@@ -164,14 +164,14 @@ def a02_logsumexp(spark, sf_dir):
 
 @query("a04_segment_ops", """
 SELECT l_linenumber, round(sum(l_tax), 6) AS sum, round(avg(l_tax), 6) AS mean, max(l_tax) AS max,
-       min(l_tax) AS min, round(product(1 + l_tax), 6) AS prod
+       min(l_tax) AS min, round(product(1 + l_tax / 100), 6) AS prod
 FROM lineitem GROUP BY l_linenumber
 """)
 def a04_segment_ops(spark, sf_dir):
     li = _li(spark, sf_dir, "l_tax")
     s = li.groupBy("l_linenumber").agg(F.round(F.sum("l_tax"), R).alias("sum"), F.round(F.avg("l_tax"), R).alias("mean"),
                                        F.max("l_tax").alias("max"), F.min("l_tax").alias("min"),
-                                       F.round(F.product(1 + F.col("l_tax")), R).alias("prod"))
+                                       F.round(F.product(1 + F.col("l_tax") / 100), R).alias("prod"))
     return s
 
 
