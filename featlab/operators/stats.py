@@ -164,3 +164,21 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
         F.max_by("_fl_x", F.when(F.col("_fl_r") == F.col("_fl_lo"), 1).otherwise(0)).alias("_xl"),
         F.max("_fl_x").alias("_xh"), F.first("_fl_h").alias("_h"), F.first("_fl_lo").alias("_lo"))
     return out.select(*by, "prob", (F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl"))).alias("value"))
+
+
+def measurement_quality(df: DataFrame, group: str, measured: str, true: str | None = None) -> DataFrame:
+    """Repeat-measurement quality per item: precision (sample std of
+    the repeats), bias (mean of measured - true) and the number of
+    outliers outside the 1.5 IQR fences (exact quartiles per item)."""
+    x = F.col(measured).cast("double")
+    base = df.select(group, x.alias("_fl_m"), *([F.col(true).cast("double").alias("_fl_t")] if true else []))
+    q = exact_quantiles(base, "_fl_m", [0.25, 0.75], [group])
+    fences = q.groupBy(group).agg(F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("_q1"),
+                                  F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("_q3"))
+    j = base.join(fences, group)
+    iqr = F.col("_q3") - F.col("_q1")
+    out = (F.col("_fl_m") < F.col("_q1") - 1.5 * iqr) | (F.col("_fl_m") > F.col("_q3") + 1.5 * iqr)
+    aggs = [F.count(F.lit(1)).alias("n"), F.stddev_samp("_fl_m").alias("precision"), F.count_if(out).alias("outliers")]
+    if true:
+        aggs.insert(2, F.avg(F.col("_fl_m") - F.col("_fl_t")).alias("bias"))
+    return j.groupBy(group).agg(*aggs)

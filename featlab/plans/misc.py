@@ -131,9 +131,8 @@ def g10_fitted_lines(spark, sf_dir):
 
 # ---- set operations (U01, U03-U06) -------------------------------------------------------------
 from featlab.functions import text as T  # noqa: E402
-from featlab.functions.arrays import explode_values, posexplode_values  # noqa: E402
 from featlab.operators.folds import batches, split_flag  # noqa: E402
-from featlab.operators.text_features import term_counts, top_terms  # noqa: E402
+from featlab.operators import vocab as V  # noqa: E402
 
 
 @query("u01_union_train_test", """
@@ -152,8 +151,7 @@ SELECT DISTINCT * FROM (SELECT 'p_brand' AS feature, p_brand AS value FROM part
 """)
 def u03_distinct_values(spark, sf_dir):
     p = read_table(spark, sf_dir, "part", "p_brand", "p_type", "p_size")
-    st = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in ("p_brand", "p_type", "p_size")]
-    return p.select(F.explode(F.array(*st)).alias("s")).select("s.*").distinct()
+    return V.distinct_values(p, ["p_brand", "p_type", "p_size"])
 
 
 @query("u04_value_set_difference", """
@@ -163,9 +161,8 @@ EXCEPT SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) FROM events WHERE event
 def u04_value_set_difference(spark, sf_dir):
     e = read_table(spark, sf_dir, "events", "user_id", "event_type", "ts") \
         .withColumn("day", F.date_format(F.to_date("ts"), "yyyy-MM-dd"))
-    clicked = e.filter(F.col("event_type") == "click").select("user_id", "day").distinct()
-    bought = e.filter(F.col("event_type") == "purchase").select("user_id", "day")
-    return clicked.join(bought, ["user_id", "day"], "left_anti")
+    return V.value_difference(e.filter(F.col("event_type") == "click"),
+                              e.filter(F.col("event_type") == "purchase"), ["user_id", "day"])
 
 
 @query("u05_dictionary_edits", f"""
@@ -175,10 +172,10 @@ WHERE length(word) > 1
 """)
 def u05_dictionary_edits(spark, sf_dir):
     b = read_table(spark, sf_dir, "benchmark", "text")
-    words = b.select(explode_values(T.word_tokens("text")).alias("word")).filter(F.col("word").isNotNull()).distinct()
+    words = V.word_rows(b, T.word_tokens("text")).distinct()
     added = spark.createDataFrame([("featlab",), ("spark",)], "word string")      # add_word / load_userdict
-    deleted = words.unionByName(added).distinct().filter(F.length("word") <= 1)  # del_word list
-    return words.unionByName(added).distinct().join(deleted, "word", "left_anti")
+    deleted = words.filter(F.length("word") <= 1)                                 # del_word list
+    return V.edit_dictionary(words, added, deleted).select("word")
 
 
 @query("u06_hash_split", f"""
@@ -198,21 +195,15 @@ _SQL_VOCAB = f"""vocab AS (SELECT term, row_number() OVER (ORDER BY count DESC,
 
 def _conv_vocab(spark, sf_dir):
     c = read_table(spark, sf_dir, "conversations", "text")
-    return top_terms(term_counts(c, T.word_tokens("text")), 500, reserve_zero=True).select("term", "id")
+    return V.build_vocab(c, T.word_tokens("text"), 500).select("term", "id")
 
 
-def _conv_ids(spark, sf_dir, keep_unknown: bool):
-    """(conv_id, turn, ids array): tokens looked up in the vocabulary,
-    unknown -> 0 (J03) or dropped (J02); order kept by position."""
-    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    toks = (c.select("conv_id", "turn", posexplode_values(T.word_tokens("text")).alias("pos", "term"))
-            .filter(F.col("term").isNotNull()))
-    vocab = _conv_vocab(spark, sf_dir)   # 500 rows: bounded by the vocabulary size
-    j = toks.join(F.broadcast(vocab), "term", "left" if keep_unknown else "inner")
-    j = j.withColumn("id", F.coalesce(F.col("id"), F.lit(0)))
-    seqs = j.groupBy("conv_id", "turn").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "id", "term"))).alias("s"))
-    return c.select("conv_id", "turn", "role").join(seqs, ["conv_id", "turn"], "left")
+def _conv_rows(spark, sf_dir, keep_unknown: bool):
+    """(conv_id, turn, pos, term, id): tokens looked up in the 500-term
+    vocabulary, unknown -> 0 (J03) or dropped (J02)."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    rows = V.token_rows(c, ["conv_id", "turn"], T.word_tokens("text"))
+    return V.lookup_ids(rows, _conv_vocab(spark, sf_dir), keep_unknown, vocab_size_bound=500)
 
 
 @query("q01_vocabulary_and_labels", f"""
@@ -242,10 +233,11 @@ GROUP BY c.conv_id, c.turn, l.label
 """)
 def q02_j03_id_sequences(spark, sf_dir):
     from featlab.operators.encoders import fit_label_encoder
-    s = _conv_ids(spark, sf_dir, keep_unknown=True)
+    seqs = V.to_sequences(_conv_rows(spark, sf_dir, keep_unknown=True), ["conv_id", "turn"])
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role").join(seqs, ["conv_id", "turn"], "left")
     roles = fit_label_encoder(read_table(spark, sf_dir, "conversations", "role"), "role")
-    s = roles.transform(s, "label")
-    ids = F.coalesce(F.array_join(F.transform("s", lambda x: x["id"].cast("string")), " "), F.lit(""))
+    s = roles.transform(c, "label")
+    ids = F.coalesce(F.array_join(F.transform("seq", lambda x: x.cast("string")), " "), F.lit(""))
     return s.select("conv_id", "turn", F.col("label").cast("bigint"), ids.alias("ids"))
 
 
@@ -257,14 +249,12 @@ SELECT conv_id, turn, string_agg(vocab.term, ' ' ORDER BY t.pos) AS text_from_id
 FROM t JOIN vocab ON vocab.term = t.tok[t.pos] GROUP BY conv_id, turn
 """)
 def j02_x18_ids_to_text(spark, sf_dir):
-    s = _conv_ids(spark, sf_dir, keep_unknown=False).filter(F.col("s").isNotNull())
-    # ids -> tokens through the reverse lookup (X18), joined on id
-    ids = s.select("conv_id", "turn", F.posexplode(F.transform("s", lambda x: x["id"])).alias("p", "id"))
-    vocab = _conv_vocab(spark, sf_dir)
-    back = ids.join(F.broadcast(vocab), "id").groupBy("conv_id", "turn").agg(
-        F.array_sort(F.collect_list(F.struct("p", "term"))).alias("w"))
-    return back.select("conv_id", "turn", F.array_join(F.transform("w", lambda x: x["term"]), " ").alias("text_from_ids"),
-                       F.size("w").cast("bigint").alias("known"))
+    # Unknown tokens dropped; then ids -> tokens by the reverse lookup
+    ids = _conv_rows(spark, sf_dir, keep_unknown=False).select("conv_id", "turn", "pos", "id")
+    back = V.ids_to_tokens(ids, _conv_vocab(spark, sf_dir), vocab_size_bound=500)
+    w = V.to_sequences(back, ["conv_id", "turn"], "term", "w")
+    return w.select("conv_id", "turn", F.array_join("w", " ").alias("text_from_ids"),
+                    F.size("w").cast("bigint").alias("known"))
 
 
 @query("q03_padded_batches", f"""

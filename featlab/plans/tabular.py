@@ -441,3 +441,54 @@ def e13_mean_encoder_table(spark, sf_dir):
     _, model = MeanEncoder(["event_type"], "value", id_col="event_id").fit_transform(events)
     _, table = model.tables["event_type_pred"]
     return table.select("value", F.round("enc", R).alias("enc"))
+
+
+@query("a28_measurement_quality", """
+WITH m AS (SELECT l.l_partkey, l.l_extendedprice / l.l_quantity AS x, p.p_retailprice AS t
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+q AS (SELECT l_partkey, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM m GROUP BY 1)
+SELECT l_partkey, count(*) AS n, round(stddev_samp(x), 6) AS precision, round(avg(x - t), 6) AS bias,
+       count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM m JOIN q USING (l_partkey) GROUP BY l_partkey
+""")
+def a28_measurement_quality(spark, sf_dir):
+    """Repeat measurements: each line's unit price is a measurement of its
+    part's list price (precision, bias, IQR outliers per part)."""
+    li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_extendedprice", "l_quantity")
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_retailprice")
+    m = li.join(p, li.l_partkey == p.p_partkey).select(
+        "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("x"), F.col("p_retailprice").alias("t"))
+    q = ST.measurement_quality(m, "l_partkey", "x", "t")
+    return q.select("l_partkey", "n", F.round("precision", R).alias("precision"), F.round("bias", R).alias("bias"),
+                    "outliers")
+
+
+@query("j01_e13_encode_new_rows", """
+WITH base AS (SELECT event_id, event_type, value, ntile(5) OVER (ORDER BY event_id) - 1 AS fold FROM events),
+tot AS (SELECT sum(value) AS s, count(value) AS c FROM base),
+fp AS (SELECT fold, (tot.s - sum(value)) / (tot.c - count(value)) AS prior FROM base, tot GROUP BY fold, tot.s, tot.c),
+cf AS (SELECT event_type, fold, sum(value) AS s, count(value) AS c, count(*) AS n FROM base WHERE event_type IS NOT NULL GROUP BY 1, 2),
+ct AS (SELECT event_type, sum(s) AS s, sum(c) AS c, sum(n) AS n FROM cf GROUP BY 1),
+g AS (SELECT ct.event_type, fp.fold, fp.prior, ct.n - coalesce(cf.n, 0) AS nout,
+             ct.s - coalesce(cf.s, 0) AS sout, ct.c - coalesce(cf.c, 0) AS cout
+      FROM ct CROSS JOIN fp LEFT JOIN cf ON cf.event_type = ct.event_type AND cf.fold = fp.fold),
+tab AS (SELECT event_type, sum(CASE WHEN cout > 0 THEN (1 / (1 + exp((nout - 2.0) / 1.0))) * prior
+        + (1 - 1 / (1 + exp((nout - 2.0) / 1.0))) * (sout / cout) ELSE prior END) / 5 AS enc FROM g GROUP BY 1),
+dflt AS (SELECT avg(prior) AS d FROM fp)
+SELECT o.src, o.row_id, o.event_type, round(coalesce(tab.enc, dflt.d), 6) AS event_type_pred
+FROM (SELECT 'events' AS src, event_id AS row_id, event_type FROM events
+      UNION ALL SELECT 'orders', o_orderkey, o_orderpriority FROM orders) o
+CROSS JOIN dflt LEFT JOIN tab ON tab.event_type = o.event_type
+""")
+def j01_e13_encode_new_rows(spark, sf_dir):
+    """Encode new rows with the encoder fitted on events (left join to the
+    averaged table, misses -> mean fold prior): event rows hit the table,
+    order priorities never occur as event types and take the prior."""
+    events = read_table(spark, sf_dir, "events", "event_id", "event_type", "value")
+    _, model = MeanEncoder(["event_type"], "value", id_col="event_id").fit_transform(events)
+    new = (events.select(F.lit("events").alias("src"), F.col("event_id").alias("row_id"), "event_type")
+           .unionByName(read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+                        .select(F.lit("orders").alias("src"), F.col("o_orderkey").alias("row_id"),
+                                F.col("o_orderpriority").alias("event_type"))))
+    return model.transform(new).select("src", "row_id", "event_type",
+                                       F.round("event_type_pred", R).alias("event_type_pred"))

@@ -259,3 +259,19 @@ SELECT doc_id, bucket, round(value / sqrt(sum(value * value) OVER (PARTITION BY
 def e07_signed_hashed_vectors(spark, sf_dir):
     v = TF.hashed_vectors(_docs(spark, sf_dir), "doc_id", T.word_tokens("text"), 4096, signed=True, l2=True)
     return v.select("doc_id", "bucket", F.round("value", R).alias("value"))
+
+
+@query("r04_a30_max_features_vocabulary", f"""
+WITH t AS (SELECT doc_id, {_SQL_TOK} AS tok FROM documents),
+g AS (SELECT doc_id, array_to_string(list_slice(tok, i, i + n - 1), ' ') AS term
+      FROM (SELECT doc_id, tok, n, unnest(generate_series(1, len(tok) - n + 1)) AS i
+            FROM t, (VALUES (1), (2)) v(n))),
+s AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS tf FROM g GROUP BY term),
+k AS (SELECT * FROM s ORDER BY tf DESC, term LIMIT 500)
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_id, df FROM k
+""")
+def r04_a30_max_features_vocabulary(spark, sf_dir):
+    """The fitted vocabulary (A30) of a 1-2-gram bag limited to the 500 most
+    frequent terms (R04), ids alphabetical over the kept terms."""
+    model, _ = TF.NGramBag("doc_id", (1, 2), max_features=500).fit_counts(_docs(spark, sf_dir), T.word_tokens("text"))
+    return model.vocabulary.select("term", "term_id", "df")
