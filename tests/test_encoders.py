@@ -78,3 +78,14 @@ def test_libffm_line(spark):
     line = df.select(EN.libffm_line("label", ["a", "m", "num"], numeric=["num"]).alias("l")).first().l
     h = lambda s: int(hashlib.md5(s.encode()).hexdigest(), 16) % 999_999 + 1
     assert line == f"1 0:{h('a-x')}:1 1:{h('m-u')}:1 1:{h('m-v')}:1 2:1:3.5"
+
+
+def test_column_roles(spark):
+    from featlab.operators.roles import ColumnRoles
+    df = spark.createDataFrame([(1, 0.5, 3, "a", 2.0, "x")], "id long, y double, ls_n int, c string, v double, junk string")
+    r = ColumnRoles(id_col="id", label="y", ignore=["junk"])
+    assert r.features(df) == ["ls_n", "c", "v"]
+    assert r.numeric_features(df) == ["v"]
+    assert r.numeric_features(df, allow_discrete=True) == ["ls_n", "v"]
+    assert r.discrete_features(df) == ["ls_n"] and r.categorical_features(df) == ["c"]
+    assert r.select_features(df).columns == ["id", "y", "ls_n", "c", "v"]
