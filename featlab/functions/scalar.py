@@ -171,3 +171,34 @@ def ones(n: int) -> Column:
 
 def fill(n: int, value) -> Column:
     return F.array_repeat(F.lit(value), n)
+
+
+# ---- P26 (cont.): gamma and truncated normal columns ----------------------------------
+def with_random_columns(df, seed: int, gamma: dict | None = None, truncated_normal: dict | None = None):
+    """Adds ``gamma`` (``{"name": (shape, scale)}``) and ``truncated_normal``
+    (``{"name": (mean, std)}``, redrawn until inside mean +- 2 std, as the
+    tensor library's truncated normal does) columns. numpy generators run
+    per partition, seeded by (seed, partition index); like ``randn`` the
+    values are reproducible for a fixed partitioning of the input."""
+    import numpy as np
+    from pyspark import TaskContext
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    gamma, truncated_normal = gamma or {}, truncated_normal or {}
+    schema = StructType([*df.schema.fields, *[StructField(n, DoubleType()) for n in (*gamma, *truncated_normal)]])
+
+    def run(it):
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for pdf in it:
+            n = len(pdf)
+            for name, (shape, scale) in gamma.items():
+                pdf[name] = rng.gamma(shape, scale, n)
+            for name, (mean, std) in truncated_normal.items():
+                z = rng.standard_normal(n)
+                bad = np.abs(z) > 2
+                while bad.any():                      # redraw only the rejected values
+                    z[bad] = rng.standard_normal(int(bad.sum()))
+                    bad = np.abs(z) > 2
+                pdf[name] = mean + std * z
+            yield pdf
+    return df.mapInPandas(run, schema)

@@ -206,13 +206,15 @@ def r05_seeded_shuffle(spark, sf_dir):
 
 @query("p26_random_columns")
 def p26_random_columns(spark, sf_dir):
-    """Seeded normal / uniform columns and constant arrays next to lineitem
-    keys (reproducible for a fixed partitioning of the scan)."""
+    """Seeded normal, uniform, gamma and truncated-normal columns and
+    constant arrays next to lineitem keys (reproducible for a fixed
+    partitioning of the scan)."""
     from featlab.functions import scalar as P
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
-    return li.select("l_orderkey", "l_linenumber", P.random_normal(7, 0.0, 1.0).alias("normal"),
-                     P.random_uniform(7, -1.0, 1.0).alias("uniform"),
-                     F.array_join(P.fill(3, 0.5), ",").alias("fill"), F.array_join(P.zeros(2), ",").alias("zeros"))
+    out = li.select("l_orderkey", "l_linenumber", P.random_normal(7, 0.0, 1.0).alias("normal"),
+                    P.random_uniform(7, -1.0, 1.0).alias("uniform"),
+                    F.array_join(P.fill(3, 0.5), ",").alias("fill"), F.array_join(P.zeros(2), ",").alias("zeros"))
+    return P.with_random_columns(out, 7, gamma={"gamma": (2.0, 1.5)}, truncated_normal={"trunc_normal": (0.0, 1.0)})
 
 
 @query("x15_english_preprocess")

@@ -64,3 +64,13 @@ def test_eye_and_matmul(spark):
     assert got == {(0, 0): 1.0, (0, 1): 2.0, (1, 0): 3.0, (2, 2): 4.0}
     t = L.trace_and_norm(a).first()
     assert t.trace == 5.0
+
+
+def test_gamma_and_truncated_normal_columns(spark):
+    from featlab.functions.scalar import with_random_columns
+    df = spark.range(0, 20000, 1, 4)
+    out = with_random_columns(df, 3, gamma={"g": (2.0, 1.5)}, truncated_normal={"t": (1.0, 2.0)}).toPandas()
+    assert len(out) == 20000 and out["t"].between(-3.0, 5.0).all()
+    assert abs(out["g"].mean() - 3.0) < 0.1 and (out["g"] > 0).all()
+    again = with_random_columns(df, 3, gamma={"g": (2.0, 1.5)}).toPandas()
+    assert np.allclose(np.sort(again["g"].to_numpy()), np.sort(out["g"].to_numpy()))
