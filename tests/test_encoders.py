@@ -89,3 +89,11 @@ def test_column_roles(spark):
     assert r.numeric_features(df, allow_discrete=True) == ["ls_n", "v"]
     assert r.discrete_features(df) == ["ls_n"] and r.categorical_features(df) == ["c"]
     assert r.select_features(df).columns == ["id", "y", "ls_n", "c", "v"]
+
+
+def test_mean_encoder_null_category_and_tiny_input(spark):
+    pdf = pd.DataFrame({"id": range(6), "c": ["a", None, "a", "b", None, "b"], "y": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]})
+    out, _ = MeanEncoder(["c"], "y", id_col="id", n_splits=3).fit_transform(spark.createDataFrame(pdf))
+    got = out.toPandas().sort_values("id")["c_pred"].to_numpy()
+    pdf["c"] = pdf["c"].astype(object)
+    np.testing.assert_allclose(got, _brute_oof(pdf, k=3)["enc"].to_numpy(), atol=1e-9)

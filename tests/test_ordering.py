@@ -142,3 +142,13 @@ def test_ema_bounded_carry_window(spark):
         m = 0.5 * m + 0.5 * v
         exp.append(m)
     np.testing.assert_allclose(out.sort_values("t")["ema"].to_numpy(), np.array(exp), rtol=1e-12, atol=1e-12)
+
+
+def test_edge_cases_empty_and_tiny(spark):
+    from featlab.operators.ordering import dense_rank_ids
+    empty = spark.range(0, 0).select(F.col("id"), F.lit("a").alias("t"))
+    assert global_rank(empty, ["id"], "rk").count() == 0
+    assert dense_rank_ids(empty, "t", ["id"], "tid").count() == 0
+    assert S.cumulative_sum(empty.withColumn("v", F.lit(1.0)), [], ["id"], "v").count() == 0
+    tiny = kfold(spark.range(0, 3), ["id"], 5).toPandas().sort_values("id")
+    assert tiny["fold"].tolist() == [0, 1, 2]
