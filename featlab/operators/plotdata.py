@@ -117,3 +117,13 @@ def fitted_lines(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataF
     return df.groupBy(*by).agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
                                F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
                                F.count(F.lit(1)).alias("n"))
+
+
+def pair_rows(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Long form for pair plots / scatter matrices: one row per ordered
+    pair of distinct columns (fx, fy, x, y), carrying ``keep`` columns
+    (label, ids). Usually applied after :func:`sample_by`."""
+    pairs = [(a, b) for a in cols for b in cols if a != b]
+    st = [F.struct(F.lit(a).alias("fx"), F.lit(b).alias("fy"), F.col(a).cast("double").alias("x"),
+                   F.col(b).cast("double").alias("y")) for a, b in pairs]
+    return df.select(*keep, F.explode(F.array(*st)).alias("_fl_p")).select(*keep, "_fl_p.*")
