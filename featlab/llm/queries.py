@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import exact_dedup
+from featlab.llm import chat_format, exact_dedup, mixing
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,17 @@ def query(name: str, sql: str | None = None):
 @query("op5_exact_dedup", exact_dedup.ORACLE_SQL)
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_chat_format", chat_format.ORACLE_SQL)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", sample), (-7, 1, "assistant", sample)], "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.digests(chat_format.formatted(rows))
+
+
+@query("op1_mix_sources", mixing.oracle_sql())
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    return mixing.select_prefixes(mixing.items_of(docs), mixing.PRODUCTION)
