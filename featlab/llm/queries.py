@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import chat_format, exact_dedup, mixing
+from featlab.llm import chat_format, exact_dedup, mixing, token_files
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
     return mixing.select_prefixes(mixing.items_of(docs), mixing.PRODUCTION)
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    manifest, folder = token_files.write_token_files(
+        read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(manifest, folder)
