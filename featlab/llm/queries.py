@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import chat_format, exact_dedup, mixing, token_files
+from featlab.llm import bpe, chat_format, exact_dedup, mixing, token_files
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = token_files.write_token_files(
         read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(manifest, folder)
+
+
+@query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")))
