@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import bpe, chat_format, exact_dedup, mixing, token_files
+from featlab.llm import bpe, chat_format, exact_dedup, mixing, token_count, token_files
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query("op3_token_count")
+def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
