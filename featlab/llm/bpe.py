@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from featlab.llm import lexicon
 from featlab.llm.pieces import PieceEncoder, text_array
-from featlab.llm.shared import shared_folder, text_or_empty
+from featlab.llm.shared import shared_folder, small_batches, text_or_empty
 
 #: The published pattern that cuts text before byte-level merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -226,6 +226,7 @@ def decode_rows(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, lexicon_size: int = LEXICON_SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, text`` (decoded from the ids) of every document."""
+    small_batches(docs.sparkSession)
     folder = compile_lexicon(docs, path, lexicon_size, text_col)
     return decode_rows(encode_rows(docs, path, folder, id_col, text_col), path)
 

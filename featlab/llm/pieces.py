@@ -17,14 +17,15 @@ Special strings hold no space, so they stay inside one piece.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are cut and encoded together, and pieces remembered between such blocks.
-BLOCK_BYTES = 16 << 20
-MEMO_PIECES = 400_000
+BLOCK_BYTES = 8 << 20
+MEMO_PIECES = 500_000
 
 #: encode(list of pieces) -> (ids of all pieces, number of ids of each)
 Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
@@ -61,8 +62,22 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def _shifted(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Indices of the runs ``starts[k] .. starts[k] + lens[k] - 1``, back to back."""
+    ends = np.cumsum(lens, dtype=np.int32)
+    where = np.repeat(starts - (ends - lens), lens)
+    where += np.arange(len(where), dtype=np.int32)
+    return where
+
+
 class PieceEncoder:
-    """Ids of whole texts; each distinct piece of a block is encoded once, frequent ones are remembered."""
+    """Ids of whole texts; each distinct piece of a block is encoded once, frequent ones are remembered.
+
+    A piece of letters and one final ``.`` or ``,`` is two: letters and
+    punctuation are never matched together. ASCII pieces of vocabularies that
+    lower-case (``word``) are looked up in lower case, unless they could hold a
+    special string.
+    """
 
     def __init__(self, encode: Encode, byte_level: bool, memo_pieces: int = MEMO_PIECES):
         self.encode, self.byte_level, self.memo_pieces = encode, byte_level, memo_pieces
@@ -70,66 +85,82 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.lens = np.zeros(0, np.int64)
+        self.lens = self.starts = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, pieces: list[str]) -> np.ndarray:
-        """Places in the memo of distinct ``pieces``; new ones are encoded."""
+        """Places in the memo of ``pieces``; new ones are encoded."""
         place = self.place
-        at = [place.get(p, -1) for p in pieces]
-        new = [p for p, k in zip(pieces, at) if k < 0]
-        if not new:
-            return np.asarray(at, np.int64)
+        at = np.fromiter(map(place.get, pieces, repeat(-1)), np.int32, len(pieces))
+        missing = np.flatnonzero(at < 0).tolist()
+        if not missing:
+            return at
+        new = list(dict.fromkeys(pieces[k] for k in missing))
         if place and len(place) + len(new) > self.memo_pieces:
             self._forget()
             return self._learn(pieces)
         ids, lens = self.encode(new)
+        lens = lens.astype(np.int32)
         first = len(place)
         place.update(zip(new, range(first, first + len(new))))
+        self.starts = np.concatenate([self.starts, np.int32(len(self.ids)) + np.cumsum(lens, dtype=np.int32) - lens])
         self.ids, self.lens = np.concatenate([self.ids, ids.astype(np.uint32)]), np.concatenate([self.lens, lens])
-        self.starts = np.cumsum(self.lens) - self.lens
-        at = np.asarray(at, np.int64)
-        at[at < 0] = np.arange(first, first + len(new))
+        at[missing] = [place[pieces[k]] for k in missing]
         return at
 
     def _cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(distinct pieces, piece number of every piece in order, pieces of each text)."""
+        """(pieces, number in that list of every piece in order, pieces of each text)."""
         if not self.byte_level:
             texts = pc.replace_substring(texts, "\n", " ")
         parts = pc.split_pattern(texts, " ")
         coded = pc.dictionary_encode(parts.flatten())
         ends = np.asarray(parts.offsets).astype(np.int64)
         ends = ends - ends[0]
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        counts = np.diff(ends)
-        if not self.byte_level:
-            return coded.dictionary.to_pylist(), codes, counts
+        codes = np.array(coded.indices, np.int32)
         words = coded.dictionary
-        # a word that is empty or touches other white space: its text is cut in Python
-        odd = pc.not_equal(pc.utf8_trim_whitespace(words), words).to_numpy(zero_copy_only=False) | (pc.binary_length(words).to_numpy(zero_copy_only=False) == 0)
-        words = words.to_pylist()
-        table = [" " + w for w in words]
+        whole = words
+        if not self.byte_level:
+            plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
+            words = pc.if_else(plain, pc.ascii_lower(words), words)
+        two = pc.match_substring_regex(words, r"^\pL+[.,]$")
+        comma = pc.ends_with(words, ",").to_numpy(zero_copy_only=False)
+        words = pc.if_else(two, pc.utf8_slice_codeunits(words, 0, -1), words)
+        two = two.to_numpy(zero_copy_only=False)
+        if self.byte_level:
+            words = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, pa.scalar("", pa.large_string()))
+        table = words.to_pylist()
         n = len(table)
-        odd_text = np.add.reduceat(odd[codes], ends[:-1]) > 0 if len(codes) else np.zeros(0, bool)
-        heads = ends[:-1]
-        head_words, head_code = np.unique(codes[heads], return_inverse=True)
-        table += [words[k] for k in head_words]
-        codes[heads] = n + head_code
-        if odd_text.any():
-            number: dict[str, int] = {}
-            runs, rows = np.split(codes, ends[1:-1]), np.flatnonzero(odd_text)
-            base = len(table)
-            for row in rows:
-                cut = safe_pieces(texts[int(row)].as_py())
-                runs[row] = np.asarray([base + number.setdefault(p, len(number)) for p in cut], np.int64)
-                counts[row] = len(cut)
-            table += list(number)
-            codes = np.concatenate(runs)
-        # only pieces that occur, each once
-        used, codes = np.unique(codes, return_inverse=True)
-        names: dict[str, int] = {}
-        same = np.asarray([names.setdefault(table[k], len(names)) for k in used], np.int64)
-        return list(names), same[codes] if len(names) else codes, counts
+        table += [".", ","]
+        heads = np.zeros(0, np.int64)
+        if self.byte_level:
+            # the first piece of a text has no space before it and is kept whole
+            heads = ends[:-1]
+            head_words, head_code = np.unique(codes[heads], return_inverse=True)
+            odd = pc.or_(pc.not_equal(pc.utf8_trim_whitespace(whole), whole), pc.equal(pc.binary_length(whole), 0)).to_numpy(zero_copy_only=False)
+            odd_text = np.add.reduceat(odd[codes], heads) > 0 if len(codes) else np.zeros(0, bool)
+            first = len(table)
+            table += whole.take(pa.array(head_words)).to_pylist()
+            codes[heads] = 0
+        split = two[codes]
+        split[heads] = False
+        after = np.cumsum(split, dtype=np.int32)
+        counts = np.diff(ends) + np.diff(np.concatenate([[0], after])[ends])
+        out = np.repeat(codes, 1 + split)
+        tails = np.flatnonzero(split)
+        out[tails + after[tails]] = n + comma[codes[tails]]
+        if self.byte_level:
+            out[heads + after[heads]] = first + head_code
+            if odd_text.any():
+                # doubled spaces or spaces beside other white space: cut in Python
+                cut_at = np.cumsum(counts)[:-1]
+                runs = np.split(out, cut_at)
+                for row in np.flatnonzero(odd_text):
+                    cut = safe_pieces(texts[int(row)].as_py())
+                    runs[row] = np.arange(len(table), len(table) + len(cut), dtype=np.int32)
+                    table += cut
+                    counts[row] = len(cut)
+                out = np.concatenate(runs)
+        return table, out, counts
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
@@ -139,17 +170,14 @@ class PieceEncoder:
         """Per block of texts: (ids of all its texts, number of ids of each text)."""
         for _, block in blocks(texts):
             at, counts = self._places(block)
-            lens = self.lens[at]
-            ends = np.cumsum(lens)
-            total = int(ends[-1]) if len(ends) else 0
-            where = np.repeat(self.starts[at] - (ends - lens), lens) + np.arange(total) if total else np.zeros(0, np.int64)
-            yield self.ids[where], self._sums(at, counts)
+            yield self.ids[_shifted(self.starts[at], self.lens[at])], self._sums(at, counts)
+            pa.default_memory_pool().release_unused()
 
     def _places(self, block: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, codes, counts = self._cut(block)
         return self._learn(pieces)[codes], counts
 
     def _sums(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(self.lens[at])])
+        sums = np.concatenate([[0], np.cumsum(self.lens[at], dtype=np.int64)])
         ends = np.cumsum(counts)
         return sums[ends] - sums[ends - counts]

@@ -57,3 +57,9 @@ def without(docs: DataFrame, id_col: str, dropped: DataFrame, name: str) -> Data
     The texts are shuffled only if the dropped ids are too many to broadcast."""
     ids = written(dropped.toDF("_dropped_id"), name)
     return docs.join(sized(ids), docs[id_col] == F.col("_dropped_id"), "left_anti")
+
+
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Keep the Arrow batches that go to Python tasks near ``most`` bytes
+    (long texts would make batches of many MB in the JVM and in Python)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featlab.llm.pieces import text_array
-from featlab.llm.shared import task_count, text_or_empty, written
+from featlab.llm.shared import small_batches, task_count, text_or_empty, written
 from featlab.llm.tokenizers_lib import piece_encoder, tokenizer
 
 CHUNK = 16_384
@@ -119,6 +119,7 @@ def _spliced(encoded: DataFrame) -> DataFrame:
 def count_tokens(docs: DataFrame, path: str, byte_level: bool = True, limit: int = 512, chunk: int = CHUNK, overlap: int = OVERLAP,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, chunks, overlap`` of every row, for a tokenizers .json file."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("long"))
     result = _whole(rows.filter(F.length("text") <= chunk), path, byte_level).withColumn("chunks", F.lit(1)).withColumn("overlap", F.lit(0))
     huge = written(rows.filter(F.length("text") > chunk).withColumn("rid", F.monotonically_increasing_id()), "huge-texts")

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featlab.llm.shared import shared_folder, task_count, text_or_empty, written
+from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, written
 from featlab.llm.store import get_array, open_folder, put
 from featlab.llm.tokenizers_lib import piece_encoder, tokenizer
 
@@ -42,6 +42,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str | None = Non
     """(manifest, folder). ``vocabulary``: a tokenizers .json file; ``end_id``
     is appended to each document (None: nothing)."""
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or shared_folder(spark, "token-files")
     width = 2 if max(tokenizer(vocabulary).get_vocab_size(), end_id or 0) <= 1 << 16 else 4
 

@@ -10,7 +10,7 @@ import numpy as np
 from featlab.llm.pieces import PieceEncoder
 
 #: Pieces handed to the library at a time.
-BATCH = 4096
+BATCH = 512
 
 
 @functools.lru_cache(maxsize=4)
@@ -25,17 +25,29 @@ def tokenizer(path: str):
 
 
 def library_encode(path: str):
-    """``encode`` for PieceEncoder: the library on lists of pieces, without added special tokens."""
+    """``encode`` for PieceEncoder: the library on lists of pieces, without added special tokens.
+
+    With a special string in the vocabulary, many pieces go into one call with
+    that string between them: it cuts the text before everything else, so the
+    pieces are encoded apart, and its id marks where each ends. Pieces that
+    hold the start of such a string go by themselves."""
     t = tokenizer(path)
+    special = next((a for a in t.get_added_tokens_decoder().items() if a[1].special and not (a[1].lstrip or a[1].rstrip or a[1].single_word or a[1].normalized)), None)
+
+    def apart(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for k in range(0, len(pieces), BATCH) for e in t.encode_batch_fast(pieces[k:k + BATCH], add_special_tokens=False)]
+        return np.asarray([i for f in found for i in f], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, lens = [], []
+        if special is None or any(special[1].content[0] in p for p in pieces):
+            return apart(pieces)
+        ids, lens = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for k in range(0, len(pieces), BATCH):
-            for e in t.encode_batch(pieces[k:k + BATCH], add_special_tokens=False):
-                found = e.ids
-                ids.extend(found)
-                lens.append(len(found))
-        return np.asarray(ids, np.uint32), np.asarray(lens, np.int64)
+            found = np.asarray(t.encode_batch_fast([special[1].content.join(pieces[k:k + BATCH])], add_special_tokens=False)[0].ids, np.uint32)
+            mark = found == special[0]
+            lens.append(np.diff(np.flatnonzero(mark), prepend=-1, append=len(found)) - 1)
+            ids.append(found[~mark])
+        return np.concatenate(ids), np.concatenate(lens)
     return encode
 
 
