@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import bpe, chat_format, exact_dedup, mixing, near_vectors, token_count, token_files
+from featlab.llm import bpe, chat_format, exact_dedup, mixing, near_text, near_vectors, token_count, token_files
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_near_vectors", near_vectors.ORACLE_SQL)
 def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), cosine=0.98)
+
+
+@query("op9_odd_sketch_near_dedup")
+def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
