@@ -7,9 +7,9 @@ task maps from the shared folder. A block of texts is cut into distinct pieces
 it, all others are merged exactly by the rank table. So the lexicon only saves
 merges and never changes a result, and no id comes from another implementation.
 
-Merging: short words repeat the lowest-ranked adjacent pair (all occurrences from
-the left); long ones use a heap over a linked list, O(n log n) for a word of any
-length. Special strings of the vocabulary file become their ids wherever they
+Merging repeats the lowest-ranked adjacent pair, leftmost first: for all short
+words of a block at once, one merge of every word per step on arrays; for long
+ones with a heap over a linked list, O(n log n) for a word of any length. Special strings of the vocabulary file become their ids wherever they
 stand, as its library does by default. Decoding joins the ids' bytes and reads
 them as UTF-8, invalid sequences as U+FFFD.
 
@@ -25,6 +25,7 @@ import functools
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LEXICON_SIZE = 50_000
 #: From this many symbols a word is merged with a heap.
 LONG = 48
+NO_RANK = np.iinfo(np.int32).max
+HASH = 1_000_003
 
 
 @functools.lru_cache(maxsize=1)
@@ -76,9 +79,22 @@ class Vocabulary:
         for token, k in self.specials.items():
             self.bytes[k] = token.encode()
         self.words = regex.compile(PATTERN)
+        # the merges as arrays: rank -> id, and a hash table of pairs -> rank
+        self.spread = size
+        self.merged_id = np.zeros(len(model["merges"]), np.int64)
+        self.slots = np.full(1 << max(4, (8 * len(self.merge)).bit_length()), -1, np.int64)
+        self.slot_rank = np.zeros(len(self.slots), np.int32)
+        for (a, b), (rank, new) in self.merge.items():
+            self.merged_id[rank] = new
+            at = (a * size + b) * HASH & (len(self.slots) - 1)
+            while self.slots[at] >= 0:
+                at = at + 1 & (len(self.slots) - 1)
+            self.slots[at], self.slot_rank[at] = a * size + b, rank
 
     def pre_tokens(self, piece: str) -> list[str | int]:
         """Pre-tokens of a piece in order; a special string is its id."""
+        if (piece[1:] if piece[:1] == " " else piece).isalpha():
+            return [piece]
         if self.special is None or not self.special.search(piece):
             return self.words.findall(piece)
         out: list[str | int] = []
@@ -88,25 +104,67 @@ class Vocabulary:
 
     def merged(self, word: bytes) -> list[int]:
         """Ids of one pre-token by exact merging."""
-        ids = self.single[np.frombuffer(word, np.uint8)].tolist()
-        return self._merge_long(ids) if len(ids) >= LONG else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        find = self.merge.get
-        while len(ids) > 1:
-            best = min(filter(None, map(find, zip(ids, ids[1:]))), default=None)
-            if best is None:
-                break
-            out, k, n = [], 0, len(ids)
-            while k < n:
-                if k + 1 < n and find((ids[k], ids[k + 1])) == best:
-                    out.append(best[1])
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
-        return ids
+        return self._merge_long(self.single[np.frombuffer(word, np.uint8)].tolist())
+
+    def merged_all(self, words: list[bytes]) -> list:
+        """Ids of many pre-tokens; words of like length are merged together."""
+        out: list = [None] * len(words)
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        for k in np.flatnonzero((lens >= LONG) | (lens == 0)):
+            out[k] = self.merged(words[k])
+        for length in np.unique(lens[(lens < LONG) & (lens > 0)]):
+            rows = np.flatnonzero(lens == length)
+            ids = self.single[np.frombuffer(b"".join([words[k] for k in rows]), np.uint8)].reshape(len(rows), length)
+            for done, found in self._merge_rows(ids):
+                for k, f in zip(rows[done].tolist(), found):
+                    out[k] = f
+        return out
+
+    def _merge_rows(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row numbers, their ids) as rows run out of merges; each step merges one pair of every other row."""
+        row = np.arange(len(ids))
+        rank = self.ranks(ids[:, :-1], ids[:, 1:])
+        while len(ids):
+            if not rank.shape[1]:
+                yield row, ids
+                return
+            at = rank.argmin(axis=1)
+            line = np.arange(len(ids))
+            best = rank[line, at]
+            stop = best == NO_RANK
+            if stop.any():
+                yield row[stop], ids[stop]
+                go = ~stop
+                row, ids, rank, at, best = row[go], ids[go], rank[go], at[go], best[go]
+                line = line[:len(row)]
+            n, width = ids.shape
+            ids[line, at] = self.merged_id[best]
+            keep = np.ones((n, width), bool)
+            keep[line, at + 1] = False
+            ids = ids[keep].reshape(n, width - 1)
+            # the pair's own place goes; its neighbours get new ranks
+            keep = np.ones((n, width - 1), bool)
+            keep[line, at] = False
+            rank = rank[keep].reshape(n, width - 2)
+            before, after = np.flatnonzero(at > 0), np.flatnonzero(at < width - 2)
+            rank[before, at[before] - 1] = self.ranks(ids[before, at[before] - 1], ids[before, at[before]])
+            rank[after, at[after]] = self.ranks(ids[after, at[after]], ids[after, at[after] + 1])
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair, NO_RANK for pairs that do not merge (open addressing over a fixed table)."""
+        key = a * self.spread + b
+        slot = key * HASH & (len(self.slots) - 1)
+        found = self.slots[slot]
+        out = np.where(found == key, self.slot_rank[slot], NO_RANK)
+        on = np.nonzero((found != key) & (found >= 0))
+        while len(on[0]):
+            slot[on] = slot[on] + 1 & (len(self.slots) - 1)
+            found = self.slots[slot[on]]
+            hit = found == key[on]
+            out[tuple(x[hit] for x in on)] = self.slot_rank[slot[tuple(x[hit] for x in on)]]
+            more = ~hit & (found >= 0)
+            on = tuple(x[more] for x in on)
+        return out
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         n, find = len(ids), self.merge.get
@@ -142,11 +200,14 @@ class Vocabulary:
             found: list = [None] * len(distinct)
             for k, c in zip(np.flatnonzero(known), chunks):
                 found[k] = c
-            for k in np.flatnonzero(~known):
-                w = distinct[k]
-                found[k] = [w] if isinstance(w, int) else self.merged(encoded[k])
+            rest = [k for k in np.flatnonzero(~known).tolist() if isinstance(distinct[k], str)]
+            for k, f in zip(rest, self.merged_all([encoded[k] for k in rest])):
+                found[k] = f
+            for w in self.specials.values():
+                if w in number:
+                    found[number[w]] = [w]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            table = np.concatenate([np.zeros(0, np.int64), *found]) if found else np.zeros(0, np.int64)
+            table = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
             starts = np.cumsum(sizes) - sizes
             lens = sizes[flat]
             ends = np.cumsum(lens)
@@ -201,8 +262,7 @@ def compile_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE, text_c
     return folder
 
 
-def encode_rows(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids``: the ids of each text as little-endian 32-bit integers in one binary."""
+def _encoding(path: str, folder: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = lexicon_encoder(path, folder)
         for batch in batches:
@@ -211,28 +271,40 @@ def encode_rows(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id",
                 raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(lens) * 4).tolist()
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(lens)), pa.array([raw[a:b] for a, b in zip([0, *ends], ends)], pa.binary())], ["doc_id", "ids"])
                 at += len(lens)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(encode, "doc_id long, ids binary")
+    return encode
 
 
-def decode_rows(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids, text`` for the rows of ``encode_rows``."""
+def _decoding(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            texts = [v.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
-    return encoded.mapInArrow(decode, "doc_id long, ids binary, text string")
+            texts = pa.array([v.decode(np.frombuffer(b, "<u4").tolist()) for b in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["doc_id", "ids", "text"])
+    return decode
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+
+
+def encode_rows(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids``: the ids of each text as little-endian 32-bit integers in one binary."""
+    return _rows(docs, id_col, text_col).mapInArrow(_encoding(path, folder), "doc_id long, ids binary")
+
+
+def decode_rows(encoded: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, text`` for the rows of ``encode_rows``."""
+    return encoded.mapInArrow(_decoding(path), "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, lexicon_size: int = LEXICON_SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids, text`` (decoded from the ids) of every document."""
+    """``doc_id, ids, text`` (decoded from the ids) of every document; both steps run in one worker."""
     small_batches(docs.sparkSession)
     folder = compile_lexicon(docs, path, lexicon_size, text_col)
-    return decode_rows(encode_rows(docs, path, folder, id_col, text_col), path)
+    encode, decode = _encoding(path, folder), _decoding(path)
+    return _rows(docs, id_col, text_col).mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids binary, text string")
 
 
 def digests(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))
-
-
