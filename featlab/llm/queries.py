@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import bpe, chat_format, exact_dedup, line_crf, mixing, near_text, near_vectors, token_count, token_files
+from featlab.llm import bpe, chat_format, context_tree, exact_dedup, line_crf, mixing, near_text, near_vectors, token_count, token_files
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op9_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_crf_quality")
 def op10_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality_of(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@query("op6_context_tree")
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_all(read_table(spark, sf_dir, "documents", "doc_id", "text"))
