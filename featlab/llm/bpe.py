@@ -305,6 +305,6 @@ def round_trip(docs: DataFrame, path: str, lexicon_size: int = LEXICON_SIZE, id_
     return _rows(docs, id_col, text_col).mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids binary, text string")
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+def digests(rows: DataFrame, *also: str) -> DataFrame:
+    return rows.select("doc_id", *also, F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))

@@ -68,7 +68,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift *= np.where(x < 1e6, x + k, 1)
     z = np.where(x < 1e6, x + 8, x)
-    series = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5)
+    series = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - 1 / (1680 * z ** 7)
     return series - np.log(shift)
 
 

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featlab.llm.shared import WORD, sized, text_or_empty, written
+from featlab.llm.shared import WORD, sized, text_or_empty, without, written
 
 LEVELS = ("domain", "lang", "source")
 EXACT = "decimal(38,0)"
@@ -46,13 +46,16 @@ class Mix:
     bucket_rows: int = 1000
 
 
-#: production mixture of the query and the pipeline: the two source families,
-#: more weight on the smaller languages, one source turned down.
-PRODUCTION = Mix(weights={
+WEIGHTS = {
     "odd": 2, "even": 3,
     "odd/en": 4, "odd/de": 2, "odd/fr": 2, "odd/es": 2,
     "even/en": 3, "even/de": 1, "even/fr": 1, "even/es": 2,
-    "even/en/src0": 6, "even/de/src0": 5, "even/fr/src0": 5, "even/es/src0": 4, "odd/en/src1": 2})
+    "even/en/src0": 6, "even/de/src0": 5, "even/fr/src0": 5, "even/es/src0": 4, "odd/en/src1": 2}
+#: Production mixture of the query: two source families, more weight on the
+#: smaller languages, one large source turned down, up to three epochs.
+PRODUCTION = Mix(weights=WEIGHTS)
+#: In the pipeline every document is used at most once.
+ONCE = Mix(weights=WEIGHTS, budget_permille=900, max_epochs=1)
 
 
 def domain_of(source: Column) -> Column:
@@ -135,6 +138,16 @@ def items_of(docs: DataFrame) -> DataFrame:
                        source.alias("source"), word_count(text_or_empty()).alias("n_tokens"))
 
 
+def drop_unmixed(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs`` without the documents that the mixture does not reach (those
+    without tokens among them). A document that ends a prefix stays whole; rows
+    without an id cannot be named and stay."""
+    items = items_of(docs)
+    chosen = select_prefixes(items, mix).select("doc_id").distinct()
+    left_out = docs.select("doc_id").filter("doc_id is not null").distinct().join(chosen, "doc_id", "left_anti")
+    return without(docs, "doc_id", left_out, "mix-dropped")
+
+
 def _weights_sql(depth: int, mix: Mix) -> str:
     path = " || '/' || ".join(LEVELS[: depth + 1])
     cases = " ".join(f"WHEN '{k}' THEN {w}" for k, w in mix.weights.items() if k.count("/") == depth)
