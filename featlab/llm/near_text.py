@@ -17,10 +17,14 @@ sets of 5-word shingles; the result is their connected components.
 4. Round one keeps, per group, a spanning forest of the candidates, best
    estimates first, over each block and between the first block and the others:
    linear in the bucket, whatever its size. Its pairs are confirmed on the full
-   sets, and the confirmed links joined to components.
-5. Round two confirms every further candidate pair, of all block pairs, whose
-   ends are still in different components. After it each candidate is confirmed,
-   refuted, or inside one component, so no link is lost.
+   sets, and the confirmed links joined to components. The forest's own
+   components, confirmed or not, are the clusters.
+5. Round two finds what round one left open. Inside clusters of several
+   components the exact intersections of all pairs come from matrix products
+   over the members' shingles, block by block, and only spanning links leave a
+   task. Candidates between clusters (rare) are confirmed pair by pair.
+   After it every candidate is confirmed, refuted, or inside one component, so
+   no link is lost and no task emits the pairs of a group.
 
 A pair at exactly 0.75 shares no band with a chance of (1 - 0.75^4)^40 = 2.4e-7.
 Defined results: NULL and empty texts (and texts of white space) have no
@@ -50,6 +54,8 @@ BANDS, ROWS = 40, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 BLOCK = 256
+#: Shingles that one matrix product covers.
+COLUMNS = 8192
 #: Limit as a fraction of integers: link if DEN * intersection >= NUM * union.
 NUM, DEN = 75, 100
 
@@ -114,81 +120,143 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
 
 
+def _grouped(solve):
+    """A mapInArrow function that calls ``solve`` on whole groups; rows arrive sorted by their first column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            g = np.concatenate([x.column(0).to_numpy() for x in held])
+            cut = int(np.argmax(g == g[-1])) if len(g) else 0  # the last group may go on in the next batch
+            if cut:
+                table = pa.Table.from_batches(held)
+                yield solve(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
+        if sum(x.num_rows for x in held):
+            yield solve(pa.Table.from_batches(held))
+    return run
+
+
+def _found(a: list, b: list) -> pa.RecordBatch:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _spanning(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Numbers of the links (x[k], y[k]) that join two parts, in the given order."""
+    root: dict[int, int] = {}
+    keep = []
+    for k, (p, q) in enumerate(zip(x.tolist(), y.tolist())):
+        while root.setdefault(p, p) != p:
+            root[p] = p = root[root[p]]
+        while root.setdefault(q, q) != q:
+            root[q] = q = root[root[q]]
+        if p != q:
+            root[q] = p
+            keep.append(k)
+    return keep
+
+
+def _sides(side: np.ndarray, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.flatnonzero(side[s:e] != 1) + s, np.flatnonzero(side[s:e] != 0) + s
+
+
 def _candidates(spanning: bool, most: int):
-    """Groups (whole, sorted by g) of rows g, side, doc_id, n, comp, sketch to candidate pairs.
+    """Groups of rows g, side, doc_id, n, part, sketch to candidate pairs.
 
     side 0/1: the two blocks of a pair, 2: a block with itself. ``spanning``:
-    a spanning forest per group; else all candidates with different comp."""
+    a spanning forest per group; else all candidates of different parts."""
     def solve(table: pa.Table) -> pa.RecordBatch:
-        g, side, doc, n, comp = (table.column(k).to_numpy() for k in range(5))
-        words = SKETCH_BITS // 64
-        sketch = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint64).reshape(-1, words)
+        g, side, doc, n, part = (table.column(k).to_numpy() for k in range(5))
+        sketch = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
         first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         out_a, out_b = [], []
         for s, e in zip(first.tolist(), np.append(first[1:], len(g)).tolist()):
-            if e - s == 2:  # the common case, without matrices
-                p, q = np.array([s]), np.array([s + 1])
-                if side[s] != 2 and side[s] == side[s + 1]:
-                    continue
+            left, right = _sides(side, s, e)
+            if side[s] == 2:
+                i, j = np.triu_indices(len(left), 1)
             else:
-                left, right = np.flatnonzero(side[s:e] != 1) + s, np.flatnonzero(side[s:e] != 0) + s
-                if side[s] == 2:
-                    i, j = np.triu_indices(len(left), 1)
-                else:
-                    i, j = (x.reshape(-1) for x in np.indices((len(left), len(right))))
-                p, q = left[i], right[j]
+                i, j = (x.reshape(-1) for x in np.indices((len(left), len(right))))
+            p, q = left[i], right[j]
             ok = DEN * np.minimum(n[p], n[q]) >= NUM * np.maximum(n[p], n[q])
-            ok &= (comp[p] != comp[q]) if not spanning else (doc[p] != doc[q])
+            ok &= (doc[p] != doc[q]) if spanning else (part[p] != part[q])
             p, q = p[ok], q[ok]
             apart = np.bitwise_count(sketch[p] ^ sketch[q]).sum(axis=1, dtype=np.int64)
             ok = apart <= most
             p, q, apart = p[ok], q[ok], apart[ok]
             if spanning and len(p) > 1:
-                keep, root = [], list(range(e - s))
-                for k in np.argsort(apart, kind="stable").tolist():
-                    x, y = int(p[k]) - s, int(q[k]) - s
-                    while root[x] != x:
-                        root[x] = x = root[root[x]]
-                    while root[y] != y:
-                        root[y] = y = root[root[y]]
-                    if x != y:
-                        root[y] = x
-                        keep.append(k)
-                        if len(keep) == e - s - 1:
-                            break
+                best = np.argsort(apart, kind="stable")
+                p, q = p[best], q[best]
+                keep = _spanning(p, q)
                 p, q = p[keep], q[keep]
-            out_a.append(np.minimum(doc[p], doc[q]))
-            out_b.append(np.maximum(doc[p], doc[q]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (out_a, out_b)], ["a", "b"])
+            out_a.append(doc[p])
+            out_b.append(doc[q])
+        return _found(out_a, out_b)
+    return _grouped(solve)
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1 matrices over the shared members."""
+    out = np.zeros((len(left), len(right)))
+    a, b = np.concatenate(left), np.concatenate(right)
+    common = np.intersect1d(a, b)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    where = [np.minimum(np.searchsorted(common, x), max(len(common) - 1, 0)) for x in (a, b)]
+    hit = [common[w] == x if len(common) else np.zeros(len(x), bool) for w, x in zip(where, (a, b))]
+    for k in range(0, len(common), COLUMNS):
+        m = []
+        for r, w, h, x in zip(rows, where, hit, (left, right)):
+            now = h & (w >= k) & (w < k + COLUMNS)
+            matrix = np.zeros((len(x), min(COLUMNS, len(common) - k)), np.float32)
+            matrix[r[now], w[now] - k] = 1
+            m.append(matrix)
+        out += m[0] @ m[1].T
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in batches:
-            held.append(b)
-            table = pa.Table.from_batches(held)
-            g = table.column(0).to_numpy()
-            cut = int(np.argmax(g == g[-1])) if len(g) else 0  # the last group may go on in the next batch
-            if cut:
-                yield solve(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-        if held and sum(x.num_rows for x in held):
-            yield solve(pa.Table.from_batches(held))
-    return run
+
+def _exact_links(table: pa.Table) -> pa.RecordBatch:
+    """Groups of rows g, side, doc_id, comp, shingles to spanning links between components."""
+    g, side, doc, comp = (table.column(k).to_numpy() for k in range(4))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column(4).to_pylist()]
+    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    out_a, out_b = [], []
+    for s, e in zip(first.tolist(), np.append(first[1:], len(g)).tolist()):
+        left, right = _sides(side, s, e)
+        if not len(left) or not len(right):
+            continue
+        both = intersections([sets[k] for k in left], [sets[k] for k in right])
+        n = np.asarray([len(sets[k]) for k in range(s, e)], np.float64)
+        near = DEN * both >= NUM * (n[left - s][:, None] + n[right - s][None] - both)
+        i, j = np.nonzero(near & (comp[left][:, None] != comp[right][None]))
+        p, q = left[i], right[j]
+        keep = _spanning(comp[p], comp[q])
+        out_a.append(doc[p[keep]])
+        out_b.append(doc[q[keep]])
+    return _found(out_a, out_b)
+
+
+def _faced(rows: DataFrame, key: str, only_first: bool) -> DataFrame:
+    """Rows (key, blocks, block, ...) once per pair of blocks they are in: ``g`` and ``side`` (0/1, or 2 for the block itself)."""
+    partner = F.sequence(F.lit(0), F.col("blocks") - 1)
+    if only_first:  # each block, and the first block with every other
+        partner = F.when(F.col("block") == 0, partner).otherwise(F.array(F.lit(0), F.col("block")))
+    rows = rows.withColumn("other", F.explode(partner))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).cast("long")
+    return rows.withColumn("g", F.xxhash64(key, F.least("block", "other"), F.greatest("block", "other"))).withColumn("side", side)
+
+
+def _blocked(rows: DataFrame) -> DataFrame:
+    """``blocks`` of a group of n rows, and the ``block`` of each row by its id's hash."""
+    return rows.withColumn("blocks", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)")) \
+        .withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
 
 
 def _pairs(slots: DataFrame, prints: DataFrame, spanning: bool, most: int) -> DataFrame:
     """Candidate pairs (a < b) of the buckets ``slots`` (key, doc_id, blocks, block)."""
-    n = task_count(slots.sparkSession)
-    if spanning:  # each block, and the first block with every other
-        partner = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
-    else:
-        partner = F.sequence(F.lit(0), F.col("blocks") - 1)
-    faced = slots.withColumn("other", F.explode(partner))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).cast("long")
-    faced = faced.select("doc_id", F.xxhash64("key", low, high).alias("g"), side.alias("side")).join(prints, "doc_id") \
-        .select("g", "side", "doc_id", "n_shingles", "comp", "sketch")
-    return faced.repartition(n, "g").sortWithinPartitions("g", "side").mapInArrow(_candidates(spanning, most), "a long, b long").distinct()
+    faced = _faced(slots, "key", only_first=spanning).select("doc_id", "g", "side").join(prints, "doc_id") \
+        .select("g", "side", "doc_id", "n_shingles", "part", "sketch")
+    return faced.repartition(task_count(slots.sparkSession), "g").sortWithinPartitions("g", "side") \
+        .mapInArrow(_candidates(spanning, most), "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -227,26 +295,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .dropDuplicates(["doc_id", "digest"]), "near-classes")
     slots = reps.select("doc_id", F.explode("keys").alias("key"))
     shared = slots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    slots = written(slots.join(shared, "key").withColumn("blocks", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} as int)"))
-                    .withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)")).select("key", "doc_id", "blocks", "block"), "near-buckets")
-    light = reps.select("doc_id", "n_shingles", F.col("doc_id").alias("comp"), "sketch")
+    slots = written(_blocked(slots.join(shared, "key")).select("key", "doc_id", "blocks", "block"), "near-buckets")
+    light = reps.select("doc_id", "n_shingles", "sketch")
 
-    first = written(_pairs(slots, light, True, most), "near-pairs")
+    first = written(_pairs(slots, light.withColumn("part", F.col("doc_id")), True, most), "near-pairs")
     ids = written(first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-ids")
     sets = written(_sets(docs, ids, id_col, text_col, width), "near-sets")
     links = written(_confirmed(first, sets), "near-links")
+    comps = written(components(links).withColumnsRenamed({"node": "doc_id", "component": "comp"}), "near-components")
+    clusters = written(components(first).withColumnsRenamed({"node": "doc_id", "component": "cluster"}), "near-clusters")
+
+    members = clusters.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    several = members.groupBy("cluster").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+    inside = _faced(_blocked(members.join(several, "cluster")), "cluster", only_first=False) \
+        .select("g", "side", "doc_id", "comp").join(sets, "doc_id").select("g", "side", "doc_id", "comp", "shingles") \
+        .repartition(task_count(docs.sparkSession), "g").sortWithinPartitions("g", "side").mapInArrow(_grouped(_exact_links), "a long, b long")
+    parts = light.join(clusters, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("cluster", "doc_id").alias("part"), "sketch")
+    across = written(_pairs(slots, parts, False, most), "near-pairs")
+    more = written(across.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(ids, "doc_id", "left_anti"), "near-ids")
+    if not more.isEmpty():
+        sets = sets.unionByName(_sets(docs, more, id_col, text_col, width))
+    links = links.unionByName(inside).unionByName(_confirmed(across, sets))
     comps = written(components(links), "near-components")
 
-    with_comp = light.drop("comp").join(comps.withColumnsRenamed({"node": "doc_id", "component": "comp"}), "doc_id", "left") \
-        .withColumn("comp", F.coalesce("comp", "doc_id")).select("doc_id", "n_shingles", "comp", "sketch")
-    second = written(_pairs(slots, with_comp, False, most).join(first, ["a", "b"], "left_anti"), "near-pairs")
-    if not second.isEmpty():
-        more = written(second.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(ids, "doc_id", "left_anti"), "near-ids")
-        if not more.isEmpty():
-            sets = sets.unionByName(_sets(docs, more, id_col, text_col, width))
-        links = links.unionByName(_confirmed(second, sets))
-        comps = written(components(links), "near-components")
-
     per_class = classes.join(comps, classes["rep"] == comps["node"], "left") \
         .select("digest", F.coalesce("component", "rep").alias("component_id"))
     linked = usable.select("doc_id", "n_shingles", "digest").join(per_class, "digest").select("doc_id", "n_shingles", "component_id")
