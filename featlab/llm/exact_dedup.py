@@ -8,7 +8,9 @@ Plan (DataFrame functions only)
     3. the bytes are compared only where a hash occurs more than once:
        ``groupBy(hash, text)`` compares whole keys and again combines map-side,
        so thousands of copies travel as one row per task. A hash that turns out
-       to hold several texts (a collision) is regrouped by its text.
+       to hold several texts (a collision) is regrouped by its text;
+    4. only groups of several rows are joined back, broadcast if they are few
+       (counted), else by a shuffle join that splits hot hashes.
 
 Defined results: NULL text counts as empty; rows of equal (id, text) share one
 decision except that only one of them is kept; a NULL id sorts after all
@@ -44,25 +46,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                               F.monotonically_increasing_id().alias("rid")), "dedup-hashes")
     # NULL ids last, then the smallest id, then one row among equals
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "rid"))
-    sizes = ids.groupBy("h").agg(F.count("*").alias("group_size"), first.alias("first"))
-    repeated = written(sizes.filter("group_size > 1").select("h"), "dedup-repeated")
+    groups = written(ids.groupBy("h").agg(F.count("*").alias("group_size"), first.alias("first")).filter("group_size > 1"), "dedup-groups")
+    repeated = groups.select("h")
     texts = base.join(sized(repeated), "h", "left_semi").groupBy("h", "norm").agg(F.count("*").alias("n"))
     collided = written(texts.groupBy("h").agg(F.count("*").alias("texts")).filter("texts > 1").select("h"), "dedup-collided")
 
     def result(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.join(groups, keys).select(
-            "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-            (F.col("rid") == F.col("first.rid")).alias("kept"), "text_sha256")
+        """Rows with their group; a row without one is alone."""
+        grouped = F.col("first").isNotNull()
+        return rows.join(groups, keys, "left").select(
+            "doc_id", F.when(grouped, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+            F.coalesce("group_size", F.lit(1)).alias("group_size"),
+            F.coalesce(F.col("rid") == F.col("first.rid"), F.lit(True)).alias("kept"), "text_sha256")
 
     if collided.isEmpty():
-        return result(ids, sizes, ["h"])
+        return result(ids, sized(groups), ["h"])
     # several texts under one hash: those hashes are grouped by the text itself
     apart = ids.join(sized(collided), "h", "left_anti")
     clash = written(base.join(sized(collided), "h", "left_semi")
                     .select("doc_id", "norm", F.sha2("norm", 256).alias("text_sha256"),
                             F.monotonically_increasing_id().alias("rid")), "dedup-clash")
     by_text = clash.groupBy("norm").agg(F.count("*").alias("group_size"), first.alias("first"))
-    return result(apart, sizes, ["h"]).unionByName(result(clash, by_text, ["norm"]))
+    return result(apart, sized(groups), ["h"]).unionByName(result(clash, by_text, ["norm"]))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

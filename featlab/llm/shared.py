@@ -42,7 +42,7 @@ def task_count(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-#: A list of keys up to this many bytes (64 a row) is sent to every executor;
+#: A list of keys up to this many bytes (64 a row, key and a few numbers) is sent to every executor;
 #: a longer one is joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
