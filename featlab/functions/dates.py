@@ -14,43 +14,49 @@ CN_DIGITS = "零一二三四五六七八九"          # value = position
 CN_UNITS = {"十": 10, "百": 100, "千": 1000, "万": 10000}
 RELATIVE_DAYS = {"今天": 0, "明天": 1, "后天": 2}
 PM_WORDS = ("下午", "晚上", "中午")
-_NUM = "[0-9零一二三四五六七八九十]"
-DATE_PATTERN = (f"({_NUM}+年)?({_NUM}+月)?({_NUM}+[号日])?([上中下午晚早]+)?"
-                f"({_NUM}+[点:\\.时])?({_NUM}+分?)?({_NUM}+秒)?")
+DAY_PART_WORDS = ("上午", "下午", "中午", "早上", "晚上")
 # ------------------------------------------------------------------------------------
 
+_DIGIT = f"[0-9{CN_DIGITS}]"
+_NUMBER = f"[0-9{CN_DIGITS}{''.join(CN_UNITS)}]+"
+_HOUR_MARK = "[点时:.]"
+_DAY_PART = "|".join(DAY_PART_WORDS)
+_RELATIVE = "|".join(RELATIVE_DAYS)
+#: one number with the mark of its unit, or a clock reading
+_PIECE = f"(?:(?:{_DAY_PART})?{_NUMBER}(?:[年月号日点时分秒:.]))"
+MENTION = f"(?:{_RELATIVE})?(?:{_PIECE}+(?:{_NUMBER})?|(?:{_DAY_PART}){_NUMBER})|{_RELATIVE}"
+LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm",
+           "yyyy/MM/dd", "yyyy.MM.dd", "yyyyMMdd", "MM/dd/yyyy", "MM/dd/yyyy HH:mm", "d MMM yyyy", "MMM d, yyyy", "MMM d yyyy", "d MMMM yyyy", "MMMM d, yyyy")
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def cn_number(x) -> Column:
-    """Leading ASCII digits as an int, else a Chinese numeral read
-    right to left (units 十百千万); a bare unit counts once (十 -> 10,
-    十五 -> 15). 零 alone is 0. Any other character gives NULL."""
+    """Leading ASCII digits as an int, else a Chinese numeral. It is cut
+    into runs of digits that end at a unit 十百千万 (or at the end, worth 1);
+    a run is worth its digit sum times its unit. A first unit that the sum
+    does not reach counts once (十 -> 10, 十五 -> 15). 零 alone is 0. Any
+    other character gives NULL."""
     s = _c(x)
+    units = "".join(CN_UNITS)
     lead = F.regexp_extract(s, r"^(\d+)", 1)
-    chars = F.reverse(F.split(s, ""))
-    init = F.struct(F.lit(0).cast("bigint").alias("r"), F.lit(1).cast("bigint").alias("u"),
-                    F.lit(False).alias("bad"), F.lit(False).alias("unit_seen"))
-
-    def step(acc, ch):
-        d = F.instr(F.lit(CN_DIGITS), ch) - 1
-        asc = F.when(ch.rlike("^[0-9]$"), ch.cast("int"))
-        digit = F.when(d >= 0, d).otherwise(asc)
-        unit = F.coalesce(*[F.when(ch == F.lit(k), F.lit(v)) for k, v in CN_UNITS.items()], F.lit(None))
-        return F.struct(
-            F.when(unit.isNull() & digit.isNotNull(), acc["r"] + digit * acc["u"]).otherwise(acc["r"]).alias("r"),
-            F.coalesce(unit.cast("bigint"), acc["u"]).alias("u"),
-            (acc["bad"] | (unit.isNull() & digit.isNull())).alias("bad"),
-            (acc["unit_seen"] | unit.isNotNull()).alias("unit_seen"))
-
-    folded = F.aggregate(chars, init, step)
-    val = F.when(folded["unit_seen"] & (folded["r"] < folded["u"]), folded["r"] + folded["u"]).otherwise(folded["r"])
+    worth = F.create_map(*[F.lit(v) for kv in CN_UNITS.items() for v in kv])
+
+    def run_value(run):
+        plain = F.translate(run, CN_DIGITS, "0123456789")
+        digits = sum((F.length(plain) - F.length(F.translate(plain, str(v), ""))) * v for v in range(1, 10))
+        return digits * F.coalesce(worth[F.right(run, F.lit(1))], F.lit(1))
+
+    runs = F.regexp_extract_all(s, F.lit(f"{_DIGIT}+[{units}]?|[{units}]"), 0)
+    total = F.aggregate(F.transform(runs, run_value), F.lit(0).cast("bigint"), lambda a, v: a + v)
+    first_unit = F.coalesce(worth[F.regexp_extract(s, f"([{units}])", 1)], F.lit(0))
     return (F.when(s.isNull() | (s == ""), None)
              .when(lead != "", lead.cast("bigint"))
-             .when(folded["bad"], None)
-             .otherwise(val))
+             .when(~s.rlike(f"^(?:{_NUMBER})$"), None)
+             .when(total < first_unit, total + first_unit)
+             .otherwise(total))
 
 
 def cn_year(x, as_of) -> Column:
@@ -66,31 +72,32 @@ def valid_time_word(x) -> Column:
     """Digits-only words of at most 6 characters are not dates (NULL);
     digits after 号/日 are cut."""
     s = _c(x)
-    cut = F.regexp_replace(s, r"[号|日]\d+$", "日")
+    cut = F.regexp_replace(s, r"[号日]\d+$", "日")
     return F.when(s.rlike(r"^\d+$") & (F.length(s) <= 6), None).otherwise(cut)
 
 
 def parse_cn_datetime(x, as_of) -> Column:
-    """Standard layouts first (ISO date/time, slashes), else the
-    年/月/日/时/分/秒 pattern; missing date parts come from ``as_of``, time
-    parts default to 0; 下午/晚上/中午 add 12 h to an hour below 12."""
+    """The general layouts first, else the parts marked 年 月 日/号
+    点/时 分 秒, each looked up by its own mark; a bare number after the hour
+    is the minute. Missing date parts come from ``as_of``, time parts are 0;
+    下午/晚上/中午 add 12 h to an hour below 12. NULL without any part."""
     s, ref = _c(x), _c(as_of).cast("timestamp")
-    std = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in
-                       ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd")])
-    g = lambda i: F.regexp_extract(s, DATE_PATTERN, i)
-    part = lambda i: F.when(g(i) != "", cn_number(F.substring(g(i), F.lit(1), F.length(g(i)) - 1)))
-    year = F.coalesce(F.when(g(1) != "", cn_year(F.substring(g(1), F.lit(1), F.length(g(1)) - 1), ref)), F.year(ref))
-    month = F.coalesce(part(2), F.month(ref))
-    day = F.coalesce(part(3), F.dayofmonth(ref))
-    hour = F.coalesce(part(5), F.lit(0))
-    minute = F.coalesce(F.when(g(6) != "", cn_number(F.regexp_replace(g(6), "分$", ""))), F.lit(0))
-    second = F.coalesce(part(7), F.lit(0))
-    pm = g(4).isin(*PM_WORDS)
-    hour = F.when(pm & (hour < 12), hour + 12).otherwise(hour)
-    built = F.try_make_timestamp(year, month, day, hour, minute, second) if hasattr(F, "try_make_timestamp") \
-        else F.make_timestamp(year, month, day, hour, minute, second)
-    has_any = F.length(F.regexp_extract(s, DATE_PATTERN, 0)) > 0
-    return F.coalesce(std, F.when(has_any, built))
+    general = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in LAYOUTS])
+
+    def marked(pattern):
+        text = F.regexp_extract(s, pattern, 1)
+        return F.when(text != "", text)
+    year, month, day, hour, second = (marked(f"({_NUMBER}){m}") for m in ("年", "月", "[号日]", _HOUR_MARK, "秒"))
+    minute = F.coalesce(marked(f"({_NUMBER})分"), marked(f"{_HOUR_MARK}({_NUMBER})"))
+    second = F.coalesce(second, marked(f"{_HOUR_MARK}{_NUMBER}{_HOUR_MARK}({_NUMBER})"))
+    h = F.coalesce(cn_number(hour), F.lit(0))
+    late = F.lit(False)
+    for w in PM_WORDS:
+        late = late | F.contains(s, F.lit(w))
+    built = F.try_make_timestamp(
+        F.coalesce(cn_year(year, ref), F.year(ref)), F.coalesce(cn_number(month), F.month(ref)), F.coalesce(cn_number(day), F.dayofmonth(ref)),
+        F.when(late & (h < 12), h + 12).otherwise(h), F.coalesce(cn_number(minute), F.lit(0)), F.coalesce(cn_number(second), F.lit(0)))
+    return F.coalesce(general, F.when(F.coalesce(year, month, day, hour, minute, second).isNotNull(), built))
 
 
 def relative_day_mentions(text, as_of) -> Column:
@@ -102,5 +109,21 @@ def relative_day_mentions(text, as_of) -> Column:
 
 
 def date_mentions(text) -> Column:
-    """Candidate date strings (the 年月日时分秒 pattern, non-empty)."""
-    return F.filter(F.regexp_extract_all(_c(text), F.lit(DATE_PATTERN), 0), lambda m: F.length(m) > 0)
+    """Candidate date strings of a text, in order."""
+    return F.regexp_extract_all(_c(text), F.lit(MENTION), 0)
+
+
+def mentioned_times(text, as_of) -> Column:
+    """The timestamps a text mentions, in order: candidates, validity
+    filter, parsing; a relative day word moves the day that the rest of its
+    mention is read against (alone it is that day at 0:00)."""
+    ref = _c(as_of).cast("timestamp")
+
+    def read(m):
+        word = F.regexp_extract(m, f"^({_RELATIVE})", 1)
+        moved = F.when(word == "", ref)
+        for w, n in RELATIVE_DAYS.items():
+            moved = F.when(word == w, F.date_add(F.to_date(ref), n).cast("timestamp")).otherwise(moved)
+        rest = F.regexp_replace(m, f"^(?:{_RELATIVE})", "")
+        return F.when(rest == "", moved).otherwise(parse_cn_datetime(valid_time_word(rest), moved))
+    return F.filter(F.transform(date_mentions(text), read), lambda t: t.isNotNull())

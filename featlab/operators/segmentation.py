@@ -1,10 +1,10 @@
 """Dictionary-driven token work.
 
-Pattern: the per-token Python helper runs once per *distinct* token or
-sentence (``distinct`` is a shuffle whose size follows the vocabulary, not
-the corpus), inside an Arrow-batched ``mapInPandas``; the result is joined
-back to the ``(doc, pos, token)`` rows. Dictionaries reach the tasks as a
-broadcast only after their size is checked against ``max_entries``.
+Dictionaries stay tables: ``dictionary_matches`` finds the words that occur in a
+text by equi-joins on substrings, and everything else works on a text's own
+matches. Work is done once per *distinct* token or text (``distinct`` is a
+shuffle whose size follows the vocabulary, not the corpus) and joined back to
+the rows. Nothing is collected or broadcast, so dictionaries have no size limit.
 """
 
 from __future__ import annotations
@@ -18,56 +18,61 @@ from pyspark.sql import functions as F
 
 from featlab.functions.arrays import explode_values
 
-MAX_ENTRIES = 2_000_000
 
-
-def _broadcast_dict(df: DataFrame, key: str, value: str | None, max_entries: int):
-    n = df.count()
-    if n > max_entries:
-        raise ValueError(f"dictionary has {n} entries, above the broadcast limit {max_entries}")
-    rows = df.select(key, *([value] if value else [])).collect()   # bounded by max_entries
-    data = {r[0]: (r[1] if value else True) for r in rows}
-    return df.sparkSession.sparkContext.broadcast(data)
+# ---- J08: every dictionary word in a text --------------------------------------------------
+def dictionary_matches(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
+                       word_col: str = "word") -> DataFrame:
+    """J08 (full mode): every dictionary word occurring in the text, with
+    its 1-based start: (id, start, word).
+
+    Places of a text are joined with the first two characters of the words
+    (their heads) and with the lengths that words of that head have; only such
+    substrings are then joined with the dictionary. A row carries at most the
+    longest word's length of text."""
+    words = dictionary.select(F.col(word_col).alias("_w")).filter(F.length("_w") > 0).distinct()
+    head = lambda c, n: F.substring(c, 1, n)
+    heads = words.select(head("_w", 2).alias("_head"), F.length("_w").alias("_len")).groupBy("_head").agg(F.collect_set("_len").alias("_lens"))
+    longest = words.agg(F.max(F.length("_w"))).first()[0] or 0
+    places = (df.select(F.col(id_col), F.col(text_col).alias("_t"), explode_values(F.sequence(F.lit(1), F.greatest(F.length(text_col), F.lit(1)))).alias("start"))
+              .select(id_col, "start", F.substring("_t", F.col("start"), F.lit(longest)).alias("_s")).filter(F.length("_s") > 0))
+    one = places.select(id_col, "start", "_s", head("_s", 1).alias("_head")).filter(F.length("_s") > 1)
+    two = places.select(id_col, "start", "_s", head("_s", 2).alias("_head"))
+    found = two.unionByName(one).join(heads, "_head").select(id_col, "start", "_s", F.explode("_lens").alias("_len")) \
+        .filter((F.col("_len") <= F.length("_s"))).select(id_col, "start", F.substring("_s", F.lit(1), F.col("_len")).alias("_w"))
+    return found.join(words, "_w").select(id_col, "start", F.col("_w").alias(word_col))
 
 
 # ---- X08: WordPiece -------------------------------------------------------------------
-def wordpiece(token: str, vocab, unk: str = "[UNK]", max_chars: int = 100) -> list[str]:
-    """Greedy longest-match-first; continuation pieces carry ``##``; the
-    whole token becomes ``unk`` if any part cannot be matched."""
-    if len(token) > max_chars:
-        return [unk]
-    out, start = [], 0
-    while start < len(token):
-        end, cur = len(token), None
-        while start < end:
-            sub = token[start:end]
-            if start > 0:
-                sub = "##" + sub
-            if sub in vocab:
-                cur = sub
-                break
-            end -= 1
-        if cur is None:
-            return [unk]
-        out.append(cur)
-        start = end
-    return out
-
-
 def wordpiece_tokens(tokens: DataFrame, token_col: str, vocab: DataFrame, vocab_col: str = "token",
-                     unk: str = "[UNK]", max_chars: int = 100, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Add ``pieces`` (array<string>) to every token row."""
-    bvocab = _broadcast_dict(vocab, vocab_col, None, max_entries)
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = bvocab.value
-        for pdf in it:
-            yield pd.DataFrame({token_col: pdf[token_col],
-                                "pieces": [wordpiece(t, v, unk, max_chars) for t in pdf[token_col]]})
-
-    distinct = tokens.select(token_col).distinct()
-    pieces = distinct.mapInPandas(run, f"{token_col} string, pieces array<string>")
-    return tokens.join(pieces, token_col, "left")
+                     unk: str = "[UNK]", max_chars: int = 100) -> DataFrame:
+    """Add ``pieces`` (array<string>) to every token row: from the left, the
+    longest vocabulary entry that fits (entries inside a token carry ``##``);
+    ``unk`` if some part has none or the token is longer than ``max_chars``."""
+    inner = F.col(vocab_col).startswith("##")
+    bodies = vocab.select(F.when(inner, F.substring(vocab_col, 3, 1 << 30)).otherwise(F.col(vocab_col)).alias("_body"), inner.alias("_inner"))
+    # an entry that itself begins with ## can also start a token
+    bodies = bodies.unionByName(vocab.filter(inner).select(F.col(vocab_col).alias("_body"), F.lit(False).alias("_inner"))).distinct()
+    distinct = tokens.select(F.col(token_col).alias("_tok")).filter(F.col("_tok").isNotNull()).distinct()
+    fits = dictionary_matches(distinct.filter(F.length("_tok") <= max_chars).withColumn("_text", F.col("_tok")), "_tok", "_text", bodies, "_body") \
+        .join(bodies, "_body").filter(F.col("_inner") == (F.col("start") > 1))
+    longest = fits.groupBy("_tok", "start").agg(F.max(F.length("_body")).alias("n")).groupBy("_tok") \
+        .agg(F.map_from_entries(F.collect_list(F.struct("start", "n"))).alias("_fit"))
+    n = F.length("_tok")
+
+    def step(done, place):
+        """``done``: the next place to fill and the pieces so far; other places pass by."""
+        size = F.col("_fit")[place]
+        body = F.substring(F.col("_tok"), place, size)
+        piece = F.when(place > 1, F.concat(F.lit("##"), body)).otherwise(body)
+        here = (done["next"] == place) & size.isNotNull()
+        return F.struct(F.when(here, place + size).otherwise(done["next"]).alias("next"),
+                        F.when(here, F.concat(done["pieces"], F.array(piece))).otherwise(done["pieces"]).alias("pieces"))
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("pieces"))
+    walk = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), start, step)
+    pieces = distinct.join(longest, "_tok", "left").withColumn("_walk", F.when(F.col("_fit").isNotNull(), walk)) \
+        .select("_tok", F.when(n == 0, F.array().cast("array<string>")).when(F.col("_walk.next") == n + 1, F.col("_walk.pieces"))
+                .otherwise(F.array(F.lit(unk))).alias("pieces"))
+    return tokens.join(pieces, tokens[token_col] == pieces["_tok"], "left").drop("_tok")
 
 
 # ---- X14: Porter stemmer (Porter 1980, original rules) -----------------------------------
@@ -186,105 +191,74 @@ def stems(tokens: DataFrame, token_col: str, out_col: str = "stem") -> DataFrame
 
 
 # ---- X11-X13: dictionary segmentation ------------------------------------------------------
-def segment(sentence: str, freq: dict, total: float) -> list[str]:
-    """Maximum-probability split over the dictionary words found in the
-    sentence; characters not starting a dictionary word stand alone."""
-    n = len(sentence)
-    if n == 0:
-        return []
-    maxlen = freq.get("__maxlen__", 8)
-    logt = math.log(total)
-    route = [(0.0, n)] * (n + 1)
-    route[n] = (0.0, n)
-    for i in range(n - 1, -1, -1):
-        best = None
-        for j in range(i + 1, min(n, i + maxlen) + 1):
-            w = sentence[i:j]
-            f = freq.get(w)
-            if f is None and j > i + 1:
-                continue
-            score = math.log(f or 1) - logt + route[j][0]
-            if best is None or score > best[0]:
-                best = (score, j)
-        route[i] = best
+def best_path(text: str, matches: list[tuple[int, int, float]], total: float) -> list[str]:
+    """Most probable split of ``text`` given its own dictionary matches
+    (0-based start, length, frequency); a character alone counts as frequency
+    1 if the dictionary lacks it. Of equal paths the longer first word wins."""
+    n = len(text)
+    options: list[dict[int, float]] = [{1: 1.0} for _ in range(n)]
+    for start, length, freq in matches:
+        options[start][length] = freq or 1.0
+    score, width = [0.0] * (n + 1), [0] * n
+    for i in reversed(range(n)):
+        score[i], width[i] = max((math.log(f / total) + score[i + k], k) for k, f in options[i].items())
     out, i = [], 0
     while i < n:
-        j = route[i][1]
-        out.append(sentence[i:j])
-        i = j
+        out.append(text[i:i + width[i]])
+        i += width[i]
     return out
 
 
 def segment_text(df: DataFrame, text_col: str, dictionary: DataFrame, word_col: str = "word",
-                 freq_col: str = "freq", search_mode: bool = False, max_entries: int = MAX_ENTRIES) -> DataFrame:
+                 freq_col: str = "freq", search_mode: bool = False) -> DataFrame:
     """X11 (precise) / X12 (search: adds in-dictionary 2- and 3-char parts
-    of longer words): ``words`` array per distinct text, joined back."""
-    d = dictionary.select(F.col(word_col).alias("w"), F.coalesce(F.col(freq_col), F.lit(1)).alias("f"))
-    b = _broadcast_dict(d, "w", "f", max_entries)
-    stats = d.agg(F.sum("f").alias("t"), F.max(F.length("w")).alias("m")).first()
-    total, maxlen = float(stats["t"] or 1), int(stats["m"] or 1)
+    of longer words): ``words`` array per distinct text, joined back. NULL
+    texts get no words."""
+    d = dictionary.select(F.col(word_col).alias("_word"), F.coalesce(F.col(freq_col), F.lit(1)).cast("double").alias("_f"))
+    total = float(d.agg(F.sum("_f")).first()[0] or 1)
+    texts = df.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    found = dictionary_matches(texts.withColumn("_body", F.col("_text")), "_text", "_body", d, "_word").join(d, "_word") \
+        .groupBy("_text").agg(F.collect_list(F.struct((F.col("start") - 1).alias("s"), F.length("_word").alias("n"), "_f")).alias("_found"))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        freq = dict(b.value)
-        freq["__maxlen__"] = maxlen
         for pdf in it:
             words = []
-            for s in pdf[text_col]:
-                ws = segment(s or "", freq, total)
+            for text, found in zip(pdf["_text"], pdf["_found"]):
+                matches = [(m["s"], m["n"], m["_f"]) for m in (found if found is not None else [])]
+                path = best_path(text, matches, total)
                 if search_mode:
-                    extra = []
-                    for w in ws:
-                        for k in (2, 3):
-                            if len(w) > k:
-                                extra += [w[i:i + k] for i in range(len(w) - k + 1) if w[i:i + k] in freq]
-                    ws = extra + ws
-                words.append(ws)
-            yield pd.DataFrame({text_col: pdf[text_col], "words": words})
+                    known = {(s, n) for s, n, _ in matches}
+                    parts, at = [], 0
+                    for w in path:
+                        parts += [text[i:i + k] for k in (2, 3) if len(w) > k for i in range(at, at + len(w) - k + 1) if (i, k) in known]
+                        at += len(w)
+                    path = parts + path
+                words.append(path)
+            yield pd.DataFrame({"_text": pdf["_text"], "words": words})
 
-    seg = df.select(text_col).distinct().mapInPandas(run, f"{text_col} string, words array<string>")
-    return df.join(seg, text_col, "left")
+    seg = texts.join(found, "_text", "left").mapInPandas(run, "_text string, words array<string>")
+    return df.join(seg, df[text_col] == seg["_text"], "left").drop("_text")
 
 
 def suggest_freq(dictionary: DataFrame, word: str, parts: list[str] | None = None,
                  word_col: str = "word", freq_col: str = "freq") -> DataFrame:
-    """Tune one dictionary entry so the wanted split wins: keep ``word``
-    whole (its frequency above the product path of its pieces), or break it
-    into ``parts`` (its frequency lowered below that path)."""
-    t = dictionary.agg(F.sum(freq_col)).first()[0] or 1
-    if parts is None:
-        pieces = dictionary.filter(F.col(word_col).isin(list(word))).select(freq_col).collect()
-        prod = 1.0
-        for r in pieces:
-            prod *= (r[0] or 1) / t
-        new = max(int(prod * t) + 1, 1)
-        upd = dictionary.sparkSession.createDataFrame([(word, new)], f"{word_col} string, {freq_col} bigint")
-        return dictionary.join(upd.select(word_col), word_col, "left_anti").unionByName(upd, allowMissingColumns=True)
-    fr = dictionary.filter(F.col(word_col).isin(parts)).select(freq_col).collect()
-    prod = 1.0
-    for r in fr:
-        prod *= (r[0] or 1) / t
-    new = max(int(prod * t) - 1, 0)
-    upd = dictionary.sparkSession.createDataFrame([(word, new)], f"{word_col} string, {freq_col} bigint")
-    return dictionary.join(upd.select(word_col), word_col, "left_anti").unionByName(upd, allowMissingColumns=True)
-
-
-# ---- J08-J10 -------------------------------------------------------------------------------
-def dictionary_matches(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
-                       word_col: str = "word", max_len: int | None = None) -> DataFrame:
-    """J08 (full mode): every dictionary word occurring in the text, with
-    its start. Substrings up to the longest word length are generated per
-    row and equi-joined with the dictionary (hash join, no scan of pairs)."""
-    if max_len is None:
-        max_len = dictionary.agg(F.max(F.length(word_col))).first()[0] or 1
-    txt = F.col(text_col)
-    subs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length(txt), F.lit(1))), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(txt) - i + 1)),
-        lambda L: F.struct(i.alias("start"), F.substring(txt, i, L).alias("w")))))
-    cand = (df.select(id_col, explode_values(subs).alias("c")).filter(F.col("c").isNotNull())
-            .select(id_col, F.col("c.start").alias("start"), F.col("c.w").alias(word_col)))
-    return cand.join(dictionary.select(word_col).distinct(), word_col)
-
-
+    """Tune one dictionary entry so the wanted split wins. Keep ``word``
+    whole: its frequency becomes at least one above the product of its best
+    path, never less than it is. Break it into ``parts``: at most that
+    product, never more than it is."""
+    spark = dictionary.sparkSession
+    total = float(dictionary.agg(F.sum(freq_col)).first()[0] or 1)
+    pieces = parts if parts is not None else segment_text(spark.createDataFrame([(word,)], "t string"), "t", dictionary, word_col, freq_col).first()["words"]
+    known = {r[0]: r[1] for r in dictionary.filter(F.col(word_col).isin([*pieces, word])).select(word_col, freq_col).collect()}  # the word's own pieces
+    product = math.prod((known.get(p) or 1) / total for p in pieces) * total
+    now = known.get(word) or 0
+    new = max(int(product) + 1, now) if parts is None else min(int(product), now)
+    kept = dictionary.filter(~F.col(word_col).eqNullSafe(F.lit(word)))
+    entry = spark.createDataFrame([(word, new)], f"{word_col} string, {freq_col} bigint")
+    return kept.unionByName(entry, allowMissingColumns=True)
+
+
+# ---- J09, J10 ------------------------------------------------------------------------------
 def tag_tokens(tokens: DataFrame, token_col: str, tags: DataFrame, word_col: str = "word",
                tag_col: str = "tag", default: str = "x") -> DataFrame:
     """Part-of-speech (or any) tag from a dictionary, default ``x``."""

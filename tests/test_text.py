@@ -21,18 +21,31 @@ def test_ngrams_and_word_tokens(spark):
     assert g == ["the", "cat", "sat", "the cat", "cat sat", "the cat sat"]
 
 
-def test_wordpiece_fixture():
-    vocab = {"un", "##aff", "##able"}
-    assert SG.wordpiece("unaffable", vocab) == ["un", "##aff", "##able"]
-    assert SG.wordpiece("xyz", vocab) == ["[UNK]"]
-    assert SG.wordpiece("u" * 101, vocab | {"u" * 101}) == ["[UNK]"]
-
-
-def test_wordpiece_distinct_then_join(spark):
-    toks = spark.createDataFrame([(1, "unaffable"), (2, "un"), (3, "xyz")], "pos int, token string")
-    vocab = spark.createDataFrame([("un",), ("##aff",), ("##able",)], "token string")
-    out = {r.pos: list(r.pieces) for r in SG.wordpiece_tokens(toks, "token", vocab).collect()}
-    assert out == {1: ["un", "##aff", "##able"], 2: ["un"], 3: ["[UNK]"]}
+def brute_wordpiece(token, vocab, unk="[UNK]"):
+    """Every split into vocabulary entries whose pieces are each the longest at their place."""
+    def entry(i, j):
+        return token[i:j] if i == 0 else "##" + token[i:j]
+    if len(token) > 100:
+        return [unk]
+    out, i = [], 0
+    while i < len(token):
+        ends = [j for j in range(i + 1, len(token) + 1) if entry(i, j) in vocab]
+        if not ends:
+            return [unk]
+        out.append(entry(i, max(ends)))
+        i = max(ends)
+    return out
+
+
+def test_wordpiece(spark):
+    import random
+    rng = random.Random(1)
+    vocab = {"un", "##aff", "##able", "##a", "u" * 101, "##", "##x##y"} | {rng.choice(["", "##"]) + "".join(rng.choice("ab") for _ in range(rng.randint(1, 4))) for _ in range(25)}
+    toks = ["unaffable", "xyz", "u" * 101, "un", "", "##a", "##"] + ["".join(rng.choice("ab") for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(toks)] + [(-1, None)], "pos int, token string")
+    out = {r.pos: r.pieces for r in SG.wordpiece_tokens(df, "token", spark.createDataFrame([(v,) for v in vocab], "token string")).collect()}
+    assert out.pop(-1) is None and len(out) == len(toks)
+    assert out == {k: brute_wordpiece(t, vocab) for k, t in enumerate(toks)}
 
 
 def test_porter_stemmer_published_examples():
@@ -50,6 +63,41 @@ def test_segmentation_prefers_dictionary_words(spark):
     assert "".join(words) == "北京大学生" and words[0] in ("北京", "北京大学")
 
 
+def test_segmentation_finds_the_most_probable_split(spark):
+    import itertools
+    import math
+    import random
+    rng = random.Random(2)
+    freq = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))): rng.randint(1, 50) for _ in range(30)}
+    total = sum(freq.values())
+    texts = ["".join(rng.choice("abcd") for _ in range(n)) for n in range(1, 9) for _ in range(6)]
+    d = spark.createDataFrame(list(freq.items()), "word string, freq bigint")
+    out = {r.t: r.words for r in SG.segment_text(spark.createDataFrame([(t,) for t in texts + [""]] + [(None,)], "t string"), "t", d).collect()}
+    assert out[""] == [] and out[None] is None
+
+    def value(words):
+        return sum(math.log(freq.get(w, 1) / total) for w in words)
+    for t in texts:
+        splits = []
+        for cuts in itertools.product([0, 1], repeat=len(t) - 1):
+            at = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(t)]
+            words = [t[a:b] for a, b in zip(at, at[1:])]
+            if all(len(w) == 1 or w in freq for w in words):
+                splits.append(words)
+        assert "".join(out[t]) == t and abs(value(out[t]) - max(map(value, splits))) < 1e-9
+
+
+def test_suggested_frequencies(spark):
+    d = spark.createDataFrame([("ab", 100), ("a", 30), ("b", 30), ("aa", 1)], "word string, freq bigint")
+    freq = lambda t: {r.word: r.freq for r in t.collect()}
+    # keeping a word never lowers it, breaking it never raises it
+    assert freq(SG.suggest_freq(d, "ab"))["ab"] >= 100
+    assert freq(SG.suggest_freq(d, "ab", parts=["a", "b"]))["ab"] == int(30 * 30 / 161)
+    assert freq(SG.suggest_freq(d, "zz", parts=["z", "z"]))["zz"] == 0
+    # a repeated piece counts each time
+    assert freq(SG.suggest_freq(d.filter("word <> 'aa'"), "aaa"))["aaa"] == int((30 / 160) ** 3 * 160) + 1
+
+
 def test_dictionary_matches(spark):
     d = spark.createDataFrame([("ab",), ("bc",), ("abc",)], "word string")
     df = spark.createDataFrame([(1, "xabcx")], "id int, t string")
@@ -58,10 +106,10 @@ def test_dictionary_matches(spark):
 
 
 def test_cn_numerals(spark):
-    vals = ["十", "十五", "三十五", "一百一", "零", "12", "x"]
+    vals = ["十", "十五", "三十五", "一百一", "零", "12", "x", "二百三十四", "一千零五", "", None, "三x"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(D.cn_number("s")).collect()]
-    assert got == [10, 15, 35, 101, 0, 12, None]
+    assert got == [10, 15, 35, 101, 0, 12, None, 234, 1005, None, None, None]
 
 
 def test_cn_datetime(spark):
@@ -76,6 +124,14 @@ def test_cn_datetime(spark):
     assert rel == [dt.date(2024, 3, 11)]
 
 
+def test_times_mentioned_in_a_text(spark):
+    asof = dt.datetime(2024, 3, 10, 8, 0, 0)
+    texts = ["明天下午3点半见", "会议在2023年5月6日十点二十分", "今天", "编号12345", "后天晚上八点", "没有"]
+    df = spark.createDataFrame([(t, asof) for t in texts], "s string, a timestamp")
+    got = [r[0] for r in df.select(D.mentioned_times("s", "a")).collect()]
+    assert got == [[dt.datetime(2024, 3, 11, 15)], [dt.datetime(2023, 5, 6, 10, 20)], [dt.datetime(2024, 3, 10)], [], [dt.datetime(2024, 3, 12, 20)], []]
+
+
 def test_valid_time_word(spark):
     df = spark.createDataFrame([("12345",), ("5日3",), ("2024年",)], "s string")
     assert [r[0] for r in df.select(D.valid_time_word("s")).collect()] == [None, "5日", "2024年"]
