@@ -59,6 +59,41 @@ def test_stepwise_forward(spark):
     assert set(chosen) == {"a", "b"}
 
 
+def test_stepwise_takes_the_best_candidate():
+    table = {"a": 5, "b": 3, "c": 1, "ab": 2.5, "abc": 2.4, "ac": 2, "bc": 4}
+    score = lambda cols: table["".join(sorted(cols))]
+    assert MD.stepwise(None, ["a", "b", "c"], score) == (["c"], 1)
+    assert MD.stepwise(None, ["a", "b", "c"], score, forward=False) == (["c"], 1)
+
+
+def test_recursive_elimination_fits_an_intercept(spark):
+    rng = np.random.default_rng(4)
+    X = rng.standard_normal((300, 3)) + np.array([0, 10, 0])
+    y = X @ np.array([0.5, 0.01, 0.2]) + 100
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(X, y)], "a double, b double, c double, y double")
+    assert dict(MD.recursive_elimination(df, ["a", "b", "c"], "y")) == {"a": 1, "c": 2, "b": 3}
+
+
+def test_early_stop_and_refit(spark):
+    losses = [5, 4, 3, 3.5, 3.4, 3.3, 1]
+    scores = spark.createDataFrame([(f, k + 1, float(v)) for f in (0, 1) for k, v in enumerate(losses)], "fold int, round int, loss double")
+    assert MD.early_stopped_round(scores, patience=3) == (3, 3.0) and MD.early_stopped_round(scores, patience=10) == (7, 1.0)
+    df, _, _ = _data(spark, n=120)
+    x = MD.assemble(df, ["a", "b", "c"]).withColumn("label", F.col("y")).withColumn("fold", F.col("id") % 3)
+    model, rounds, _ = MD.fit_best_round(x, "fold", max_iter=4, patience=2, maxDepth=2, seed=1)
+    assert model.getNumTrees == rounds <= 4
+
+
+def test_lsi_spans_the_leading_singular_directions(spark):
+    rng = np.random.default_rng(5)
+    A = (rng.random((30, 12)) < 0.3) * rng.random((30, 12)) + np.outer(rng.random(30), rng.random(12)) * 3
+    w = spark.createDataFrame([(i, f"t{j}", float(A[i, j])) for i in range(30) for j in range(12) if A[i, j]], "d int, t string, w double")
+    v = {r.t: r.v for r in MD.lsi_vectors(w, "d", "t", "w", 2, rounds=40).collect()}
+    V = np.array([v[f"t{j}"] for j in range(12)])
+    U = np.linalg.svd(A)[2][:2].T
+    assert np.allclose(V @ V.T, U @ U.T, atol=1e-3)
+
+
 def test_logistic_beats_constant(spark):
     df, X, y = _data(spark)
     x = MD.assemble(df, ["a", "b", "c"]).withColumn("label", (F.col("y") > 0.5).cast("double"))
@@ -69,5 +104,5 @@ def test_logistic_beats_constant(spark):
 
 def test_permutation_importance_orders_features(spark):
     df, X, y = _data(spark, n=300)
-    imp = {r.feature: r.importance for r in MD.permutation_importance(df, ["a", "b", "c"], "y", "id").collect()}
+    imp = {r.feature: r.importance for r in MD.permutation_importance(df, ["a", "b", "c"], "y", "id", splits=2).collect()}
     assert imp["a"] > imp["b"] > imp["c"]

@@ -132,8 +132,8 @@ def test_forest_rankings(spark):
     rng = np.random.default_rng(2)
     X = rng.normal(size=(300, 2))
     pdf = pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "y": 3 * X[:, 0] + 0.1 * rng.normal(size=300)})
-    df = spark.createDataFrame(pdf)
-    r = {x.feature: x.score for x in MD.single_feature_ranking(df, ["a", "b"], "y", splits=2).collect()}
+    df = spark.createDataFrame(pdf.assign(id=range(len(pdf))))
+    r = {x.feature: x.score for x in MD.single_feature_ranking(df, ["a", "b"], "y", "id", splits=2).collect()}
     assert r["a"] > 0.8 > r["b"]
     imp = MD.impurity_importance(df, ["a", "b"], "y")
     assert imp["a"] > imp["b"]
