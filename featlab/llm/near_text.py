@@ -306,8 +306,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = written(components(first).withColumnsRenamed({"node": "doc_id", "component": "cluster"}), "near-clusters")
 
     members = clusters.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    several = members.groupBy("cluster").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-    inside = _faced(_blocked(members.join(several, "cluster")), "cluster", only_first=False) \
+    several = written(members.groupBy("cluster").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+                      .filter("x <> y").select("cluster", "n"), "near-several")
+    inside = _faced(_blocked(members.join(sized(several), "cluster")), "cluster", only_first=False) \
         .select("g", "side", "doc_id", "comp").join(sets, "doc_id").select("g", "side", "doc_id", "comp", "shingles") \
         .repartition(task_count(docs.sparkSession), "g").sortWithinPartitions("g", "side").mapInArrow(_grouped(_exact_links), "a long, b long")
     parts = light.join(clusters, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("cluster", "doc_id").alias("part"), "sketch")
