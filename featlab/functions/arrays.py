@@ -69,9 +69,8 @@ def argmin(a) -> Column:
 
 def invert_permutation(a) -> Column:
     """y[x[i]] = i for a permutation of 0..n-1."""
-    arr = _c(a)
-    return F.transform(F.sequence(F.lit(0), F.size(arr) - 1),
-                       lambda i: (F.array_position(arr, i) - 1).cast("int"))
+    pairs = F.transform(_c(a), lambda v, i: F.struct(v.cast("int").alias("v"), i.alias("i")))
+    return F.transform(F.array_sort(pairs), lambda p: p["i"])
 
 
 def edit_distance(a, b, normalize: bool = False) -> Column:

@@ -1,13 +1,14 @@
 """Categorical encoders (E01-E03, E08-E10) as fit/transform pairs.
 
 Fitted state is a lookup DataFrame ``(value, code)`` plus per-field sizes
-(one number per field). Lookups are joins: a field's table is broadcast
-only when its fitted size is below ``broadcast_limit`` (a proven bound),
-otherwise Spark shuffles both sides on the value.
+in rows and bytes. Lookups are joins: tables are broadcast, smallest first,
+while their fitted bytes fit one budget for all fields together, the others
+are joined by a shuffle on the value.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,11 +18,18 @@ from pyspark.sql import functions as F
 from featlab.functions.hashing import md5_bin
 from featlab.operators.ordering import global_rank
 
-BROADCAST_LIMIT = 1_000_000   # dictionary rows per field we are willing to broadcast
+BROADCAST_BYTES = 64 << 20   # all lookup tables of a transform together
 
 
-def _maybe_broadcast(table: DataFrame, size: int, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    return F.broadcast(table) if size <= limit else table
+def _broadcast_some(n_bytes: dict[str, int], limit: int = BROADCAST_BYTES) -> set[str]:
+    """The fields, smallest table first, whose tables together stay within ``limit``."""
+    chosen, used = set(), 0
+    for name in sorted(n_bytes, key=lambda k: (n_bytes[k], k)):
+        used += n_bytes[name]
+        if used > limit:
+            break
+        chosen.add(name)
+    return chosen
 
 
 # ---- E01: label encoder -----------------------------------------------------------------
@@ -30,24 +38,32 @@ class LabelEncoderModel:
     col: str
     classes: DataFrame        # value, code  (sorted value -> 0..n-1)
     size: int
+    n_bytes: int = 0
+
+    def _table(self, t: DataFrame) -> DataFrame:
+        return F.broadcast(t) if _broadcast_some({self.col: self.n_bytes}) else t
 
     def transform(self, df: DataFrame, out_col: str | None = None) -> DataFrame:
         out_col = out_col or f"{self.col}_code"
         t = self.classes.select(F.col("value").alias(self.col), F.col("code").alias(out_col))
-        return df.join(_maybe_broadcast(t, self.size), self.col, "left")
+        return df.join(self._table(t), self.col, "left")
 
     def inverse_transform(self, df: DataFrame, code_col: str, out_col: str) -> DataFrame:
         t = self.classes.select(F.col("code").alias(code_col), F.col("value").alias(out_col))
-        return df.join(_maybe_broadcast(t, self.size), code_col, "left")
+        return df.join(self._table(t), code_col, "left")
 
 
 def fit_label_encoder(df: DataFrame, col: str) -> LabelEncoderModel:
     """Classes sorted ascending, codes 0..n-1; NULL is not a class."""
     vals = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    ranked = global_rank(vals, [F.col("value")], "code", size_col="_fl_n")
-    first = ranked.select("_fl_n").first()
-    size = int(first[0]) if first else 0
-    return LabelEncoderModel(col, ranked.select("value", (F.col("code") - 1).cast("bigint").alias("code")), size)
+    ranked = global_rank(vals, [F.col("value")], "code")
+    fitted = ranked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes("value")), F.lit(0)).alias("bytes")).first()
+    return LabelEncoderModel(col, ranked.select("value", (F.col("code") - 1).cast("bigint").alias("code")), int(fitted["n"]), int(fitted["bytes"]))
+
+
+def _row_bytes(value: str) -> Column:
+    """Upper estimate of a lookup row in memory: the value and 64 bytes."""
+    return F.coalesce(F.octet_length(F.col(value).cast("string")), F.lit(0)) + 64
 
 
 # ---- E02 / E03: one-hot, dummy and effect coding ----------------------------------------
@@ -101,13 +117,15 @@ class FeatureDictionary:
     sizes: dict                  # field -> number of distinct values (1 for numeric)
     offsets: dict                # field -> first idx
     dim: int
+    n_bytes: dict                # field -> bytes of its lookup table
 
     def parse(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Per row ``xi`` (feature indices) and ``xv`` (values: numeric
         value kept, categorical 1.0), fields in dictionary order. One lookup
-        join per categorical field; broadcast only for fields whose fitted
-        size is under the limit."""
+        join per categorical field (NULL is a value with an index of its own);
+        the smaller tables are broadcast within one budget."""
         out = df
+        small = _broadcast_some({f: self.n_bytes[f] for f in self.fields if f not in self.numeric})
         xi, xv = [], []
         for f in self.fields:
             if f in self.numeric:
@@ -116,8 +134,8 @@ class FeatureDictionary:
                 continue
             t = (self.table.filter(F.col("field") == f)
                  .select(F.col("value").alias(f"_fl_v_{f}"), F.col("idx").alias(f"_fl_i_{f}")))
-            out = out.join(_maybe_broadcast(t, self.sizes[f]),
-                           F.col(f).cast("string") == F.col(f"_fl_v_{f}"), "left")
+            out = out.join(F.broadcast(t) if f in small else t,
+                           F.col(f).cast("string").eqNullSafe(F.col(f"_fl_v_{f}")), "left")
             xi.append(F.col(f"_fl_i_{f}"))
             xv.append(F.lit(1.0))
         return out.select(*keep, F.array(*xi).alias("xi"), F.array(*xv).alias("xv"))
@@ -134,16 +152,15 @@ def fit_feature_dictionary(df: DataFrame, numeric: Sequence[str] = (), ignore: S
     if cats:
         st = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in cats]
         vals = src.select(F.explode(F.array(*st)).alias("s")).select("s.*").distinct()
-        ranked = global_rank(vals, [F.col("value")], "_fl_r", partition_by=["field"], size_col="_fl_n")
-        sizes = {r["field"]: int(r["_fl_n"]) for r in ranked.select("field", "_fl_n").distinct().collect()}
+        ranked = global_rank(vals, [F.col("value")], "_fl_r", partition_by=["field"])
+        fitted = ranked.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes("value")).alias("bytes")).collect()   # a row per field
+        sizes, n_bytes = {r["field"]: int(r["n"]) for r in fitted}, {r["field"]: int(r["bytes"]) for r in fitted}
     else:
-        ranked, sizes = None, {}
-    offsets, tc = {}, 0
-    for c in fields:
-        offsets[c] = tc
-        tc += 1 if c in numeric else sizes.get(c, 0)
-        if c in numeric:
-            sizes[c] = 1
+        ranked, sizes, n_bytes = None, {}, {}
+    sizes = {c: 1 if c in numeric else sizes.get(c, 0) for c in fields}
+    # every field starts where the fields before it end
+    ends = list(itertools.accumulate((sizes[c] for c in fields), initial=0))
+    offsets, dim = dict(zip(fields, ends)), ends[-1]
     off_df = df.sparkSession.createDataFrame([(k, int(v)) for k, v in offsets.items()], "field string, off bigint")
     parts = []
     if ranked is not None:
@@ -156,4 +173,4 @@ def fit_feature_dictionary(df: DataFrame, numeric: Sequence[str] = (), ignore: S
     table = parts[0]
     for p in parts[1:]:
         table = table.unionByName(p)
-    return FeatureDictionary(fields, list(numeric), table, sizes, offsets, tc)
+    return FeatureDictionary(fields, list(numeric), table, sizes, offsets, dim, {c: n_bytes.get(c, 0) for c in fields})

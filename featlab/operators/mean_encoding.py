@@ -80,7 +80,7 @@ class MeanEncoder:
 
     def __init__(self, categorical_features: Sequence[str], target_col: str, id_col: str,
                  n_splits: int = 5, target_type: str = "regression", prior_weight=None,
-                 fold_col: str | None = None, max_classes: int = 1000):
+                 fold_col: str | None = None):
         self.cats = list(categorical_features)
         self.y = target_col
         self.id_col = id_col
@@ -88,19 +88,44 @@ class MeanEncoder:
         self.target_type = "classification" if target_type == "classification" else "regression"
         self.weight = _weight(prior_weight)
         self.fold_col = fold_col
-        self.max_classes = max_classes
 
     def _targets(self, df: DataFrame) -> list[tuple[str, Column]]:
         if self.target_type == "regression":
             return [("", F.col(self.y).cast("double"))]
-        # class list: bounded by max_classes, checked before use
-        classes = [r[0] for r in df.select(self.y).distinct().limit(self.max_classes + 1).collect()]
-        if len(classes) > self.max_classes:
-            raise ValueError(f"more than {self.max_classes} classes in {self.y}")
+        # one output column per class; ``classification_long`` needs no class list
+        classes = [r[0] for r in df.select(self.y).distinct().collect()]
         classes = sorted(c for c in classes if c is not None)
         return [(f"_{c}", F.when(F.col(self.y).isNull(), None)
                  .otherwise((F.col(self.y) == F.lit(c)).cast("double"))) for c in classes]
 
+    def classification_long(self, df: DataFrame, cat: str) -> DataFrame:
+        """E12 for any number of classes: one row per (row, class),
+        ``id, class, value``, with the numbers of the wide form. Classes are
+        rows of a table everywhere; folds as in ``fit_transform``."""
+        fold = self.fold_col or "fold"
+        if self.fold_col is None:
+            df = stratified_kfold(df, self.y, [self.id_col], self.k, fold)
+        rows = df.select(F.col(self.id_col).alias("id"), F.col(cat).alias("cat"), F.col(fold).alias("fold"), F.col(self.y).alias("class"))
+        per = rows.groupBy("cat", "fold", "class").agg(F.count(F.lit(1)).alias("n"))
+        known = per.filter(F.col("class").isNotNull())
+
+        def out_of_fold(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+            """Sum of ``n`` per keys over the other folds, for every (keys, fold)."""
+            total = counts.groupBy(*keys).agg(F.sum("n").alias("_t")) if keys else counts.agg(F.sum("n").alias("_t"))
+            own = counts.groupBy(*keys, "fold").agg(F.sum("n").alias("_o"))
+            folds = F.explode(F.sequence(F.lit(0), F.lit(self.k - 1))).alias("fold")
+            return total.select(*keys, "_t", folds).join(own, [*keys, "fold"], "left") \
+                .select(*keys, "fold", (F.col("_t") - F.coalesce("_o", F.lit(0))).alias(name))
+        prior = out_of_fold(known, ["class"], "c").join(out_of_fold(known, [], "a"), "fold").select("class", "fold", (F.col("c") / F.col("a")).alias("prior"))
+        cats = per.filter(F.col("cat").isNotNull())
+        size = out_of_fold(cats, ["cat"], "n_out").join(out_of_fold(cats.filter(F.col("class").isNotNull()), ["cat"], "n_known"), ["cat", "fold"], "left")
+        hits = out_of_fold(cats.filter(F.col("class").isNotNull()), ["cat", "class"], "n_class")
+        b = self.weight(F.col("n_out").cast("double"))
+        mean = F.coalesce("n_class", F.lit(0)) / F.col("n_known")
+        value = F.when(F.col("n_known") > 0, b * F.col("prior") + (1 - b) * mean).otherwise(F.col("prior"))
+        return rows.drop("class").join(prior, "fold").join(size, ["cat", "fold"], "left").join(hits, ["cat", "class", "fold"], "left") \
+            .select("id", "class", value.alias("value"))
+
     def fit_transform(self, df: DataFrame) -> tuple[DataFrame, MeanEncoderModel]:
         fold = self.fold_col or "fold"
         if self.fold_col is None:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from featlab.session import reliable_checkpoint
 
 _PID, _LOC, _MID = "_fl_pid", "_fl_loc", "_fl_mid"
-SUMMARY_LIMIT = 200_000   # summary rows we collect and broadcast
+SUMMARY_ROWS = 200_000   # a summary of at most so many counted rows is broadcast
 
 
 def _as_cols(cols) -> list[Column]:
@@ -74,15 +74,11 @@ def global_rank(df: DataFrame, order_by: Sequence, rank_col: str = "rank",
         summ = summ.withColumn(size_col, F.sum("_fl_cnt").over(Window.partitionBy(*groups)))
         extra = [size_col]
     summ = summ.select(_PID, *groups, "_fl_off", "_fl_first", *extra)
-    # The summary has one row per (partition, group) boundary, at most
-    # partitions + groups rows. Materialise it once so that every later
-    # use of the result scans the checkpoint once instead of re-aggregating
-    # it: collected as literals when small (proven bound), else a checkpoint.
-    rows = summ.limit(SUMMARY_LIMIT + 1).collect()
-    if len(rows) <= SUMMARY_LIMIT:
-        summ = F.broadcast(df.sparkSession.createDataFrame(rows, summ.schema))
-    else:
-        summ = reliable_checkpoint(summ)
+    # One row per (partition, group) boundary, at most partitions + groups
+    # rows, written once; broadcast if few (counted), else a shuffle join.
+    summ = reliable_checkpoint(summ)
+    if summ.count() <= SUMMARY_ROWS:
+        summ = F.broadcast(summ)
     joined = ranged.join(summ, [_PID, *groups], "inner")
     return (joined.withColumn(rank_col, F.col("_fl_off") + F.col(_LOC) - F.col("_fl_first") + 1)
             .drop(_PID, _LOC, "_fl_off", "_fl_first"))

@@ -28,6 +28,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: Sequence[str] = ()) -
     """Equal-width bins over [min, max] (last bin closed): count and
     density per bin."""
     lo, hi, n, _, _ = _range(df, col)
+    if not n:   # no values: no bins
+        lo = hi = 0.0
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     out = df.filter(F.col(col).isNotNull()).groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -40,7 +42,9 @@ def kde(df: DataFrame, col: str, points: int = 50, bandwidth: float | None = Non
     row adds its kernel value to every grid point (a literal grid exploded
     per row, then summed with map-side partial aggregation)."""
     lo, hi, n, _, std = _range(df, col)
-    h = bandwidth or 1.06 * std * n ** (-0.2)
+    if not n:   # no values: no curve
+        lo = hi = std = 0.0
+    h = bandwidth or 1.06 * std * max(n, 1) ** (-0.2) or 1.0   # a constant column gets unit bandwidth
     step = (hi - lo) / (points - 1)
     g = F.lit(lo) + F.col("gi") * step
     rows = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()) \

@@ -37,8 +37,7 @@ def with_halo(df: DataFrame, keys: Sequence[str], order_by: Sequence, before: in
     """Rows with ``_fl_rank`` (1-based within key) and ``_fl_chunk``; the last
     ``before`` rows of each chunk are copied into the next chunk and the
     first ``after`` rows into the previous one, flagged ``_fl_halo``."""
-    if before > chunk_rows or after > chunk_rows:
-        raise ValueError("window wider than a chunk")
+    chunk_rows = max(chunk_rows, before, after)   # a window reaches into the next chunk only
     r = _ranked(df, keys, order_by, chunk_rows)
     pos = (F.col("_fl_rank") - 1) % chunk_rows
     own = r.withColumn("_fl_halo", F.lit(False))
@@ -119,10 +118,16 @@ def ema(df: DataFrame, keys: Sequence[str], order_by: Sequence, value: str, beta
         debias: bool = False, chunk_rows: int = 100_000) -> DataFrame:
     """e_t = beta * e_{t-1} + (1 - beta) * x_t, e_0 = 0 (optionally
     divided by 1 - beta^t). Inside a chunk the closed form
-    (1-beta) beta^p sum_i beta^-i x_i stays finite because p < chunk_rows;
-    earlier chunks enter as carry * beta^(p+1)."""
-    if chunk_rows * -math.log(beta) > 600:
-        raise ValueError("chunk too long for this beta (beta^-chunk overflows)")
+    (1-beta) beta^p sum_i beta^-i x_i stays finite because chunks are cut to
+    600 / |ln beta| rows at most; earlier chunks enter as carry * beta^(p+1).
+    beta = 0 gives the values themselves, beta = 1 zeros (NULL with debias)."""
+    if not 0 <= beta <= 1:
+        raise ValueError("beta must be between 0 and 1")
+    if beta in (0, 1):
+        x = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
+        flat = x if beta == 0 else F.lit(None if debias else 0.0).cast("double")
+        return global_rank(df, order_by, "_fl_rank", partition_by=keys).withColumn("ema", flat)
+    chunk_rows = max(1, min(chunk_rows, int(600 / -math.log(beta))))
     r = _ranked(df, keys, order_by, chunk_rows)
     p = ((F.col("_fl_rank") - 1) % chunk_rows).cast("double")
     x = F.coalesce(F.col(value).cast("double"), F.lit(0.0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -145,25 +145,37 @@ def bin_counting(df: DataFrame, cat: str, click: str, log: bool = False) -> Data
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles without buffering a column in one
-    aggregation state: rows are ranked per group by the distributed global
-    rank, the two order statistics around h = (n - 1) p + 1 are picked by a
-    join on (group, rank) and interpolated. Returns (by..., prob, value)."""
-    from featlab.operators.ordering import global_rank
-    x = df.select(*by, F.col(col).cast("double").alias("_fl_x")).filter(F.col("_fl_x").isNotNull())
-    ranked = global_rank(x, [F.col("_fl_x")], "_fl_r", partition_by=list(by), size_col="_fl_n")
-    sizes = ranked.select(*by, "_fl_n").distinct()
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    tgt = sizes.select(*by, "_fl_n", pr).withColumn("_fl_h", (F.col("_fl_n") - 1) * F.col("prob") + 1)
-    tgt = tgt.withColumn("_fl_lo", F.floor("_fl_h")).withColumn("_fl_hi", F.least(F.col("_fl_lo") + 1, F.col("_fl_n")))
-    # targets: groups x probs x 2 rows, joined to the two ranks they need
-    need = tgt.select(*by, "prob", "_fl_h", "_fl_lo",
-                      F.explode(F.array(F.col("_fl_lo"), F.col("_fl_hi"))).alias("_fl_r")).distinct()
-    picked = ranked.select(*by, "_fl_r", "_fl_x").join(need, [*by, "_fl_r"])
-    out = picked.groupBy(*by, "prob").agg(
-        F.max_by("_fl_x", F.when(F.col("_fl_r") == F.col("_fl_lo"), 1).otherwise(0)).alias("_xl"),
-        F.max("_fl_x").alias("_xh"), F.first("_fl_h").alias("_h"), F.first("_fl_lo").alias("_lo"))
-    return out.select(*by, "prob", (F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl"))).alias("value"))
+    """Exact linear-interpolated quantiles: (by..., prob, value).
+
+    Rows are first counted per (group, value) with map-side partial sums, so
+    a value that most rows share is one row; the distinct values are ranged,
+    their counts accumulated (inside a range, then over the ranges' totals),
+    and each probability picks the values that cover the two order
+    statistics around h = (n - 1) p + 1."""
+    from featlab.operators.ordering import _LOC, _PID, ranged_local_numbers
+    from featlab.session import reliable_checkpoint
+    by = list(by)
+    counts = df.select(*by, F.col(col).cast("double").alias("_fl_x")).filter(F.col("_fl_x").isNotNull()) \
+        .groupBy(*by, "_fl_x").agg(F.count(F.lit(1)).alias("_fl_c"))
+    ranged = reliable_checkpoint(ranged_local_numbers(counts, [*by, F.col("_fl_x")]))
+    parts = ranged.groupBy(_PID, *by).agg(F.sum("_fl_c").alias("_fl_s"))
+    before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)   # one row per range and group
+    parts = parts.select(_PID, *by, F.coalesce(F.sum("_fl_s").over(before), F.lit(0)).alias("_fl_off"),
+                         F.sum("_fl_s").over(Window.partitionBy(*by)).alias("_fl_n"))
+    inside = Window.partitionBy(_PID, *by).orderBy(_LOC).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_fl_off") + F.col("_fl_run")
+    rows = ranged.withColumn("_fl_run", F.sum("_fl_c").over(inside)).join(parts, [_PID, *by]) \
+        .withColumn("_fl_first", last - F.col("_fl_c") + 1).withColumn("_fl_last", last)
+
+    def pick(p):
+        h = (F.col("_fl_n") - 1) * p + 1
+        lo = F.floor(h)
+        covers = lambda r: (F.col("_fl_first") <= r) & (r <= F.col("_fl_last"))
+        return F.struct(p.alias("prob"), (h - lo).alias("part"), F.when(covers(lo), F.col("_fl_x")).alias("low"),
+                        F.when(covers(F.least(lo + 1, F.col("_fl_n"))), F.col("_fl_x")).alias("high"))
+    hits = F.filter(F.transform(F.array(*[F.lit(float(p)) for p in probs]), pick), lambda s: s["low"].isNotNull() | s["high"].isNotNull())
+    picked = rows.select(*by, F.explode(hits).alias("_fl_hit")).select(*by, "_fl_hit.*")
+    return picked.groupBy(*by, "prob").agg((F.max("low") + F.max("part") * (F.max("high") - F.max("low"))).alias("value"))
 
 
 def measurement_quality(df: DataFrame, group: str, measured: str, true: str | None = None) -> DataFrame:

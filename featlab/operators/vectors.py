@@ -3,16 +3,18 @@
 Exact top-k cosine search (J07) without emitting pairs as rows and without
 a group that grows with the data:
 
-* vectors are L2-normalised and hashed into ``B = ceil(n / block)`` query
-  blocks (``block`` bounds a block's size);
-* every vector is sent, as its own row, to every query block (``explode``
-  of the block ids; the candidate set is never gathered into one value);
-* per query block, a ``mapInPandas`` task holds that block's queries
-  (bounded) and streams the candidates in Arrow batches, keeping a running
-  top-k per query from numpy matrix products.
-
-Work is the inherent n^2 d of exact search, spread over B tasks; output is
-exactly k rows per query.
+* vectors are L2-normalised and hashed into query blocks of about
+  ``block_bytes`` (the one thing a task holds whole);
+* every vector is sent to every query block, so a vector travels
+  n * bytes / block_bytes times, not n / 1024 times; the candidate set is
+  never gathered into one value;
+* per query block, a ``mapInPandas`` task holds that block's queries and
+  streams the candidates in Arrow batches, keeping a running top-k per
+  query from numpy matrix products of bounded size.
+
+Work is the inherent n^2 d of exact search, spread over the blocks; output is
+exactly k rows per query (fewer if there are fewer vectors). NULL and empty
+vectors are neither queries nor candidates.
 """
 
 from __future__ import annotations
@@ -28,20 +30,20 @@ from pyspark.sql import functions as F
 from featlab.functions.arrays import l2_normalize, to_double_array
 
 
+#: Query rows of one matrix product.
+PRODUCT_ROWS = 512
+
+
 def _topk_scan(k: int, exclude_self: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, qids, qmat, best_s, best_i = None, [], [], None, None
+        cur, ids, vecs, queries, best_s, best_i = None, [], [], None, None, None
 
         def flush():
-            if cur is None or best_s is None:
+            if best_s is None:
                 return None
-            order = np.lexsort((best_i, -best_s), axis=1)   # sim desc, id asc
-            s = np.take_along_axis(best_s, order, 1)
-            i = np.take_along_axis(best_i, order, 1)
-            m = s.shape[1]
-            q = np.repeat(np.asarray(qids, dtype=np.int64), m)
-            rank = np.tile(np.arange(1, m + 1, dtype=np.int32), len(qids))
-            out = pd.DataFrame({"query_id": q, "rank": rank, "other_id": i.ravel(), "sim": s.ravel()})
+            q = np.repeat(np.asarray(ids, dtype=np.int64), best_s.shape[1])
+            rank = np.tile(np.arange(1, best_s.shape[1] + 1, dtype=np.int32), len(ids))
+            out = pd.DataFrame({"query_id": q, "rank": rank, "other_id": best_i.ravel(), "sim": best_s.ravel()})
             return out[np.isfinite(out["sim"].to_numpy())]
 
         for pdf in batches:
@@ -50,51 +52,49 @@ def _topk_scan(k: int, exclude_self: bool):
                     done = flush()
                     if done is not None and len(done):
                         yield done
-                    cur, qids, qmat, best_s, best_i = qb, [], [], None, None
-                qs = g[g["role"] == 0]
-                if len(qs):
-                    qids.extend(qs["id"].tolist())
-                    qmat.extend(qs["vec"].tolist())
-                cs = g[g["role"] == 1]
-                if len(cs):
-                    if best_s is None:
-                        Q = np.asarray(qmat, dtype=np.float64).reshape(len(qids), -1)
-                        qmat = Q
-                        best_s = np.full((len(qids), 0), -np.inf)
-                        best_i = np.zeros((len(qids), 0), dtype=np.int64)
-                    C = np.stack(cs["vec"].to_numpy()).astype(np.float64)
-                    cid = cs["id"].to_numpy(dtype=np.int64)
-                    S = qmat @ C.T
+                    cur, ids, vecs, queries, best_s, best_i = qb, [], [], None, None, None
+                mine = g[g["role"] == 0]
+                ids.extend(mine["id"].tolist())
+                vecs.extend(mine["vec"].tolist())
+                others = g[g["role"] == 1]
+                if not len(others) or not ids:
+                    continue   # a block without queries has nothing to rank
+                if queries is None:
+                    queries = np.stack(vecs).astype(np.float64)
+                    best_s, best_i = np.full((len(ids), 0), -np.inf), np.zeros((len(ids), 0), np.int64)
+                c, cid = np.stack(others["vec"].to_numpy()).astype(np.float64), others["id"].to_numpy(np.int64)
+                width = min(k, best_s.shape[1] + len(cid))
+                new_s, new_i = np.empty((len(ids), width)), np.empty((len(ids), width), np.int64)
+                for a in range(0, len(ids), PRODUCT_ROWS):
+                    part = slice(a, a + PRODUCT_ROWS)
+                    s = queries[part] @ c.T
                     if exclude_self:
-                        S[np.asarray(qids)[:, None] == cid[None, :]] = -np.inf
-                    alls = np.concatenate([best_s, S], axis=1)
-                    alli = np.concatenate([best_i, np.broadcast_to(cid, S.shape)], axis=1)
-                    if alls.shape[1] > k:
-                        # keep k best; ties at the cut resolved by id via lexsort
-                        order = np.lexsort((alli, -alls), axis=1)[:, :k]
-                        alls = np.take_along_axis(alls, order, 1)
-                        alli = np.take_along_axis(alli, order, 1)
-                    best_s, best_i = alls, alli
+                        s[np.asarray(ids)[part, None] == cid[None, :]] = -np.inf
+                    s = np.concatenate([best_s[part], s], axis=1)
+                    i = np.concatenate([best_i[part], np.broadcast_to(cid, (len(s), len(cid)))], axis=1)
+                    order = np.lexsort((i, -s), axis=1)[:, :width]   # similarity down, id up
+                    new_s[part], new_i[part] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+                best_s, best_i = new_s, new_i
         done = flush()
         if done is not None and len(done):
             yield done
     return run
 
 
-def topk_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 8, block: int = 1024,
-                 exclude_self: bool = True, n_rows: int | None = None) -> DataFrame:
+def topk_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 8, block_bytes: int = 1 << 20,
+                 exclude_self: bool = True) -> DataFrame:
     """For every vector, the k most cosine-similar other vectors
     (``query_id, rank, other_id, sim``; ties by the smaller id)."""
-    n = n_rows if n_rows is not None else df.count()
-    blocks = max(1, math.ceil(n / block))
-    vecs = df.select(F.col(id_col).cast("bigint").alias("id"),
-                     l2_normalize(to_double_array(F.col(vec_col))).alias("vec"))
+    known = df.filter(F.size(F.col(vec_col)) > 0)
+    size = known.agg(F.coalesce(F.sum(F.size(F.col(vec_col))), F.lit(0))).first()[0] * 8
+    blocks = max(1, math.ceil(size / block_bytes))
+    vecs = known.select(F.col(id_col).cast("bigint").alias("id"),
+                        l2_normalize(to_double_array(F.col(vec_col))).alias("vec"))
     qb = F.pmod(F.xxhash64(F.col("id")), F.lit(blocks)).cast("int")
     queries = vecs.select(qb.alias("qb"), F.lit(0).alias("role"), "id", "vec")
     cands = vecs.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qb"),
                         F.lit(1).alias("role"), "id", "vec")
-    parts = max(1, min(blocks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    stream = (queries.unionByName(cands).repartition(parts, "qb")
+    stream = (queries.unionByName(cands).repartition(blocks, "qb")
               .sortWithinPartitions("qb", "role", "id"))
     return stream.mapInPandas(_topk_scan(k, exclude_self),
                               "query_id bigint, rank int, other_id bigint, sim double")

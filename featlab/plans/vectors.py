@@ -28,7 +28,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, othe
 SELECT query_id, CAST(rank AS INTEGER) AS rank, other_id, round(sim, 6) AS sim FROM r WHERE rank <= 8
 """)
 def j07_topk_similarity(spark, sf_dir):
-    t = topk_similar(_emb(spark, sf_dir), "vec_id", "embedding", k=8, block=256)
+    t = topk_similar(_emb(spark, sf_dir), "vec_id", "embedding", k=8)
     return t.select("query_id", "rank", "other_id", F.round("sim", R).alias("sim"))
 
 

@@ -66,6 +66,9 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("_fl_mono"), "value")
     lines = global_rank(raw, [F.col("_fl_mono")], "line").withColumn("line", F.col("line") - 1)
     parts = F.split(F.col("value"), "\t")
+    stop = lines.filter(F.size(parts) > 2).agg(F.min("line")).first()[0]   # the list ends before a line of three fields
+    if stop is not None:
+        lines = lines.filter(F.col("line") < stop)
     return lines.select(F.trim(F.element_at(parts, 1)).alias("token"),
                         F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("bigint"), F.col("line")).alias("id"))
 
@@ -83,11 +86,11 @@ def labelled_binary(spark: SparkSession, files: str, annotations: DataFrame,
     """(bytes, label) records by joining the file scan with an
     annotation table on path; also returns the annotations whose file is
     missing (left anti join)."""
+    place = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")  # noqa: E731  without scheme and host
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(files) \
-        .select(F.col("path").alias(path_col), "content", "length")
-    ann = annotations.withColumn(path_col, F.when(F.col(path_col).startswith("file:"), F.col(path_col))
-                                 .otherwise(F.concat(F.lit("file:"), F.col(path_col))))
-    return scan.join(ann, path_col), ann.join(scan.select(path_col), path_col, "left_anti")
+        .select(place(F.col("path")).alias("_fl_place"), "content", "length")
+    ann = annotations.withColumn("_fl_place", place(F.col(path_col)))
+    return scan.join(ann, "_fl_place").drop("_fl_place"), ann.join(scan.select("_fl_place"), "_fl_place", "left_anti").drop("_fl_place")
 
 
 # ---- sinks ----------------------------------------------------------------------------
@@ -108,10 +111,21 @@ def write_vectors(df: DataFrame, key: str, vec: str, path: str, mode: str = "ove
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    parts = F.split(F.trim("value"), " ")
-    return spark.read.text(path).select(F.element_at(parts, 1).alias("key"),
-                                        F.transform(F.slice(parts, 2, F.size(parts) - 1),
-                                                    lambda x: x.cast("double")).alias("vector"))
+    """``key v1 ... vd`` lines to (key, vector). A ``n d`` header (two
+    integers, the second the length of the vectors) is passed over."""
+    parts = F.split(F.trim("value"), " +")
+    rows = spark.read.text(path).select(parts.alias("p")).filter(F.size("p") > 1)
+    dim = rows.agg(F.max(F.size("p")) - 1).first()[0] or 0
+    header = (F.size("p") == 2) & F.element_at("p", 1).rlike(r"^\d+$") & (F.element_at("p", 2) == F.lit(str(dim)))
+    if dim != 1:   # with one component a header cannot be told from a row by its form
+        rows = rows.filter(~header)
+    return rows.select(F.element_at("p", 1).alias("key"), F.transform(F.slice("p", 2, F.size("p") - 1), lambda x: x.cast("double")).alias("vector"))
+
+
+def score_file_name(name: str = "submit", mean: float | None = None, std: float | None = None, stamp: str | None = None) -> str:
+    """Default name of a score file: the given stamp, or the mean and deviation of the validation scores."""
+    tail = stamp if stamp is not None else f"{mean:.6f}-{std:.6f}" if mean is not None else ""
+    return f"{name}_{tail}.csv" if tail else f"{name}.csv"
 
 
 def write_scores(df: DataFrame, id_col: str, score_col: str, path: str, name: str = "score") -> None:
@@ -138,15 +152,22 @@ def write_predictions(confusion: DataFrame, probs: DataFrame, classes: DataFrame
     classes.write.mode("overwrite").parquet(path + "/classes")
 
 
-def save_params(params: dict, path: str) -> None:
-    """Parameters as JSON (read back with ``json``, never ``eval``)."""
-    with open(path, "w", encoding="utf8") as f:
-        json.dump(params, f, sort_keys=True)
+def save_params(spark: SparkSession, params: dict, path: str) -> None:
+    """Parameters as one JSON line in a text file of any store Spark writes to."""
+    spark.createDataFrame([(json.dumps(params, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_params(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()["value"])
+
+
+def save_model(model, path: str) -> None:
+    """A fitted MLlib model or pipeline."""
+    model.write().overwrite().save(path)
 
 
-def load_params(path: str) -> dict:
-    with open(path, encoding="utf8") as f:
-        return json.load(f)
+def load_model(cls, path: str):
+    return cls.load(path)
 
 
 def save_table(df: DataFrame, path: str) -> None:

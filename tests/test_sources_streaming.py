@@ -41,8 +41,8 @@ def test_vector_and_sequence_sinks(spark):
     S.write_sequences(seq, d + "/seq", "label", ["seq0", "seq1"])
     r = S.read_sequences(spark, d + "/seq", 2).first()
     assert r.label == 1 and list(r.seq0) == [1, 2, 3]
-    S.save_params({"a": 1, "b": [1, 2]}, d + "/p.json")
-    assert S.load_params(d + "/p.json") == {"a": 1, "b": [1, 2]}
+    S.save_params(spark, {"a": 1, "b": [1, 2]}, d + "/p")
+    assert S.load_params(spark, d + "/p") == {"a": 1, "b": [1, 2]}
 
 
 def test_labelled_binary_reports_missing(spark):
@@ -137,3 +137,27 @@ def test_forest_rankings(spark):
     assert r["a"] > 0.8 > r["b"]
     imp = MD.impurity_importance(df, ["a", "b"], "y")
     assert imp["a"] > imp["b"]
+
+
+def test_readers_pass_over_headers_and_stop_lines(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("2 3\na 1 2 3\nb 4 5 6\n")
+    assert {r.key: list(r.vector) for r in S.read_vectors(spark, str(tmp_path / "v.txt")).collect()} == {"a": [1, 2, 3], "b": [4, 5, 6]}
+    (tmp_path / "w.txt").write_text("x\ny\t7\nz\t1\t2\nq\n")
+    assert {(r.token, r.id) for r in S.read_vocab(spark, str(tmp_path / "w.txt")).collect()} == {("x", 0), ("y", 7)}
+
+
+def test_annotations_match_files_by_any_scheme(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"1")
+    (tmp_path / "b.bin").write_bytes(b"2")
+    ann = spark.createDataFrame([(f"file://{tmp_path}/a.bin", 1), (f"{tmp_path}/b.bin", 2), ("hdfs://host:1/none", 3)], "path string, label int")
+    found, missing = S.labelled_binary(spark, str(tmp_path), ann)
+    assert {(bytes(r.content), r.label) for r in found.collect()} == {(b"1", 1), (b"2", 2)} and [r.label for r in missing.collect()] == [3]
+
+
+def test_model_is_saved_and_loaded(spark, tmp_path):
+    from pyspark.ml.regression import LinearRegressionModel
+
+    from featlab.operators import models as MD
+    df = MD.assemble(spark.createDataFrame([(float(k), 2.0 * k) for k in range(9)], "a double, label double"), ["a"])
+    S.save_model(MD.lasso(0.0).fit(df), str(tmp_path / "m"))
+    assert abs(S.load_model(LinearRegressionModel, str(tmp_path / "m")).coefficients[0] - 2) < 1e-6

@@ -14,7 +14,7 @@ def test_topk_matches_numpy_bruteforce(spark):
     X = rng.normal(size=(150, 8))
     X[10] = X[11]                              # a duplicate pair (ties)
     pdf = pd.DataFrame({"id": np.arange(150), "v": list(X)})
-    got = topk_similar(spark.createDataFrame(pdf), "id", "v", k=5, block=32).toPandas()
+    got = topk_similar(spark.createDataFrame(pdf), "id", "v", k=5, block_bytes=2048).toPandas()
     U = X / np.linalg.norm(X, axis=1, keepdims=True)
     S = U @ U.T
     np.fill_diagonal(S, -np.inf)
