@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from featlab.llm import lexicon
 from featlab.llm.pieces import PieceEncoder, text_array
-from featlab.llm.shared import shared_folder, small_batches, text_or_empty
+from featlab.llm.shared import shared_folder, small_batches, text_or_empty, tidy
 
 #: The published pattern that cuts text before byte-level merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -246,7 +246,7 @@ def frequent_words(docs: DataFrame, size: int, text_col: str = "text") -> list[s
             words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ").flatten()
             seen = pc.value_counts(words)
             yield pa.RecordBatch.from_arrays([seen.field(0).cast(pa.string()), seen.field(1).cast(pa.int64())], ["piece", "n"])
-    pieces = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "piece string, n long") \
+    pieces = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tidy(count), "piece string, n long") \
         .filter("piece <> ''").groupBy("piece").agg(F.sum("n").alias("n"))
     # a piece is a word behind a space, with or without punctuation at its end
     top = pieces.select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), F.col("piece")), F.lit(r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)"), F.lit(1))).alias("word"), "n") \
@@ -289,20 +289,20 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def encode_rows(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of each text as little-endian 32-bit integers in one binary."""
-    return _rows(docs, id_col, text_col).mapInArrow(_encoding(path, folder), "doc_id long, ids binary")
+    return _rows(docs, id_col, text_col).mapInArrow(tidy(_encoding(path, folder)), "doc_id long, ids binary")
 
 
 def decode_rows(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, text`` for the rows of ``encode_rows``."""
-    return encoded.mapInArrow(_decoding(path), "doc_id long, ids binary, text string")
+    return encoded.mapInArrow(tidy(_decoding(path)), "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, lexicon_size: int = LEXICON_SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, text`` (decoded from the ids) of every document; both steps run in one worker."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 4 << 20)
     folder = compile_lexicon(docs, path, lexicon_size, text_col)
     encode, decode = _encoding(path, folder), _decoding(path)
-    return _rows(docs, id_col, text_col).mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids binary, text string")
+    return _rows(docs, id_col, text_col).mapInArrow(tidy(lambda batches: decode(encode(batches))), "doc_id long, ids binary, text string")
 
 
 def digests(rows: DataFrame, *also: str) -> DataFrame:

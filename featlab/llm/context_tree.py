@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featlab.llm.pieces import blocks, text_array
-from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, written
+from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, tidy, written
 from featlab.llm.store import get_array, put
 
 DEPTH = 5
@@ -225,7 +225,7 @@ def write_table(rows: DataFrame, key: str, columns: list[str], name: str) -> tup
             put(folder, f"{part}.{c}", [b.column(k).to_numpy(zero_copy_only=False).astype("<f8").tobytes() for b in held], attempt)
         yield pa.RecordBatch.from_pydict({"part": [part], "first": [int(keys[0])]})
     ordered = rows.select(key, *columns).repartitionByRange(task_count(rows.sparkSession), key).sortWithinPartitions(key)
-    parts = sorted((r["first"], r["part"]) for r in ordered.mapInArrow(write, "part string, first long").collect())
+    parts = sorted((r["first"], r["part"]) for r in ordered.mapInArrow(tidy(write), "part string, first long").collect())
     return folder, [(p, k) for k, p in parts]
 
 
@@ -371,7 +371,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
     spark = docs.sparkSession
     small_batches(spark)
     learned = docs.filter(~is_held_out(id_col)).select(text_or_empty(text_col).alias("text"))
-    counts = written(learned.mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    counts = written(learned.mapInArrow(tidy(_count), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
     totals = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()}
     n_docs = learned.count()
     n_bytes = totals[0]["n"] if 0 in totals else 0
@@ -380,10 +380,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
 
     near = F.shiftright("key", 8 * DEPTH - 24).bitwiseAND(F.lit(0xFFFFFF))
     codes = counts.filter("kind = 0").select("key", "n", near.alias("near")).repartition(n, "near").sortWithinPartitions("near").select("key", "n")
-    deep = written(codes.mapInArrow(_deep(least), _NODE_ROWS), "lm-deep")
+    deep = written(codes.mapInArrow(tidy(_deep(least)), _NODE_ROWS), "lm-deep")
     mid_sums = _sums(deep, "lm-mid").withColumn("c1", F.shiftright("key", 8).bitwiseAND(F.lit(255)))
-    mid = written(mid_sums.repartition(n, "c1").select("key", *_SUMS).mapInArrow(_upper(2, 1, least), _NODE_ROWS), "lm-mid")
-    root = written(_sums(mid, "lm-root").coalesce(1).mapInArrow(_upper(0, 0, least), _NODE_ROWS), "lm-root")  # 255 rows at most
+    mid = written(mid_sums.repartition(n, "c1").select("key", *_SUMS).mapInArrow(tidy(_upper(2, 1, least)), _NODE_ROWS), "lm-mid")
+    root = written(_sums(mid, "lm-root").coalesce(1).mapInArrow(tidy(_upper(0, 0, least)), _NODE_ROWS), "lm-root")  # 255 rows at most
     nodes = deep.unionAll(mid).unionAll(root).filter("key is not null")
     node_table = write_table(nodes, "key", ["a", "r", "stop"], "lm-nodes")
     word_table = write_table(counts.filter("kind = 1").select("key", F.col("n").cast("double").alias("n")), "key", ["n"], "lm-words")
@@ -425,7 +425,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                     pa.array(base + end), pa.array(total), pa.array(n_bytes.astype(np.int64))],
                     ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+        .mapInArrow(tidy(run), "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return scored.select("doc_id", is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes")
 
 

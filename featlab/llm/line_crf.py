@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featlab.llm.pieces import blocks, text_array
-from featlab.llm.shared import small_batches, text_or_empty, without
+from featlab.llm.shared import small_batches, text_or_empty, tidy, without
 
 SAMPLE_DOCS = 6000
 SAMPLE_LINES = 400
@@ -233,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
                     if c <= sample_lines:
                         yield pa.RecordBatch.from_pydict({"quality": pa.array([quality[at + k]], pa.int32()), "lines": pa.array([c], pa.int32()), "x": [x[e - c:e].reshape(-1)]})
                 at += len(counts)
-    found: pd.DataFrame = rows.mapInArrow(features, "quality int, lines int, x array<double>").toPandas()
+    found: pd.DataFrame = rows.mapInArrow(tidy(features), "quality int, lines int, x array<double>").toPandas()
     if found["quality"].nunique() < 2:
         return None
     # the order rows arrive in must not matter
@@ -250,7 +250,7 @@ def classify(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_texts(text_array(b.column(1)), model), pa.float64())], ["doc_id", "score"])
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from featlab.llm.components import components
 from featlab.llm.pieces import text_array
-from featlab.llm.shared import sized, small_batches, task_count, text_or_empty, without, written
+from featlab.llm.shared import sized, small_batches, task_count, text_or_empty, tidy, without, written
 from featlab.llm.shingles import mixed, shingle_sets
 
 WIDTH = 5
@@ -117,7 +117,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1))),
                 pa.array([r.tobytes() for r in sketch], pa.binary())], ["doc_id", "n_shingles", "digest", "keys", "sketch"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
+        .mapInArrow(tidy(run), "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
 
 
 def _grouped(solve):
@@ -256,7 +256,7 @@ def _pairs(slots: DataFrame, prints: DataFrame, spanning: bool, most: int) -> Da
     faced = _faced(slots, "key", only_first=spanning).select("doc_id", "g", "side").join(prints, "doc_id") \
         .select("g", "side", "doc_id", "n_shingles", "part", "sketch")
     return faced.repartition(task_count(slots.sparkSession), "g").sortWithinPartitions("g", "side") \
-        .mapInArrow(_candidates(spanning, most), "a long, b long").distinct()
+        .mapInArrow(tidy(_candidates(spanning, most)), "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -266,7 +266,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: in
             sets = [s.tobytes() for s in shingle_sets(text_array(b.column(1)), width)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return texts.join(sized(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
+    return texts.join(sized(ids), "doc_id", "left_semi").mapInArrow(tidy(run), "doc_id long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
     x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .filter("x <> y").select("cluster", "n"), "near-several")
     inside = _faced(_blocked(members.join(sized(several), "cluster")), "cluster", only_first=False) \
         .select("g", "side", "doc_id", "comp").join(sets, "doc_id").select("g", "side", "doc_id", "comp", "shingles") \
-        .repartition(task_count(docs.sparkSession), "g").sortWithinPartitions("g", "side").mapInArrow(_grouped(_exact_links), "a long, b long")
+        .repartition(task_count(docs.sparkSession), "g").sortWithinPartitions("g", "side").mapInArrow(tidy(_grouped(_exact_links)), "a long, b long")
     parts = light.join(clusters, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("cluster", "doc_id").alias("part"), "sketch")
     across = written(_pairs(slots, parts, False, most), "near-pairs")
     more = written(across.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(ids, "doc_id", "left_anti"), "near-ids")

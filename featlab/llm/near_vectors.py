@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featlab.llm.components import components
-from featlab.llm.shared import task_count, written
+from featlab.llm.shared import task_count, tidy, written
 
 BITS = 14
 MISS = 1e-8
@@ -71,7 +71,7 @@ def _with_keys(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                 out[rows] = signs @ weights
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * tables), pa.array(out.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, "keys"])
-    return classes.mapInArrow(keys, "cid long, rep long, size long, label string, vec array<double>, keys array<int>")
+    return classes.mapInArrow(tidy(keys), "cid long, rep long, size long, label string, vec array<double>, keys array<int>")
 
 
 class _Links:
@@ -211,7 +211,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, bits: int = BITS, id_
         .repartition(n, "group").sortWithinPartitions("group", "side") \
         .withColumn("g", F.xxhash64("group"))
     found = written(placed.select("g", "side", "t", "cid", "rep", "size", "vec", "keys")
-                    .mapInArrow(_compare(cosine), "cid long, n long, a long, b long"), "vector-links")
+                    .mapInArrow(tidy(_compare(cosine)), "cid long, n long, a long, b long"), "vector-links")
 
     counts = found.filter("cid is not null").groupBy("cid").agg(F.sum("n").alias("n"))
     comps = components(found.filter("a is not null").select("a", "b"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +67,24 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """Keep the Arrow batches that go to Python tasks near ``most`` bytes
     (long texts would make batches of many MB in the JVM and in Python)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
+def give_back_memory() -> None:
+    """Return this process' freed memory to the system: Python workers stay
+    alive between stages, and several share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that hands back freed memory when its partition is done."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back_memory()
+    return whole

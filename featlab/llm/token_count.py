@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featlab.llm.pieces import text_array
-from featlab.llm.shared import small_batches, task_count, text_or_empty, written
+from featlab.llm.shared import small_batches, task_count, text_or_empty, tidy, written
 from featlab.llm.tokenizers_lib import piece_encoder, tokenizer
 
 CHUNK = 16_384
@@ -51,7 +51,7 @@ def _whole(docs: DataFrame, path: str, byte_level: bool) -> DataFrame:
         for b in batches:
             lens = run.lengths(text_array(b.column(2)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
-    return docs.select("doc_id", "n_bytes", "text").mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    return docs.select("doc_id", "n_bytes", "text").mapInArrow(tidy(count), "doc_id long, n_bytes long, n_tokens long")
 
 
 def _chunks(huge: DataFrame, chunk: int, overlap: int) -> DataFrame:
@@ -65,7 +65,7 @@ def _chunks(huge: DataFrame, chunk: int, overlap: int) -> DataFrame:
                     start = max(0, k * chunk - overlap)
                     end = len(text) if k == n - 1 else (k + 1) * chunk + overlap
                     yield pa.RecordBatch.from_pydict({"rid": [rid], "k": pa.array([k], pa.int32()), "start": [start], "last": [k == n - 1], "text": [text[start:end]]})
-    return huge.select("rid", "text").mapInArrow(cut, "rid long, k int, start long, last boolean, text string")
+    return huge.select("rid", "text").mapInArrow(tidy(cut), "rid long, k int, start long, last boolean, text string")
 
 
 def boundaries(encoding, first: int, last: int) -> tuple[list[int], list[int]]:
@@ -101,7 +101,7 @@ def _encoded(chunks: DataFrame, path: str, overlap: int) -> DataFrame:
                     [pa.array(part["rid"], pa.int64()), pa.array(part["k"], pa.int32()), pa.array(rows["total"], pa.int64()),
                      *(pa.array(rows[c], longs) for c in ("left_at", "left_n", "right_at", "right_n"))],
                     ["rid", "k", "total", "left_at", "left_n", "right_at", "right_n"])
-    return chunks.repartition(task_count(chunks.sparkSession), "rid", "k").mapInArrow(encode, _ENCODED)
+    return chunks.repartition(task_count(chunks.sparkSession), "rid", "k").mapInArrow(tidy(encode), _ENCODED)
 
 
 def _spliced(encoded: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, written
+from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, tidy, written
 from featlab.llm.store import get_array, open_folder, put
 from featlab.llm.tokenizers_lib import piece_encoder, tokenizer
 
@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str | None = Non
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
         .repartitionByRange(task_count(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    parts = written(ordered.mapInArrow(write_part, "part string, docs long, null_docs long, ids long, width long"), "token-parts")
+    parts = written(ordered.mapInArrow(tidy(write_part), "part string, docs long, null_docs long, ids long, width long"), "token-parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     manifest = written(parts.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0))), "token-manifest")
     return manifest, folder
