@@ -70,27 +70,66 @@ def band_part(m: DataFrame, lower: int, upper: int) -> DataFrame:
     return m.filter(cond)
 
 
-def row_matrix(df: DataFrame, vec_col: str):
-    """Distributed RowMatrix over an array<double> column (for L05-L08)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    return RowMatrix(df.select(vec_col).rdd.map(lambda r: Vectors.dense(r[0])))
+def gram_matrix(df: DataFrame, vec_col: str) -> DataFrame:
+    """A'A of the matrix whose rows are an array column: (i, j, v), 0-based.
+    One pass; every task adds up its batches' d x d products and emits one
+    block, so d^2 numbers per task are shuffled and no row is copied. Rows
+    that are NULL or hold NULL are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    def add_up(batches):
+        total = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = b.column(0)
+            m = np.asarray(x.flatten(), np.float64).reshape(b.num_rows, -1)
+            total = m.T @ m if total is None else total + m.T @ m
+        if total is not None:
+            i, j = (k.reshape(-1) for k in np.indices(total.shape))
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total.reshape(-1))], ["i", "j", "v"])
+    rows = df.select(F.col(vec_col).cast("array<double>").alias("x")).filter(F.forall("x", lambda v: v.isNotNull()))
+    return rows.mapInArrow(add_up, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
+def _local(m: DataFrame):
+    """A d x d coordinate matrix as an array on the driver (d^2 numbers)."""
+    import numpy as np
+    rows = m.collect()
+    d = 1 + max((r["i"] for r in rows), default=-1)
+    out = np.zeros((d, d))
+    for r in rows:
+        out[r["i"], r["j"]] = r["v"]
+    return out
 
 
-def svd(df: DataFrame, vec_col: str, k: int):
-    """Top-k singular values / right vectors (MLlib, distributed)."""
-    return row_matrix(df, vec_col).computeSVD(k, computeU=False)
+def svd(df: DataFrame, vec_col: str, k: int | None = None):
+    """(singular values, right vectors d x k), largest first, of a tall
+    matrix, from its Gram matrix (only d x d numbers leave the cluster)."""
+    import numpy as np
+    values, vectors = np.linalg.eigh(_local(gram_matrix(df, vec_col)))
+    order = np.argsort(-values)[:k]
+    return np.sqrt(np.maximum(values[order], 0)), vectors[:, order]
 
 
 def tall_skinny_qr(df: DataFrame, vec_col: str):
-    """R factor of a tall-skinny QR."""
-    return row_matrix(df, vec_col).tallSkinnyQR(computeQ=False).R
-
-
-def principal_components(df: DataFrame, vec_col: str, k: int):
-    """L08 / E15 (re-aimed): top-k eigenvectors of the covariance matrix
-    (the principal components, d x k)."""
-    return row_matrix(df, vec_col).computePrincipalComponents(k)
+    """R factor of a tall-skinny QR (upper triangular, positive
+    diagonal), the Cholesky factor of the Gram matrix."""
+    import numpy as np
+    return np.linalg.cholesky(_local(gram_matrix(df, vec_col))).T
+
+
+def principal_components(df: DataFrame, vec_col: str, k: int | None = None):
+    """L08 / E15 (re-aimed): (variances, components d x k) of the covariance
+    matrix, largest first, by ``pyspark.ml.feature.PCA``."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    x = df.select(F.col(vec_col).cast("array<double>").alias("x"))
+    d = x.select(F.size("x")).first()[0]
+    spread = x.agg(*[F.var_samp(F.col("x")[j]).alias(f"v{j}") for j in range(d)]).first()
+    model = PCA(k=k or d, inputCol="f", outputCol="p").fit(x.select(array_to_vector("x").alias("f")))
+    return model.explainedVariance.toArray() * sum(spread), model.pc.toArray()
 
 
 def least_squares(df: DataFrame, feature_cols, label_col: str):

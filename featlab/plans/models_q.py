@@ -101,13 +101,18 @@ def m08_fm_classifier(spark, sf_dir):
 @query("m07_m11_text_classifier")
 def m07_m11_text_classifier(spark, sf_dir):
     """Hashed TF-IDF + logistic regression text classifier (re-aimed
-    neural classifier), scored with the stratified folds' held-out parts."""
+    neural classifier): class and probability of every document. Labelled
+    ones are scored by the fold model that did not see them, the others by
+    the mean over the fold models."""
+    from pyspark.ml.functions import vector_to_array
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality")
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.word_tokens("text").alias("tok"))
-    df = stratified_kfold(lab.join(docs, "doc_id"), "quality", ["doc_id"], 3).withColumn("label", F.col("quality").cast("double"))
+    train = stratified_kfold(lab.join(docs, "doc_id"), "quality", ["doc_id"], 3).withColumn("label", F.col("quality").cast("double"))
+    rest = docs.join(lab.select("doc_id"), "doc_id", "left_anti")
     pipe = MD.text_classifier("tok", "label", 1 << 14)
-    model = pipe.fit(df.filter(F.col("fold") != 0))
-    return model.transform(df.filter(F.col("fold") == 0)).select("doc_id", F.col("prediction").cast("int").alias("pred"))
+    score = lambda m, d: m.transform(d).select("doc_id", vector_to_array("probability")[1].alias("score"))
+    oof, others = MD.oof_predictions(train, rest, "fold", "doc_id", pipe.fit, score)
+    return oof.unionByName(others).select("doc_id", (F.col("score") > 0.5).cast("int").alias("pred"), F.round("score", R).alias("p1"))
 
 
 @query("f04_f09_f10_linear_selection")
@@ -152,7 +157,18 @@ def x14_porter_stems(spark, sf_dir):
     return SG.stems(toks, "token").select("doc_id", "pos", "token", "stem")
 
 
-@query("x08_wordpiece")
+@query("x08_wordpiece", f"""
+WITH RECURSIVE w AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_CLASS}')) AS t FROM documents) GROUP BY 1 ORDER BY n DESC, token LIMIT 3000),
+vocab AS (SELECT token FROM w UNION SELECT '##' || right(token, 2) FROM w UNION SELECT '##' || right(token, 3) FROM w),
+toks AS (SELECT item_id, CAST(unnest(range(0, len(l))) AS INTEGER) AS pos, unnest(l) AS token FROM (SELECT item_id, regexp_extract_all(lower(text), '{T.WORD_CLASS}') AS l FROM benchmark)),
+d AS (SELECT DISTINCT token FROM toks),
+best AS (SELECT d.token, s.i, max(e.k) AS k FROM d, range(1, 60) s(i), range(1, 60) e(k)
+  WHERE s.i + e.k - 1 <= length(d.token) AND (CASE WHEN s.i > 1 THEN '##' ELSE '' END) || substring(d.token, s.i, e.k) IN (SELECT token FROM vocab) GROUP BY 1, 2),
+walk AS (SELECT token, CAST(1 AS BIGINT) AS i, CAST('' AS VARCHAR) AS pieces FROM d
+  UNION ALL SELECT walk.token, walk.i + k, pieces || ' ' || CASE WHEN walk.i > 1 THEN '##' ELSE '' END || substring(walk.token, walk.i, k) FROM walk JOIN best ON best.token = walk.token AND best.i = walk.i)
+SELECT item_id, pos, toks.token, coalesce(substring(pieces, 2), '[UNK]') AS pieces
+FROM toks LEFT JOIN (SELECT * FROM walk WHERE i > length(token)) f ON f.token = toks.token
+""")
 def x08_wordpiece(spark, sf_dir):
     """WordPiece over benchmark tokens with a vocabulary learned from the
     documents: their 3000 most frequent words plus every 2- and 3-letter
@@ -286,3 +302,62 @@ def m03_m10_greedy_tune_refit(spark, sf_dir):
     model = MD.refit(train, valid, MD.gbt("regression", maxIter=5, **best))
     return model.transform(x).select("doc_id", F.round("prediction", R).alias("prediction"),
                                      F.lit(MD.json_params(best)).alias("params"))
+
+
+# ---- models with a closed form, compared with SQL -------------------------------------------
+_X = ("l_quantity", "l_discount", "l_tax")
+
+
+def _det(rows) -> str:
+    """3 x 3 determinant as SQL, by the first row."""
+    (a, b, c), (d, e, f), (g, h, i) = rows
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_COV = [[f"covar_pop({a}, {b})" for b in _X] for a in _X]
+_RIGHT = [f"covar_pop({a}, l_extendedprice)" for a in _X]
+
+
+def _cramer(k: int) -> str:
+    return f"{_det([[_RIGHT[r] if c == k else _COV[r][c] for c in range(3)] for r in range(3)])} / {_det(_COV)}"
+
+
+@query("f04_linear_weights", "\nUNION ALL ".join(f"SELECT '{c}' AS feature, round({_cramer(k)}, 3) AS weight FROM lineitem" for k, c in enumerate(_X)))
+def f04_linear_weights(spark, sf_dir):
+    """Least-squares weights with intercept (oracle: Cramer's rule on the covariances)."""
+    w = MD.linear_weights(read_table(spark, sf_dir, "lineitem", *_X, "l_extendedprice"), list(_X), "l_extendedprice")
+    return spark.createDataFrame(list(w.items()), "feature string, weight double").select("feature", F.round("weight", 3).alias("weight"))
+
+
+@query("f05_f06_one_feature", """
+SELECT round(sign(c) * greatest(abs(c) - 1000, 0) / v, 2) AS lasso, round(c / (v + 1000 / n), 2) AS ridge
+FROM (SELECT covar_pop(CAST(l_quantity AS DOUBLE), l_extendedprice) AS c, var_pop(CAST(l_quantity AS DOUBLE)) AS v, count(*) AS n FROM lineitem)
+""")
+def f05_f06_one_feature(spark, sf_dir):
+    """Lasso (alpha 1000) and ridge (alpha 1000) weight of one feature
+    (oracle: soft threshold and shrinkage of the covariance)."""
+    x = MD.assemble(read_table(spark, sf_dir, "lineitem", "l_quantity", "l_extendedprice").select(F.col("l_quantity").cast("double").alias("q"), F.col("l_extendedprice").alias("label")), ["q"])
+    s = x.agg(F.count("*").alias("n"), F.stddev_samp("label").alias("std")).first()
+    ridge = MD.ridge(1000.0, s["n"], s["std"]).fit(x).coefficients[0]
+    lasso = MD.lasso(1000.0).fit(x).coefficients[0]
+    return spark.createDataFrame([(round(float(lasso), 2), round(float(ridge), 2))], "lasso double, ridge double")
+
+
+@query("m01_m04_m07_group_models", """
+SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_orderstatus = 'F'), 2) AS boosted, round(avg(o_totalprice) OVER (PARTITION BY o_orderstatus = 'F'), 2) AS forest,
+  round(avg(CASE WHEN o_totalprice > 150000 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY o_orderstatus = 'F'), 3) AS logistic
+FROM orders
+""")
+def m01_m04_m07_group_models(spark, sf_dir):
+    """One boosted tree, one unsampled tree and an unpenalised logistic
+    regression on a two-valued feature, for every order (oracle: the means
+    and rates of the two groups)."""
+    from pyspark.ml.functions import vector_to_array
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    x = MD.assemble(o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("double").alias("f"), F.col("o_totalprice").cast("double").alias("label"),
+                             (F.col("o_totalprice") > 150000).cast("double").alias("big")), ["f"])
+    boosted = MD.gbt("regression", maxIter=1, maxDepth=1).setPredictionCol("boosted").fit(x)
+    forest = MD.random_forest("regression", numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all").setPredictionCol("forest").fit(x)
+    logistic = MD.logistic(1e15, 1).setLabelCol("big").setTol(1e-12).setMaxIter(500).fit(x)
+    out = logistic.transform(forest.transform(boosted.transform(x)))
+    return out.select("o_orderkey", F.round("boosted", 2).alias("boosted"), F.round("forest", 2).alias("forest"), F.round(vector_to_array("probability")[1], 3).alias("logistic"))

@@ -60,8 +60,7 @@ g AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS v FROM c a JOIN c b ON a.i =
 SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(v, 6) AS v FROM g WHERE abs(i - j) <= 2
 """)
 def l01_l04_gram_matrix(spark, sf_dir):
-    m = L.from_arrays(_emb(spark, sf_dir), "vec_id", "embedding")
-    g = L.matmul(m, m, transpose_a=True)
+    g = L.gram_matrix(_emb(spark, sf_dir), "embedding")
     return L.band_part(g, 2, 2).select(F.col("i").cast("bigint"), F.col("j").cast("bigint"), F.round("v", R).alias("v"))
 
 
@@ -72,8 +71,7 @@ SELECT round(sum(CASE WHEN i = j THEN v ELSE 0 END), 6) AS trace, round(sqrt(sum
        round(max(CASE WHEN i = j THEN v END), 6) AS max_diag FROM g
 """)
 def l03_trace_norm_diag(spark, sf_dir):
-    m = L.from_arrays(_emb(spark, sf_dir), "vec_id", "embedding")
-    g = L.matmul(L.transpose(m), m)
+    g = L.gram_matrix(_emb(spark, sf_dir), "embedding")
     t = L.trace_and_norm(g)
     d = L.diag_part(g).agg(F.max("v").alias("max_diag"))
     from featlab.operators.stats import attach_row
@@ -162,13 +160,21 @@ def c09_pad_sequences(spark, sf_dir):
                     (F.lit(ml) - F.size("tok")).cast("bigint").alias("pad"), F.element_at(padded, -1).alias("last"))
 
 
-@query("l05_l08_e15_factorizations")
+@query("l05_l08_e15_factorizations", f"""
+WITH c AS (SELECT vec_id AS k, j - 1 AS j, {_SQL_VEC}[j] AS v FROM embeddings, range(1, 65) r(j))
+SELECT CAST(a.j AS BIGINT) AS i, CAST(b.j AS BIGINT) AS j, round(sum(a.v * b.v), 4) AS from_svd, round(sum(a.v * b.v), 4) AS from_qr,
+  round(covar_samp(a.v, b.v), 4) + 0.0 AS from_components
+FROM c a JOIN c b ON a.k = b.k GROUP BY 1, 2
+""")
 def l05_l08_e15_factorizations(spark, sf_dir):
-    """Distributed SVD singular values (L05), the QR R diagonal (L06) and the
-    PCA explained variance (L08/E15) of the embedding matrix."""
-    e = _emb(spark, sf_dir).select(A.to_double_array(F.col("embedding")).alias("e"))
-    s = L.svd(e, "e", 5).s.toArray().tolist()
-    r = L.tall_skinny_qr(e, "e").toArray()
-    pcs = L.principal_components(e, "e", 5).toArray()
-    rows = [(i, float(s[i]), float(abs(r[i, i])), float(abs(pcs[0, i]))) for i in range(5)]
-    return spark.createDataFrame(rows, "k int, singular double, r_diag double, pc_first_loading double")
+    """All components of the SVD (L05), QR (L06) and principal components
+    (L08/E15) of the embedding matrix, shown by what they rebuild: V S^2 V',
+    R'R and the covariance."""
+    e = _emb(spark, sf_dir)
+    s, v = L.svd(e, "embedding")
+    r = L.tall_skinny_qr(e, "embedding")
+    var, pc = L.principal_components(e, "embedding")
+    a, b, c = (v * s ** 2) @ v.T, r.T @ r, (pc * var) @ pc.T
+    rows = [(i, j, float(a[i, j]), float(b[i, j]), float(c[i, j])) for i in range(len(a)) for j in range(len(a))]   # d x d numbers
+    out = spark.createDataFrame(rows, "i long, j long, x double, y double, z double")
+    return out.select("i", "j", F.round("x", 4).alias("from_svd"), F.round("y", 4).alias("from_qr"), (F.round("z", 4) + 0.0).alias("from_components"))
