@@ -290,9 +290,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most = most_differing_bits()
     prints = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
     usable = prints.filter("digest is not null and doc_id is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = written(usable.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                   .dropDuplicates(["doc_id", "digest"]), "near-classes")
+    copies = written(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").select("digest", "rep"), "near-copies")
+    marked = usable.join(sized(copies), "digest", "left")
+    reps = written(marked.filter("rep is null").unionAll(marked.filter("doc_id = rep").dropDuplicates(["digest"])).drop("rep"), "near-classes")
     slots = reps.select("doc_id", F.explode("keys").alias("key"))
     shared = slots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     slots = written(_blocked(slots.join(shared, "key")).select("key", "doc_id", "blocks", "block"), "near-buckets")
@@ -319,9 +319,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(inside).unionByName(_confirmed(across, sets))
     comps = written(components(links), "near-components")
 
-    per_class = classes.join(comps, classes["rep"] == comps["node"], "left") \
-        .select("digest", F.coalesce("component", "rep").alias("component_id"))
-    linked = usable.select("doc_id", "n_shingles", "digest").join(per_class, "digest").select("doc_id", "n_shingles", "component_id")
+    found = marked.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
+    linked = found.join(sized(comps), found["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     alone = prints.filter("digest is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
