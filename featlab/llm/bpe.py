@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from featlab.llm import lexicon
 from featlab.llm.pieces import PieceEncoder, text_array
-from featlab.llm.shared import shared_folder, small_batches, text_or_empty, tidy
+from featlab.llm.shared import shared_folder, small_batches, text_or_empty, tidy, written
 
 #: The published pattern that cuts text before byte-level merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -249,8 +249,17 @@ def frequent_words(docs: DataFrame, size: int, text_col: str = "text") -> list[s
     pieces = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tidy(count), "piece string, n long") \
         .filter("piece <> ''").groupBy("piece").agg(F.sum("n").alias("n"))
     # a piece is a word behind a space, with or without punctuation at its end
-    top = pieces.select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), F.col("piece")), F.lit(r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)"), F.lit(1))).alias("word"), "n") \
-        .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    words = written(pieces.select(F.explode(F.regexp_extract_all(F.concat(F.lit(" "), F.col("piece")), F.lit(r"( ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)"), F.lit(1))).alias("word"), "n")
+                    .groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
+    # a histogram of the counts (eighths of powers of two, 512 rows at most) shows
+    # from which count on the list has its length, so tasks sort and send little more than it
+    step = F.floor(F.log2("n") * 8)
+    enough, cutoff = 0, 0
+    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect():
+        enough, cutoff = enough + r["words"], r["step"]
+        if enough >= size:
+            break
+    top = words.filter(step >= cutoff).orderBy(F.desc("n"), "word").limit(size)
     return [r["word"] for r in top.select("word").collect()]
 
 
