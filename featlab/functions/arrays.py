@@ -35,7 +35,7 @@ def gather(a, indices) -> Column:
 
 
 def reshape(a, cols: int) -> Column:
-    """Cut a flat array into rows of ``cols`` values (``F.flatten`` first
+    """Cut a flat array into rows of ``cols`` values (``F.flatten`` first
     for nested input)."""
     flat = _c(a)
     n = F.size(flat)

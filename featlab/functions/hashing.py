@@ -30,12 +30,12 @@ def md5_bin(x, nr_bins: int = 1_000_000) -> Column:
 
 
 def hash_bucket(x, n_features: int, seed: int = 0) -> Column:
-    """Bucket of a token from a stable 64-bit hash (not salted per
-    process like Python's ``hash``)."""
-    return F.pmod(F.xxhash64(F.lit(seed), _c(x)), F.lit(n_features)).cast("int")
+    """Bucket of a token: md5 of ``seed:token`` mod ``n_features``, the
+    same in every process and engine (not salted like Python's ``hash``)."""
+    return md5_mod(F.concat(F.lit(f"{seed}:"), _c(x).cast("string")), n_features).cast("int")
 
 
 def hash_sign(x, seed: int = 0) -> Column:
     """+1/-1 from an independent hash (a different seed), so the sign
     is not tied to the bucket."""
-    return F.when(F.pmod(F.xxhash64(F.lit(seed + 7919), _c(x)), F.lit(2)) == 0, 1).otherwise(-1)
+    return F.when(md5_mod(F.concat(F.lit(f"{seed + 7919}:"), _c(x).cast("string")), 2) == 0, 1).otherwise(-1)

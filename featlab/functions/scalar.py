@@ -144,7 +144,7 @@ def add_n_arrays(*cols) -> Column:
 
 
 def cross3(a, b) -> Column:
-    """Cross product of two 3-vectors (arrays, 1-based element_at)."""
+    """Cross product of two 3-vectors (arrays, 1-based element_at)."""
     a, b = _c(a), _c(b)
     e = F.element_at
     return F.array(e(a, 2) * e(b, 3) - e(a, 3) * e(b, 2),

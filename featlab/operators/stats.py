@@ -32,7 +32,7 @@ def _long(row_df: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> Data
 
 # ---- A01-A03: reductions ------------------------------------------------------------
 def reduce_all(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """sum / mean / max / min / prod / all(x != 0) / any(x != 0) / nonzero count."""
+    """Sum / mean / max / min / prod / all(x != 0) / any(x != 0) / nonzero count."""
     x = F.col(col).cast("double")
     aggs = [F.sum(x).alias("sum"), F.avg(x).alias("mean"), F.max(x).alias("max"),
             F.min(x).alias("min"), F.product(x).alias("prod"),
