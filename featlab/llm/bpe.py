@@ -41,6 +41,8 @@ from featlab.llm.shared import shared_folder, small_batches, text_or_empty, tidy
 #: The published pattern that cuts text before byte-level merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEXICON_SIZE = 50_000
+#: Pieces a worker remembers between blocks (merging is cheap, memory is not).
+MEMO_PIECES = 150_000
 #: From this many symbols a word is merged with a heap.
 LONG = 48
 NO_RANK = np.iinfo(np.int32).max
@@ -230,7 +232,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 @functools.lru_cache(maxsize=2)
 def lexicon_encoder(path: str, folder: str) -> PieceEncoder:
-    return PieceEncoder(vocabulary(path).encoder(lexicon.Lexicon.open(folder)), byte_level=True)
+    return PieceEncoder(vocabulary(path).encoder(lexicon.Lexicon.open(folder)), byte_level=True, memo_pieces=MEMO_PIECES)
 
 
 def frequent_words(docs: DataFrame, size: int, text_col: str = "text") -> list[str]:
@@ -308,7 +310,7 @@ def decode_rows(encoded: DataFrame, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, lexicon_size: int = LEXICON_SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, text`` (decoded from the ids) of every document; both steps run in one worker."""
-    small_batches(docs.sparkSession, 4 << 20)
+    small_batches(docs.sparkSession, 2 << 20)
     folder = compile_lexicon(docs, path, lexicon_size, text_col)
     encode, decode = _encoding(path, folder), _decoding(path)
     return _rows(docs, id_col, text_col).mapInArrow(tidy(lambda batches: decode(encode(batches))), "doc_id long, ids binary, text string")

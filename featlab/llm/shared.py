@@ -16,6 +16,8 @@ from featlab.session import ensure_checkpoint_dir
 #: ASCII white space; words are runs of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: A writer of a scratch table buffers so much (the default is 128 MB a task).
+ROW_GROUP_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -27,7 +29,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, and
     a lost executor costs a read instead of a recomputation."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
