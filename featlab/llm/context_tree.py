@@ -12,11 +12,10 @@ Krichevsky-Trofimov estimate against the product of its children:
 After training, a bit has the probability ``w KT + (1 - w) p(child)`` at every
 node with ``w = KT(s) / (2 P(s))``, mixed from the deepest node to the root.
 
-A context is a node of its own if it has at least 1/2^22 of all training bytes
-(at least one); the others below the same parent share one pooled child. So the
-rule is the same at every corpus size, all training bytes count, and the number
-of nodes has a bound (2^22 for each of 8 bit levels and each depth) that does not
-depend on the corpus.
+A context is a node of its own from its first occurrence on, at every corpus
+size, so the number of nodes grows with the contexts the corpus holds. (With a
+``NODE_SHARE`` above 0, contexts below that share of the training bytes would
+share one pooled child of their parent; nothing but a test sets it.)
 
 Job: (context, byte) counts per task, summed by Spark, dealt by the three nearest
 context bytes; each task builds whole subtrees of depth >= 3 bottom-up (one sort,
@@ -54,8 +53,8 @@ from featlab.llm.shared import shared_folder, small_batches, task_count, text_or
 from featlab.llm.store import get_array, put
 
 DEPTH = 5
-#: A context is a node if it has this share of the training bytes.
-NODE_SHARE = 2.0 ** -22
+#: A context is a node if it occurs and has this share of the training bytes.
+NODE_SHARE = 0.0
 BLOCK_BYTES = 4 << 20
 #: Rows a task sums or builds a tree from at a time.
 HELD = 1_500_000

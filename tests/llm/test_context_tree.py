@@ -127,6 +127,17 @@ def test_probabilities_sum_to_one_over_next_bytes(spark):
     assert np.where(bits == 1, one, 1 - one).prod(axis=1).sum() == pytest.approx(1, abs=1e-9)
 
 
+def test_rare_contexts_of_a_large_corpus_are_nodes(spark):
+    """Contexts that occur once among 10 MB of training text have nodes at all depths."""
+    rare = next(k for k in range(1000, 1100) if not held_out(k))
+    common = spark.range(100).selectExpr("id AS doc_id", "repeat('the cat sat on the mat. ', 5000) AS text")
+    model = C.train(common.unionAll(spark.createDataFrame([(rare, "zebra quagga")], "doc_id long, text string")))
+    assert model["least"] == 1
+    nodes = C.open_table(model["nodes"][0], tuple(model["nodes"][1]), ("a", "r", "stop"))
+    keys = np.unique([p << 8 * d | int.from_bytes(c[:d], "big") | d << 56 for p, c, _ in decisions(model_bytes("zebra quagga")) for d in range(D + 1)])
+    assert nodes.find(keys.astype(np.int64))[0].all()
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert C.score_all(empty).count() == 0
