@@ -21,12 +21,15 @@ R = 6
 
 
 def _doc_features(spark, sf_dir):
+    """Text features of every document; ``quality`` and ``toxic`` are NULL
+    for those without a label."""
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     docs = read_table(spark, sf_dir, "documents", "doc_id", "n_chars", "text")
     d = docs.select("doc_id", F.log("n_chars").alias("log_chars"),
                     (F.size(T.word_tokens("text")) / F.greatest(F.col("n_chars"), F.lit(1))).alias("word_rate"),
+                    (F.length(F.regexp_replace("text", r"[^0-9]", "")) / F.greatest(F.col("n_chars"), F.lit(1))).alias("digit_rate"),
                     (F.length(F.regexp_replace("text", r"[^\n]", "")) + 1).cast("double").alias("lines"))
-    return lab.join(d, "doc_id")
+    return d.join(lab, "doc_id", "left")
 
 
 @query("m09_oof_stacking_group_mean", """
@@ -65,37 +68,38 @@ def m09_oof_stacking_group_mean(spark, sf_dir):
 
 @query("m04_m06_logistic_cv")
 def m04_m06_logistic_cv(spark, sf_dir):
-    """Logistic regression (C = 1) with a fold-column grid search over C;
-    predictions for every labelled document."""
+    """Logistic regression (C = 1) with a fold-column grid search over C
+    on the labelled documents; predictions for every document."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    df = kfold(_doc_features(spark, sf_dir), ["doc_id"], 3)
-    x = MD.assemble(df, ["log_chars", "word_rate", "lines"]).withColumn("label", F.col("quality").cast("double"))
+    docs = MD.assemble(_doc_features(spark, sf_dir), ["log_chars", "word_rate", "lines"])
+    x = kfold(docs.filter(F.col("quality").isNotNull()), ["doc_id"], 3).withColumn("label", F.col("quality").cast("double"))
     n = x.count()
     est = MD.logistic(1.0, n)
     cv = MD.grid_search(est, {"regParam": [1.0 / (c * n) for c in (0.1, 1.0, 10.0)]},
                         BinaryClassificationEvaluator(), fold_col="fold")
     model = cv.fit(x.withColumn("fold", F.col("fold").cast("int")))
     from pyspark.ml.functions import vector_to_array
-    return model.transform(x).select("doc_id", F.col("prediction").cast("int").alias("pred"),
-                                     F.round(vector_to_array("probability")[1], R).alias("p1"))
+    return model.transform(docs).select("doc_id", F.col("prediction").cast("int").alias("pred"),
+                                        F.round(vector_to_array("probability")[1], R).alias("p1"))
 
 
 @query("m01_m02_gbt_cv_rounds")
 def m01_m02_gbt_cv_rounds(spark, sf_dir):
     """Boosted regression trees with per-round held-out loss per fold
-    (the table early stopping reads), 3 folds x 20 rounds."""
+    (the table early stopping reads), 3 folds x 20 rounds over all documents."""
     df = kfold(_doc_features(spark, sf_dir), ["doc_id"], 3)
-    x = MD.assemble(df, ["log_chars", "word_rate", "toxic"]).withColumn("label", F.col("lines"))
+    x = MD.assemble(df, ["log_chars", "word_rate", "digit_rate"]).withColumn("label", F.col("lines"))
     return MD.cv_rounds(x, "fold", "regression", max_iter=20, maxDepth=3, seed=7)
 
 
 @query("m08_fm_classifier")
 def m08_fm_classifier(spark, sf_dir):
-    """Factorization machine (factor size 8) on the document features."""
-    x = MD.assemble(_doc_features(spark, sf_dir), ["log_chars", "word_rate", "lines"]) \
-        .withColumn("label", F.col("toxic").cast("double"))
+    """Factorization machine (factor size 8) on the document features, fit on
+    the labelled documents; predictions for every document."""
+    docs = MD.assemble(_doc_features(spark, sf_dir), ["log_chars", "word_rate", "lines"])
+    x = docs.filter(F.col("toxic").isNotNull()).withColumn("label", F.col("toxic").cast("double"))
     m = MD.factorization_machine("binary", 8, maxIter=20, seed=3).fit(x)
-    return m.transform(x).select("doc_id", F.col("prediction").cast("int").alias("pred"))
+    return m.transform(docs).select("doc_id", F.col("prediction").cast("int").alias("pred"))
 
 
 @query("m07_m11_text_classifier")
@@ -295,7 +299,7 @@ def m03_m10_greedy_tune_refit(spark, sf_dir):
     every grid point scored by 3-fold held-out loss per round; the chosen
     setting is refit on train + validation (U02) and scores the documents."""
     df = kfold(_doc_features(spark, sf_dir), ["doc_id"], 3)
-    x = MD.assemble(df, ["log_chars", "word_rate", "toxic"]).withColumn("label", F.col("lines"))
+    x = MD.assemble(df, ["log_chars", "word_rate", "digit_rate"]).withColumn("label", F.col("lines"))
     best, log = MD.greedy_tune(x, "fold", [{"maxDepth": [2, 3]}, {"stepSize": [0.1, 0.3]}],
                                "regression", base={"seed": 7}, max_iter=5)
     train, valid = x.filter(F.col("fold") != 0), x.filter(F.col("fold") == 0)

@@ -106,3 +106,14 @@ def test_permutation_importance_orders_features(spark):
     df, X, y = _data(spark, n=300)
     imp = {r.feature: r.importance for r in MD.permutation_importance(df, ["a", "b", "c"], "y", "id", splits=2).collect()}
     assert imp["a"] > imp["b"] > imp["c"]
+
+
+def test_model_queries_score_every_document(spark):
+    from featlab.plans import models_q as Q
+    SF = "/root/testdata/sf0.001"
+    ids = sorted(r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
+    assert sorted(r.doc_id for r in Q._doc_features(spark, SF).collect()) == ids
+    for query in (Q.m04_m06_logistic_cv, Q.m08_fm_classifier, Q.m03_m10_greedy_tune_refit):
+        rows = query(spark, SF).collect()
+        assert sorted(r.doc_id for r in rows) == ids
+        assert all(v is not None and v == v for r in rows for v in r)
