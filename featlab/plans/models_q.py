@@ -161,6 +161,15 @@ def x14_porter_stems(spark, sf_dir):
     return SG.stems(toks, "token").select("doc_id", "pos", "token", "stem")
 
 
+def _wordpiece_vocab(spark, sf_dir):
+    from featlab.operators.text_features import term_counts, top_terms
+    docs = read_table(spark, sf_dir, "documents", "text")
+    words = top_terms(term_counts(docs, T.word_tokens("text")), 3000).select(F.col("term").alias("token"))
+    tails = (words.select(F.explode(F.array(F.substring("token", -2, 2), F.substring("token", -3, 3))).alias("t"))
+             .select(F.concat(F.lit("##"), "t").alias("token")).distinct())
+    return words.unionByName(tails).distinct()
+
+
 @query("x08_wordpiece", f"""
 WITH RECURSIVE w AS (SELECT t AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_CLASS}')) AS t FROM documents) GROUP BY 1 ORDER BY n DESC, token LIMIT 3000),
 vocab AS (SELECT token FROM w UNION SELECT '##' || right(token, 2) FROM w UNION SELECT '##' || right(token, 3) FROM w),
@@ -177,12 +186,7 @@ def x08_wordpiece(spark, sf_dir):
     """WordPiece over benchmark tokens with a vocabulary learned from the
     documents: their 3000 most frequent words plus every 2- and 3-letter
     word ending as a ``##`` continuation."""
-    from featlab.operators.text_features import term_counts, top_terms
-    docs = read_table(spark, sf_dir, "documents", "text")
-    words = top_terms(term_counts(docs, T.word_tokens("text")), 3000).select(F.col("term").alias("token"))
-    tails = (words.select(F.explode(F.array(F.substring("token", -2, 2), F.substring("token", -3, 3))).alias("t"))
-             .select(F.concat(F.lit("##"), "t").alias("token")).distinct())
-    vocab = words.unionByName(tails).distinct()
+    vocab = _wordpiece_vocab(spark, sf_dir)
     b = read_table(spark, sf_dir, "benchmark", "item_id", "text")
     toks = (b.select("item_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
             .filter(F.col("token").isNotNull()))
@@ -190,6 +194,17 @@ def x08_wordpiece(spark, sf_dir):
     return out.select("item_id", "pos", "token", F.array_join("pieces", " ").alias("pieces"))
 
 
+@query("x08_document_wordpiece")
+def x08_document_wordpiece(spark, sf_dir):
+    """``x08_wordpiece`` for every token of every document (no SQL: it tries
+    all pairs of places of each distinct token; compared with brute force)."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    toks = (d.select("doc_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()))
+    out = SG.wordpiece_tokens(toks, "token", _wordpiece_vocab(spark, sf_dir))
+    return out.select("doc_id", "pos", "token", F.array_join("pieces", " ").alias("pieces"))
+
+
 @query("j08_dictionary_matches", f"""
 WITH d AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(text), '{T.WORD_CLASS}')) AS w FROM benchmark)
            WHERE length(w) >= 6),

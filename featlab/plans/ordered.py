@@ -126,6 +126,38 @@ def w06_skipgram_pairs(spark, sf_dir):
     return S.skipgram_pairs(toks, "item_id", "pos", "token", 2).withColumn("offset", F.col("offset").cast("int"))
 
 
+def _document_tokens(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return (d.select("doc_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
+            .filter(F.col("token").isNotNull()).withColumn("pos", F.col("pos") + 1))
+
+
+_DOCUMENT_TOKENS = f"""
+WITH t AS (SELECT doc_id, unnest(range(1, len(tok) + 1)) AS pos, unnest(tok) AS token
+           FROM (SELECT doc_id, regexp_extract_all(lower(text), '{T.WORD_CLASS}') AS tok FROM documents))
+"""
+
+
+@query("w05_document_windows", _DOCUMENT_TOKENS + """
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, token, lag(token) OVER w AS ctx_m1, lag(token, 2) OVER w AS ctx_m2,
+       lead(token) OVER w AS ctx_p1, lead(token, 2) OVER w AS ctx_p2
+FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+""")
+def w05_document_windows(spark, sf_dir):
+    """The windows of ``w05_context_window`` for every token of every document."""
+    out = S.context_window(_document_tokens(spark, sf_dir), ["doc_id"], ["pos"], "token", 2)
+    return out.select("doc_id", "pos", "token", "ctx_m1", "ctx_m2", "ctx_p1", "ctx_p2")
+
+
+@query("w06_document_pairs", _DOCUMENT_TOKENS + """
+SELECT a.doc_id, CAST(a.pos AS INTEGER) AS c_pos, CAST(d AS INTEGER) AS "offset", a.token AS centre, b.token AS context
+FROM t a, (SELECT unnest([-2, -1, 1, 2]) AS d) o, t b WHERE b.doc_id = a.doc_id AND b.pos = a.pos + d
+""")
+def w06_document_pairs(spark, sf_dir):
+    """The pairs of ``w06_skipgram_pairs`` for every token of every document."""
+    return S.skipgram_pairs(_document_tokens(spark, sf_dir), "doc_id", "pos", "token", 2).withColumn("offset", F.col("offset").cast("int"))
+
+
 @query("w07_normalized_gini", """
 WITH p AS (SELECT l_extendedprice AS a,
                   row_number() OVER (ORDER BY l_quantity DESC, l_orderkey, l_linenumber, l_extendedprice) AS r,

@@ -154,3 +154,25 @@ def test_unique_and_setdiff(spark):
     assert u == {0: 0, 1: 1, 2: 0, 3: 2}
     rm = spark.createDataFrame([("b",)], "v string")
     assert sorted(r.pos for r in setdiff_positions(df, rm, "v").collect()) == [1, 3]
+
+
+def test_document_windows_pairs_and_pieces(spark, tmp_path):
+    """Every token of every document has its window, its pairs and its pieces."""
+    import re
+    from collections import Counter
+
+    from featlab.plans import registry
+    registry.load_all()
+    texts = {1: "the cat sat on the mat", 2: "", 3: "The", 4: "un cat " * 3000, 5: None, 6: "cats, unmat the-cat"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    toks = {k: re.findall("[a-z]+", (t or "").lower()) for k, t in texts.items()}
+    at = lambda w, i: w[i] if 0 <= i < len(w) else None
+    run = lambda name: sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).collect()), key=str)
+    windows = [(k, i + 1, t, at(w, i - 1), at(w, i - 2), at(w, i + 1), at(w, i + 2)) for k, w in toks.items() for i, t in enumerate(w)]
+    assert run("w05_document_windows") == sorted(windows, key=str)
+    pairs = [(k, i + 1, d, t, w[i + d]) for k, w in toks.items() for i, t in enumerate(w) for d in (-2, -1, 1, 2) if 0 <= i + d < len(w)]
+    assert run("w06_document_pairs") == sorted(pairs, key=str)
+    words = Counter(t for w in toks.values() for t in w)
+    vocab = set(words) | {f"##{t[-n:]}" for t in words for n in (2, 3)}
+    pieces = [(k, i, t, " ".join(brute_wordpiece(t, vocab))) for k, w in toks.items() for i, t in enumerate(w)]
+    assert run("x08_document_wordpiece") == sorted(pieces, key=str)
