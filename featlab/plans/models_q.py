@@ -136,11 +136,11 @@ def f04_f09_f10_linear_selection(spark, sf_dir):
 @query("q04_q05_word_vectors")
 def q04_q05_word_vectors(spark, sf_dir):
     """Skip-gram word vectors (size 16, min count 5) and mean-of-words
-    document vectors (first component shown)."""
+    document vectors (all components, rounded)."""
     docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", T.word_tokens("text").alias("tok"))
     m = MD.word_vectors(docs, "tok", size=16, window=5, min_count=5)
     from pyspark.ml.functions import vector_to_array
-    return m.transform(docs).select("doc_id", F.round(vector_to_array("doc_vec")[0], R).alias("v0"))
+    return m.transform(docs).select("doc_id", F.transform(vector_to_array("doc_vec"), lambda v: F.round(v, R)).alias("vec"))
 
 
 @query("x17_topic_keywords")

@@ -117,3 +117,11 @@ def test_model_queries_score_every_document(spark):
         rows = query(spark, SF).collect()
         assert sorted(r.doc_id for r in rows) == ids
         assert all(v is not None and v == v for r in rows for v in r)
+
+
+def test_word_vector_query_returns_whole_vectors(spark):
+    from featlab.plans import models_q as Q
+    SF = "/root/testdata/sf0.001"
+    vecs = {r.doc_id: r.vec for r in Q.q04_q05_word_vectors(spark, SF).collect()}
+    assert len(vecs) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert {len(v) for v in vecs.values()} == {16} and (np.std(list(vecs.values()), axis=0) > 0).all()
