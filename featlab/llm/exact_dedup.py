@@ -71,9 +71,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose text an earlier id already holds."""
-    dropped = exact_groups(docs, id_col, text_col).filter("doc_id <> keep_id").select("doc_id")
-    return without(docs, id_col, dropped, "dedup-dropped")
+    """``docs`` without the rows whose text an earlier id already holds; other
+    rows of the same id, with other texts, stay."""
+    dropped = exact_groups(docs, id_col, text_col).filter("doc_id <> keep_id").select("doc_id", "text_sha256")
+    return without(docs, id_col, dropped, "dedup-dropped", F.sha2(normalised(text_or_empty(text_col)), 256))
 
 
 ORACLE_SQL = r"""

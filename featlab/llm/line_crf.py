@@ -243,15 +243,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
     return fit(with_neighbours(x, counts), counts, found["quality"].to_numpy())
 
 
-def classify(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row."""
+def classify(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row, with ``text_sha256`` if ``hashed``."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_texts(text_array(b.column(1)), model), pa.float64())], ["doc_id", "score"])
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
-    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_texts(text_array(b.column(1)), model), pa.float64()), *b.columns[2:]], ["doc_id", "score", *extra])
+    text, extra = text_or_empty(text_col), ["text_sha256"] if hashed else []
+    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *[F.sha2(text, 256).alias(c) for c in extra]) \
+        .mapInArrow(tidy(run), "doc_id long, score double" + "".join(f", {c} string" for c in extra))
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *extra)
 
 
 def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -260,6 +262,6 @@ def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents the classifier rejects."""
-    rejected = quality_of(docs, labels).filter("predicted = 0 and doc_id is not null").select("doc_id").distinct()
-    return without(docs, "doc_id", rejected, "quality-rejected")
+    """``docs`` without the rows the classifier rejects."""
+    rejected = classify(docs, train(docs, labels), hashed=True).filter("predicted = 0 and doc_id is not null").select("doc_id", "text_sha256").distinct()
+    return without(docs, "doc_id", rejected, "quality-rejected", F.sha2(text_or_empty(), 256))

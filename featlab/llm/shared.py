@@ -58,11 +58,13 @@ def sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() * 64 <= BROADCAST_BYTES else keys
 
 
-def without(docs: DataFrame, id_col: str, dropped: DataFrame, name: str) -> DataFrame:
-    """``docs`` minus the rows whose id is in ``dropped`` (one id column).
-    The texts are shuffled only if the dropped ids are too many to broadcast."""
-    ids = written(dropped.toDF("_dropped_id"), name)
-    return docs.join(sized(ids), docs[id_col] == F.col("_dropped_id"), "left_anti")
+def without(docs: DataFrame, id_col: str, dropped: DataFrame, name: str, text_hash: Column | None = None) -> DataFrame:
+    """``docs`` minus the rows whose id is in ``dropped`` (one id column; with
+    ``text_hash``, an expression over ``docs``, a hash column too, and both must
+    match). The texts are shuffled only if the dropped ids are too many to broadcast."""
+    ids = written(dropped.toDF(*["_dropped_id", "_dropped_hash"][:len(dropped.columns)]), name)
+    same = docs[id_col] == F.col("_dropped_id")
+    return docs.join(sized(ids), same if text_hash is None else same & (text_hash == F.col("_dropped_hash")), "left_anti")
 
 
 def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:

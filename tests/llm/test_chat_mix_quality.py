@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from featlab.llm import chat_format as chat
 from featlab.llm import line_crf, mixing
 
@@ -210,6 +212,18 @@ def test_classifier_on_held_out_documents(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in got.values())
 
 
+def test_good_text_under_a_rejected_id_stays(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r.predicted for r in line_crf.quality_of(docs, labels).collect()}
+    labelled = {r.doc_id for r in labels.collect()}
+    bad, good = (min(k for k, p in got.items() if p == v and k not in labelled) for v in (0, 1))
+    extra = docs.filter(docs.doc_id == good).withColumn("doc_id", F.lit(bad).cast("long"))
+    kept = line_crf.keep_good(docs.unionByName(extra), labels)
+    want = extra.first().text
+    assert [r.text for r in kept.filter(kept.doc_id == bad).collect()] == [want] and kept.count() == sum(got.values()) + 1
+
+
 def test_classifier_without_labels_or_rows(spark):
     schema = "doc_id long, text string"
     docs = spark.createDataFrame([(1, "a"), (None, None), (2, "")], schema)

@@ -70,6 +70,12 @@ def test_exact_ties_nulls_and_empty_tables(spark):
     assert kept.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "t"), (0, "u"), (2, "v"), (5, "t"), (5, "t")]
 
 
+def test_other_texts_of_a_dropped_id_stay(spark):
+    rows = [(3, "a"), (5, "a"), (5, "unique"), (6, None), (7, " a"), (7, "")]
+    kept = exact_dedup.drop_copies(exact_frame(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, "a"), (5, "unique"), (6, None), (7, " a")]
+
+
 def shingles(text, width=5):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     return {tuple(w[k:k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
