@@ -16,6 +16,7 @@ Special strings hold no space, so they stay inside one piece.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
@@ -62,6 +63,19 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def _letters_and_mark(words: pa.Array, normalised: bool) -> pa.Array:
+    """Which words are letters and one final ``.`` or ``,``. ``normalised``: the
+    vocabulary composes and lower-cases first, and must still find letters only
+    (some letters become a letter and a mark, which joins the punctuation)."""
+    found = pc.match_substring_regex(words, r"^\pL+[.,]$")
+    if not normalised:
+        return found
+    found = found.to_numpy(zero_copy_only=False).copy()
+    for k in np.flatnonzero(found & ~pc.string_is_ascii(words).to_numpy(zero_copy_only=False)):
+        found[k] = unicodedata.normalize("NFC", words[int(k)].as_py()).lower()[:-1].isalpha()
+    return pa.array(found)
+
+
 def _shifted(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indices of the runs ``starts[k] .. starts[k] + lens[k] - 1``, back to back."""
     ends = np.cumsum(lens, dtype=np.int32)
@@ -74,7 +88,8 @@ class PieceEncoder:
     """Ids of whole texts; each distinct piece of a block is encoded once, frequent ones are remembered.
 
     A piece of letters and one final ``.`` or ``,`` is two: letters and
-    punctuation are never matched together. ASCII pieces of vocabularies that
+    punctuation are never matched together (letters as the vocabulary sees them:
+    see ``_letters_and_mark``). ASCII pieces of vocabularies that
     lower-case (``word``) are looked up in lower case, unless they could hold a
     special string.
     """
@@ -122,7 +137,7 @@ class PieceEncoder:
         if not self.byte_level:
             plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<")))
             words = pc.if_else(plain, pc.ascii_lower(words), words)
-        two = pc.match_substring_regex(words, r"^\pL+[.,]$")
+        two = _letters_and_mark(words, not self.byte_level)
         comma = pc.ends_with(words, ",").to_numpy(zero_copy_only=False)
         words = pc.if_else(two, pc.utf8_slice_codeunits(words, 0, -1), words)
         two = two.to_numpy(zero_copy_only=False)

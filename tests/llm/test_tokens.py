@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import sys
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -48,6 +50,19 @@ def test_pieces_give_the_library_ids(path, byte_level):
     assert run.lengths(text_array(pa.array(rows))).tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("path,byte_level", [(BYTE, True), (WORD, False)])
+def test_every_letter_before_a_mark(path, byte_level):
+    """Letters that the normaliser takes apart (dotted I, nukta and pointed letters) stay with the mark."""
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalpha()]
+    odd = [c for c in letters if not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert len(odd) > 50
+    rows = [f"x{a}. {a}, {b}x." for a, b in zip(letters, letters[1:] + letters[:1])] + [f"{c}{m} a{c}{m} {c}b{m} KED{c}{m}" for c in odd for m in ".,"]
+    t = Tokenizer.from_file(path)
+    want = [i for e in t.encode_batch(rows, add_special_tokens=False) for i in e.ids]
+    got = [i for ids, _ in PieceEncoder(library_encode(path), byte_level)(text_array(pa.array(rows))) for i in ids.tolist()]
+    assert got == want
+
+
 def test_safe_pieces_join_to_the_text():
     for t in texts(500) + HARD:
         assert "".join(safe_pieces(t)) == t
