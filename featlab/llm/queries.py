@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featlab.llm import bpe, chat_format, context_tree, exact_dedup, line_crf, mixing, near_text, near_vectors, token_count, token_files
+from featlab.llm import (bpe, chat_format, collocations, context_tree, exact_dedup, line_crf, mixing, near_text, near_vectors, packing, token_count, token_files,
+                         turn_repair)
 from featlab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,21 @@ def op10_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_context_tree")
 def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_all(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op11_sum_of_squares_packing")
+def op11_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.digests(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), window=2048, end_id=1))
+
+
+@query("op12_son_collocations", collocations.ORACLE_SQL)
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", "lang", "text"), least=100, longest=5, top=2000)
+
+
+@query("op13_turn_repair")
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return turn_repair.repair(turn_repair.damaged(rows), present="present")
