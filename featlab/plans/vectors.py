@@ -178,3 +178,38 @@ def l05_l08_e15_factorizations(spark, sf_dir):
     rows = [(i, j, float(a[i, j]), float(b[i, j]), float(c[i, j])) for i in range(len(a)) for j in range(len(a))]   # d x d numbers
     out = spark.createDataFrame(rows, "i long, j long, x double, y double, z double")
     return out.select("i", "j", F.round("x", 4).alias("from_svd"), F.round("y", 4).alias("from_qr"), (F.round("z", 4) + 0.0).alias("from_components"))
+
+
+@query("l01_gram_of_embeddings", f"""
+WITH c AS (SELECT vec_id AS k, j - 1 AS j, {_SQL_VEC}[j] AS v FROM embeddings, range(1, 65) r(j))
+SELECT CAST(a.j AS BIGINT) AS i, CAST(b.j AS BIGINT) AS j, round(sum(a.v * b.v), 4) AS v FROM c a JOIN c b ON a.k = b.k GROUP BY 1, 2
+""")
+def l01_gram_of_embeddings(spark, sf_dir):
+    """X'X by blocks."""
+    x = L.from_arrays(_emb(spark, sf_dir), "vec_id", "embedding")
+    return L.matmul(x, x, transpose_a=True).select("i", "j", F.round("v", 4).alias("v"))
+
+
+@query("l01_class_products", f"""
+WITH c AS (SELECT vec_id AS k, label, j, {_SQL_VEC}[j] AS v FROM embeddings, range(1, 65) r(j)),
+m AS (SELECT label, j, avg(v) AS w FROM c WHERE label IS NOT NULL GROUP BY 1, 2)
+SELECT c.k AS vec_id, CAST(m.label AS BIGINT) AS label, round(sum(c.v * m.w), 5) AS v FROM c JOIN m USING (j) GROUP BY 1, 2
+""")
+def l01_class_products(spark, sf_dir):
+    """X W' by blocks: every vector times the mean vector of every class."""
+    e = _emb(spark, sf_dir)
+    x = L.from_arrays(e, "vec_id", "embedding")
+    w = L.from_arrays(e.filter("label is not null").withColumn("label", F.col("label").cast("bigint")), "label", "embedding") \
+        .groupBy("i", "j").agg(F.avg("v").alias("v"))
+    return L.matmul(x, w, transpose_b=True).select(F.col("i").alias("vec_id"), F.col("j").alias("label"), F.round("v", 5).alias("v"))
+
+
+@query("l06_orthonormal_columns", """
+SELECT CAST(a.j - 1 AS BIGINT) AS i, CAST(b.j - 1 AS BIGINT) AS j, CASE WHEN a.j = b.j THEN 1.0 ELSE 0.0 END::DOUBLE AS v
+FROM range(1, 65) a(j), range(1, 65) b(j)
+""")
+def l06_orthonormal_columns(spark, sf_dir):
+    """Q'Q of the QR factorization of the embeddings: the unit matrix."""
+    e = _emb(spark, sf_dir)
+    q = L.orthonormal_rows(e, "embedding", L.tall_skinny_qr(e, "embedding"))
+    return L.gram_matrix(q, "q").select("i", "j", (F.round("v", 6) + 0.0).alias("v"))
