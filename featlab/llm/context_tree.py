@@ -22,9 +22,17 @@ context bytes; each task builds whole subtrees of depth >= 3 bottom-up (one sort
 then run sums, as dropping the farthest byte keeps the order); their roots are
 summed into trees of depth 1 and 2, dealt by the nearest byte; at last 255 root
 rows. Nodes store the probability with everything above factored out (``p = a +
-r * p(below)``), so no layer waits for another. They are written sorted, as flat
-files in the shared folder, which scoring tasks map. Scoring looks up each
-distinct (context, byte) of a block once.
+r * p(below)``), so no layer waits for another. They are written as flat files
+in the shared folder: nodes of depth 3 and more in parts by the three nearest
+context bytes, the few above them (at most 65,793 contexts) in parts of their own.
+
+Scoring brings the questions to the nodes, as no task could hold them all: texts
+are cut into blocks; each block sends the distinct (context, byte) codes of its
+texts, as sorted differences, to the parts that hold their nodes; a task opens
+one part at a time, answers the distinct codes of many blocks at once, and sends
+the logarithms back to the blocks, where they are added up per document. Words
+are looked up in the same way. What moves is bounded by the distinct codes of
+the blocks; a part asked by many blocks is shared by ``SALT`` tasks.
 
 Also counted over all training documents: the unigram base score of the words.
 
@@ -36,7 +44,6 @@ documents all probabilities are 1/2 per bit; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -56,8 +63,11 @@ DEPTH = 5
 #: A context is a node if it occurs and has this share of the training bytes.
 NODE_SHARE = 0.0
 BLOCK_BYTES = 4 << 20
-#: Rows a task sums or builds a tree from at a time.
+#: Rows a task sums or builds a tree from at a time, and questions it answers at once.
 HELD = 1_500_000
+ASKED = 500_000
+#: Tasks that share the questions to one part.
+SALT = 4
 END = 0xFF
 
 
@@ -184,53 +194,72 @@ def tagged(key: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Table:
-    """Rows by ascending 64-bit key in flat files of the shared folder, one set per range partition."""
+    """Rows by 64-bit key in flat files of the shared folder. Parts are ranges of ``route(key)``, each sorted by key."""
 
-    def __init__(self, folder: str, parts: list[tuple[str, int]], columns: list[str]):
-        # parts: (name, first key), ascending
-        self.first = np.asarray([k for _, k in parts], np.int64)
+    def __init__(self, folder: str, parts: list[tuple[str, int]], columns: list[str], route=lambda keys: keys):
+        # parts: (name, first route), ascending
+        self.first, self.route = np.asarray([k for _, k in parts], np.int64), route
         self.keys = [get_array(folder, f"{name}.key", "<i8") for name, _ in parts]
         self.columns = {c: [get_array(folder, f"{name}.{c}", "<f8") for name, _ in parts] for c in columns}
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """(is there a row, its columns) for ascending ``keys``, repeats allowed."""
+        """(is there a row, its columns) for ``keys``, repeats allowed."""
         hit = np.zeros(len(keys), bool)
         out = {c: np.zeros(len(keys)) for c in self.columns}
         if len(keys) and len(self.first):
-            cuts = [0, *np.searchsorted(keys, self.first[1:]).tolist(), len(keys)]
-            for k, (at, end) in enumerate(zip(cuts, cuts[1:])):
-                if end > at:
-                    part, want = self.keys[k], keys[at:end]
-                    e = np.minimum(np.searchsorted(part, want), len(part) - 1)
-                    hit[at:end] = part[e] == want
-                    for c, v in self.columns.items():
-                        out[c][at:end] = v[k][e]
+            part_of = np.maximum(np.searchsorted(self.first, self.route(keys), side="right") - 1, 0)
+            for k in np.unique(part_of).tolist():
+                at = np.flatnonzero(part_of == k) if len(self.first) > 1 else slice(None)
+                part, want = self.keys[k], keys[at]
+                e = np.minimum(np.searchsorted(part, want), len(part) - 1)
+                hit[at] = part[e] == want
+                for c, v in self.columns.items():
+                    out[c][at] = v[k][e]
         return hit, out
 
 
-def write_table(rows: DataFrame, key: str, columns: list[str], name: str) -> tuple[str, list[tuple[str, int]]]:
-    """(folder, parts) for ``Table``: ``rows`` range-partitioned and sorted by ``key``; one small row per part reaches the driver."""
-    folder = shared_folder(rows.sparkSession, name)
+def nearest_three(tagged_keys: np.ndarray) -> np.ndarray:
+    """The three nearest context bytes of node keys of depth 3 and more."""
+    depth = tagged_keys >> 56
+    return tagged_keys >> 8 * (depth - 3) & 0xFFFFFF
+
+
+class Nodes:
+    """The nodes in the given parts: names with ``d`` are by nearest context, those with ``t`` hold the depths below 3."""
+
+    def __init__(self, folder: str, parts: list[tuple[str, int]], columns: list[str]):
+        self.deep = Table(folder, [p for p in parts if p[0].startswith("d")], columns, nearest_three)
+        self.top = Table(folder, [p for p in parts if p[0].startswith("t")], columns)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """As ``Table.find``, for ascending keys (the depth is their highest byte)."""
+        cut = int(np.searchsorted(keys, 3 << 56))
+        (h0, c0), (h1, c1) = self.top.find(keys[:cut]), self.deep.find(keys[cut:])
+        return np.concatenate([h0, h1]), {c: np.concatenate([c0[c], c1[c]]) for c in c0}
 
+
+def write_table(rows: DataFrame, key: str, columns: list[str], folder: str, letter: str = "", route: Column | None = None) -> list[tuple[str, int]]:
+    """Parts of ``Table``: ``rows`` range-partitioned by ``route`` (else the key) and sorted by ``key``; one small row per part reaches the driver."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        part, attempt = f"{task.partitionId():06d}", str(task.taskAttemptId())
+        part, attempt = f"{letter}{task.partitionId():06d}", str(task.taskAttemptId())
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         keys = np.concatenate([b.column(0).to_numpy() for b in held]).astype("<i8")
         put(folder, f"{part}.key", [keys.tobytes()], attempt)
-        for k, c in enumerate(columns, 1):
+        for k, c in enumerate(columns, 2):
             put(folder, f"{part}.{c}", [b.column(k).to_numpy(zero_copy_only=False).astype("<f8").tobytes() for b in held], attempt)
-        yield pa.RecordBatch.from_pydict({"part": [part], "first": [int(keys[0])]})
-    ordered = rows.select(key, *columns).repartitionByRange(task_count(rows.sparkSession), key).sortWithinPartitions(key)
-    parts = sorted((r["first"], r["part"]) for r in ordered.mapInArrow(tidy(write), "part string, first long").collect())
-    return folder, [(p, k) for k, p in parts]
+        yield pa.RecordBatch.from_pydict({"part": [part], "first": [min(pc.min(b.column(1)).as_py() for b in held)]})
+    dealt = rows.select(key, (F.col(key) if route is None else route).alias("_route"), *columns) \
+        .repartitionByRange(task_count(rows.sparkSession), "_route").sortWithinPartitions(key)
+    parts = sorted((r["first"], r["part"]) for r in dealt.mapInArrow(tidy(write), "part string, first long").collect())
+    return [(p, k) for k, p in parts]
 
 
-@functools.lru_cache(maxsize=8)
-def open_table(folder: str, parts: tuple, columns: tuple) -> Table:
-    return Table(folder, list(parts), list(columns))
+def open_table(folder: str, parts: tuple, columns: tuple) -> Table | Nodes:
+    """All parts at once (for a look at a whole small model; tasks open one part)."""
+    return (Nodes if any(name[0] in "dt" for name, _ in parts) else Table)(folder, list(parts), list(columns))
 
 
 def probability_of_one(nodes: Table, keys: np.ndarray) -> np.ndarray:
@@ -383,48 +412,187 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
     mid_sums = _sums(deep, "lm-mid").withColumn("c1", F.shiftright("key", 8).bitwiseAND(F.lit(255)))
     mid = written(mid_sums.repartition(n, "c1").select("key", *_SUMS).mapInArrow(tidy(_upper(2, 1, least)), _NODE_ROWS), "lm-mid")
     root = written(_sums(mid, "lm-root").coalesce(1).mapInArrow(tidy(_upper(0, 0, least)), _NODE_ROWS), "lm-root")  # 255 rows at most
-    nodes = deep.unionAll(mid).unionAll(root).filter("key is not null")
-    node_table = write_table(nodes, "key", ["a", "r", "stop"], "lm-nodes")
-    word_table = write_table(counts.filter("kind = 1").select("key", F.col("n").cast("double").alias("n")), "key", ["n"], "lm-words")
+    folder = shared_folder(spark, "lm-model")
+    depth = F.shiftright("key", 56)
+    near_node = F.expr("shiftright(key, cast(8 * (shiftright(key, 56) - 3) as int)) & 16777215")
+    nodes = deep.filter("key is not null")
+    parts = write_table(nodes.filter(depth >= 3), "key", ["a", "r", "stop"], folder, "d", near_node)
+    parts += write_table(nodes.filter(depth < 3).unionAll(mid.unionAll(root).filter("key is not null")), "key", ["a", "r", "stop"], folder, "t")
+    node_table = folder, parts
+    word_table = folder, write_table(counts.filter("kind = 1").select("key", F.col("n").cast("double").alias("n")), "key", ["n"], folder, "w")
     words = totals.get(1)
     return {"nodes": node_table, "words": word_table, "n_docs": n_docs, "least": least,
             "tokens": (words["n"] if words else 0) + n_docs, "distinct": (words["distinct"] if words else 0) + (n_docs > 0)}
 
 
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending unsigned numbers as differences, byte plane after byte plane (the upper planes are zeros to a compressor)."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
+_CONTEXT = np.uint64((1 << 8 * DEPTH) - 1)
+
+
+def questions(codes: np.ndarray) -> np.ndarray:
+    """Codes with the context in front, so that they sort by nearest context."""
+    return (codes & _CONTEXT) << np.uint64(8) | codes >> np.uint64(8 * DEPTH)
+
+
+def answers(nodes: Nodes, asked: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each (distinct) question's byte."""
+    codes = (asked & np.uint64(255)) << np.uint64(8 * DEPTH) | asked >> np.uint64(8)
+    keys, bits = bit_nodes(codes)
+    distinct, which = np.unique(keys.reshape(-1), return_inverse=True)
+    one = probability_of_one(nodes, distinct)[which].reshape(-1, 8)
+    return np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1)
+
+
+def unsigned(hashes: np.ndarray) -> np.ndarray:
+    """Signed 64-bit keys in the same order as unsigned ones."""
+    return hashes.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+#: Rows that travel: questions and answers (kind 0: nodes, 1: words), and the blocks themselves (kind 2).
+_TRAVEL = "block long, kind int, part int, data binary"
+
+
+def _blocks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``block, ids, texts``: whole texts, about ``BLOCK_BYTES`` together, written once so that block numbers hold."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        ids, texts, size = [], [], 0
+
+        def block() -> pa.RecordBatch:
+            together = pa.concat_arrays(texts)
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(together)], pa.int32()), pa.concat_arrays(ids)),
+                                               pa.ListArray.from_arrays(pa.array([0, len(together)], pa.int32()), together.cast(pa.string()))], names=["block", "ids", "texts"])
+        for b in batches:
+            for at, some in blocks(text_array(b.column(1)), BLOCK_BYTES):
+                ids.append(b.column(0).slice(at, len(some)))
+                texts.append(some)
+                size += pc.sum(pc.binary_length(some)).as_py() or 0
+                if size >= BLOCK_BYTES // 2:
+                    yield block()
+                    ids, texts, size, number = [], [], 0, number + 1
+        if ids:
+            yield block()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return written(rows.mapInArrow(tidy(cut), "block long, ids array<long>, texts array<string>"), "lm-blocks")
+
+
+def _own_texts(texts: pa.Array) -> pa.Array:
+    """A list's texts in buffers of their own (``ascii_lower`` of pyarrow reads a cast slice from the wrong place)."""
+    return pa.concat_arrays([texts.cast(pa.large_string()), pa.array([], pa.large_string())])
+
+
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, pa.Array]]:
+    for b in batches:
+        for k in range(b.num_rows):
+            yield b.column(0)[k].as_py(), b.column(1)[k].values, _own_texts(b.column(2)[k].values)
+
+
+def _ask(node_first: np.ndarray, word_first: np.ndarray):
+    """Per block: its distinct codes and words, to the parts that hold them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, texts in _each_block(batches):
+            asked = np.unique(questions(block_codes(texts)[0]))
+            hashes = np.sort(unsigned(block_words(texts)[0]))
+            rows: list[tuple] = []
+            for kind, keys, route, first in ((0, asked, (asked >> np.uint64(8 * DEPTH + 8 - 24)).astype(np.int64), node_first),
+                                             (1, hashes, (hashes ^ np.uint64(1 << 63)).view(np.int64), word_first)):
+                if len(first) and len(keys):
+                    cuts = [0, *np.searchsorted(route, first[1:]).tolist(), len(keys)]
+                    rows += [(block, kind, k, pack_sorted(keys[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["block", "kind", "part", "data"])
+    return run
+
+
+def _answer(model: dict):
+    """Questions sorted by kind and part to their answers (doubles, in the order asked); one part is open at a time."""
+    folder, node_parts = model["nodes"]
+    deep, top = [p for p in node_parts if p[0].startswith("d")], [p for p in node_parts if p[0].startswith("t")]
+    words = model["words"][1]
+
+    def solve(kind: int, part: int, held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        distinct = np.unique(np.concatenate([k for _, k in held]))
+        if kind == 0:
+            values = answers(Nodes(folder, [deep[part], *top], ["a", "r", "stop"]), distinct)
+        else:
+            hit, found = Table(folder, [words[part]], ["n"]).find((distinct ^ np.uint64(1 << 63)).view(np.int64))
+            values = np.where(hit, found["n"], 0.0)
+        data = [values[np.searchsorted(distinct, k)].astype("<f8").tobytes() for _, k in held]
+        n = len(held)
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in held], pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()),
+                                           pa.array(data, pa.binary())], names=["block", "kind", "part", "data"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, size = None, [], 0
+        for b in batches:
+            for block, kind, part, data in zip(*(c.to_pylist() for c in b.columns)):
+                if held and ((kind, part) != now or size >= ASKED):
+                    yield solve(*now, held)
+                    held, size = [], 0
+                now = kind, part
+                held.append((block, unpack_sorted(data)))
+                size += len(held[-1][1])
+        if held:
+            yield solve(*now, held)
+    return run
+
+
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes`` of every row."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    n = task_count(spark)
     n_docs, tokens, floor = model["n_docs"], model["tokens"], model["tokens"] + 0.5 * (model["distinct"] + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes = open_table(model["nodes"][0], tuple(model["nodes"][1]), ("a", "r", "stop"))
-        words = open_table(model["words"][0], tuple(model["words"][1]), ("n",))
-        end = math.log10((n_docs + 0.5) / floor)
+    node_first = np.asarray([k for name, k in model["nodes"][1] if name.startswith("d")], np.int64)
+    word_first = np.asarray([k for _, k in model["words"][1]], np.int64)
+    texts = _blocks_of(docs, id_col, text_col)
+    asked = texts.mapInArrow(tidy(_ask(node_first, word_first)), _TRAVEL)
+    found = asked.repartition(n, "kind", "part", F.pmod(F.xxhash64("block"), F.lit(SALT))).sortWithinPartitions("kind", "part") \
+        .mapInArrow(tidy(_answer(model)), _TRAVEL)
+    together = found.select("*", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<string>").alias("texts")) \
+        .unionByName(texts.select("block", F.lit(2).alias("kind"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "ids", "texts"))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {0: [], 1: []}
         for b in batches:
-            for at, block in blocks(text_array(b.column(1)), BLOCK_BYTES):
-                hashes, place, per_text = block_words(block)
-                order = np.argsort(hashes)
-                hit, found = words.find(hashes[order])
-                n = np.zeros(len(hashes))
-                n[order] = np.where(hit, found["n"], 0)
-                logs = np.concatenate([[0], np.cumsum(np.log10((n + 0.5) / floor)[place])])
-                seen = np.concatenate([[0], np.cumsum((n > 0)[place])])
-                ends = np.cumsum(per_text)
-                base, known = (v[ends] - v[ends - per_text] for v in (logs, seen))
-
-                codes, n_bytes = block_codes(block)
-                grams, where = np.unique(codes, return_inverse=True)
-                keys, bits = bit_nodes(grams)
-                asked, which = np.unique(keys.reshape(-1), return_inverse=True)
-                one = probability_of_one(nodes, asked)[which].reshape(-1, 8)
-                per_gram = np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1)
-                total = np.add.reduceat(per_gram[where], np.cumsum(n_bytes) - n_bytes)
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(at, len(block)), pa.array(per_text + 1), pa.array(known.astype(np.int64) + (n_docs > 0)),
-                    pa.array(base + end), pa.array(total), pa.array(n_bytes.astype(np.int64))],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
-        .mapInArrow(tidy(run), "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+            for k in range(b.num_rows):
+                kind = b.column(1)[k].as_py()
+                if kind < 2:
+                    held[kind].append(b.column(3)[k].as_py())
+                    continue
+                logs, counts = (np.frombuffer(b"".join(held.pop(i)), "<f8") for i in (0, 1))
+                held = {0: [], 1: []}
+                ids, block = b.column(4)[k].values, _own_texts(b.column(5)[k].values)
+                yield _scored(ids, block, logs, counts)
+
+    def _scored(ids: pa.Array, block: pa.Array, logs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        end = math.log10((n_docs + 0.5) / floor)
+        hashes, place, per_text = block_words(block)
+        seen_n = np.zeros(len(hashes))
+        if len(counts):
+            seen_n[np.argsort(unsigned(hashes), kind="stable")] = counts
+        base_logs = np.concatenate([[0], np.cumsum(np.log10((seen_n + 0.5) / floor)[place])])
+        seen = np.concatenate([[0], np.cumsum((seen_n > 0)[place])])
+        ends = np.cumsum(per_text)
+        base, known = (v[ends] - v[ends - per_text] for v in (base_logs, seen))
+        codes, n_bytes = block_codes(block)
+        grams, where = np.unique(questions(codes), return_inverse=True)
+        per_gram = logs if len(logs) else np.full(len(grams), 8 * math.log10(0.5))
+        total = np.add.reduceat(per_gram[where], np.cumsum(n_bytes) - n_bytes)
+        return pa.RecordBatch.from_arrays([ids, pa.array(per_text + 1), pa.array(known.astype(np.int64) + (n_docs > 0)), pa.array(base + end), pa.array(total),
+                                           pa.array(n_bytes.astype(np.int64))], ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+
+    scored = together.repartition(n, "block").sortWithinPartitions("block", "kind", "part") \
+        .mapInArrow(tidy(add_up), "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     return scored.select("doc_id", is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes")
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from featlab.llm import context_tree as C
@@ -138,6 +139,27 @@ def test_rare_contexts_of_a_large_corpus_are_nodes(spark):
     assert nodes.find(keys.astype(np.int64))[0].all()
 
 
+def test_texts_beyond_a_block_and_many_blocks(spark):
+    """Answers that went through the parts equal a look-up in the whole model."""
+    long = "the cat sat on the mat, zebra. " * (C.BLOCK_BYTES // 31 + 1000)
+    rows = [(k, "the cat sat on the log " * 20_000 + f"number {k}") for k in range(12)] + [(100, long), (101, None), (102, "quagga")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = C.train(df)
+    nodes = C.open_table(model["nodes"][0], tuple(model["nodes"][1]), ("a", "r", "stop"))
+    got = {r.doc_id: r for r in C.score(df, model).collect()}
+    assert len(got) == len(rows)
+    for k, t in rows:
+        codes, _ = C.block_codes(pa.array([t or ""], pa.large_string()))
+        distinct, where = np.unique(C.questions(codes), return_inverse=True)
+        assert got[k].score == pytest.approx(C.answers(nodes, distinct)[where].sum(), rel=1e-9)
+        assert got[k].n_bytes == len((t or "").encode()) + 1 and got[k].n_tokens == len((t or "").split()) + 1
+
+
+def test_packed_questions():
+    for keys in (np.array([], np.uint64), np.array([0], np.uint64), np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64)) * np.uint64(2)):
+        assert (C.unpack_sorted(C.pack_sorted(keys)) == keys).all()
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert C.score_all(empty).count() == 0
