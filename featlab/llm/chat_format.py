@@ -43,6 +43,19 @@ class Template:
         START: ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)})
     final: tuple[str, ...] = ("user", "assistant")
 
+    def __post_init__(self):
+        """A control string must be breakable by one backslash, and an end must be found where it stands."""
+        for c in self.controls():
+            if len(c) < 2 or "\\" in c:
+                raise ValueError(f"control string {c!r}: at least two characters, no backslash")
+        heads = [self.other, *self.headers.values()]
+        if any(a.startswith(b) for i, a in enumerate(heads) for j, b in enumerate(heads) if i != j):
+            raise ValueError("a header begins with another one")
+        if any(self.end.endswith(self.end[:k]) for k in range(1, len(self.end))):
+            raise ValueError(f"end {self.end!r} begins as it ends")
+        if "\\" in self.between:
+            raise ValueError("no backslash between turns")
+
     def controls(self) -> list[str]:
         return [self.end, self.other.rstrip(), *(h.rstrip() for h in self.headers.values())]
 
@@ -120,7 +133,7 @@ def formatted(conversations: DataFrame, template: Template = Template()) -> Data
 
 def read_back(formatted_text: Column, template: Template = Template()) -> Column:
     """The turns, array of (role, text), that a formatted string holds."""
-    pieces = F.split(formatted_text, template.end + template.between, -1)  # the end escapes to something else inside texts
+    pieces = F.split(formatted_text, rf"\Q{template.end + template.between}\E", -1)  # the end escapes to something else inside texts
 
     def turn(p: Column) -> Column:
         # generic header: up to the first ": " whose colon is not escaped

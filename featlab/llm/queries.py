@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from featlab.llm import (bpe, chat_format, collocations, context_tree, exact_dedup, line_crf, mixing, near_text, near_vectors, packing, token_count, token_files,
                          turn_repair)
@@ -31,7 +32,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_chat_format", chat_format.ORACLE_SQL)
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", sample), (-7, 1, "assistant", sample)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(sample).alias("text"))
     rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
     return chat_format.digests(chat_format.formatted(rows))
 

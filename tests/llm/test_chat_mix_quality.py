@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 from collections import defaultdict
 from fractions import Fraction
@@ -41,6 +42,30 @@ def test_chat_reads_back_what_was_written(spark):
         assert [s.text.count("</turn>") for s in got[c].segments if s.loss] == [0] * sum(r == "assistant" for _, r, _ in turns)
 
 
+OTHER = chat.Template(headers={"system": "<|im_start|>system\n", "user": "<|im_start|>user\n", "assistant": "<|im_start|>assistant\n"},
+                      other="<|im_start|>role ", end="<|im_end|>", between="\n")
+NESTED = chat.Template(headers={"system": "a[[sys]]b", "user": "[[sys]]", "assistant": "]]a[["}, other="<[[sys]]> ", end="(.*)+?$", between="")
+
+
+@pytest.mark.parametrize("template", [OTHER, NESTED])
+def test_templates_with_pattern_signs_and_nested_strings(spark, template):
+    rng = random.Random(2)
+    texts = [*NASTY, "<|im_end|>", "<|im_end|>\n", "<|im_start|>user\nhi<|im_end|>\n", "|", "[[", "[[sys]]", "[[sys]x", "(.*)+?$", "a(.*)+?", "$", "\\E", "\\Q[["]
+    rows = [(c, t, rng.choice(["system", "user", "assistant", "tool", "we: ird\\", "[[", None]), rng.choice([*texts, None])) for c in range(80) for t in range(rng.randint(1, 6))]
+    found = chat.formatted(conversations(spark, rows), template)
+    got = {r.conv_id: r for r in found.select("*", chat.read_back(chat.F.col("formatted"), template).alias("turns")).collect()}
+    for c in got:
+        turns = sorted((t, r or "", x or "") for k, t, r, x in rows if k == c)
+        assert [(t.role, t.text) for t in got[c].turns] == [(r, x) for _, r, x in turns]
+
+
+def test_templates_that_cannot_be_escaped_are_refused():
+    for bad in ({"end": "|"}, {"end": "\\end"}, {"end": "abab"}, {"between": "\\"}, {"headers": {"user": "u "}},
+                {"headers": {"user": "[[", "assistant": "[[a"}}, {"other": "### User: x"}):
+        with pytest.raises(ValueError):
+            chat.Template(**bad)
+
+
 def test_chat_digests(spark):
     sample = "\\### Assistant: </turn> ok"
     rows = [(-7, 0, "user", sample), (-7, 1, "assistant", sample), (1, 0, "user", "q"), (1, 1, "assistant", None), (1, 2, "user", "")]
@@ -199,6 +224,26 @@ def test_features_of_a_block_equal_those_of_single_texts():
     assert all(np.allclose(a, b) for a, b in zip(whole, single)) and whole[2].tolist() == [t.count("\n") + 1 for t in texts]
 
 
+def test_document_score_is_the_weighted_mean_over_all_label_paths(spark):
+    """quality_of against a plain loop over the label paths of every document."""
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["A fine line, with words in it.\nBUY NOW!!! $$$\n\nAnd one more sentence here.", "", None, "x\n" * 4 + "|||", "one line"])],
+                                 "doc_id long, text string")
+    train_docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = line_crf.train(train_docs, labels)
+    got = {r.doc_id: r.score for r in line_crf.classify(docs, model).collect()}
+    for row in docs.collect():
+        (x, size, counts), = line_crf.line_features(pa.array([row.text or ""], pa.large_string()))
+        e = model.emissions(line_crf.with_neighbours(x, counts))
+        n, total, good = len(x), 0.0, np.zeros(len(x))
+        for path in itertools.product((0, 1), repeat=n):
+            w = math.exp(sum(e[k][path[k]] if np.ndim(e[k]) else e[k] * path[k] for k in range(n)) + sum(model.transitions[a, b] for a, b in zip(path, path[1:])))
+            total += w
+            good += w * np.array(path)
+        want = float(np.sum(good / total * (size + 1)) / np.sum(size + 1))
+        assert got[row.doc_id] == pytest.approx(want, abs=1e-9)
+
+
 def test_classifier_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
