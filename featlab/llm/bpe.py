@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from featlab.llm import lexicon
 from featlab.llm.pieces import PieceEncoder, text_array
-from featlab.llm.shared import shared_folder, small_batches, text_or_empty, tidy, written
+from featlab.llm.shared import remembered, shared_folder, small_batches, text_or_empty, tidy, written
 
 #: The published pattern that cuts text before byte-level merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -225,12 +225,12 @@ class Vocabulary:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
+@remembered(2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-@functools.lru_cache(maxsize=2)
+@remembered(2)
 def lexicon_encoder(path: str, folder: str) -> PieceEncoder:
     return PieceEncoder(vocabulary(path).encoder(lexicon.Lexicon.open(folder)), byte_level=True, memo_pieces=MEMO_PIECES)
 

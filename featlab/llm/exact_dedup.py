@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featlab.llm.shared import SPACE, sized, text_or_empty, without, written
+from featlab.llm.shared import SPACE, one_of_each, sized, text_or_empty, without, written
 
 
 def normalised(text: Column) -> Column:
@@ -77,6 +77,16 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return without(docs, id_col, dropped, "dedup-dropped", F.sha2(normalised(text_or_empty(text_col)), 256))
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``exact_groups`` does not keep: one row of each
+    text stays, also where rows repeat with the same id (or without one)."""
+    text_hash = F.sha2(normalised(text_or_empty(text_col)), 256)
+    extra = written(exact_groups(docs, id_col, text_col).filter("not kept").select("doc_id", "keep_id", "text_sha256").distinct(), "dedup-extra")
+    same_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    rest = without(docs, id_col, extra.filter(~same_id).select("doc_id", "text_sha256"), "dedup-dropped", text_hash)
+    return one_of_each(rest, id_col, extra.filter(same_id).select("doc_id", "text_sha256"), text_hash, "dedup-repeated")
+
+
 ORACLE_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id,

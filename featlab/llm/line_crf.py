@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -41,7 +40,7 @@ from featlab.llm.shared import small_batches, text_or_empty, tidy, without
 
 SAMPLE_DOCS = 6000
 SAMPLE_LINES = 400
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 THRESHOLD = 0.3
 
 _CLASSES = {
@@ -233,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
                     if c <= sample_lines:
                         yield pa.RecordBatch.from_pydict({"quality": pa.array([quality[at + k]], pa.int32()), "lines": pa.array([c], pa.int32()), "x": [x[e - c:e].reshape(-1)]})
                 at += len(counts)
-    found: pd.DataFrame = rows.mapInArrow(tidy(features), "quality int, lines int, x array<double>").toPandas()
+    found = rows.mapInArrow(tidy(features), "quality int, lines int, x array<double>").toPandas()
     if found["quality"].nunique() < 2:
         return None
     # the order rows arrive in must not matter

@@ -101,8 +101,10 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles, digest`` (of the set; NULL without shingles), ``keys, sketch``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, hashed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, digest`` (of the set; NULL without shingles), ``keys, sketch``, and ``text_sha256`` if ``hashed``."""
+    extra = ["text_sha256"] if hashed else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, digest, samples = [], [], np.zeros((b.num_rows, SAMPLES), np.uint32)
@@ -115,9 +117,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1))),
-                pa.array([r.tobytes() for r in sketch], pa.binary())], ["doc_id", "n_shingles", "digest", "keys", "sketch"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")) \
-        .mapInArrow(tidy(run), "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
+                pa.array([r.tobytes() for r in sketch], pa.binary()), *b.columns[2:]], ["doc_id", "n_shingles", "digest", "keys", "sketch", *extra])
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *[F.sha2(text, 256).alias(c) for c in extra]) \
+        .mapInArrow(tidy(run), "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary" + "".join(f", {c} string" for c in extra))
 
 
 def _grouped(solve):
@@ -284,11 +287,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, hashed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row, with ``text_sha256`` if ``hashed``."""
+    extra = ["text_sha256"] if hashed else []
     small_batches(docs.sparkSession)
     most = most_differing_bits()
-    prints = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
+    prints = written(fingerprints(docs, id_col, text_col, width, hashed), "fingerprints")
     usable = prints.filter("digest is not null and doc_id is not null")
     copies = written(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").select("digest", "rep"), "near-copies")
     marked = usable.join(sized(copies), "digest", "left")
@@ -319,13 +323,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(inside).unionByName(_confirmed(across, sets))
     comps = written(components(links), "near-components")
 
-    found = marked.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    linked = found.join(sized(comps), found["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = prints.filter("digest is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = marked.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"), *extra)
+    linked = found.join(sized(comps), found["rep"] == comps["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), *extra)
+    alone = prints.filter("digest is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *extra)
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document (the smallest id) of each component."""
-    dropped = near_duplicates(docs, id_col, text_col).filter("not kept").select("doc_id").distinct()
-    return without(docs, id_col, dropped, "near-dropped")
+    """``docs`` with one document (the smallest id) of each component. Rows go
+    by id and text, so another text under a dropped copy's id stays."""
+    dropped = near_duplicates(docs, id_col, text_col, hashed=True).filter("not kept").select("doc_id", "text_sha256").distinct()
+    return without(docs, id_col, dropped, "near-dropped", F.sha2(text_or_empty(text_col), 256))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,16 +59,53 @@ def sized(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() * 64 <= BROADCAST_BYTES else keys
 
 
+def free_name(docs: DataFrame, wish: str) -> str:
+    """``wish``, or it with underscores behind it, so that ``docs`` has no such column."""
+    while wish.lower() in {c.lower() for c in docs.columns}:
+        wish += "_"
+    return wish
+
+
 def without(docs: DataFrame, id_col: str, dropped: DataFrame, name: str, text_hash: Column | None = None) -> DataFrame:
     """``docs`` minus the rows whose id is in ``dropped`` (one id column; with
     ``text_hash``, an expression over ``docs``, a hash column too, and both must
-    match). The texts are shuffled only if the dropped ids are too many to broadcast."""
-    ids = written(dropped.toDF(*["_dropped_id", "_dropped_hash"][:len(dropped.columns)]), name)
-    same = docs[id_col] == F.col("_dropped_id")
-    return docs.join(sized(ids), same if text_hash is None else same & (text_hash == F.col("_dropped_hash")), "left_anti")
-
-
-def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    match; then a NULL id matches NULL). The texts are shuffled only if the
+    dropped ids are too many to broadcast."""
+    names = [free_name(docs, "_dropped_id"), free_name(docs, "_dropped_hash")][:len(dropped.columns)]
+    ids = written(dropped.toDF(*names), name)
+    if text_hash is None:
+        return docs.join(sized(ids), docs[id_col] == F.col(names[0]), "left_anti")
+    return docs.join(sized(ids), docs[id_col].eqNullSafe(F.col(names[0])) & (text_hash == F.col(names[1])), "left_anti")
+
+
+def one_of_each(docs: DataFrame, id_col: str, repeated: DataFrame, text_hash: Column, name: str) -> DataFrame:
+    """``docs`` with one row of each (id, text hash) in ``repeated`` (two columns, distinct, few) and all
+    other rows. Only the repeated rows are grouped, combined map-side."""
+    names = [free_name(docs, "_dropped_id"), free_name(docs, "_dropped_hash")]
+    pairs = written(repeated.toDF(*names), name)
+    if pairs.isEmpty():
+        return docs
+    same = docs[id_col].eqNullSafe(F.col(names[0])) & (text_hash == F.col(names[1]))
+    twins = docs.join(sized(pairs), same).groupBy(*names).agg(F.first(F.struct(*[docs[c] for c in docs.columns])).alias("_row"))
+    return docs.join(sized(pairs), same, "left_anti").unionByName(twins.select("_row.*"))
+
+
+#: Functions whose results a Python worker remembers between partitions.
+_REMEMBERING: list = []
+_SERVING: list = [None]
+
+
+def remembered(maxsize: int):
+    """``lru_cache`` for what tasks open (vocabularies, encoders). Workers outlive a stage, so ``tidy``
+    forgets all of it as soon as a worker serves another module's tasks."""
+    def wrap(fn):
+        kept = functools.lru_cache(maxsize=maxsize)(fn)
+        _REMEMBERING.append(kept)
+        return kept
+    return wrap
+
+
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Keep the Arrow batches that go to Python tasks near ``most`` bytes
     (long texts would make batches of many MB in the JVM and in Python)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
@@ -86,7 +124,15 @@ def give_back_memory() -> None:
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for ``mapInArrow`` that hands back freed memory when its partition is done."""
+    owner = run.__module__
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from featlab.llm import shared  # the worker's own module, not a copy sent along
+        if shared._SERVING[0] != owner:
+            shared._SERVING[0] = owner
+            for kept in shared._REMEMBERING:
+                kept.cache_clear()
+            give_back_memory()
         try:
             yield from run(batches)
         finally:

@@ -26,7 +26,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -88,7 +87,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str | None = Non
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files
     (crc32 of its ids as little-endian unsigned 32-bit integers)."""
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(frames: Iterator) -> Iterator:
+        import pandas as pd  # here, so that workers that only write do not load it
         for frame in frames:
             for p in frame.itertuples():
                 ids = get_array(folder, f"{p.part}.ids", f"<u{p.width}")

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import functools
 import os
 
 import numpy as np
 
 from featlab.llm.pieces import PieceEncoder
+from featlab.llm.shared import remembered
 
 #: Pieces handed to the library at a time.
 BATCH = 512
 
 
-@functools.lru_cache(maxsize=4)
+@remembered(4)
 def tokenizer(path: str):
     """The ``tokenizers`` object for a .json file: no truncation, no padding, single-threaded."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,6 +51,6 @@ def library_encode(path: str):
     return encode
 
 
-@functools.lru_cache(maxsize=4)
+@remembered(4)
 def piece_encoder(path: str, byte_level: bool) -> PieceEncoder:
     return PieceEncoder(library_encode(path), byte_level)

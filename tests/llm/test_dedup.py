@@ -76,6 +76,23 @@ def test_other_texts_of_a_dropped_id_stay(spark):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, "a"), (5, "unique"), (6, None), (7, " a")]
 
 
+def test_one_row_of_each_text_stays(spark):
+    rows = [(5, "t"), (5, "t"), (None, "t"), (None, "u"), (None, "u "), (2, "v"), (9, "v"), (9, "w"), (9, " w"), (9, "  w"), (1, None), (1, "")]
+    df = exact_frame(spark, rows)
+    kept = exact_dedup.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, (r.text or "").strip()) for r in kept.collect()) == [(0, "u"), (0, "u"), (1, ""), (2, "v"), (5, "t"), (9, "w"), (9, "w")]
+    clash = df.withColumn("_dropped_id", exact_dedup.F.lit("x")).withColumn("_dropped_hash", exact_dedup.F.lit("y"))
+    assert exact_dedup.keep_first(clash).count() == 7 and exact_dedup.keep_first(df.limit(0)).count() == 0
+
+
+def test_near_stage_keeps_other_texts_of_a_dropped_id(spark):
+    w = " ".join(f"w{k}" for k in range(40))
+    other = " ".join(f"x{k}" for k in range(40))
+    df = spark.createDataFrame([(1, w), (2, w), (2, other), (3, w + " more")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_text.drop_near_duplicates(df).collect()) == [(1, w), (2, other)]
+
+
 def shingles(text, width=5):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     return {tuple(w[k:k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())

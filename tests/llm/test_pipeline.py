@@ -59,6 +59,18 @@ def test_stages_take_odd_rows(spark):
             assert out.count() <= len(rows)
 
 
+def test_repeated_ids_lose_no_text(spark):
+    """A row repeated with its id leaves one; another text under a copy's id stays, up to the mixture."""
+    line = " ".join(f"word{k} of the text" for k in range(30)) + "."
+    other = " ".join(f"another{k} sentence here" for k in range(30)) + "."
+    rows = [(1, line), (2, line), (2, other), (2, other), (3, line + " And a tail.")]
+    docs = spark.createDataFrame([(k, t, "en", "src1", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = corpus_pipeline.exact(spark, docs, SF)
+    assert sorted((r.doc_id, r.text) for r in once.collect()) == sorted({(1, line), (2, other), (3, line + " And a tail.")})
+    near = corpus_pipeline.near(spark, docs, SF)
+    assert sorted({(r.doc_id, r.text) for r in near.collect()}) == sorted({(1, line), (2, other)})
+
+
 def test_entry_point_without_the_subpackage(tmp_path):
     """The rest of the library imports and lists its queries when the llm files are gone."""
     shutil.copytree(REPO, tmp_path / "r", ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__"))
@@ -72,5 +84,5 @@ def test_queries_are_registered():
     sys.path.insert(0, REPO)
     import __spark_entry__ as entry
     names = entry.queries()
-    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11)) and "pipeline" in names
-    assert {"op1_mix_sources", "op2_near_vectors", "op4_chat_format", "op5_exact_dedup"} <= set(entry.oracle_sql())
+    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14)) and "pipeline" in names
+    assert {"op1_mix_sources", "op2_near_vectors", "op4_chat_format", "op5_exact_dedup", "op12_son_collocations"} <= set(entry.oracle_sql())
