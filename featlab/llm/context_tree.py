@@ -26,13 +26,14 @@ r * p(below)``), so no layer waits for another. They are written as flat files
 in the shared folder: nodes of depth 3 and more in parts by the three nearest
 context bytes, the few above them (at most 65,793 contexts) in parts of their own.
 
-Scoring brings the questions to the nodes, as no task could hold them all: texts
-are cut into blocks; each block sends the distinct (context, byte) codes of its
-texts, as sorted differences, to the parts that hold their nodes; a task opens
-one part at a time, answers the distinct codes of many blocks at once, and sends
-the logarithms back to the blocks, where they are added up per document. Words
-are looked up in the same way. What moves is bounded by the distinct codes of
-the blocks; a part asked by many blocks is shared by ``SALT`` tasks.
+Scoring brings the questions to the nodes, as no task could hold them all. Every
+task maps the logarithms of the ``FREQUENT`` most frequent (context, byte) codes
+of the corpus, and answers those itself (a bounded table, whatever the corpus).
+The others of a block of texts travel, as sorted differences with the documents
+they occur in, to the part that holds their nodes; a task there opens one part
+at a time, answers the distinct codes of many blocks at once and emits sums per
+document, which Spark adds up. Words are looked up in the same way. A part asked
+by many blocks is shared by ``SALT`` tasks; no answer travels back per code.
 
 Also counted over all training documents: the unigram base score of the words.
 
@@ -56,7 +57,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featlab.llm.pieces import blocks, text_array
-from featlab.llm.shared import shared_folder, small_batches, task_count, text_or_empty, tidy, written
+from featlab.llm.shared import remembered, shared_folder, small_batches, task_count, text_or_empty, tidy, written
 from featlab.llm.store import get_array, put
 
 DEPTH = 5
@@ -68,6 +69,8 @@ HELD = 1_500_000
 ASKED = 500_000
 #: Tasks that share the questions to one part.
 SALT = 4
+#: Codes, and words, whose answers every task has at hand (16 bytes each).
+FREQUENT = 1 << 20
 END = 0xFF
 
 
@@ -421,8 +424,60 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
     node_table = folder, parts
     word_table = folder, write_table(counts.filter("kind = 1").select("key", F.col("n").cast("double").alias("n")), "key", ["n"], folder, "w")
     words = totals.get(1)
-    return {"nodes": node_table, "words": word_table, "n_docs": n_docs, "least": least,
-            "tokens": (words["n"] if words else 0) + n_docs, "distinct": (words["distinct"] if words else 0) + (n_docs > 0)}
+    model = {"nodes": node_table, "words": word_table, "n_docs": n_docs, "least": least,
+             "tokens": (words["n"] if words else 0) + n_docs, "distinct": (words["distinct"] if words else 0) + (n_docs > 0)}
+    asked = _most_frequent(counts, 0).select(F.expr(f"((key & {(1 << 8 * DEPTH) - 1}) << 8) | shiftrightunsigned(key, {8 * DEPTH})").alias("q"))
+    logs = written(_dealt(asked, node_table[1]).mapInArrow(tidy(_logs(model)), "q long, log double"), "lm-frequent")
+    model["logs"] = folder, write_table(logs, "q", ["log"], folder, "c")
+    model["common"] = folder, write_table(_most_frequent(counts, 1).select("key", F.col("n").cast("double").alias("n")), "key", ["n"], folder, "v")
+    return model
+
+
+def _most_frequent(counts: DataFrame, kind: int) -> DataFrame:
+    """The keys whose count is above the least step (an eighth of a power of two) that keeps them to ``FREQUENT`` at most."""
+    some = counts.filter(F.col("kind") == kind)
+    step = F.floor(F.log2("n") * 8)
+    taken, above = 0, 1 << 30
+    for r in some.groupBy(step.alias("step")).agg(F.count("*").alias("keys")).orderBy(F.desc("step")).collect():  # 512 rows at most
+        taken += r["keys"]
+        if taken > FREQUENT:
+            break
+        above = r["step"]
+    return some.filter(step >= above).select("key", "n")
+
+
+def _dealt(asked: DataFrame, node_parts: list[tuple[str, int]]) -> DataFrame:
+    """``part, q``: questions with the part that holds their nodes, sorted by both."""
+    first = np.asarray([k for name, k in node_parts if name.startswith("d")], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = b.column(0).to_numpy() >> 8 * DEPTH + 8 - 24
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(np.searchsorted(first, near, side="right") - 1, 0).astype(np.int32)), b.column(0)], ["part", "q"])
+    return asked.mapInArrow(run, "part int, q long").repartition(task_count(asked.sparkSession), "part").sortWithinPartitions("part", "q")
+
+
+def _logs(model: dict):
+    """Rows of ``_dealt`` to the logarithms of their probabilities, one part open at a time."""
+    folder, deep, top = _split(model["nodes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes = None, None
+        for b in batches:
+            parts, asked = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for part in np.unique(parts).tolist():
+                if part != now:
+                    now, nodes = part, Nodes(folder, [deep[part], *top], ["a", "r", "stop"])
+                some = asked[parts == part]
+                for k in range(0, len(some), ASKED):
+                    yield pa.RecordBatch.from_arrays([pa.array(some[k:k + ASKED]), pa.array(answers(nodes, some[k:k + ASKED].view(np.uint64)))], ["q", "log"])
+    return run
+
+
+def _split(table: tuple[str, list[tuple[str, int]]]) -> tuple[str, list, list]:
+    """(folder, parts of deep nodes, parts of the others)."""
+    folder, parts = table
+    return folder, [p for p in parts if p[0].startswith("d")], [p for p in parts if p[0].startswith("t")]
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -457,92 +512,137 @@ def unsigned(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.uint64) ^ np.uint64(1 << 63)
 
 
-#: Rows that travel: questions and answers (kind 0: nodes, 1: words), and the blocks themselves (kind 2).
-_TRAVEL = "block long, kind int, part int, data binary"
+def planes(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte plane after byte plane."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _blocks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``block, ids, texts``: whole texts, about ``BLOCK_BYTES`` together, written once so that block numbers hold."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        ids, texts, size = [], [], 0
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
-        def block() -> pa.RecordBatch:
-            together = pa.concat_arrays(texts)
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(together)], pa.int32()), pa.concat_arrays(ids)),
-                                               pa.ListArray.from_arrays(pa.array([0, len(together)], pa.int32()), together.cast(pa.string()))], names=["block", "ids", "texts"])
-        for b in batches:
-            for at, some in blocks(text_array(b.column(1)), BLOCK_BYTES):
-                ids.append(b.column(0).slice(at, len(some)))
-                texts.append(some)
-                size += pc.sum(pc.binary_length(some)).as_py() or 0
-                if size >= BLOCK_BYTES // 2:
-                    yield block()
-                    ids, texts, size, number = [], [], 0, number + 1
-        if ids:
-            yield block()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return written(rows.mapInArrow(tidy(cut), "block long, ids array<long>, texts array<string>"), "lm-blocks")
 
+@remembered(4)
+def at_hand(folder: str, parts: tuple, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending keys, values) of a bounded table."""
+    keys = [get_array(folder, f"{name}.key", "<i8") for name, _ in parts]
+    return np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0), *(get_array(folder, f"{name}.{column}", "<f8") for name, _ in parts)])
 
-def _own_texts(texts: pa.Array) -> pa.Array:
-    """A list's texts in buffers of their own (``ascii_lower`` of pyarrow reads a cast slice from the wrong place)."""
-    return pa.concat_arrays([texts.cast(pa.large_string()), pa.array([], pa.large_string())])
 
+def look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is it there, its value or 0)."""
+    if not len(table[0]):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    hit = table[0][at] == keys
+    return hit, np.where(hit, table[1][at], 0.0)
+
+
+#: Rows that travel: questions to nodes (kind 0) and words (1), with how often and in which
+#: documents of the block each occurs, and what a block knows of its documents itself (2).
+_TRAVEL = "block long, kind int, part int, keys binary, times binary, docs binary"
+_PARTIAL = "block long, doc int, doc_id long, n_tokens long, n_bytes long, n_known long, base_score double, score double"
 
-def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, pa.Array]]:
-    for b in batches:
-        for k in range(b.num_rows):
-            yield b.column(0)[k].as_py(), b.column(1)[k].values, _own_texts(b.column(2)[k].values)
+
+def _grouped(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys ascending, how often each, documents in the order of the keys)."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys))), docs[order]
 
 
-def _ask(node_first: np.ndarray, word_first: np.ndarray):
-    """Per block: its distinct codes and words, to the parts that hold them."""
+def _ask(model: dict, floor: float):
+    """Per block of texts: sums over what is at hand, and questions for the rest."""
+    node_first = np.asarray([k for _, k in _split(model["nodes"])[1]], np.int64)
+    word_first = np.asarray([k for _, k in model["words"][1]], np.int64)
+    unseen = math.log10(0.5 / floor)
+
+    def rest(block: int, kind: int, keys: np.ndarray, times: np.ndarray, docs: np.ndarray, missing: np.ndarray, route: np.ndarray, first: np.ndarray) -> list[tuple]:
+        """Rows of the keys that were not at hand; ``docs`` in the order of all keys."""
+        docs = docs[np.repeat(missing, times)]
+        keys, times, route = keys[missing], times[missing], route[missing]
+        cuts = [0, *np.searchsorted(route, first[1:]).tolist(), len(keys)]
+        ends = np.concatenate([[0], np.cumsum(times)])
+        return [(block, kind, k, pack_sorted(keys[a:b]), planes(times[a:b]), planes(docs[ends[a]:ends[b]])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, texts in _each_block(batches):
-            asked = np.unique(questions(block_codes(texts)[0]))
-            hashes = np.sort(unsigned(block_words(texts)[0]))
-            rows: list[tuple] = []
-            for kind, keys, route, first in ((0, asked, (asked >> np.uint64(8 * DEPTH + 8 - 24)).astype(np.int64), node_first),
-                                             (1, hashes, (hashes ^ np.uint64(1 << 63)).view(np.int64), word_first)):
-                if len(first) and len(keys):
-                    cuts = [0, *np.searchsorted(route, first[1:]).tolist(), len(keys)]
-                    rows += [(block, kind, k, pack_sorted(keys[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["block", "kind", "part", "data"])
+        number = TaskContext.get().partitionId() << 33
+        logs, common = at_hand(*model["logs"], "log"), at_hand(*model["common"], "n")
+        for b in batches:
+            for at, texts in blocks(text_array(b.column(1)), BLOCK_BYTES):
+                n = len(texts)
+                codes, n_bytes = block_codes(texts)
+                asked, times, docs = _grouped(questions(codes), np.repeat(np.arange(n, dtype=np.uint32), n_bytes))
+                hit, value = look_up(logs, asked.view(np.int64))
+                if not len(node_first):  # nothing was learned
+                    hit, value = np.ones(len(asked), bool), np.full(len(asked), 8 * math.log10(0.5))
+                score = np.bincount(docs, np.repeat(value, times), n)
+                rows = rest(number, 0, asked, times, docs, ~hit, (asked >> np.uint64(8 * DEPTH + 8 - 24)).astype(np.int64), node_first) if not hit.all() else []
+
+                hashes, place, per_text = block_words(texts)
+                words, times, docs = _grouped(hashes[place], np.repeat(np.arange(n, dtype=np.uint32), per_text))
+                hit, found = look_up(common, words)
+                base = np.bincount(docs, np.repeat(np.where(hit, np.log10((found + 0.5) / floor), 0.0), times), n)
+                known = np.bincount(docs, np.repeat(hit, times), n)
+                if not len(word_first):
+                    base, hit = base + unseen * per_text, np.ones(len(words), bool)
+                if not hit.all():
+                    rows += rest(number, 1, unsigned(words), times, docs, ~hit, words, word_first)
+                ids = b.column(0).slice(at, n)
+                own = [ids.is_valid().to_numpy(zero_copy_only=False).astype("<f8"), per_text.astype("<f8"), n_bytes.astype("<f8"), known.astype("<f8"), base, score]
+                rows.append((number, 2, number % 9973, ids.fill_null(0).to_numpy().astype("<i8").tobytes(), np.stack(own).astype("<f8").tobytes(), b""))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                                                 names=[f.split()[0] for f in _TRAVEL.split(", ")])
+                number += 1
     return run
 
 
-def _answer(model: dict):
-    """Questions sorted by kind and part to their answers (doubles, in the order asked); one part is open at a time."""
-    folder, node_parts = model["nodes"]
-    deep, top = [p for p in node_parts if p[0].startswith("d")], [p for p in node_parts if p[0].startswith("t")]
-    words = model["words"][1]
+def _partial(block: int, docs: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    kinds = {f.split()[0]: pa.float64() if f.endswith("double") else pa.int64() for f in _PARTIAL.split(", ")[2:]}
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), block)), pa.array(docs.astype(np.int32)),
+                                       *(pa.array(columns[c]).cast(t) if c in columns else pa.nulls(len(docs), t) for c, t in kinds.items())], names=["block", "doc", *kinds])
+
 
-    def solve(kind: int, part: int, held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        distinct = np.unique(np.concatenate([k for _, k in held]))
+def _answer(model: dict, floor: float):
+    """Questions sorted by kind and part to sums per document; one part is open at a time."""
+    folder, deep, top = _split(model["nodes"])
+    parts = model["words"][1]
+
+    def solve(kind: int, part: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        distinct = np.unique(np.concatenate([h[1] for h in held]))
         if kind == 0:
             values = answers(Nodes(folder, [deep[part], *top], ["a", "r", "stop"]), distinct)
         else:
-            hit, found = Table(folder, [words[part]], ["n"]).find((distinct ^ np.uint64(1 << 63)).view(np.int64))
-            values = np.where(hit, found["n"], 0.0)
-        data = [values[np.searchsorted(distinct, k)].astype("<f8").tobytes() for _, k in held]
-        n = len(held)
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in held], pa.int64()), pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()),
-                                           pa.array(data, pa.binary())], names=["block", "kind", "part", "data"])
+            hit, found = Table(folder, [parts[part]], ["n"]).find((distinct ^ np.uint64(1 << 63)).view(np.int64))
+            n = np.where(hit, found["n"], 0.0)
+            values = np.log10((n + 0.5) / floor)
+        for block, keys, times, docs in held:
+            at = np.searchsorted(distinct, keys)
+            some, inverse = np.unique(docs, return_inverse=True)
+            sums = np.bincount(inverse, np.repeat(values[at], times), len(some))
+            if kind == 0:
+                yield _partial(block, some, score=sums)
+            else:
+                yield _partial(block, some, base_score=sums, n_known=np.bincount(inverse, np.repeat(n[at] > 0, times), len(some)).astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, size = None, [], 0
         for b in batches:
-            for block, kind, part, data in zip(*(c.to_pylist() for c in b.columns)):
+            for block, kind, part, keys, times, docs in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == 2:
+                    ids = np.frombuffer(keys, "<i8")
+                    valid, tokens, n_bytes, known, base, score = np.frombuffer(times, "<f8").reshape(6, -1)
+                    yield _partial(block, np.arange(len(ids)), doc_id=pa.array(ids, mask=valid == 0), n_tokens=tokens.astype(np.int64), n_bytes=n_bytes.astype(np.int64),
+                                   n_known=known.astype(np.int64), base_score=base, score=score)
+                    continue
                 if held and ((kind, part) != now or size >= ASKED):
-                    yield solve(*now, held)
+                    yield from solve(*now, held)
                     held, size = [], 0
                 now = kind, part
-                held.append((block, unpack_sorted(data)))
-                size += len(held[-1][1])
+                held.append((block, unpack_sorted(keys), unplanes(times), unplanes(docs)))
+                size += len(held[-1][3])
         if held:
-            yield solve(*now, held)
+            yield from solve(*now, held)
     return run
 
 
@@ -550,50 +650,16 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes`` of every row."""
     spark = docs.sparkSession
     small_batches(spark)
-    n = task_count(spark)
     n_docs, tokens, floor = model["n_docs"], model["tokens"], model["tokens"] + 0.5 * (model["distinct"] + 1)
-    node_first = np.asarray([k for name, k in model["nodes"][1] if name.startswith("d")], np.int64)
-    word_first = np.asarray([k for _, k in model["words"][1]], np.int64)
-    texts = _blocks_of(docs, id_col, text_col)
-    asked = texts.mapInArrow(tidy(_ask(node_first, word_first)), _TRAVEL)
-    found = asked.repartition(n, "kind", "part", F.pmod(F.xxhash64("block"), F.lit(SALT))).sortWithinPartitions("kind", "part") \
-        .mapInArrow(tidy(_answer(model)), _TRAVEL)
-    together = found.select("*", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<string>").alias("texts")) \
-        .unionByName(texts.select("block", F.lit(2).alias("kind"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "ids", "texts"))
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {0: [], 1: []}
-        for b in batches:
-            for k in range(b.num_rows):
-                kind = b.column(1)[k].as_py()
-                if kind < 2:
-                    held[kind].append(b.column(3)[k].as_py())
-                    continue
-                logs, counts = (np.frombuffer(b"".join(held.pop(i)), "<f8") for i in (0, 1))
-                held = {0: [], 1: []}
-                ids, block = b.column(4)[k].values, _own_texts(b.column(5)[k].values)
-                yield _scored(ids, block, logs, counts)
-
-    def _scored(ids: pa.Array, block: pa.Array, logs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        end = math.log10((n_docs + 0.5) / floor)
-        hashes, place, per_text = block_words(block)
-        seen_n = np.zeros(len(hashes))
-        if len(counts):
-            seen_n[np.argsort(unsigned(hashes), kind="stable")] = counts
-        base_logs = np.concatenate([[0], np.cumsum(np.log10((seen_n + 0.5) / floor)[place])])
-        seen = np.concatenate([[0], np.cumsum((seen_n > 0)[place])])
-        ends = np.cumsum(per_text)
-        base, known = (v[ends] - v[ends - per_text] for v in (base_logs, seen))
-        codes, n_bytes = block_codes(block)
-        grams, where = np.unique(questions(codes), return_inverse=True)
-        per_gram = logs if len(logs) else np.full(len(grams), 8 * math.log10(0.5))
-        total = np.add.reduceat(per_gram[where], np.cumsum(n_bytes) - n_bytes)
-        return pa.RecordBatch.from_arrays([ids, pa.array(per_text + 1), pa.array(known.astype(np.int64) + (n_docs > 0)), pa.array(base + end), pa.array(total),
-                                           pa.array(n_bytes.astype(np.int64))], ["doc_id", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
-
-    scored = together.repartition(n, "block").sortWithinPartitions("block", "kind", "part") \
-        .mapInArrow(tidy(add_up), "doc_id long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
-    return scored.select("doc_id", is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes")
+    model = {k: (v[0], tuple(v[1])) if isinstance(v, tuple) else v for k, v in model.items()}
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    asked = texts.mapInArrow(tidy(_ask(model, floor)), _TRAVEL)
+    partial = asked.repartition(task_count(spark), "kind", "part", F.pmod(F.xxhash64("block"), F.lit(SALT))).sortWithinPartitions("kind", "part") \
+        .mapInArrow(tidy(_answer(model, floor)), _PARTIAL)
+    sums = partial.groupBy("block", "doc").agg(*[F.max(c).alias(c) for c in ("doc_id", "n_tokens", "n_bytes")], *[F.sum(c).alias(c) for c in ("n_known", "base_score", "score")])
+    end = math.log10((n_docs + 0.5) / floor)
+    return sums.select("doc_id", is_held_out().alias("held_out"), (F.col("n_tokens") + 1).alias("n_tokens"), (F.col("n_known") + F.lit(int(n_docs > 0))).alias("n_known"),
+                       F.lit(tokens).cast("long").alias("train_tokens"), (F.col("base_score") + F.lit(end)).alias("base_score"), "score", "n_bytes")
 
 
 def score_all(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

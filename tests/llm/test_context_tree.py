@@ -139,8 +139,10 @@ def test_rare_contexts_of_a_large_corpus_are_nodes(spark):
     assert nodes.find(keys.astype(np.int64))[0].all()
 
 
-def test_texts_beyond_a_block_and_many_blocks(spark):
-    """Answers that went through the parts equal a look-up in the whole model."""
+@pytest.mark.parametrize("frequent", [C.FREQUENT, 150, 0])
+def test_texts_beyond_a_block_and_many_blocks(spark, monkeypatch, frequent):
+    """Sums of answers at hand and answers from the parts equal a look-up in the whole model."""
+    monkeypatch.setattr(C, "FREQUENT", frequent)
     long = "the cat sat on the mat, zebra. " * (C.BLOCK_BYTES // 31 + 1000)
     rows = [(k, "the cat sat on the log " * 20_000 + f"number {k}") for k in range(12)] + [(100, long), (101, None), (102, "quagga")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -153,6 +155,9 @@ def test_texts_beyond_a_block_and_many_blocks(spark):
         distinct, where = np.unique(C.questions(codes), return_inverse=True)
         assert got[k].score == pytest.approx(C.answers(nodes, distinct)[where].sum(), rel=1e-9)
         assert got[k].n_bytes == len((t or "").encode()) + 1 and got[k].n_tokens == len((t or "").split()) + 1
+    words = Counter(w for k, t in rows if not held_out(k) for w in (t or "").split())
+    for k, t in rows:
+        assert got[k].n_known == 1 + sum(words[w] > 0 for w in (t or "").split())
 
 
 def test_packed_questions():
