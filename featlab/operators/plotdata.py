@@ -38,19 +38,19 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: Sequence[str] = ()) -
 
 
 def kde(df: DataFrame, col: str, points: int = 50, bandwidth: float | None = None) -> DataFrame:
-    """Gaussian kernel density on an even grid over [min, max]. Each
-    row adds its kernel value to every grid point (a literal grid exploded
-    per row, then summed with map-side partial aggregation)."""
+    """Gaussian kernel density on an even grid over [min, max]. Values
+    are counted first; each distinct one adds its kernel value, times its
+    count, to every grid point (map-side partial aggregation)."""
     lo, hi, n, _, std = _range(df, col)
     if not n:   # no values: no curve
         lo = hi = std = 0.0
     h = bandwidth or 1.06 * std * max(n, 1) ** (-0.2) or 1.0   # a constant column gets unit bandwidth
     step = (hi - lo) / (points - 1)
     g = F.lit(lo) + F.col("gi") * step
-    rows = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()) \
-             .select("x", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("gi"))
+    rows = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()).groupBy("x").agg(F.count(F.lit(1)).alias("times")) \
+             .select("x", "times", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("gi"))
     k = F.exp(-F.pow(F.col("x") - g, 2) / (2 * h * h)) / (h * math.sqrt(2 * math.pi))
-    return rows.groupBy("gi").agg(F.avg(k).alias("density")).select(
+    return rows.groupBy("gi").agg((F.sum(k * F.col("times")) / n).alias("density")).select(
         "gi", (F.lit(lo) + F.col("gi") * step).alias("x"), "density")
 
 
@@ -106,9 +106,13 @@ def sample_by(df: DataFrame, id_col: str, fraction: float, buckets: int = 1_000_
 
 
 def joint_bins(df: DataFrame, xcol: str, ycol: str, bins: int = 10) -> DataFrame:
-    """Rectangular 2-D bins with counts (marginals = G01 per axis)."""
-    lx, hx, _, _, _ = _range(df, xcol)
+    """Rectangular 2-D bins with counts (marginals: :func:`joint_marginals`);
+    rows without either value are left out, an empty table has no bins."""
+    df = df.filter(F.col(xcol).isNotNull() & F.col(ycol).isNotNull())
+    lx, hx, n, _, _ = _range(df, xcol)
     ly, hy, _, _, _ = _range(df, ycol)
+    if not n:
+        lx = hx = ly = hy = 0.0
     wx = (hx - lx) / bins if hx > lx else 1.0
     wy = (hy - ly) / bins if hy > ly else 1.0
     bx = F.least(F.floor((F.col(xcol) - lx) / wx), F.lit(bins - 1)).cast("int")
@@ -116,6 +120,12 @@ def joint_bins(df: DataFrame, xcol: str, ycol: str, bins: int = 10) -> DataFrame
     return df.groupBy(bx.alias("bx"), by_.alias("by")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def joint_marginals(bins: DataFrame) -> DataFrame:
+    """The counts of :func:`joint_bins` per axis (``axis`` "x" or "y", ``bin``, ``count``)."""
+    both = F.explode(F.array(F.struct(F.lit("x").alias("axis"), F.col("bx").alias("bin")), F.struct(F.lit("y").alias("axis"), F.col("by").alias("bin"))))
+    return bins.select(both.alias("_fl_m"), "count").groupBy("_fl_m.axis", "_fl_m.bin").agg(F.sum("count").alias("count"))
+
+
 def fitted_lines(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
     """Least-squares line per facet (order 1)."""
     return df.groupBy(*by).agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),

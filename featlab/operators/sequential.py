@@ -205,21 +205,29 @@ def gini_normalized(df: DataFrame, actual: str, pred: str, id_col: str) -> DataF
 
 # ---- W11: early stopping on a metric log ---------------------------------------------
 def early_stop(log: DataFrame, run_keys: Sequence[str], round_col: str, metric: str,
-               patience: int = 4, min_rounds: int = 5, lower_is_better: bool = True) -> DataFrame:
-    """Per run: the first round at which the metric got worse ``patience``
-    times in a row after ``min_rounds`` rounds, and the best round so far.
-    The metric log is small (one row per round), so a window per run is fine."""
+               patience: int | None = 4, min_rounds: int = 5, lower_is_better: bool = True, no_gain: int | None = None) -> DataFrame:
+    """Per run: the best round, and the first round that stops it, if any: the
+    metric got worse ``patience`` times in a row after ``min_rounds`` rounds, or
+    the best round so far lies more than ``no_gain`` rounds back (None: that
+    rule is off). The metric log is small (one row per round), so a window per
+    run is fine."""
     w = Window.partitionBy(*run_keys).orderBy(round_col)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     prev = F.lag(metric).over(w)
     worse = (F.col(metric) > prev) if lower_is_better else (F.col(metric) < prev)
     x = log.withColumn("_fl_worse", F.coalesce(worse, F.lit(False)).cast("int"))
     # length of the current run of "worse" rounds: rounds since last non-worse
-    x = x.withColumn("_fl_grp", F.sum(1 - F.col("_fl_worse")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    x = x.withColumn("_fl_grp", F.sum(1 - F.col("_fl_worse")).over(upto))
     x = x.withColumn("_fl_streak", F.sum("_fl_worse").over(
         Window.partitionBy(*run_keys, "_fl_grp").orderBy(round_col).rowsBetween(Window.unboundedPreceding, 0)))
-    stop = (x.filter((F.col("_fl_streak") >= patience) & (F.col(round_col) > min_rounds))
-            .groupBy(*run_keys).agg(F.min(round_col).alias("stop_round")))
-    best_fn = F.min_by if lower_is_better else F.max_by
-    best = log.groupBy(*run_keys).agg(best_fn(F.col(round_col), F.struct(F.col(metric), F.col(round_col))).alias("best_round"),
+    stops = F.lit(False)
+    if patience is not None:
+        stops = stops | ((F.col("_fl_streak") >= patience) & (F.col(round_col) > min_rounds))
+    signed = F.col(metric) if lower_is_better else -F.col(metric)
+    if no_gain is not None:
+        x = x.withColumn("_fl_best", F.min_by(F.col(round_col), F.struct(signed, F.col(round_col))).over(upto))
+        stops = stops | (F.col(round_col) - F.col("_fl_best") > no_gain)
+    stop = x.filter(stops).groupBy(*run_keys).agg(F.min(round_col).alias("stop_round"))
+    best = log.groupBy(*run_keys).agg(F.min_by(F.col(round_col), F.struct(signed, F.col(round_col))).alias("best_round"),
                                       F.count(F.lit(1)).alias("rounds"))
     return best.join(stop, list(run_keys), "left")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from featlab.functions import text as T
 from featlab.functions.arrays import posexplode_values
 from featlab.operators import sequential as S
+from featlab.operators import token_windows as TW
 from featlab.operators.folds import batches, kfold, stratified_kfold
 from featlab.plans.registry import query
-from featlab.sources.tables import read_table
+from featlab.sources.tables import read_table, spread
 
 R = 6
 
@@ -127,9 +128,7 @@ def w06_skipgram_pairs(spark, sf_dir):
 
 
 def _document_tokens(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return (d.select("doc_id", posexplode_values(T.word_tokens("text")).alias("pos", "token"))
-            .filter(F.col("token").isNotNull()).withColumn("pos", F.col("pos") + 1))
+    return spread(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", T.word_tokens("text").alias("tok"))
 
 
 _DOCUMENT_TOKENS = f"""
@@ -145,17 +144,21 @@ FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 """)
 def w05_document_windows(spark, sf_dir):
     """The windows of ``w05_context_window`` for every token of every document."""
-    out = S.context_window(_document_tokens(spark, sf_dir), ["doc_id"], ["pos"], "token", 2)
+    out = TW.windows(_document_tokens(spark, sf_dir), ["doc_id"], "tok", 2)
     return out.select("doc_id", "pos", "token", "ctx_m1", "ctx_m2", "ctx_p1", "ctx_p2")
 
 
-@query("w06_document_pairs", _DOCUMENT_TOKENS + """
-SELECT a.doc_id, CAST(a.pos AS INTEGER) AS c_pos, CAST(d AS INTEGER) AS "offset", a.token AS centre, b.token AS context
-FROM t a, (SELECT unnest([-2, -1, 1, 2]) AS d) o, t b WHERE b.doc_id = a.doc_id AND b.pos = a.pos + d
+@query("w06_document_pairs", _DOCUMENT_TOKENS + """,
+n AS (SELECT doc_id, CAST(pos AS INTEGER) AS c_pos, token AS centre, lag(token) OVER w AS m1, lag(token, 2) OVER w AS m2, lead(token) OVER w AS p1, lead(token, 2) OVER w AS p2
+      FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+SELECT doc_id, c_pos, -2 AS "offset", centre, m2 AS context FROM n WHERE m2 IS NOT NULL
+UNION ALL SELECT doc_id, c_pos, -1, centre, m1 FROM n WHERE m1 IS NOT NULL
+UNION ALL SELECT doc_id, c_pos, 1, centre, p1 FROM n WHERE p1 IS NOT NULL
+UNION ALL SELECT doc_id, c_pos, 2, centre, p2 FROM n WHERE p2 IS NOT NULL
 """)
 def w06_document_pairs(spark, sf_dir):
     """The pairs of ``w06_skipgram_pairs`` for every token of every document."""
-    return S.skipgram_pairs(_document_tokens(spark, sf_dir), "doc_id", "pos", "token", 2).withColumn("offset", F.col("offset").cast("int"))
+    return TW.skipgrams(_document_tokens(spark, sf_dir), ["doc_id"], "tok", 2)
 
 
 @query("w07_normalized_gini", """
