@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from featlab.functions.hashing import md5_bin
 from featlab.operators.ordering import global_rank
+from featlab.session import reliable_checkpoint
 
 BROADCAST_BYTES = 64 << 20   # all lookup tables of a transform together
 
@@ -152,7 +153,8 @@ def fit_feature_dictionary(df: DataFrame, numeric: Sequence[str] = (), ignore: S
     if cats:
         st = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in cats]
         vals = src.select(F.explode(F.array(*st)).alias("s")).select("s.*").distinct()
-        ranked = global_rank(vals, [F.col("value")], "_fl_r", partition_by=["field"])
+        # the dictionary is written once; sizes and lookups read that copy
+        ranked = reliable_checkpoint(global_rank(vals, [F.col("value")], "_fl_r", partition_by=["field"]))
         fitted = ranked.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes("value")).alias("bytes")).collect()   # a row per field
         sizes, n_bytes = {r["field"]: int(r["n"]) for r in fitted}, {r["field"]: int(r["bytes"]) for r in fitted}
     else:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from featlab.session import reliable_checkpoint
 
 _PID, _LOC, _MID = "_fl_pid", "_fl_loc", "_fl_mid"
-SUMMARY_ROWS = 200_000   # a summary of at most so many counted rows is broadcast
+SUMMARY_ROWS = 10_000   # a summary of at most so many rows goes through the driver to all tasks; a longer one is joined
 
 
 def _as_cols(cols) -> list[Column]:
@@ -74,11 +74,13 @@ def global_rank(df: DataFrame, order_by: Sequence, rank_col: str = "rank",
         summ = summ.withColumn(size_col, F.sum("_fl_cnt").over(Window.partitionBy(*groups)))
         extra = [size_col]
     summ = summ.select(_PID, *groups, "_fl_off", "_fl_first", *extra)
-    # One row per (partition, group) boundary, at most partitions + groups
-    # rows, written once; broadcast if few (counted), else a shuffle join.
-    summ = reliable_checkpoint(summ)
-    if summ.count() <= SUMMARY_ROWS:
-        summ = F.broadcast(summ)
+    # One row per (partition, group) boundary, at most partitions + groups rows: few are read in
+    # one job and sent to all tasks; more (group keys may be many) are written and joined by a shuffle.
+    few = summ.limit(SUMMARY_ROWS + 1).collect()
+    if len(few) <= SUMMARY_ROWS:
+        summ = F.broadcast(df.sparkSession.createDataFrame(few, summ.schema))
+    else:
+        summ = reliable_checkpoint(summ)
     joined = ranged.join(summ, [_PID, *groups], "inner")
     return (joined.withColumn(rank_col, F.col("_fl_off") + F.col(_LOC) - F.col("_fl_first") + 1)
             .drop(_PID, _LOC, "_fl_off", "_fl_first"))
