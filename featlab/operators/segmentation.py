@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from featlab.functions.arrays import explode_values
 
 
+#: Characters of text that a place carries.
+PLACE = 32
+
+
 # ---- J08: every dictionary word in a text --------------------------------------------------
 def dictionary_matches(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
                        word_col: str = "word") -> DataFrame:
@@ -27,19 +31,27 @@ def dictionary_matches(df: DataFrame, id_col: str, text_col: str, dictionary: Da
 
     Places of a text are joined with the first two characters of the words
     (their heads) and with the lengths that words of that head have; only such
-    substrings are then joined with the dictionary. A row carries at most the
-    longest word's length of text."""
-    words = dictionary.select(F.col(word_col).alias("_w")).filter(F.length("_w") > 0).distinct()
+    substrings are then joined with the dictionary. A place carries at most
+    ``PLACE`` characters: longer words are found by their first ``PLACE`` and
+    compared with the text itself."""
+    every = dictionary.select(F.col(word_col).alias("_w")).filter(F.length("_w") > 0).distinct()
+    words = every.filter(F.length("_w") <= PLACE)
     head = lambda c, n: F.substring(c, 1, n)
     heads = words.select(head("_w", 2).alias("_head"), F.length("_w").alias("_len")).groupBy("_head").agg(F.collect_set("_len").alias("_lens"))
-    longest = words.agg(F.max(F.length("_w"))).first()[0] or 0
+    longest = every.agg(F.max(F.length("_w"))).first()[0] or 0
     places = (df.select(F.col(id_col), F.col(text_col).alias("_t"), explode_values(F.sequence(F.lit(1), F.greatest(F.length(text_col), F.lit(1)))).alias("start"))
-              .select(id_col, "start", F.substring("_t", F.col("start"), F.lit(longest)).alias("_s")).filter(F.length("_s") > 0))
+              .select(id_col, "start", F.substring("_t", F.col("start"), F.lit(min(longest, PLACE))).alias("_s")).filter(F.length("_s") > 0))
     one = places.select(id_col, "start", "_s", head("_s", 1).alias("_head")).filter(F.length("_s") > 1)
     two = places.select(id_col, "start", "_s", head("_s", 2).alias("_head"))
     found = two.unionByName(one).join(heads, "_head").select(id_col, "start", "_s", F.explode("_lens").alias("_len")) \
         .filter((F.col("_len") <= F.length("_s"))).select(id_col, "start", F.substring("_s", F.lit(1), F.col("_len")).alias("_w"))
-    return found.join(words, "_w").select(id_col, "start", F.col("_w").alias(word_col))
+    matches = found.join(words, "_w").select(id_col, "start", F.col("_w").alias(word_col))
+    if longest <= PLACE:
+        return matches
+    long = every.filter(F.length("_w") > PLACE).select("_w", head("_w", PLACE).alias("_s"))
+    maybe = places.filter(F.length("_s") == PLACE).join(long, "_s").select(F.col(id_col).alias("_id"), "start", "_w").distinct()
+    whole = df.join(maybe, df[id_col].eqNullSafe(F.col("_id"))).filter(F.substring(F.col(text_col), F.col("start"), F.length("_w")) == F.col("_w"))
+    return matches.unionByName(whole.select(id_col, "start", F.col("_w").alias(word_col)))
 
 
 # ---- X08: WordPiece -------------------------------------------------------------------

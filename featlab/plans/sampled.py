@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from featlab.functions import draws as D
 from featlab.functions import text as T
+from featlab.operators import encoders as EN
 from featlab.operators import epochs as EP
+from featlab.operators import factor_machine as FM
 from featlab.operators import fits as FT
 from featlab.operators import linear_paths as LP
+from featlab.operators import segmentation as SG
 from featlab.operators import sequential as S
 from featlab.operators import token_windows as TW
+from featlab.operators import unknown_words as U
 from featlab.operators.folds import hash_fold
 from featlab.plans.models_q import _doc_features
 from featlab.plans.registry import query
+from featlab.session import ensure_checkpoint_dir
+from featlab.sources.records import SequenceRecords
 from featlab.sources.tables import read_table, spread
 
 R = 6
@@ -167,3 +175,40 @@ def w11_no_gain_stop(spark, sf_dir):
     day = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 86400).cast("bigint")
     log = e.groupBy("event_type", day.alias("round")).agg(F.avg("value").alias("metric"))
     return S.early_stop(log, ["event_type"], "round", "metric", patience=None, no_gain=6).select("event_type", "best_round", "rounds", "stop_round")
+
+
+@query("m08_fm_on_parsed_rows")
+def m08_fm_on_parsed_rows(spark, sf_dir):
+    """Factorization machine of the order price over parsed (index, value) rows: status, priority, customer and month."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey", "o_orderdate", "o_totalprice") \
+        .withColumn("month", F.month("o_orderdate").cast("double") / 12)
+    fields = ["o_orderstatus", "o_orderpriority", "o_custkey", "month"]
+    d = EN.fit_feature_dictionary(o.select(*fields), numeric=["month"])
+    parsed = d.parse(o, keep=["o_orderkey", "o_totalprice"])
+    train = parsed.select((F.col("o_totalprice") / 100_000).alias("y"), "xi", "xv")
+    model = FM.fit(train, d.table, len(fields), k=4, sweeps=2, l2=5.0)
+    return FM.predict(parsed, model, len(fields), ["o_orderkey"]).select("o_orderkey", F.round("score", R).alias("score"))
+
+
+@query("x11_unknown_words")
+def x11_unknown_words(spark, sf_dir):
+    """Benchmark passages without their spaces, cut by the documents' vocabulary, unknown runs by a tag model of the documents."""
+    docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(T.word_tokens("text").alias("tok"))
+    vocabulary = docs.select(F.explode_outer("tok").alias("word")).filter(F.length("word") > 1).groupBy("word").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 4")
+    texts = read_table(spark, sf_dir, "benchmark", "item_id", "text").select("item_id", F.array_join(T.word_tokens("text"), "").alias("text"))
+    cut = SG.segment_text(texts, "text", vocabulary)
+    return U.join_unknown(cut, "words", U.fit_tags(docs, "tok")).select("item_id", F.array_join("words", " ").alias("words"))
+
+
+@query("s13_record_files", f"""
+SELECT conv_id AS label, array_to_string(list_transform(regexp_extract_all(lower(text), '{T.WORD_CLASS}'), lambda w: len(w)), ',') AS lengths, turn::BIGINT AS turn FROM conversations
+""")
+def s13_record_files(spark, sf_dir):
+    """Word lengths of every turn, written as record files and read back."""
+    spark.dataSource.register(SequenceRecords)
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
+        F.col("conv_id").alias("label"), F.transform(T.word_tokens("text"), lambda w: F.length(w).cast("long")).alias("lengths"), F.array(F.col("turn").cast("long")).alias("turn"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
+    rows.write.format("sequence_records").mode("append").save(folder)
+    back = spark.read.format("sequence_records").schema(rows.schema).load(folder)
+    return back.select("label", F.array_join("lengths", ",").alias("lengths"), F.col("turn")[0].alias("turn"))

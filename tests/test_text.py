@@ -176,3 +176,15 @@ def test_document_windows_pairs_and_pieces(spark, tmp_path):
     vocab = set(words) | {f"##{t[-n:]}" for t in words for n in (2, 3)}
     pieces = [(k, i, t, " ".join(brute_wordpiece(t, vocab))) for k, w in toks.items() for i, t in enumerate(w)]
     assert run("x08_document_wordpiece") == sorted(pieces, key=str)
+
+
+def test_words_longer_than_a_place_carries(spark):
+    """Long words are found by their beginning and compared with the text."""
+    from featlab.operators.segmentation import PLACE, dictionary_matches
+    long, other = "ab" * PLACE, "ab" * (PLACE - 1) + "xy"
+    texts = [(1, f"xx{long}yab"), (1, other), (2, "ab" * 20), (None, long), (3, None), (4, "")]
+    words = ["ab", long, other, "ab" * (PLACE // 2), "ab" * (PLACE // 2) + "a"]
+    df = spark.createDataFrame(texts, "id long, text string")
+    got = sorted(((r.id or 0, r.start, r.word) for r in dictionary_matches(df, "id", "text", spark.createDataFrame([(w,) for w in words], "word string")).collect()))
+    want = sorted((k or 0, s + 1, w) for k, t in texts if t for w in words for s in range(len(t)) if t.startswith(w, s))
+    assert got == want
