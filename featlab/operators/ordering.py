@@ -122,20 +122,29 @@ def dense_rank_ids(df: DataFrame, key: str, tie_break: Sequence[str], id_col: st
     # a new StructType: ``.add`` would mutate the frame's cached schema
     schema = StructType([*ranged.schema.fields, StructField(_PID, LongType()), StructField("_fl_local", LongType())])
 
-    def number(it):
-        pid = TaskContext.get().partitionId()
-        prev, base = None, -1
-        for pdf in it:
-            k = pdf[key]
-            if len(k) == 0:
+    place = ranged.columns.index(key)
+
+    def number(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        pid, base, prev, started = TaskContext.get().partitionId(), -1, None, False
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            change = (k != k.shift(1)).astype("int64")
-            change.iloc[0] = 1 if prev is None or k.iloc[0] != prev else 0
-            local = base + change.cumsum()
-            base, prev = int(local.iloc[-1]), k.iloc[-1]
-            yield pdf.assign(_fl_pid=pid, _fl_local=local.astype("int64"))
-
-    numbered = reliable_checkpoint(ranged.mapInPandas(number, schema))
+            k = batch.column(place)
+            a, b = k.slice(0, n - 1), k.slice(1)   # neighbours; keys stay Arrow values, NULL equals NULL
+            same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+            new = np.ones(n, dtype="int64")
+            new[1:] -= np.asarray(same.to_numpy(zero_copy_only=False), dtype="int64")
+            new[0] = 0 if started and k[0].as_py() == prev else 1
+            local = base + np.cumsum(new)
+            base, prev, started = int(local[-1]), k[n - 1].as_py(), True
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, pid, dtype="int64")), pa.array(local)],
+                                             names=[*batch.schema.names, _PID, "_fl_local"])
+
+    numbered = reliable_checkpoint(ranged.mapInArrow(number, schema))
     summ = (numbered.groupBy(_PID).agg((F.max("_fl_local") + 1).alias("n"),
                                        F.min_by(key, "_fl_local").alias("first"),
                                        F.max_by(key, "_fl_local").alias("last"))

@@ -14,13 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featlab.functions.arrays import explode_values, posexplode_values
 from featlab.functions.text import drop_words
 from featlab.operators.ordering import dense_rank_ids, global_rank
+from featlab.session import reliable_checkpoint
 
 
 def token_table(df: DataFrame, id_col: str, tokens: Column | str, pos_col: str = "pos",
@@ -138,10 +138,8 @@ class NGramBag:
             model = NGramBagModel(vocab.select("term", "term_id", "df"), self.id_col, self.n_range,
                                   self.stop_words)
             return model, rows.select(self.id_col, "term_id", "term", "count")
-        # fit (vocabulary) and transform (rows) both read the counts; they
-        # are deterministic, so a persisted copy is safe to recompute after
-        # an executor loss and saves tokenising the corpus twice
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+        # fit (vocabulary) and transform (rows) both read the counts: written once
+        counts = reliable_checkpoint(counts)
         stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
         if self.fixed_vocab is not None:
             stats = stats.join(self.fixed_vocab.select("term"), "term")
@@ -181,8 +179,12 @@ def tfidf(df: DataFrame, id_col: str, tokens: Column | str, norm: str | None = "
     counts = doc_term_counts(df, id_col, tokens)
     tf = (1.0 + F.log(F.col("count"))) if sublinear_tf else F.col("count").cast("double")
     if use_idf:
-        idf = idf_table(df, tokens, smooth_idf).select("term", "idf")
-        v = counts.join(idf, "term").withColumn("value", tf * F.col("idf"))
+        # counts are read twice (rows and document frequencies): tokenised once, written once
+        counts = reliable_checkpoint(counts)
+        n = float(df.count())
+        dfreq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        weight = (F.log((1.0 + n) / (1.0 + F.col("df"))) if smooth_idf else F.log(n / F.col("df"))) + 1.0
+        v = counts.join(dfreq.select("term", weight.alias("idf")), "term").withColumn("value", tf * F.col("idf"))
     else:
         v = counts.withColumn("value", tf)
     wd = Window.partitionBy(id_col)
@@ -211,9 +213,10 @@ def tfidf_keywords(df: DataFrame, id_col: str, tokens: Column | str, k: int = 10
               .filter(F.col("term").isNotNull())
               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("count"), F.first("_fl_len").alias("_fl_len")))
     if idf is None:
-        # df = number of (doc, term) rows per term: an aggregate of the counts
-        # (the corpus is tokenised once); N is a lazy one-row statistic
+        # df = number of (doc, term) rows per term: an aggregate of the counts, which are
+        # written once so that the corpus is tokenised once; N is a lazy one-row statistic
         from featlab.operators.stats import attach_row
+        counts = reliable_checkpoint(counts)
         n = df.agg(F.count(F.lit(1)).cast("double").alias("_fl_n"))
         dfreq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         idf = attach_row(dfreq, n).withColumn("idf", F.log(F.col("_fl_n") / (1.0 + F.col("df")))).drop("_fl_n")
