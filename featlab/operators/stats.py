@@ -53,11 +53,29 @@ def logsumexp(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     return df.agg((F.lit(mx) + F.log(F.sum(F.exp(x - F.lit(mx))))).alias("logsumexp"))
 
 
-def segment_reduce(df: DataFrame, seg: str, col: str) -> DataFrame:
-    """segment_sum / mean / max / min / prod (empty segments absent)."""
+def reduce_row(values) -> dict:
+    """A01 along a row: the same reductions of an array column as a dict of
+    columns, by folds inside the row. NULL items count as missing; an empty
+    array has sum 0, prod 1, all true, any false and NULL mean, max, min."""
+    x = F.filter(F.transform(F.col(values) if isinstance(values, str) else values, lambda v: v.cast("double")), lambda v: v.isNotNull())
+    total = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+    return {"sum": total, "mean": F.when(F.size(x) > 0, total / F.size(x)), "max": F.array_max(x), "min": F.array_min(x),
+            "prod": F.aggregate(x, F.lit(1.0), lambda a, v: a * v), "all": F.forall(x, lambda v: v != 0), "any": F.exists(x, lambda v: v != 0),
+            "count_nonzero": F.size(F.filter(x, lambda v: v != 0)).cast("bigint")}
+
+
+def segment_reduce(df: DataFrame, seg: str, col: str, n_segments: int | None = None) -> DataFrame:
+    """segment_sum / mean / max / min / prod. Empty segments are absent,
+    or with ``n_segments`` every id below it has a row: sum, mean, max and min
+    0, prod 1 where nothing falls in; ids outside 0..n-1 and NULL are dropped."""
     x = F.col(col)
-    return df.groupBy(seg).agg(F.sum(x).alias("sum"), F.avg(x).alias("mean"), F.max(x).alias("max"),
-                               F.min(x).alias("min"), F.product(x).alias("prod"))
+    out = df.groupBy(seg).agg(F.sum(x).alias("sum"), F.avg(x).alias("mean"), F.max(x).alias("max"),
+                              F.min(x).alias("min"), F.product(x).alias("prod"))
+    if n_segments is None:
+        return out
+    every = df.sparkSession.range(n_segments).select(F.col("id").cast(df.schema[seg].dataType).alias(seg))
+    empty = {"sum": 0, "mean": 0, "max": 0, "min": 0, "prod": 1}
+    return every.join(out, seg, "left").select(seg, *[F.coalesce(F.col(c), F.lit(v).cast(out.schema[c].dataType)).alias(c) for c, v in empty.items()])
 
 
 def sparse_segment(df: DataFrame, seg: str, col: str) -> DataFrame:

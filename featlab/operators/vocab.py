@@ -30,13 +30,19 @@ def token_rows(df: DataFrame, keys: Sequence[str], tokens: Column) -> DataFrame:
             .filter(F.col("term").isNotNull()))
 
 
+def _sized(v: DataFrame, bound: int | None) -> DataFrame:
+    """Broadcast a lookup that really has at most ``bound`` rows (checked by
+    reading at most one row more); any other joins as Spark plans it."""
+    if bound is None or v.limit(bound + 1).count() > bound:
+        return v
+    return F.broadcast(v)
+
+
 def lookup_ids(rows: DataFrame, vocab: DataFrame, keep_unknown: bool = True, unknown_id: int = 0,
                vocab_size_bound: int | None = None) -> DataFrame:
     """J03 (``keep_unknown``: misses -> ``unknown_id``) or J02 (misses
     dropped): term -> id for (…, pos, term) rows."""
-    v = vocab.select("term", "id")
-    if vocab_size_bound is not None:
-        v = F.broadcast(v)   # the caller states the vocabulary's fixed size
+    v = _sized(vocab.select("term", "id"), vocab_size_bound)
     j = rows.join(v, "term", "left" if keep_unknown else "inner")
     return j.withColumn("id", F.coalesce(F.col("id"), F.lit(unknown_id)))
 
@@ -50,8 +56,7 @@ def to_sequences(rows: DataFrame, keys: Sequence[str], value: str = "id", out_co
 def ids_to_tokens(id_rows: DataFrame, vocab: DataFrame, vocab_size_bound: int | None = None) -> DataFrame:
     """(…, pos, id) -> (…, pos, term) through the reverse lookup
     (ids outside the vocabulary are dropped)."""
-    v = vocab.select("id", "term")
-    return id_rows.join(F.broadcast(v) if vocab_size_bound is not None else v, "id")
+    return id_rows.join(_sized(vocab.select("id", "term"), vocab_size_bound), "id")
 
 
 def remove_words(rows: DataFrame, words: DataFrame, col: str = "term") -> DataFrame:
@@ -59,6 +64,20 @@ def remove_words(rows: DataFrame, words: DataFrame, col: str = "term") -> DataFr
     return rows.join(words.select(F.col(words.columns[0]).alias(col)).distinct(), col, "left_anti")
 
 
+def keep_words(rows: DataFrame, col: str = "term", stop_words: DataFrame | None = None, tags: DataFrame | None = None,
+               prefix: str = "n", min_len: int = 2, tag_col: str = "tag") -> DataFrame:
+    """Rows whose word has at least ``min_len`` characters, is no stop
+    word and, with a (word, tag) table, has a tag that starts with ``prefix``
+    (words without a tag go). NULL words go; rows are never multiplied."""
+    out = rows.filter(F.length(col) >= min_len)
+    if stop_words is not None:
+        out = remove_words(out, stop_words, col)
+    if tags is not None:
+        wanted = tags.filter(F.startswith(F.col(tag_col), F.lit(prefix))).select(F.col(tags.columns[0]).alias(col)).distinct()
+        out = out.join(wanted, col, "left_semi")
+    return out
+
+
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, value) distinct values of many columns in one pass."""
     st = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols]

@@ -40,4 +40,4 @@ def md5_mod_sql(expr: str, m: int) -> str:
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from featlab.plans import tabular, text, vectors, ordered, metrics_q, misc, models_q, calls, boost_q, sampled  # noqa: F401
+    from featlab.plans import tabular, text, vectors, ordered, metrics_q, misc, models_q, calls, boost_q, sampled, filled  # noqa: F401

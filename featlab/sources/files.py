@@ -59,12 +59,13 @@ def read_word_list(spark: SparkSession, path: str, col: str = "word") -> DataFra
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``token[\\tindex]`` lines; the index defaults to the line
-    number (0-based). Splits of a file come in file order and
-    ``monotonically_increasing_id`` keeps that order, so the distributed
-    global rank over it is the line number (no single-task read)."""
+    number (0-based), counted through the files of a folder in name order by
+    the distributed global rank (no single-task read)."""
     from featlab.operators.ordering import global_rank
-    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("_fl_mono"), "value")
-    lines = global_rank(raw, [F.col("_fl_mono")], "line").withColumn("line", F.col("line") - 1)
+    # several files: by name, then by split of the file, then by line within the split (tasks may pack splits in any order)
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("_fl_file"), F.col("_metadata.file_block_start").alias("_fl_start"),
+                                       F.monotonically_increasing_id().alias("_fl_mono"), "value")
+    lines = global_rank(raw, ["_fl_file", "_fl_start", "_fl_mono"], "line").withColumn("line", F.col("line") - 1)
     parts = F.split(F.col("value"), "\t")
     stop = lines.filter(F.size(parts) > 2).agg(F.min("line")).first()[0]   # the list ends before a line of three fields
     if stop is not None:
@@ -81,6 +82,17 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
     return r.load(path).select("path", "modificationTime", "length")
 
 
+def read_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """Whole files as rows (``path, length, text``), bytes that are no
+    UTF-8 left out; a file is one value, so it must fit a task. Spark's scan
+    passes over files of length 0."""
+    from featlab.functions.text import to_unicode
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", "length", to_unicode(F.col("content")).alias("text"))
+
+
 def labelled_binary(spark: SparkSession, files: str, annotations: DataFrame,
                     path_col: str = "path") -> tuple[DataFrame, DataFrame]:
     """(bytes, label) records by joining the file scan with an
@@ -99,15 +111,25 @@ def write_lines(df: DataFrame, line: str, path: str, mode: str = "overwrite") ->
     df.select(F.col(line).alias("value")).write.mode(mode).text(path)
 
 
+def write_vocab(df: DataFrame, path: str, term: str = "term", id_col: str = "id", with_ids: bool = True, mode: str = "overwrite") -> None:
+    """One term a line in the order of ``id_col`` through the part files
+    in name order, with ``\\t`` and the id after it unless ``with_ids`` is
+    False; :func:`read_vocab` reads both (line number = id when ids are dense from 0)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = F.concat_ws("\t", F.col(term), F.col(id_col).cast("string")) if with_ids else F.col(term)
+    (df.repartitionByRange(n, F.col(id_col)).sortWithinPartitions(id_col).select(line.alias("value")).write.mode(mode).text(path))
+
+
 def write_vectors(df: DataFrame, key: str, vec: str, path: str, mode: str = "overwrite") -> None:
-    """``key v1 ... vd`` lines; the ``n d`` header goes to a JSON
-    side file (a header row would serialise the write)."""
+    """A ``n d`` header line, then ``key v1 ... vd`` lines. The header is
+    the first part file, so the concatenated parts are one file in the usual
+    text form and the rows are still written in parallel. An empty table has
+    no header."""
     line = F.concat_ws(" ", F.col(key).cast("string"), F.array_join(F.transform(vec, lambda x: x.cast("string")), " "))
-    df.select(line.alias("value")).write.mode(mode).text(path)
-    n = df.count()
-    d = df.select(F.size(vec)).first()[0] if n else 0
-    df.sparkSession.createDataFrame([(json.dumps({"n": n, "d": d}),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(path + "_header")
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(vec)), F.lit(0)).alias("d")).first()
+    header = df.sparkSession.range(0, 1, 1, 1).select(F.lit(f"{size.n} {size.d}").alias("value"))
+    rows = df.select(line.alias("value"))
+    (header.union(rows) if size.n else rows).write.mode(mode).text(path)
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -124,13 +146,18 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 def score_file_name(name: str = "submit", mean: float | None = None, std: float | None = None, stamp: str | None = None) -> str:
     """Default name of a score file: the given stamp, or the mean and deviation of the validation scores."""
-    tail = stamp if stamp is not None else f"{mean:.6f}-{std:.6f}" if mean is not None else ""
+    tail = stamp if stamp is not None else f"{mean:.6f}-{std or 0.0:.6f}" if mean is not None else ""
     return f"{name}_{tail}.csv" if tail else f"{name}.csv"
 
 
-def write_scores(df: DataFrame, id_col: str, score_col: str, path: str, name: str = "score") -> None:
-    """``id,score`` CSV with a header (part files)."""
-    df.select(id_col, F.col(score_col).alias(name)).write.mode("overwrite").option("header", True).csv(path)
+def write_scores(df: DataFrame, id_col: str, score_col: str, path: str, name: str = "score", mean: float | None = None,
+                 std: float | None = None, stamp: str | None = None) -> str:
+    """``id,score`` CSV with a header (part files) at ``path``, or at the
+    default name below it when a stamp or the validation scores' mean and
+    deviation are given. Returns the place."""
+    place = path if mean is None and stamp is None else f"{path.rstrip('/')}/{score_file_name('submit', mean, std, stamp)}"
+    df.select(id_col, F.col(score_col).alias(name)).write.mode("overwrite").option("header", True).csv(place)
+    return place
 
 
 def write_sequences(df: DataFrame, path: str, label: str = "label", seqs: Sequence[str] = ()) -> None:
