@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from featlab.functions import arrays as A
 from featlab.operators import linalg as L
+from featlab.operators.pruned_search import topk_pruned
 from featlab.operators.vectors import fm_second_order, topk_similar
-from featlab.plans.registry import query
+from featlab.plans.registry import ORACLE, query
 from featlab.sources.tables import read_table
 
 R = 6
@@ -32,6 +33,13 @@ def j07_topk_similarity(spark, sf_dir):
     return t.select("query_id", "rank", "other_id", F.round("sim", R).alias("sim"))
 
 
+@query("j07_topk_pruned", ORACLE["j07_topk_similarity"])
+def j07_topk_pruned(spark, sf_dir):
+    """The same search by cells that can be skipped (blocks of 128 kB)."""
+    t = topk_pruned(_emb(spark, sf_dir), "vec_id", "embedding", k=8, block_bytes=1 << 17)
+    return t.select("query_id", "rank", "other_id", F.round("sim", R).alias("sim"))
+
+
 @query("c10_c11_norms_and_centroid_cosine", f"""
 WITH v AS (SELECT vec_id, label, {_SQL_VEC} AS e FROM embeddings),
 d AS (SELECT label, i, avg(e[i]) AS m FROM v, range(1, 65) r(i) GROUP BY label, i),
