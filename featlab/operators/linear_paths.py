@@ -121,3 +121,43 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str, fold: str
     alpha, ratio, intercept, error = min(log, key=lambda r: r[3])
     fit = descend(total, alpha, ratio, intercept)
     return {"alpha": alpha, "l1_ratio": ratio, "intercept": intercept, "error": error, "fit": fit}, log
+
+
+def subset_error(folds: dict[int, np.ndarray], places: Sequence[int]) -> float:
+    """Mean over the folds of the held-out squared error of least squares with
+    an intercept on the features at ``places`` (shortest solution where they
+    depend on each other); folds without rows, or without rows outside, are left out."""
+    total = sum(folds.values())
+    keep = [0, *[p + 1 for p in places], len(total) - 1]
+    errors = []
+    for own in folds.values():
+        fit, held = (total - own)[np.ix_(keep, keep)], own[np.ix_(keep, keep)]
+        if fit[0, 0] > 0 and held[0, 0] > 0:
+            scale = np.sqrt(np.maximum(np.diag(fit)[:-1], 1e-300))
+            w = np.linalg.lstsq(fit[:-1, :-1] / np.outer(scale, scale), fit[:-1, -1] / scale, rcond=1e-12)[0] / scale
+            v = np.append(-w, 1.0)
+            errors.append(max(v @ held @ v, 0.0) / held[0, 0])
+    return float(np.mean(errors)) if errors else float("nan")
+
+
+def stepwise_linear(df: DataFrame, features: Sequence[str], label: str, fold: str, forward: bool = True) -> list[tuple[int, str, float]]:
+    """F11/F12 for linear models: ``(step, feature, error)`` of every feature
+    dropped (or added when ``forward``) and the cross-validated error after it;
+    step 0 holds the error at the start (all features; the mean alone).
+    One pass over the rows gathers the moments of the folds, (d + 2)^2 numbers
+    each; every trial is read from them. A step must not raise the error; of
+    equal trials the later feature is added and the earlier dropped."""
+    folds = fold_moments(df, features, label, fold)
+    chosen = [] if forward else list(range(len(features)))
+    if not folds:
+        return [(0, "", float("nan"))]
+    best = subset_error(folds, chosen)
+    log = [(0, "", best)]
+    while True:
+        moves = [k for k in range(len(features)) if k not in chosen][::-1] if forward else chosen if len(chosen) > 1 else []
+        trials = [(subset_error(folds, sorted([*chosen, k]) if forward else [c for c in chosen if c != k]), n, k) for n, k in enumerate(moves)]
+        if not trials or not min(trials)[0] <= best:
+            return log
+        best, _, k = min(trials)
+        chosen = sorted([*chosen, k]) if forward else [c for c in chosen if c != k]
+        log.append((len(log), features[k], best))

@@ -13,9 +13,11 @@ from featlab.operators import plotdata as G
 from featlab.operators import stats as ST
 from featlab.operators import vocab as V
 from featlab.operators.folds import kfold
+from featlab.operators.linear_paths import stepwise_linear
 from featlab.operators.mean_encoding import MeanEncoder
 from featlab.plans import misc, tabular  # noqa: F401  their SQL is part of two queries here
 from featlab.plans.registry import ORACLE, query
+from featlab.session import reliable_checkpoint
 from featlab.sources.tables import read_table
 
 R = 6
@@ -122,3 +124,46 @@ def m07_forest_grid(spark, sf_dir):
         part = MD.grid_table(spark, cv, names).select(F.lit(goal).alias("goal"), *names, F.round("score", R).alias("score"), "best")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+_FEATURES = ["log_chars", "word_rate", "digit_rate"]
+
+
+@query("f03_f07_f08_feature_rankings")
+def f03_f07_f08_feature_rankings(spark, sf_dir):
+    """Every text feature's score alone, impurity importance and permutation
+    importance (5 hold-outs) for the line count of all documents."""
+    from featlab.plans.models_q import _doc_features
+    docs = reliable_checkpoint(_doc_features(spark, sf_dir).select("doc_id", "lines", *_FEATURES))   # the texts are read once
+    alone = MD.single_feature_ranking(docs, _FEATURES, "lines", "doc_id", splits=2)
+    shuffled = MD.permutation_importance(docs, _FEATURES, "lines", "doc_id", splits=5)
+    impurity = spark.createDataFrame(list(MD.impurity_importance(docs, _FEATURES, "lines").items()), "feature string, impurity double")
+    return alone.join(shuffled, "feature").join(impurity, "feature") \
+        .select("feature", F.round("score", R).alias("score"), F.round("importance", R).alias("importance"), F.round("impurity", R).alias("impurity"))
+
+
+@query("f12_first_linear_step", """
+WITH b AS (SELECT CAST(o_totalprice AS DOUBLE) AS y, o_orderkey % 5 AS fold, CAST(o_totalprice > 150000 AS DOUBLE) AS f FROM orders),
+s AS (SELECT fold, count(*) AS n, sum(y) AS y, sum(y * y) AS yy, sum(f) AS f, sum(f * y) AS fy, sum(f * y * y) AS fyy FROM b GROUP BY 1),
+t AS (SELECT sum(n) AS n, sum(y) AS y, sum(f) AS f, sum(fy) AS fy FROM s),
+m AS (SELECT s.*, (t.y - s.y) / (t.n - s.n) AS all_mean, (t.fy - s.fy) / (t.f - s.f) AS m1, (t.y - s.y - t.fy + s.fy) / (t.n - s.n - t.f + s.f) AS m0 FROM s, t),
+e AS (SELECT avg((yy - 2 * all_mean * y + n * all_mean * all_mean) / n) AS e0,
+  avg((yy - 2 * (m1 * fy + m0 * (y - fy)) + m1 * m1 * f + m0 * m0 * (n - f)) / n) AS e1 FROM m)
+SELECT CAST(0 AS BIGINT) AS step, '' AS feature, round(sqrt(e0), 3) AS error FROM e UNION ALL SELECT 1, 'f', round(sqrt(e1), 3) FROM e WHERE e1 <= e0
+""")
+def f12_first_linear_step(spark, sf_dir):
+    """Forward selection over one two-valued feature of the orders (oracle: errors of the group means)."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice") \
+        .select((F.col("o_orderkey") % 5).cast("int").alias("fold"), (F.col("o_totalprice") > 150000).cast("double").alias("f"), F.col("o_totalprice").cast("double").alias("y"))
+    log = [(step, name, error ** 0.5) for step, name, error in stepwise_linear(o, ["f"], "y", "fold")]
+    return spark.createDataFrame(log, "step bigint, feature string, error double").select("step", "feature", F.round("error", 3).alias("error"))
+
+
+@query("f11_f12_linear_stepwise")
+def f11_f12_linear_stepwise(spark, sf_dir):
+    """Backward and forward selection of price features by the error over five folds of the line items."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    rows = li.select((F.col("l_orderkey") % 5).cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in li.columns[1:]])
+    both = [(name, *step) for name, way in (("forward", True), ("backward", False))
+            for step in stepwise_linear(rows, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "fold", way)]
+    return spark.createDataFrame(both, "way string, step bigint, feature string, error double").withColumn("error", F.round("error", 3))
