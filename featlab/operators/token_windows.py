@@ -57,14 +57,29 @@ def skipgrams(df: DataFrame, keep: Sequence[str], tokens: str, window: int, num_
     of its neighbours, drawn without replacement: those with the least md5 of ``"seed:id:c_pos:offset"``
     (``id``: the column ``id_col``, the first of ``keep`` if not given)."""
     doc = F.coalesce(F.col(id_col or keep[0]).cast("string"), F.lit(""))
-    offsets = F.array(*[F.lit(o) for o in range(-window, window + 1) if o])
-
-    def chosen(p: Column) -> Column:
-        inside = F.filter(offsets, lambda o: (p + o >= 0) & (p + o < F.col("_fl_size")))
-        if num_skips is None or num_skips >= 2 * window:
-            return inside
-        hashed = F.transform(inside, lambda o: F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), doc, (p + 1).cast("string"), o.cast("string"))).alias("h"), o.alias("o")))
-        return F.transform(F.slice(F.array_sort(hashed), 1, num_skips), lambda s: s["o"])
-    pairs = F.flatten(F.transform(_places(chunk), lambda p: F.transform(chosen(p), lambda o: F.struct(
-        (p + 1).alias("c_pos"), o.alias("offset"), _token(p).alias("centre"), _token(p + o).alias("context")))))
-    return _chunks(df, keep, tokens, window, chunk).select(*keep, explode_values(pairs).alias("_fl_row")).filter(F.col("_fl_row").isNotNull()).select(*keep, "_fl_row.*")
+    offsets = [o for o in range(-window, window + 1) if o]
+    # the part with ``window`` places on both sides, so that the neighbours at one offset are one slice; slices are
+    # zipped and exploded, which leaves hashing and choosing to compiled row expressions
+    places, size = _places(chunk), F.col("_fl_size")
+    none = lambda n: F.array_repeat(F.lit(None).cast("string"), F.greatest(n.cast("int"), F.lit(0)))
+    own = F.least(F.col("_fl_at") + chunk, size) - F.col("_fl_at")
+    before = window - (F.col("_fl_at") - F.col("_fl_first"))
+    after = own + 2 * window - before - F.size("_fl_part")
+    cut = _chunks(df, keep, tokens, window, chunk).select(
+        *keep, doc.alias("_fl_doc"), "_fl_size", places.alias("_fl_places"), own.cast("int").alias("_fl_own"),
+        F.concat(none(before), "_fl_part", none(after)).alias("_fl_part"))
+    shifted = [F.slice("_fl_part", window + o + 1, F.col("_fl_own")).alias(f"t{window + o}") for o in [0, *offsets]]
+    rows = cut.select(*keep, "_fl_doc", "_fl_size", F.explode_outer(F.arrays_zip(F.col("_fl_places").alias("p"), *shifted)).alias("_fl_z")) \
+        .filter(F.col("_fl_z").isNotNull()).select(*keep, "_fl_doc", "_fl_size", "_fl_z.*")
+    inside = lambda o: (F.col("p") + o >= 0) & (F.col("p") + o < F.col("_fl_size"))
+    drawn = num_skips is not None and num_skips < 2 * window
+
+    def neighbour(o: int) -> Column:
+        h = F.md5(F.concat_ws(":", F.lit(str(seed)), "_fl_doc", (F.col("p") + 1).cast("string"), F.lit(str(o)))) if drawn else F.lit("")
+        # "~" sorts after every digest
+        return F.struct(F.when(inside(o), h).otherwise(F.lit("~")).alias("h"), F.lit(o).alias("o"), F.col(f"t{window + o}").alias("context"))
+    found = F.sort_array(F.array(*[neighbour(o) for o in offsets]))
+    known = sum((F.when(inside(o), 1).otherwise(0) for o in offsets), F.lit(0))
+    chosen = F.slice(found, F.lit(1), F.least(F.lit(num_skips), known) if drawn else known)
+    return rows.select(*keep, (F.col("p") + 1).alias("c_pos"), F.col(f"t{window}").alias("centre"), explode_values(chosen).alias("_fl_row")) \
+        .filter(F.col("_fl_row").isNotNull()).select(*keep, "c_pos", F.col("_fl_row.o").alias("offset"), "centre", F.col("_fl_row.context").alias("context"))

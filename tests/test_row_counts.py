@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from featlab.functions.hashing import md5_mod
 from featlab.operators import text_features as TF
+from featlab.operators import token_windows as TW
 from featlab.operators.ordering import dense_rank_ids
 from featlab.session import written_table
 
@@ -76,3 +77,9 @@ def test_hashed_vectors_equal_brute_force(spark):
     assert set(got) == set(want) and all(math.isclose(got[k], v / math.sqrt(norm[k[0]])) for k, v in want.items())
     for m in (1, 2, 4096, 1 << 30, 1000):
         assert all(r.h == number(str(r.id)) % m for r in spark.range(50).select("id", md5_mod("id", m).alias("h")).collect())
+
+
+def test_drawn_pairs_need_no_sort_by_lambda(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "c"])], "id long, tok array<string>")
+    text = plan(TW.skipgrams(df, ["id"], "tok", 2, num_skips=2))
+    assert "lambda" not in text.replace("sequence", "") and "md5" in text
