@@ -18,10 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featlab.session import reliable_checkpoint
+from featlab.session import reliable_checkpoint, written_table
 
 #: Huber's constant and the ratio of median absolute deviation to standard deviation (fixed values).
 HUBER, MAD = 1.345, 0.6745
+#: A table of at most so many facets is sent to all tasks.
+BROADCAST_ROWS = 10_000
+
+
+def _few(facets: DataFrame, rows: int) -> DataFrame:
+    """A row per facet: few facets are sent to the rows, so that the rows of a large facet stay where they are."""
+    return F.broadcast(facets) if rows <= BROADCAST_ROWS else facets
 
 
 def _power(x: Column, k: int) -> Column:
@@ -63,21 +70,22 @@ def fitted_polynomials(df: DataFrame, y: str, x: str, by: Sequence[str] = (), or
     spread = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0)
     facets = reliable_checkpoint(base.groupBy("_fl_key", *by).agg(F.avg("_fl_x").alias("_fl_mx"), spread("_fl_x").alias("_fl_sx"), F.avg("_fl_y").alias("_fl_my"),
                                                                   spread("_fl_y").alias("_fl_sy"), F.count(F.lit(1)).alias("n")))
-    scaled = base.select("_fl_key", "_fl_x", "_fl_y").join(facets.drop("n", *by), "_fl_key") \
+    count = facets.limit(BROADCAST_ROWS + 1).count()
+    scaled = base.select("_fl_key", "_fl_x", "_fl_y").join(_few(facets.drop("n", *by), count), "_fl_key") \
         .select("_fl_key", ((F.col("_fl_x") - F.col("_fl_mx")) / F.col("_fl_sx")).alias("_fl_z"), ((F.col("_fl_y") - F.col("_fl_my")) / F.col("_fl_sy")).alias("_fl_t"))
     if robust:
-        scaled = reliable_checkpoint(scaled)
+        scaled = written_table(scaled)
     now = _solve(_moments(scaled, order, F.lit(1.0)), order).withColumn("rounds", F.lit(1))
     if robust:
         now = reliable_checkpoint(now)
         done = None
         for r in range(2, most + 1):
             fit = F.aggregate(F.zip_with("_fl_c", F.sequence(F.lit(0), F.lit(order)), lambda c, k: c * F.pow(F.col("_fl_z"), k.cast("double"))), F.lit(0.0), lambda s, v: s + v)
-            rows = scaled.join(now.select("_fl_key", "_fl_c"), "_fl_key").withColumn("_fl_r", F.abs(F.col("_fl_t") - fit))
+            rows = scaled.join(_few(now.select("_fl_key", "_fl_c"), count), "_fl_key").withColumn("_fl_r", F.abs(F.col("_fl_t") - fit))
             scale = rows.groupBy("_fl_key").agg((F.percentile_approx("_fl_r", 0.5, 10_000) / MAD).alias("_fl_s"))
             cut = F.col("_fl_s") * HUBER
             weight = F.when((F.col("_fl_r") <= cut) | (cut <= 0), 1.0).otherwise(cut / F.col("_fl_r"))
-            new = _solve(_moments(rows.join(scale, "_fl_key"), order, weight), order)
+            new = _solve(_moments(rows.join(_few(scale, count), "_fl_key"), order, weight), order)
             moved = F.aggregate(F.zip_with("_fl_c", "_fl_old", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: F.greatest(s, v))
             step = reliable_checkpoint(new.join(now.select("_fl_key", F.col("_fl_c").alias("_fl_old")), "_fl_key")
                                        .select("_fl_key", "_fl_c", F.lit(r).alias("rounds"), (moved < tol).alias("_fl_done")))
