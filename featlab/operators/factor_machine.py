@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featlab.functions import draws
-from featlab.session import reliable_checkpoint
+from featlab.session import reliable_checkpoint, written_table
 
 #: A factor table of at most so many counted rows is sent to all tasks.
 BROADCAST_ROWS = 100_000
@@ -122,14 +122,14 @@ def fit(rows: DataFrame, indices: DataFrame, fields: int, k: int = 4, sweeps: in
     table = reliable_checkpoint(start_table(indices.select(F.col("idx").cast("long").alias("idx")).distinct(), k, seed))
     for f in range(fields):
         state = _attach(state, table, f, k)
-    state = reliable_checkpoint(state)
+    state = written_table(state)
     w0, losses = 0.0, []
     for _ in range(sweeps):
         w0 = float(state.agg(F.avg(F.col("y") - _score(0.0, fields, k))).first()[0] or 0.0)
         for f in range(fields):
             new = reliable_checkpoint(_solved(state, f, fields, k, w0, l2))
             table = reliable_checkpoint(table.join(_sized(new.select("idx")), "idx", "left_anti").unionByName(new))
-            state = reliable_checkpoint(_attach(state.drop(f"_l{f}", f"_q{f}"), new, f, k))
+            state = written_table(_attach(state.drop(f"_l{f}", f"_q{f}"), new, f, k))
         error = F.col("y") - _score(w0, fields, k)
         losses.append(float(state.agg(F.avg(error * error)).first()[0] or 0.0))
     return FactorMachine(w0, table, k, losses)
