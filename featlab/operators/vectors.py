@@ -30,8 +30,28 @@ from pyspark.sql import functions as F
 from featlab.functions.arrays import l2_normalize, to_double_array
 
 
-#: Query rows of one matrix product.
-PRODUCT_ROWS = 512
+#: Query rows of one matrix product, weight rows that are at most sent to all tasks.
+PRODUCT_ROWS, BROADCAST_ROWS = 512, 10_000
+
+
+def _merged(best_s: np.ndarray, best_i: np.ndarray, s: np.ndarray, cid: np.ndarray, k: int, width: int):
+    """The first ``width`` of the best so far and the candidates, per row: similarity down, id up. Only candidates that
+    reach the row's k-th best so far (or, before there are k, the k-th best of the candidates) are sorted."""
+    if best_s.shape[1] >= k:
+        bound = best_s[:, k - 1]
+    elif s.shape[1] > k:
+        bound = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+    else:
+        bound = np.full(len(s), -np.inf)
+    row, at = np.nonzero(s >= bound[:, None])
+    have = best_s.shape[1]
+    rows = np.concatenate([np.repeat(np.arange(len(s)), have), row])
+    sims, ids = np.concatenate([best_s.ravel(), s[row, at]]), np.concatenate([best_i.ravel(), cid[at]])
+    order = np.lexsort((ids, -sims, rows))
+    rows, sims, ids = rows[order], sims[order], ids[order]
+    first = np.searchsorted(rows, np.arange(len(s)))
+    take = np.arange(len(rows)) - first[rows] < width
+    return sims[take].reshape(len(s), width), ids[take].reshape(len(s), width)
 
 
 def _topk_scan(k: int, exclude_self: bool):
@@ -67,13 +87,10 @@ def _topk_scan(k: int, exclude_self: bool):
                 new_s, new_i = np.empty((len(ids), width)), np.empty((len(ids), width), np.int64)
                 for a in range(0, len(ids), PRODUCT_ROWS):
                     part = slice(a, a + PRODUCT_ROWS)
-                    s = queries[part] @ c.T
+                    s = np.fmax(queries[part] @ c.T, -np.inf)   # not a number: last
                     if exclude_self:
                         s[np.asarray(ids)[part, None] == cid[None, :]] = -np.inf
-                    s = np.concatenate([best_s[part], s], axis=1)
-                    i = np.concatenate([best_i[part], np.broadcast_to(cid, (len(s), len(cid)))], axis=1)
-                    order = np.lexsort((i, -s), axis=1)[:, :width]   # similarity down, id up
-                    new_s[part], new_i[part] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+                    new_s[part], new_i[part] = _merged(best_s[part], best_i[part], s, cid, k, width)
                 best_s, best_i = new_s, new_i
         done = flush()
         if done is not None and len(done):
@@ -111,8 +128,14 @@ def embedding_lookup(index_df: DataFrame, weights: DataFrame, idx_col: str = "id
 
 def fm_second_order(index_df: DataFrame, weights: DataFrame, sample_col: str, k: int) -> DataFrame:
     """0.5 * sum_f [(sum_i v_if x_i)^2 - sum_i (v_if x_i)^2] per sample,
-    from the embedding lookup exploded to (sample, factor) and aggregated."""
-    looked = embedding_lookup(index_df, weights)
-    per = (looked.select(sample_col, F.posexplode("scaled").alias("f", "vx"))
-           .groupBy(sample_col, "f").agg(F.sum("vx").alias("s"), F.sum(F.col("vx") * F.col("vx")).alias("s2")))
-    return per.groupBy(sample_col).agg((0.5 * F.sum(F.col("s") * F.col("s") - F.col("s2"))).alias("fm2"))
+    from the embedding lookup; the sums of all ``k`` factors are columns of one
+    aggregation. A few ``weights`` are sent to all tasks, so an index that every
+    sample holds is no hot key."""
+    few = weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    looked = embedding_lookup(index_df, F.broadcast(weights) if few else weights).filter(F.size("scaled") > 0)
+    place = [F.get(F.col("scaled"), F.lit(f)) for f in range(k)]
+    per = looked.groupBy(sample_col).agg(*[F.sum(p).alias(f"_fl_s{f}") for f, p in enumerate(place)],
+                                         *[F.sum(p * p).alias(f"_fl_q{f}") for f, p in enumerate(place)])
+    known = F.array_compact(F.array(*[F.col(f"_fl_s{f}") * F.col(f"_fl_s{f}") - F.col(f"_fl_q{f}") for f in range(k)]))
+    total = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x))
+    return per.select(sample_col, (0.5 * total).alias("fm2"))

@@ -106,9 +106,10 @@ def l09_j06_fm_second_order(spark, sf_dir):
     parsed = d.parse(o, keep=["o_orderkey"])
     long = parsed.select("o_orderkey", F.explode(F.arrays_zip("xi", "xv")).alias("z")) \
                  .select("o_orderkey", F.col("z.xi").alias("idx"), F.col("z.xv").alias("value"))
-    # factor weights: the first 8 components of the embedding with the same id
+    # factor weights: the first 8 components of the embedding with the same id, for the dictionary's indices
     w = _emb(spark, sf_dir).select(F.col("vec_id").alias("idx"),
-                                   F.slice(A.to_double_array(F.col("embedding")), 1, 8).alias("vec"))
+                                   F.slice(A.to_double_array(F.col("embedding")), 1, 8).alias("vec")) \
+        .join(d.table.select("idx"), "idx", "left_semi")
     f = fm_second_order(long, w, "o_orderkey", 8)
     return f.select("o_orderkey", F.round("fm2", R).alias("fm2"))
 
