@@ -17,7 +17,6 @@ from featlab.operators.linear_paths import stepwise_linear
 from featlab.operators.mean_encoding import MeanEncoder
 from featlab.plans import misc, tabular  # noqa: F401  their SQL is part of two queries here
 from featlab.plans.registry import ORACLE, query
-from featlab.session import reliable_checkpoint
 from featlab.sources.tables import read_table
 
 R = 6
@@ -134,7 +133,7 @@ def f03_f07_f08_feature_rankings(spark, sf_dir):
     """Every text feature's score alone, impurity importance and permutation
     importance (5 hold-outs) for the line count of all documents."""
     from featlab.plans.models_q import _doc_features
-    docs = reliable_checkpoint(_doc_features(spark, sf_dir).select("doc_id", "lines", *_FEATURES))   # the texts are read once
+    docs = _doc_features(spark, sf_dir).select("doc_id", "lines", *_FEATURES)   # written: the texts are read once
     alone = MD.single_feature_ranking(docs, _FEATURES, "lines", "doc_id", splits=2)
     shuffled = MD.permutation_importance(docs, _FEATURES, "lines", "doc_id", splits=5)
     impurity = spark.createDataFrame(list(MD.impurity_importance(docs, _FEATURES, "lines").items()), "feature string, impurity double")
