@@ -1,10 +1,10 @@
 """Dictionary-driven token work.
 
 Dictionaries stay tables: ``dictionary_matches`` finds the words that occur in a
-text by equi-joins on substrings, and everything else works on a text's own
-matches. Work is done once per *distinct* token or text (``distinct`` is a
+text by an equi-join on the substrings that may be words, and everything else
+works on a text's own matches. Work is done once per *distinct* token or text (``distinct`` is a
 shuffle whose size follows the vocabulary, not the corpus) and joined back to
-the rows. Nothing is collected or broadcast, so dictionaries have no size limit.
+the rows. Of a dictionary only a bitmap of bounded size is broadcast, so it has no size limit.
 """
 
 from __future__ import annotations
@@ -12,15 +12,63 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
-from featlab.functions.arrays import explode_values
+#: Characters by which longer words are found, and text bytes that are searched together.
+PLACE, STEP = 32, 1 << 18
+#: A bitmap has 1024 bits per word, up to so many (16 MB).
+MOST_BITS = 1 << 27
 
+#: Hash of the bytes i .. j - 1: the sum of their numbers times the powers of an odd base (modulo 2^64), divided by the power at i.
+_NUMBER = np.random.default_rng(8).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
-#: Characters of text that a place carries.
-PLACE = 32
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts, where each starts and the last ends); NULL is empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+class _Hashes:
+    """Hashes of all substrings of ``data``."""
+
+    def __init__(self, data: np.ndarray):
+        power = np.full(len(data) + 1, _BASE)
+        inverse = np.full(len(data) + 1, _INVERSE)
+        power[0] = inverse[0] = 1
+        self.inverse = np.cumprod(inverse, dtype=np.uint64)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_NUMBER[data] * np.cumprod(power, dtype=np.uint64)[:-1], dtype=np.uint64)])
+
+    def places(self, starts: np.ndarray, sizes: np.ndarray | int, bits: int) -> np.ndarray:
+        """Place in a bitmap of ``bits`` (a power of two) of the substrings at ``starts``."""
+        h = (self.sums[starts + sizes] - self.sums[starts]) * self.inverse[starts]
+        h = (h ^ (h >> np.uint64(32))) * _NUMBER[7]
+        return ((h >> np.uint64(24)) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _bitmap(words: DataFrame, n: int) -> np.ndarray:
+    """Bits of the hashes of ``_w``, a table of ``n`` words."""
+    bits = min(MOST_BITS, 1 << max(16, (1024 * n - 1).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, ends = _bytes_of(b.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(_Hashes(data).places(ends[:-1], np.diff(ends), bits) + 1)], names=["place"])
+    found = np.zeros(bits // 8, np.uint8)
+    part = words.select("_w").mapInArrow(run, "place long").groupBy(F.bitmap_bucket_number("place").alias("k")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    for k, some in part.toLocalIterator():   # 4 KB a row, ``bits`` in all
+        found[(k - 1) * 4096:(k - 1) * 4096 + len(some)] = np.frombuffer(some, np.uint8)
+    return found
 
 
 # ---- J08: every dictionary word in a text --------------------------------------------------
@@ -29,27 +77,55 @@ def dictionary_matches(df: DataFrame, id_col: str, text_col: str, dictionary: Da
     """J08 (full mode): every dictionary word occurring in the text, with
     its 1-based start: (id, start, word).
 
-    Places of a text are joined with the first two characters of the words
-    (their heads) and with the lengths that words of that head have; only such
-    substrings are then joined with the dictionary. A place carries at most
-    ``PLACE`` characters: longer words are found by their first ``PLACE`` and
+    Tasks hash, for every length that words have, the substrings of their texts
+    and pass on those whose hash is in a bitmap of the words' hashes (bounded;
+    a false hit costs a row). These are then joined with the dictionary. Words
+    longer than ``PLACE`` characters are found by their first ``PLACE`` and
     compared with the text itself."""
     every = dictionary.select(F.col(word_col).alias("_w")).filter(F.length("_w") > 0).distinct()
+    head = F.substring("_w", 1, PLACE)
+    heads = every.select(head.alias("_w"))
+    longest, n, sizes = every.agg(F.max(F.length("_w")), F.count("_w"), F.array_sort(F.collect_set(F.octet_length(head)))).first()
+    schema = ST.StructType([ST.StructField("id", df.schema[id_col].dataType), ST.StructField("start", ST.IntegerType()), ST.StructField("_w", ST.StringType())])
+    spark = df.sparkSession
+    bitmap = spark.sparkContext.broadcast(_bitmap(heads, n))
+
+    def found_in(ids: pa.Array, column: pa.Array) -> pa.RecordBatch:
+        table = bitmap.value
+        data, ends = _bytes_of(column)
+        hashes = _Hashes(data)
+        at = np.flatnonzero((data & 0xC0) != 0x80)   # bytes where a character starts
+        row = np.searchsorted(ends, at, "right") - 1
+        left = ends[row + 1] - at
+        number = np.arange(len(at)) - np.searchsorted(at, ends[row]) + 1
+        hits: list[tuple[np.ndarray, np.ndarray]] = []
+        live = np.arange(len(at))
+        for size in sizes:
+            live = live[left[live] >= size]
+            place = hashes.places(at[live], size, 8 * len(table))
+            hit = live[(table[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]
+            hits.append((hit, np.full(len(hit), size)))
+        hit, size = np.concatenate([h for h, _ in hits]), np.concatenate([k for _, k in hits])
+        text = data.tobytes()
+        words = pa.array([text[a:a + k] for a, k in zip(at[hit].tolist(), size.tolist())], pa.binary())
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(row[hit])), pa.array(number[hit].astype(np.int32)), words.view(pa.string())], names=["id", "start", "_w"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < b.num_rows and sizes:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP, "right")))
+                yield found_in(b.column(0).slice(at, to - at), b.column(1).slice(at, to - at))
+                at = to
+
+    found = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
     words = every.filter(F.length("_w") <= PLACE)
-    head = lambda c, n: F.substring(c, 1, n)
-    heads = words.select(head("_w", 2).alias("_head"), F.length("_w").alias("_len")).groupBy("_head").agg(F.collect_set("_len").alias("_lens"))
-    longest = every.agg(F.max(F.length("_w"))).first()[0] or 0
-    places = (df.select(F.col(id_col), F.col(text_col).alias("_t"), explode_values(F.sequence(F.lit(1), F.greatest(F.length(text_col), F.lit(1)))).alias("start"))
-              .select(id_col, "start", F.substring("_t", F.col("start"), F.lit(min(longest, PLACE))).alias("_s")).filter(F.length("_s") > 0))
-    one = places.select(id_col, "start", "_s", head("_s", 1).alias("_head")).filter(F.length("_s") > 1)
-    two = places.select(id_col, "start", "_s", head("_s", 2).alias("_head"))
-    found = two.unionByName(one).join(heads, "_head").select(id_col, "start", "_s", F.explode("_lens").alias("_len")) \
-        .filter((F.col("_len") <= F.length("_s"))).select(id_col, "start", F.substring("_s", F.lit(1), F.col("_len")).alias("_w"))
     matches = found.join(words, "_w").select(id_col, "start", F.col("_w").alias(word_col))
-    if longest <= PLACE:
+    if (longest or 0) <= PLACE:
         return matches
-    long = every.filter(F.length("_w") > PLACE).select("_w", head("_w", PLACE).alias("_s"))
-    maybe = places.filter(F.length("_s") == PLACE).join(long, "_s").select(F.col(id_col).alias("_id"), "start", "_w").distinct()
+    long = every.filter(F.length("_w") > PLACE).select("_w", head.alias("_s"))
+    maybe = found.withColumnRenamed("_w", "_s").join(long, "_s").select(F.col(id_col).alias("_id"), "start", "_w").distinct()
     whole = df.join(maybe, df[id_col].eqNullSafe(F.col("_id"))).filter(F.substring(F.col(text_col), F.col("start"), F.length("_w")) == F.col("_w"))
     return matches.unionByName(whole.select(id_col, "start", F.col("_w").alias(word_col)))
 

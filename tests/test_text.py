@@ -188,3 +188,23 @@ def test_words_longer_than_a_place_carries(spark):
     got = sorted(((r.id or 0, r.start, r.word) for r in dictionary_matches(df, "id", "text", spark.createDataFrame([(w,) for w in words], "word string")).collect()))
     want = sorted((k or 0, s + 1, w) for k, t in texts if t for w in words for s in range(len(t)) if t.startswith(w, s))
     assert got == want
+
+
+def test_dictionary_matches_pass_on_few_substrings(spark):
+    """Every occurrence, also of words of several bytes a character and in one long text; the work per place does not
+    depend on where in its text it lies."""
+    import random
+    import time
+
+    from featlab.operators.segmentation import dictionary_matches
+    rng = random.Random(9)
+    texts = [(k, "".join(rng.choice("aé漢😀 b") for _ in range(rng.choice([0, 3, 40, 700])))) for k in range(150)] + [(7, "aé漢"), (8, None), (None, "漢😀")]
+    words = sorted({"".join(rng.choice("aé漢😀b") for _ in range(rng.randint(1, 5))) for _ in range(60)} | {""})
+    df, d = spark.createDataFrame(texts, "id int, text string").repartition(3), spark.createDataFrame([(w,) for w in words + words[:5] + [None]], "word string")
+    got = sorted(((-1 if r.id is None else r.id, r.start, r.word) for r in dictionary_matches(df, "id", "text", d).collect()))
+    assert got == sorted((-1 if k is None else k, s + 1, w) for k, t in texts if t for w in words if w for s in range(len(t)) if t.startswith(w, s))
+    assert dictionary_matches(df, "id", "text", d.limit(0)).count() == 0
+    begun = time.time()
+    long = spark.createDataFrame([(1, "xy zé" * 100_000 + "needle")], "id int, text string")
+    assert [tuple(r) for r in dictionary_matches(long, "id", "text", spark.createDataFrame([("needle",)], "word string")).collect()] == [(1, 500_001, "needle")]
+    assert time.time() - begun < 60
