@@ -125,3 +125,15 @@ def test_word_vector_query_returns_whole_vectors(spark):
     vecs = {r.doc_id: r.vec for r in Q.q04_q05_word_vectors(spark, SF).collect()}
     assert len(vecs) == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert {len(v) for v in vecs.values()} == {16} and (np.std(list(vecs.values()), axis=0) > 0).all()
+
+
+def test_word_vectors_are_learned_by_several_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(k, [f"{'ab'[k % 2]}{i}" for i in rng.integers(0, 8, 40)]) for k in range(60)]
+    docs = spark.createDataFrame([*rows, (60, [])], "doc_id int, tok array<string>").repartition(4)
+    assert MD.word_vectors(docs, "tok", size=8).getNumPartitions() == 1
+    monkeypatch.setattr(MD, "FIT_TOKENS", 700)   # 2400 tokens
+    m = MD.word_vectors(docs, "tok", size=8)
+    assert m.getNumPartitions() == 4
+    assert {r.word for r in m.getVectors().collect()} == {w for _, t in rows for w in t}
+    assert m.transform(docs).count() == 61
