@@ -137,3 +137,29 @@ def test_word_vectors_are_learned_by_several_tasks(spark, monkeypatch):
     assert m.getNumPartitions() == 4
     assert {r.word for r in m.getVectors().collect()} == {w for _, t in rows for w in t}
     assert m.transform(docs).count() == 61
+
+
+def test_topic_keywords_in_blocks(spark, monkeypatch):
+    """The closest words by dense linear algebra, with ids that repeat or are null, empty and null texts; a round
+    sends the terms of the blocks, not every (document, term) row."""
+    rng = np.random.default_rng(11)
+    texts = [(k % 50 if k < 53 else None if k == 53 else k, [f"{'abc'[k % 3]}{i}" for i in rng.geometric(0.15, 30) % 17] + [f"w{i}" for i in rng.integers(0, 9, 4)]) for k in range(60)]
+    texts += [(70, []), (71, None)]
+    docs = spark.createDataFrame(texts, "doc_id int, tok array<string>").repartition(3)
+    monkeypatch.setattr(MD, "BLOCK_ENTRIES", 150)
+    got = {(r.doc_id, r.rank): (r.term, r.sim) for r in MD.topic_keywords(docs, "doc_id", "tok", k=3, top=4, rounds=30).collect()}
+    by = {}
+    for k, t in texts:
+        for w in t or ():
+            by.setdefault(k, []).append(w)
+    words, ids = sorted({w for t in by.values() for w in t}), [k for k in by if k is not None]
+    df = {w: sum(w in t for t in by.values()) for w in words}
+    A = np.array([[by[k].count(w) * np.log(len(texts) / (1 + df[w])) for w in words] for k in ids])
+    V = np.linalg.svd(A, full_matrices=False)[2][:3].T
+    D = A @ V
+    sim = D @ V.T / np.linalg.norm(D, axis=1)[:, None] / np.linalg.norm(V, axis=1)
+    assert {k for k, _ in got} == set(ids) and all(w in by[k] for (k, _), (w, _) in got.items())
+    for i, k in enumerate(ids):
+        best = sorted((sim[i, words.index(w)] for w in set(by[k])), reverse=True)[:4]
+        assert [r for d, r in sorted((d, r) for d, r in got if d == k)] == [1, 2, 3, 4]
+        assert np.allclose([got[k, r][1] for r in range(1, 5)], best, atol=2e-3)
