@@ -151,3 +151,24 @@ def test_lexicon_is_minimal_and_finds_exactly_its_words():
     classes = {frozenset(w[len(p):] for w in words if w.startswith(p)) for p in prefixes}
     assert lex.states == len(classes)
     assert lexicon.Lexicon(np.frombuffer(lexicon.build([], []), "<i8")).ranks([b"a"]).tolist() == [-1]
+
+
+def test_plain_pieces_are_encoded_without_the_normaliser():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from featlab.llm import tokenizers_lib
+    rng = random.Random(12)
+    pieces = ["".join(rng.choice("aehinorstz") for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    pieces += ["The", "é", "x9", "a'b", "'s", ".", "<|endoftext|>", "", "zqx" * 40, "ſ", "漢字", "a<", "İ"] * 3
+    rng.shuffle(pieces)
+    for name, plain in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        assert (tokenizers_lib.plain_encode(path) is not None) == plain
+        ids, lens = tokenizers_lib.library_encode(path)(pieces)
+        t = Tokenizer.from_file(path)
+        ends = lens.cumsum().tolist()
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [t.encode(p, add_special_tokens=False).ids for p in pieces]
+        for some in ([], ["abc"], ["é"], ["abc", ""]):
+            ids, lens = tokenizers_lib.library_encode(path)(some)
+            assert lens.tolist() == [len(t.encode(p, add_special_tokens=False).ids) for p in some]
