@@ -163,3 +163,24 @@ def test_topic_keywords_in_blocks(spark, monkeypatch):
         best = sorted((sim[i, words.index(w)] for w in set(by[k])), reverse=True)[:4]
         assert [r for d, r in sorted((d, r) for d, r in got if d == k)] == [1, 2, 3, 4]
         assert np.allclose([got[k, r][1] for r in range(1, 5)], best, atol=2e-3)
+
+
+def _with_gaps(spark, n=200):
+    """Rows whose features or label are NULL, NaN or infinite between good ones."""
+    df, _, _ = _data(spark, n=n)
+    at = F.col("id") % 10
+    return df.withColumn("a", F.when(at == 1, None).when(at == 2, float("nan")).when(at == 3, float("inf")).otherwise(F.col("a"))) \
+        .withColumn("y", F.when(at == 4, None).when(at == 5, float("nan")).otherwise(F.col("y"))).withColumn("fold", (F.col("id") % 3).cast("int"))
+
+
+def test_missing_features_are_the_lowest_value_of_trees(spark):
+    df = spark.createDataFrame([(1, None), (2, float("nan")), (3, float("-inf")), (4, -5.0), (5, float("inf"))], "id int, a double")
+    got = {r.id: r.features[0] for r in MD.assemble_for_trees(df, ["a"]).collect()}
+    assert got == {1: -1e300, 2: -1e300, 3: -1e300, 4: -5.0, 5: 1e300}
+
+
+def test_boosting_rounds_with_missing_features_and_labels(spark):
+    x = MD.assemble_for_trees(_with_gaps(spark), ["a", "b", "c"]).withColumn("label", F.col("y"))
+    rows = MD.cv_rounds(x, "fold", "regression", max_iter=2, maxDepth=2, seed=1).collect()
+    assert sorted((r.fold, r.round) for r in rows) == [(f, k) for f in range(3) for k in (1, 2)]
+    assert all(np.isfinite(r.loss) for r in rows)
