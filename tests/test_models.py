@@ -184,3 +184,20 @@ def test_boosting_rounds_with_missing_features_and_labels(spark):
     rows = MD.cv_rounds(x, "fold", "regression", max_iter=2, maxDepth=2, seed=1).collect()
     assert sorted((r.fold, r.round) for r in rows) == [(f, k) for f in range(3) for k in (1, 2)]
     assert all(np.isfinite(r.loss) for r in rows)
+
+
+def _odd_documents(tmp_path):
+    """Documents and labels, a tenth without text or length, one of length 0."""
+    rng = np.random.default_rng(8)
+    texts = ["\n".join(" ".join(f"w{x}" for x in rng.integers(0, 50, rng.integers(1, 9))) for _ in range(rng.integers(1, 6))) for _ in range(90)]
+    texts = [None if k % 10 == 3 else t for k, t in enumerate(texts)]
+    pd.DataFrame({"doc_id": range(90), "text": texts, "lang": "en", "source": "s",
+                  "n_chars": pd.array([None if k % 10 == 4 else 0 if k == 7 else len(t or "") for k, t in enumerate(texts)], "Int64")}).to_parquet(tmp_path / "documents.parquet")
+    pd.DataFrame({"doc_id": range(60), "quality": [k % 2 for k in range(60)], "toxic": [k % 3 % 2 for k in range(60)]}).to_parquet(tmp_path / "labels.parquet")
+    return str(tmp_path)
+
+
+def test_greedy_tuning_query_scores_documents_with_missing_features(spark, tmp_path):
+    from featlab.plans import models_q as Q
+    rows = Q.m03_m10_greedy_tune_refit(spark, _odd_documents(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(90)) and all(np.isfinite(r.prediction) for r in rows)
