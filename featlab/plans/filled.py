@@ -113,9 +113,9 @@ def m07_forest_grid(spark, sf_dir):
     quality and mean absolute error of the line count, three folds by id."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
     from featlab.plans.models_q import _doc_features
-    docs = MD.assemble(_doc_features(spark, sf_dir), ["log_chars", "word_rate", "digit_rate"])
+    docs = MD.assemble_for_trees(_doc_features(spark, sf_dir), ["log_chars", "word_rate", "digit_rate"])
     known = docs.filter(F.col("quality").isNotNull()).withColumn("label", F.col("quality").cast("double"))
-    lines = docs.withColumn("label", F.col("lines").cast("double"))
+    lines = MD.with_label(docs.withColumn("label", F.col("lines").cast("double")))
     grid, names, out = {"maxDepth": [2, 5], "numTrees": [5, 20]}, ["maxDepth", "numTrees"], None
     for goal, kind, rows, ev in (("auc", "binary", known, BinaryClassificationEvaluator()), ("mae", "regression", lines, RegressionEvaluator(metricName="mae"))):
         folded = kfold(rows, ["doc_id"], 3).withColumn("fold", F.col("fold").cast("int"))

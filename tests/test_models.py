@@ -201,3 +201,9 @@ def test_greedy_tuning_query_scores_documents_with_missing_features(spark, tmp_p
     from featlab.plans import models_q as Q
     rows = Q.m03_m10_greedy_tune_refit(spark, _odd_documents(tmp_path)).collect()
     assert sorted(r.doc_id for r in rows) == list(range(90)) and all(np.isfinite(r.prediction) for r in rows)
+
+
+def test_forest_grid_query_with_missing_features(spark, tmp_path):
+    from featlab.plans import filled as Q
+    rows = Q.m07_forest_grid(spark, _odd_documents(tmp_path)).collect()
+    assert len(rows) == 8 and all(np.isfinite(r.score) for r in rows) and sum(r.best for r in rows) == 2
