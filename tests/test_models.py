@@ -207,3 +207,10 @@ def test_forest_grid_query_with_missing_features(spark, tmp_path):
     from featlab.plans import filled as Q
     rows = Q.m07_forest_grid(spark, _odd_documents(tmp_path)).collect()
     assert len(rows) == 8 and all(np.isfinite(r.score) for r in rows) and sum(r.best for r in rows) == 2
+
+
+def test_feature_rankings_query_with_missing_features(spark, tmp_path):
+    from featlab.plans import filled as Q
+    rows = Q.f03_f07_f08_feature_rankings(spark, _odd_documents(tmp_path)).collect()
+    assert sorted(r.feature for r in rows) == ["digit_rate", "log_chars", "word_rate"]
+    assert all(np.isfinite([r.score, r.importance, r.impurity]).all() for r in rows)
