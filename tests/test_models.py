@@ -214,3 +214,57 @@ def test_feature_rankings_query_with_missing_features(spark, tmp_path):
     rows = Q.f03_f07_f08_feature_rankings(spark, _odd_documents(tmp_path)).collect()
     assert sorted(r.feature for r in rows) == ["digit_rate", "log_chars", "word_rate"]
     assert all(np.isfinite([r.score, r.importance, r.impurity]).all() for r in rows)
+
+
+def test_topic_keywords_by_lda(spark, monkeypatch):
+    """Variational Bayes of unit TF-IDF documents, by dense arrays; ids that repeat or are null, empty and null texts, several blocks and parts."""
+    from featlab.operators import topics as TP
+    rng = np.random.default_rng(12)
+    texts = [(k % 50 if k < 53 else None if k == 53 else k, [f"{'abc'[k % 3]}{i}" for i in rng.geometric(0.15, 30) % 17] + [f"w{i}" for i in rng.integers(0, 9, 4)] + ["all"]) for k in range(60)]
+    texts += [(70, []), (71, None)]
+    docs = spark.createDataFrame(texts, "doc_id int, tok array<string>").repartition(3)
+    monkeypatch.setattr(MD, "BLOCK_ENTRIES", 150)
+    monkeypatch.setattr(TP, "PART_TERMS", 9)
+    got = {(r.doc_id, r.rank): (r.term, r.sim) for r in MD.topic_keywords(docs, "doc_id", "tok", k=3, top=4, rounds=5, method="lda", seed=4).collect()}
+    by = {}
+    for k, t in texts:
+        for w in t or ():
+            by.setdefault(k, []).append(w)
+    words, ids = sorted({w for t in by.values() for w in t}), [k for k in by if k is not None]
+    df = np.array([sum(w in t for t in by.values()) for w in words])
+    A = np.array([[by[k].count(w) for w in words] for k in ids]) * np.log(len(texts) / df)
+    A /= np.linalg.norm(A, axis=1)[:, None]
+    start = spark.createDataFrame([(w,) for w in words], "term string").selectExpr(*[f"pmod(xxhash64(4, {j}, term), 20001) / 10000 - 1" for j in range(3)]).collect()
+    lam, total, gamma = 1 + 0.17 * np.array([list(map(float, r)) for r in start]), np.full(3, float(len(words))), np.repeat((1 + A.sum(axis=1))[:, None] / 3, 3, axis=1)
+
+    def mixes(X, beta, gamma, steps):
+        for _ in range(steps):
+            theta = np.exp(TP.digamma(gamma) - TP.digamma(gamma.sum(axis=1))[:, None])
+            gamma = 1 / 3 + theta * ((X / (theta @ beta.T + 1e-100)) @ beta)
+        return gamma
+    for _ in range(5):
+        beta = np.exp(TP.digamma(lam) - TP.digamma(total))
+        gamma = mixes(A, beta, gamma, TP.E_STEPS)
+        theta = np.exp(TP.digamma(gamma) - TP.digamma(gamma.sum(axis=1))[:, None])
+        lam = 1 / 3 + beta * ((A / (theta @ beta.T + 1e-100)).T @ theta)
+        total = lam.sum(axis=0)
+    beta = np.exp(TP.digamma(lam) - TP.digamma(total))
+    one = np.diag((df < len(texts)).astype(float))
+    D, V = mixes(A, beta, gamma, TP.LAST_STEPS), mixes(one, beta, np.repeat((1 + one.sum(axis=1))[:, None] / 3, 3, axis=1), TP.LAST_STEPS)
+    sim = D @ V.T / np.linalg.norm(D, axis=1)[:, None] / np.linalg.norm(V, axis=1)
+    assert {k for k, _ in got} == set(ids) and all(w in by[k] for (k, _), (w, _) in got.items())
+    for i, k in enumerate(ids):
+        best = sorted((sim[i, words.index(w)] for w in set(by[k])), reverse=True)[:4]
+        assert np.allclose([got[k, r][1] for r in range(1, 5)], best, atol=1e-4)
+
+
+def test_topic_keywords_of_no_documents(spark):
+    docs = spark.createDataFrame([(1, [])], "doc_id int, tok array<string>")
+    for method in ("lsi", "lda"):
+        assert MD.topic_keywords(docs, "doc_id", "tok", method=method, rounds=2).collect() == []
+        assert MD.topic_keywords(docs.limit(0), "doc_id", "tok", method=method, rounds=2).columns == ["doc_id", "rank", "term", "sim"]
+
+
+def test_digamma():
+    from featlab.operators.topics import digamma
+    assert np.allclose(digamma(np.array([1.0, 0.5, 0.25, 10.0])), [-0.5772156649, -1.9635100260, -4.2274535334, 2.2517525891], atol=1e-8)
