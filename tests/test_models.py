@@ -258,6 +258,14 @@ def test_topic_keywords_by_lda(spark, monkeypatch):
         assert np.allclose([got[k, r][1] for r in range(1, 5)], best, atol=1e-4)
 
 
+def test_topic_keyword_query_is_lda(spark, monkeypatch):
+    from featlab.plans import models_q as Q
+    used = []
+    monkeypatch.setattr(MD, "topic_keywords", lambda *a, **kw: used.append(kw.get("method")))
+    Q.x17_topic_keywords(spark, "/root/testdata/sf0.001")
+    assert used == ["lda"]
+
+
 def test_topic_keywords_of_no_documents(spark):
     docs = spark.createDataFrame([(1, [])], "doc_id int, tok array<string>")
     for method in ("lsi", "lda"):
