@@ -3,35 +3,39 @@
 Exact top-k cosine search (J07) without emitting pairs as rows and without
 a group that grows with the data:
 
-* vectors are L2-normalised and hashed into query blocks of about
-  ``block_bytes`` (the one thing a task holds whole);
-* every vector is sent to every query block, so a vector travels
-  n * bytes / block_bytes times, not n / 1024 times; the candidate set is
-  never gathered into one value;
-* per query block, a ``mapInPandas`` task holds that block's queries and
-  streams the candidates in Arrow batches, keeping a running top-k per
-  query from numpy matrix products of bounded size.
+* vectors are L2-normalised and written once to the shared folder, in block files
+  of about ``block_bytes``;
+* a task opens one block of queries after the other and streams the other blocks
+  past it from their files, keeping a running top-k per query from numpy matrix
+  products of bounded size. No vector is shuffled or written again per query
+  block: the disk holds the vectors once, whatever their number.
 
 Work is the inherent n^2 d of exact search, spread over the blocks; output is
 exactly k rows per query (fewer if there are fewer vectors). NULL and empty
-vectors are neither queries nor candidates.
+vectors and vectors without an id are neither queries nor candidates.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featlab.functions.arrays import l2_normalize, to_double_array
+from featlab.session import ensure_checkpoint_dir
+from featlab.sources.shared_files import get_array, put
 
-
-#: Query rows of one matrix product, weight rows that are at most sent to all tasks.
-PRODUCT_ROWS, BROADCAST_ROWS = 512, 10_000
+#: Query rows of one matrix product, candidate rows of one, weight rows that are at most sent to all tasks.
+PRODUCT_ROWS, CANDIDATE_ROWS, BROADCAST_ROWS = 512, 4096, 10_000
+#: Blocks that a task writes are numbered below its attempt's number.
+BLOCKS_A_TASK = 1 << 20
+TOPK_ROWS = "query_id bigint, rank int, other_id bigint, sim double"
 
 
 def _merged(best_s: np.ndarray, best_i: np.ndarray, s: np.ndarray, cid: np.ndarray, k: int, width: int):
@@ -54,67 +58,115 @@ def _merged(best_s: np.ndarray, best_i: np.ndarray, s: np.ndarray, cid: np.ndarr
     return sims[take].reshape(len(s), width), ids[take].reshape(len(s), width)
 
 
-def _topk_scan(k: int, exclude_self: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, ids, vecs, queries, best_s, best_i = None, [], [], None, None, None
-
-        def flush():
-            if best_s is None:
-                return None
-            q = np.repeat(np.asarray(ids, dtype=np.int64), best_s.shape[1])
-            rank = np.tile(np.arange(1, best_s.shape[1] + 1, dtype=np.int32), len(ids))
-            out = pd.DataFrame({"query_id": q, "rank": rank, "other_id": best_i.ravel(), "sim": best_s.ravel()})
-            return out[np.isfinite(out["sim"].to_numpy())]
-
-        for pdf in batches:
-            for qb, g in pdf.groupby("qb", sort=False):
-                if qb != cur:
-                    done = flush()
-                    if done is not None and len(done):
-                        yield done
-                    cur, ids, vecs, queries, best_s, best_i = qb, [], [], None, None, None
-                mine = g[g["role"] == 0]
-                ids.extend(mine["id"].tolist())
-                vecs.extend(mine["vec"].tolist())
-                others = g[g["role"] == 1]
-                if not len(others) or not ids:
-                    continue   # a block without queries has nothing to rank
-                if queries is None:
-                    queries = np.stack(vecs).astype(np.float64)
-                    best_s, best_i = np.full((len(ids), 0), -np.inf), np.zeros((len(ids), 0), np.int64)
-                c, cid = np.stack(others["vec"].to_numpy()).astype(np.float64), others["id"].to_numpy(np.int64)
-                width = min(k, best_s.shape[1] + len(cid))
-                new_s, new_i = np.empty((len(ids), width)), np.empty((len(ids), width), np.int64)
-                for a in range(0, len(ids), PRODUCT_ROWS):
-                    part = slice(a, a + PRODUCT_ROWS)
-                    s = np.fmax(queries[part] @ c.T, -np.inf)   # not a number: last
-                    if exclude_self:
-                        s[np.asarray(ids)[part, None] == cid[None, :]] = -np.inf
-                    new_s[part], new_i[part] = _merged(best_s[part], best_i[part], s, cid, k, width)
-                best_s, best_i = new_s, new_i
-        done = flush()
-        if done is not None and len(done):
-            yield done
-    return run
+# ---- block files ---------------------------------------------------------------------------
+def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """``id, vec`` (length 1, or 0) of the rows with an id and a vector."""
+    return df.filter((F.size(F.col(vec_col)) > 0) & F.col(id_col).isNotNull()) \
+        .select(F.col(id_col).cast("bigint").alias("id"), l2_normalize(to_double_array(F.col(vec_col))).alias("vec"))
+
+
+def vector_folder(df: DataFrame) -> str:
+    return f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+
+
+def arrays_of(batch: pa.RecordBatch, ids: int = 0, vecs: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, n x d numbers) of a batch's columns."""
+    size = pc.list_value_length(batch.column(vecs)).to_numpy(zero_copy_only=False)
+    if (size != size[0]).any():
+        raise ValueError("vectors differ in length")
+    return batch.column(ids).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(vecs).flatten().to_numpy(zero_copy_only=False).reshape(len(size), -1)
+
+
+def put_block(folder: str, number: int, ids: list[np.ndarray], vecs: list[np.ndarray]) -> None:
+    put(folder, str(number), [np.array([sum(map(len, ids)), vecs[0].shape[1]]).tobytes(), *[x.tobytes() for x in ids], *[np.ascontiguousarray(x, float).tobytes() for x in vecs]], str(TaskContext.get().taskAttemptId()))
+
+
+def get_block(folder: str, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, n x d numbers) of a block file."""
+    raw = get_array(folder, str(number), np.int64)
+    n, d = raw[:2].tolist()
+    return raw[2:2 + n], raw[2 + n:].view(np.float64).reshape(n, d)
+
+
+def write_blocks(vecs: DataFrame, folder: str, block_bytes: int) -> DataFrame:
+    """Writes ``id, vec`` rows as block files of about ``block_bytes``; ``block, n``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a repeated attempt writes files of its own: rows may reach it in another order
+        number, ids, held, rows = TaskContext.get().taskAttemptId() * BLOCKS_A_TASK, [], [], 0
+
+        def block() -> pa.RecordBatch:
+            put_block(folder, number, ids, held)
+            return pa.RecordBatch.from_pydict({"block": pa.array([number]), "n": pa.array([rows])})
+        for b in batches:
+            if not b.num_rows:
+                continue
+            i, x = arrays_of(b)
+            most, at = max(1, block_bytes // (8 * x.shape[1])), 0
+            while at < len(i):
+                to = min(len(i), at + most - rows)
+                ids.append(i[at:to])
+                held.append(x[at:to])
+                rows, at = rows + to - at, to
+                if rows >= most:
+                    yield block()
+                    number, ids, held, rows = number + 1, [], [], 0
+        if rows:
+            yield block()
+    return vecs.mapInArrow(run, "block long, n long")
+
+
+def topk_of_block(folder: str, block: int, others: Iterable[int], k: int, exclude_self: bool) -> pa.Table | None:
+    """The ``k`` best of the blocks ``others`` for every vector of ``block``."""
+    ids, queries = get_block(folder, block)
+    best_s, best_i = np.full((len(ids), 0), -np.inf), np.zeros((len(ids), 0), np.int64)
+
+    def seen(cid: np.ndarray, c: np.ndarray) -> None:
+        nonlocal best_s, best_i
+        width = min(k, best_s.shape[1] + len(cid))
+        new_s, new_i = np.empty((len(ids), width)), np.empty((len(ids), width), np.int64)
+        for a in range(0, len(ids), PRODUCT_ROWS):
+            part = slice(a, a + PRODUCT_ROWS)
+            s = np.fmax(queries[part] @ c.T, -np.inf)   # not a number: last
+            if exclude_self:
+                s[ids[part, None] == cid[None, :]] = -np.inf
+            new_s[part], new_i[part] = _merged(best_s[part], best_i[part], s, cid, k, width)
+        best_s, best_i = new_s, new_i
+    held, rows = [], 0
+    for other in others:
+        held.append(get_block(folder, other))
+        rows += len(held[-1][0])
+        if rows >= CANDIDATE_ROWS:
+            seen(*map(np.concatenate, zip(*held)))
+            held, rows = [], 0
+    if held:
+        seen(*map(np.concatenate, zip(*held)))
+    good = np.isfinite(best_s).ravel()
+    if not good.any():
+        return None
+    return pa.table({"query_id": np.repeat(ids, best_s.shape[1])[good], "rank": np.tile(np.arange(1, best_s.shape[1] + 1, dtype=np.int32), len(ids))[good],
+                     "other_id": best_i.ravel()[good], "sim": best_s.ravel()[good]})
+
+
+def topk_of_blocks(blocks: DataFrame, folder: str, others: Callable[[int], Iterable[int]], k: int, exclude_self: bool) -> DataFrame:
+    """``topk_of_block`` of the ``block`` numbers in ``blocks``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block in b.column(0).to_pylist():
+                found = topk_of_block(folder, block, others(block), k, exclude_self)
+                if found is not None:
+                    yield from found.to_batches(max_chunksize=50_000)
+    return blocks.select("block").mapInArrow(run, TOPK_ROWS)
 
 
 def topk_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 8, block_bytes: int = 1 << 20,
                  exclude_self: bool = True) -> DataFrame:
     """For every vector, the k most cosine-similar other vectors
     (``query_id, rank, other_id, sim``; ties by the smaller id)."""
-    known = df.filter(F.size(F.col(vec_col)) > 0)
-    size = known.agg(F.coalesce(F.sum(F.size(F.col(vec_col))), F.lit(0))).first()[0] * 8
-    blocks = max(1, math.ceil(size / block_bytes))
-    vecs = known.select(F.col(id_col).cast("bigint").alias("id"),
-                        l2_normalize(to_double_array(F.col(vec_col))).alias("vec"))
-    qb = F.pmod(F.xxhash64(F.col("id")), F.lit(blocks)).cast("int")
-    queries = vecs.select(qb.alias("qb"), F.lit(0).alias("role"), "id", "vec")
-    cands = vecs.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qb"),
-                        F.lit(1).alias("role"), "id", "vec")
-    stream = (queries.unionByName(cands).repartition(blocks, "qb")
-              .sortWithinPartitions("qb", "role", "id"))
-    return stream.mapInPandas(_topk_scan(k, exclude_self),
-                              "query_id bigint, rank int, other_id bigint, sim double")
+    spark, folder = df.sparkSession, vector_folder(df)
+    found = write_blocks(unit_vectors(df, id_col, vec_col), folder, block_bytes).collect()   # one row per block of ``block_bytes``
+    every = sorted(r["block"] for r in found)
+    tasks = max(1, min(len(every), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return topk_of_blocks(spark.createDataFrame([(x,) for x in every], "block long").repartition(tasks), folder, lambda block: every, k, exclude_self)
 
 
 def embedding_lookup(index_df: DataFrame, weights: DataFrame, idx_col: str = "idx",
