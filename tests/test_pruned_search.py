@@ -61,3 +61,26 @@ def test_only_zero_vectors(spark):
     df = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(4)], "id long, v array<double>")
     got = sorted((r.query_id, r.rank, r.other_id, r.sim) for r in topk_pruned(df, "id", "v", k=2).collect())
     assert got == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (1, 1, 0, 0.0), (1, 2, 2, 0.0), (2, 1, 0, 0.0), (2, 2, 1, 0.0), (3, 1, 0, 0.0), (3, 2, 1, 0.0)]
+
+
+def test_vectors_are_not_sent_to_the_blocks_that_see_them(spark, tmp_path):
+    """Both searches write each vector once; what they shuffle does not grow with the number of blocks."""
+    from featlab.operators import pruned_search as P
+    from featlab.operators import vectors as V
+    x = np.random.default_rng(9).normal(size=(600, 16))
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(600), "v": list(x)})).repartition(3).cache()
+    df.count()
+    for search in (V.topk_similar, P.topk_pruned):
+        out = search(df, "id", "v", k=3, block_bytes=16 * 8 * 10)   # 60 blocks or more
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "vec" not in plan and "Join" not in plan and out.count() == 1800
+    blocks = tmp_path / "blocks"
+    listed = V.write_blocks(V.unit_vectors(df, "id", "v"), str(blocks), 16 * 8 * 10).collect()
+    assert sum(r.n for r in listed) == 600 and sum(f.stat().st_size for f in blocks.iterdir()) == 600 * 17 * 8 + 16 * len(listed)
+
+
+def test_rows_without_an_id_are_no_queries(spark):
+    from featlab.operators.vectors import topk_similar
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (None, [1.0, 0.1])], "id long, v array<double>")
+    for search in (topk_similar, topk_pruned):
+        assert sorted((r.query_id, r.other_id) for r in search(df, "id", "v", k=2).collect()) == [(1, 2), (2, 1)]
