@@ -212,3 +212,32 @@ def test_model_table_and_going_on(spark):
         total += t.value
     one = spark.createDataFrame([(0, *row.values())], "id long, a double, b double, c double")
     assert scores(spark, one, model, bins)[0][0] == pytest.approx(total)
+
+
+def test_models_grown_on_cells_equal_those_grown_level_by_level(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    n = 700
+    rows = [(int(i), float(rng.integers(0, 12)), None if i % 9 == 0 else float(rng.integers(0, 6)), float(rng.integers(0, 5)), float("nan") if i % 50 == 0 else float(rng.normal() * 3 + i % 7), int(i % 3)) for i in range(n)]
+    df = spark.createDataFrame([*rows, *rows[:40]], "id long, a double, b double, c double, y double, fold int").repartition(3)
+    bins = B.fit_bins(df, ["a", "b", "c"], 8)
+    ready = B.binned(df, bins, ["id"], "y", "fold")
+    params = [B.BoostParams(learning_rate=0.3, max_depth=9, min_data_in_leaf=4), B.BoostParams(learning_rate=0.3, max_depth=4, bagging_fraction=0.6, feature_fraction=0.7, min_child_weight=5),
+              B.BoostParams(learning_rate=0.3, max_depth=3, bagging_fraction=0.9, lambda_l1=2.0, lambda_l2=1.0, min_split_gain=0.5)]
+    passes = []
+    plain = B.best_splits
+    monkeypatch.setattr(B, "best_splits", lambda *a: passes.append(1) or plain(*a))
+
+    def both(size):
+        monkeypatch.setattr(B, "CELL_BYTES", size)
+        models = [B.Model(p, f) for p in params for f in (0, 1, None)]
+        log = B.train(ready, bins, models, 2)
+        more = B.train(ready, bins, models, 1)
+        x = np.array([[i, j, k] for i in range(bins.width) for j in range(bins.width) for k in range(bins.width)])
+        return log, more, [B.raw_scores(m, x) for m in models]
+    cells = both(1 << 26)
+    assert not passes                       # no pass per level
+    levels = both(0)
+    assert passes
+    for a, b in zip(cells[:2], levels[:2]):
+        assert [r[:2] for r in a] == [r[:2] for r in b] and np.allclose([r[2:] for r in a], [r[2:] for r in b], equal_nan=True)
+    assert all(np.allclose(a, b) for a, b in zip(cells[2], levels[2]))
