@@ -152,3 +152,23 @@ def test_edge_cases_empty_and_tiny(spark):
     assert S.cumulative_sum(empty.withColumn("v", F.lit(1.0)), [], ["id"], "v").count() == 0
     tiny = kfold(spark.range(0, 3), ["id"], 5).toPandas().sort_values("id")
     assert tiny["fold"].tolist() == [0, 1, 2]
+
+
+@pytest.mark.parametrize("rows", [40, 1 << 20])
+def test_packed_dense_ranks(spark, monkeypatch, rows):
+    """Keys of many rows, an id that is NULL, rows that come twice, non-ASCII keys in byte order; the shuffle holds packed blocks."""
+    from featlab.operators import ordering as O
+    monkeypatch.setattr(O, "PACK_ROWS", rows)
+    rng = np.random.default_rng(2)
+    terms = ["the", "é", "z", "", "a b", "a", *[f"w{i}" for i in range(30)]]
+    data = [(int(i) if i else None, "the" if i % 3 == 0 else terms[rng.integers(len(terms))], int(i % 4)) for i in range(400)]
+    data += data[:7]
+    df = spark.createDataFrame(data, "doc long, term string, count long").repartition(5)
+    sent, plain = [], O.written_table
+    monkeypatch.setattr(O, "written_table", lambda d: sent.append(d._jdf.queryExecution().optimizedPlan().toString()) or plain(d))
+    got = O.packed_dense_rank_ids(df, "term", F.xxhash64("doc"), "tid")
+    assert "Repartition" in sent[-1] and "RepartitionByExpression [pid" in sent[-1]
+    rank = {t: k for k, t in enumerate(sorted({t for _, t, _ in data}, key=lambda t: t.encode()))}
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.doc, r.term, r["count"], r.tid) for r in got.collect()), key=key) == sorted(((d, t, c, rank[t]) for d, t, c in data), key=key)
+    assert O.packed_dense_rank_ids(df.limit(0), "term", F.xxhash64("doc"), "tid").count() == 0
